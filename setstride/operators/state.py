@@ -42,15 +42,14 @@ def dense_prefix(totals: DataFrame, key: str, width: int, values: dict[str, str]
 
     `values` maps column -> how it accumulates (sum, max, min). Only per-block summaries pass through here.
     """
-    maps = totals.groupBy(SERIES, "block").agg(
-        F.map_from_entries(F.collect_list(F.struct(key, F.struct(*values)))).alias("_m")
+    blocks = totals.select(SERIES, "block").distinct()
+    dense = blocks.withColumn(key, F.explode(F.sequence(F.lit(0), F.lit(width - 1)))).join(
+        totals, [SERIES, "block", key], "left"
     )
-    dense = maps.select(SERIES, "block", "_m", F.explode(F.sequence(F.lit(0), F.lit(width - 1))).alias(key))
-    dense = dense.withColumn("_v", F.try_element_at("_m", F.col(key)))
     upto = Window.partitionBy(SERIES, key).orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
     how = {"sum": F.sum, "max": F.max, "min": F.min}
     return dense.select(
-        SERIES, (F.col("block") + 1).alias("block"), key, *[how[h](f"_v.{v}").over(upto).alias(f"_{v}") for v, h in values.items()]
+        SERIES, (F.col("block") + 1).alias("block"), key, *[how[h](v).over(upto).alias(f"_{v}") for v, h in values.items()]
     ).where(F.coalesce(*[F.col(f"_{v}") for v in values]).isNotNull())
 
 
