@@ -117,7 +117,7 @@ def halo_window(*extra: str, series: str = SERIES):
 
 @dataclass(frozen=True)
 class StepTable:
-    """Steps in canonical form: series_id, ord, step_id, ts, items, special, amount, prev_items, prev_special."""
+    """Steps in canonical form: series_id, ord, step_id, ts, items, special, amount, prev_items, prev_special, prev2_items."""
 
     df: DataFrame
     block: int
@@ -134,7 +134,7 @@ class StepTable:
     def with_request(self) -> "StepTable":
         """Append one open step per series (ord = last + 1, nothing revealed yet) to be scored."""
         last = self.df.groupBy(SERIES).agg(
-            F.max_by(F.struct("ord", "items", "special"), "ord").alias("last")
+            F.max_by(F.struct("ord", "items", "special", "prev_items"), "ord").alias("last")
         )
         empty = F.array().cast("array<int>")
         request = last.select(
@@ -147,6 +147,7 @@ class StepTable:
             F.lit(None).cast("double").alias("amount"),
             F.col("last.items").alias("prev_items"),
             F.col("last.special").alias("prev_special"),
+            F.col("last.prev_items").alias("prev2_items"),
         )
         return replace(self, df=self.df.unionByName(request), longest=self.longest + 1)
 
@@ -159,13 +160,14 @@ def build_steps(raw: DataFrame, domain: Domain = DRAWS, block: int | None = None
     )
     longest = (numbered.agg(F.max("ord")).first()[0] or 0) + 1
     size = block or block_size(longest)
-    pairs = by_block(spread(numbered, size, 1))
+    pairs = by_block(spread(numbered, size, 2))
     w = halo_window()
     steps = (
         pairs.select(
             "*",
             F.lag("items").over(w).alias("prev_items"),
             F.lag("special").over(w).alias("prev_special"),
+            F.lag("items", 2).over(w).alias("prev2_items"),
         )
         .where("own")
         .drop("own", "block")

@@ -15,7 +15,7 @@ from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 from setstride.operators.kernels import slot_kernel
 from setstride.operators.layout import SERIES, StepTable, block_of, by_block, halo_window, spread
 
-STEP_COLUMNS = ["step_id", "ts", "items", "special", "prev_items", "prev_special"]
+STEP_COLUMNS = ["step_id", "ts", "items", "special", "prev_items", "prev_special", "prev2_items"]
 
 
 def slots_of(table: StepTable) -> Column:
