@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import itertools
 import json
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,6 +13,14 @@ from pyspark.sql import functions as F
 from setstride.config import PRIZES
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate `value` once per row and use it in `body`.
+
+    An expression captured by a lambda is evaluated again for every element; a lambda variable is not.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def multihot(items: Column, size: int) -> Column:
     return F.transform(F.sequence(F.lit(1), F.lit(size)), lambda n: F.array_contains(items, n).cast("int"))
 
@@ -44,15 +54,21 @@ def hits(picks: Column, actual: Column, k: int = 5) -> Column:
 
 def mean_rank(ranked: Column, actual: Column) -> Column:
     """Mean 1-based rank of the items that came up."""
-    total = F.aggregate(actual, F.lit(0).cast("double"), lambda acc, a: acc + F.array_position(ranked, a))
+    total = let(
+        ranked, lambda r: F.aggregate(actual, F.lit(0).cast("double"), lambda acc, a: acc + F.array_position(r, a))
+    )
     return F.try_divide(total, F.size(actual))
 
 
 def softmax(values: Column) -> Column:
     """Softmax shifted by the maximum, so long gaps cannot overflow."""
-    top = F.array_max(values)
-    raised = F.transform(values, lambda v: F.exp((v - top).cast("double")))
-    return F.transform(raised, lambda e: e / array_total(raised))
+    def shares(raised: Column) -> Column:
+        return let(array_total(raised), lambda total: F.transform(raised, lambda e: e / total))
+
+    def raise_all(v: Column) -> Column:
+        return let(F.array_max(v), lambda top: F.transform(v, lambda x: F.exp((x - top).cast("double"))))
+
+    return let(let(values, raise_all), shares)
 
 
 def combos(candidates: int, pick: int) -> Column:
@@ -67,19 +83,22 @@ def best_tickets(score: Column, candidates: int = 12, pick: int = 5, tickets: in
     The candidates are put in item order first, so index order of the combinations is item order and
     the tie rule becomes "the later combination first".
     """
-    pool = F.sort_array(top_items(score, candidates))
     table = combos(candidates, pick)
 
-    def total(c: Column) -> Column:
-        parts = [F.get(score, F.get(pool, F.get(c, F.lit(j))) - 1) for j in range(pick)]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out + p
-        return F.round(out, 10)
+    def chosen(pool: Column) -> Column:
+        values = F.transform(pool, lambda item: F.get(score, item - 1))
+        return let(values, lambda v: best_of(pool, v))
+
+    def best_of(pool: Column, v: Column) -> Column:
+        def total(c: Column) -> Column:
+            parts = [F.get(v, F.get(c, F.lit(j))) for j in range(pick)]
+            return F.round(reduce(lambda a, b: a + b, parts), 10)
+
+        sums = F.transform(table, lambda c, i: F.struct(total(c).alias("total"), i.alias("at")))
+        best = F.slice(F.sort_array(sums, asc=False), 1, tickets)
+        return F.transform(best, lambda b: F.transform(F.get(table, b["at"]), lambda j: F.get(pool, j)))
 
-    sums = F.transform(table, lambda c, i: F.struct(total(c).alias("total"), i.alias("at")))
-    best = F.slice(F.sort_array(sums, asc=False), 1, tickets)
-    return F.transform(best, lambda b: F.transform(F.get(table, b["at"]), lambda j: F.get(pool, j)))
+    return let(F.sort_array(top_items(score, candidates)), chosen)
 
 
 def prize(hit_count: Column, special_hit: Column) -> Column:

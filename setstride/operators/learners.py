@@ -157,7 +157,9 @@ def pooled_scores(
 ) -> DataFrame:
     """Fit on the first `ratio` of the steps, score the rest."""
     train, test = before_cut(rows, table, ratio)
-    model = estimator.fit(assembled(balance(train), features))
+    ready = assembled(balance(train), features).persist()
+    model = estimator.fit(ready)
+    ready.unpersist()
     return gather_scores(item_probabilities(model, test, features), table, name)
 
 

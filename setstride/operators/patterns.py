@@ -67,7 +67,7 @@ def rolling_features(table: StepTable, window: int = LOOKBACK, include_current:
         for c in ROLLED
         for name, f in (("mean", F.avg), ("std", F.stddev_samp))
     ]
-    return rows.select(*keep, "block", "own", *rolled).where("own").drop("own")
+    return rows.select(*keep, "block", "own", *rolled).where("own").drop("own", "block")
 
 
 def last_step_features(items: Column, domain: Domain = DRAWS) -> dict[str, Column]:

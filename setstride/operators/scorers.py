@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from setstride.config import MID_WINDOW, SHORT_WINDOW, VOTE_TENTHS
-from setstride.functions.arrays import array_total, first_best, softmax, top_items
+from setstride.functions.arrays import array_total, first_best, let, softmax, top_items
 from setstride.operators.layout import SERIES, StepTable
 from setstride.operators.pairs import context_state
 from setstride.operators.state import current_gap, item_part, slot_state, special_part
@@ -43,7 +43,9 @@ def frequency_score(table: StepTable) -> Column:
 def blend_score(table: StepTable) -> Column:
     """Half the share of all appearances, half a softmax of the current gap; sums to one."""
     cnt = item_part(table, "cnt")
-    prior = F.transform(cnt, lambda c: F.coalesce(F.try_divide(c, array_total(cnt, "long")), F.lit(0.0)))
+    prior = let(
+        array_total(cnt, "long"), lambda total: F.transform(cnt, lambda c: F.coalesce(F.try_divide(c, total), F.lit(0.0)))
+    )
     overdue = softmax(current_gap(item_part(table, "last")))
     return F.transform(F.zip_with(prior, overdue, lambda p, g: 0.5 * p + 0.5 * g), lambda x: F.round(x, 12))
 
@@ -66,7 +68,9 @@ def markov_scores(table: StepTable, span: Span = None) -> DataFrame:
 
 
 def normalised(score: Column) -> Column:
-    return F.transform(score, lambda s: F.coalesce(F.try_divide(s, array_total(score)), F.lit(0.0)))
+    return let(
+        array_total(score), lambda total: F.transform(score, lambda s: F.coalesce(F.try_divide(s, total), F.lit(0.0)))
+    )
 
 
 def ensemble_votes(predictions: DataFrame, table: StepTable, weights: dict[str, int] | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ REVEALED = "oc2 AS (SELECT * FROM oc)"
 
 
 @query("walk_outcomes", with_(*ALL_SCORES, select="""
-SELECT model, ord, hits, special_hit, round(prize, 6) AS prize, round(ev, 6) AS ev, round(mean_rank, 6) AS mean_rank FROM oc"""))
+SELECT model, ord, hits, CAST(special_hit AS BIGINT) AS special_hit, round(CAST(prize AS DOUBLE), 6) AS prize, round(ev, 6) AS ev, round(mean_rank, 6) AS mean_rank FROM oc"""))
 def _(spark, folder):
     t = draws(spark, folder)
     return evaluate.outcomes(predictions(t), t.domain).select("model", "ord", "hits", "special_hit", "prize", "ev", "mean_rank")
@@ -70,7 +70,7 @@ def _(spark, folder):
 
 
 @query("chronological_split", with_(DRAWS, select="""
-SELECT ord, CASE WHEN ord < CAST(floor(n * 0.8) AS BIGINT) THEN 'train' ELSE 'test' END AS part, CASE WHEN ord >= n - 60 THEN 1 ELSE 0 END AS validation FROM d, len"""))
+SELECT ord, CASE WHEN ord < CAST(floor(n * 0.8) AS BIGINT) THEN 'train' ELSE 'test' END AS part, CAST(CASE WHEN ord >= n - 60 THEN 1 ELSE 0 END AS BIGINT) AS validation FROM d, len"""))
 def _(spark, folder):
     t = draws(spark, folder)
     train, test = evaluate.chronological_split(t, 0.8)
@@ -187,7 +187,7 @@ def _(spark, folder):
 WITH h AS (SELECT h, m FROM range(6) a(h), range(2) b(m)),
 p(h, m, amount) AS (VALUES (5, 1, 7000000.0), (5, 0, 25241.0), (4, 1, 1402.0), (4, 0, 108.0), (3, 1, 61.0), (3, 0, 11.0), (2, 1, 12.0), (1, 1, 2.0), (0, 1, 1.0)),
 x AS (SELECT l_linenumber % 6 AS h, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS m FROM lineitem)
-SELECT x.h AS hits, x.m AS special_hit, count(*) AS n, round(sum(coalesce(amount, 0.0)), 2) AS total FROM x LEFT JOIN p ON p.h = x.h AND p.m = x.m GROUP BY ALL""")
+SELECT CAST(x.h AS BIGINT) AS hits, CAST(x.m AS BIGINT) AS special_hit, count(*) AS n, CAST(round(sum(coalesce(amount, 0.0)), 2) AS DOUBLE) AS total FROM x LEFT JOIN p ON p.h = x.h AND p.m = x.m GROUP BY ALL""")
 def _(spark, folder):
     from setstride.config import PRIZES
     from setstride.plans.common import table

@@ -214,7 +214,7 @@ def _(spark, folder):
 
 
 @query("sequence_windows", with_(DRAWS, select="""
-SELECT ord, array_to_string(list_transform(past, p -> array_to_string(p, ' ')), ';') AS past FROM (
+SELECT ord, array_to_string([array_to_string(p, ' ') FOR p IN past], ';') AS past FROM (
  SELECT ord, list(items) OVER (ORDER BY ord ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING) AS past FROM d) WHERE len(past) = 20"""))
 def _(spark, folder):
     rows = sequence_windows(draws(spark, folder))
@@ -260,8 +260,8 @@ def _(spark, folder):
 
 
 @query("event_transitions", with_(EVENTS_SQL, "mv AS (SELECT lag(event_type) OVER (PARTITION BY user_id ORDER BY ord) AS f, event_type AS t FROM ev)", select="""
-SELECT f AS from_item, t AS to_item, count(*) AS n, round(CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY f), 6) AS prob
-FROM mv WHERE f IS NOT NULL GROUP BY ALL"""))
+SELECT f AS from_item, t AS to_item, n, round(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY f), 6) AS prob
+FROM (SELECT f, t, count(*) AS n FROM mv WHERE f IS NOT NULL GROUP BY f, t)"""))
 def _(spark, folder):
     rows, size = numbered_events(spark, folder)
     return sparse_transitions(rows, size)
@@ -295,8 +295,8 @@ fx AS MATERIALIZED (
   CASE WHEN cnt > 1 THEN (gap - avg_gap) / greatest(sqrt(greatest(CAST(gsq AS DOUBLE) / (cnt - 1) - avg_gap * avg_gap, 0)), 1) ELSE 0.0 END AS gap_zscore,
   r5 / 5.0 AS freq_5, r10 / 10.0 AS freq_10, r30 / 30.0 AS freq_30, CAST(r100 AS DOUBLE) / least(100, st.ord) AS freq_100,
   CAST(r5 AS DOUBLE) / 5 / greatest(CAST(r30 AS DOUBLE) / 30, 1e-6) AS freq_ratio_5_30,
-  CASE WHEN list_contains(li1, st.item) THEN 1.0 ELSE 0.0 END AS appeared_last,
-  CASE WHEN list_contains(li2, st.item) THEN 1.0 ELSE 0.0 END AS appeared_prev2,
+  CASE WHEN list_contains(li1, st.item) THEN 1e0 ELSE 0e0 END AS appeared_last,
+  CASE WHEN list_contains(li2, st.item) THEN 1e0 ELSE 0e0 END AS appeared_prev2,
   CASE WHEN st.ord >= 2 THEN CAST(cooc AS DOUBLE) / st.ord ELSE 0.0 END AS cooccur_last,
   CAST(list_sum(li1) AS DOUBLE) AS last_sum, CAST(len([x FOR x IN li1 IF x % 2 = 1]) AS DOUBLE) AS last_odd_cnt,
   CAST(len([x FOR x IN li1 IF x > 23]) AS DOUBLE) AS last_high_cnt,

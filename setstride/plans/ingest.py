@@ -78,7 +78,7 @@ def json_prizes(spark, folder):
     "html_table_draws",
     with_(DRAWS, select="""
 SELECT CAST(ts AS VARCHAR) AS draw_date, items[1] AS n1, items[2] AS n2, items[3] AS n3, items[4] AS n4, items[5] AS n5,
-       special AS mega_number, round(CAST(round(amount) AS BIGINT) * 1000000.0, 6) AS jackpot_amount
+       special AS mega_number, CAST(round(amount) AS BIGINT) * 1e6 AS jackpot_amount
 FROM d WHERE step_id % 53 <> 0"""),
 )
 def html_table_draws(spark, folder):

@@ -182,7 +182,7 @@ def _(spark, folder):
 
 @query("embedding_neighbours", """
 WITH q AS (SELECT label, max(vec_id) AS qid FROM embeddings GROUP BY label),
-ds AS (SELECT q.qid, b.vec_id, sqrt(list_sum(list_transform(list_zip(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), z -> (z[1] - z[2]) * (z[1] - z[2])))) AS dist
+ds AS (SELECT q.qid, b.vec_id, sqrt(list_sum([(CAST(a.embedding[j] AS DOUBLE) - b.embedding[j]) * (CAST(a.embedding[j] AS DOUBLE) - b.embedding[j]) FOR j IN range(1, 65)])) AS dist
        FROM q JOIN embeddings a ON a.vec_id = q.qid CROSS JOIN embeddings b WHERE b.vec_id <> q.qid),
 r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, vec_id) AS rank FROM ds)
 SELECT qid AS query_id, vec_id AS neighbour_id, round(dist, 6) AS distance, rank FROM r WHERE rank <= 10""")
