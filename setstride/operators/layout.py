@@ -87,7 +87,7 @@ def block_size(longest: int) -> int:
 
 
 def block_of(size: int, at: Column | str = "ord") -> Column:
-    return F.floor(F.col(at) / F.lit(size)) if isinstance(at, str) else F.floor(at / F.lit(size))
+    return F.call_function("div", F.col(at) if isinstance(at, str) else at, F.lit(size))
 
 
 def spread(df: DataFrame, size: int, back: int) -> DataFrame:

@@ -40,14 +40,24 @@ def in_span(df: DataFrame, table: StepTable, span: tuple[int, int] | None, back:
 def dense_prefix(totals: DataFrame, key: str, width: int, values: dict[str, str]) -> DataFrame:
     """Prefix state per (series, key) over blocks: totals of blocks <= b become the carry of block b + 1.
 
-    `values` maps column -> how it accumulates (sum, max, min). Only per-block summaries pass through here.
+    `values` maps column -> how it accumulates (sum, max, min). Only per-block summaries pass through here;
+    a block lists at most `width` entries, completed by blanks so that no key is missing from a block.
     """
-    blocks = totals.select(SERIES, "block").distinct()
-    dense = blocks.withColumn(key, F.explode(F.sequence(F.lit(0), F.lit(width - 1)))).join(
-        totals, [SERIES, "block", key], "left"
+    fields = [F.col(key).cast("int").alias(key), *values]
+    blank = F.transform(
+        F.sequence(F.lit(0), F.lit(width - 1)),
+        lambda k: F.struct(k.alias(key), *[F.lit(None).cast("long").alias(v) for v in values]),
     )
-    upto = Window.partitionBy(SERIES, key).orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
     how = {"sum": F.sum, "max": F.max, "min": F.min}
+    dense = (
+        totals.groupBy(SERIES, "block")
+        .agg(F.collect_list(F.struct(*fields)).alias("_e"))
+        .select(SERIES, "block", F.explode(F.concat("_e", blank)).alias("_r"))
+        .select(SERIES, "block", "_r.*")
+        .groupBy(SERIES, "block", key)
+        .agg(*[how[h](v).alias(v) for v, h in values.items()])
+    )
+    upto = Window.partitionBy(SERIES, key).orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
     return dense.select(
         SERIES, (F.col("block") + 1).alias("block"), key, *[how[h](v).over(upto).alias(f"_{v}") for v, h in values.items()]
     ).where(F.coalesce(*[F.col(f"_{v}") for v in values]).isNotNull())
