@@ -9,14 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from setstride.config import MID_WINDOW, SHORT_WINDOW, VOTE_TENTHS
 from setstride.functions.arrays import array_total, first_best, let, softmax, top_items
-from setstride.operators.layout import SERIES, StepTable
+from setstride.operators.layout import SERIES, StepTable, spread
 from setstride.operators.pairs import context_state
-from setstride.operators.state import current_gap, item_part, slot_state, special_part
+from setstride.operators.state import current_gap, in_span, item_part, slot_state, special_part
 
 KEYS = [SERIES, "ord", "step_id", "ts", "items", "special"]
 Span = tuple[int, int] | None
@@ -130,20 +131,30 @@ def predictions(table: StepTable, models: tuple[str, ...] = ("frequency", "marko
     return reduce(DataFrame.unionByName, parts)
 
 
-def per_series(name: str, fit_score: Callable, table: StepTable, span: Span = None) -> DataFrame:
-    """User-supplied scorer: `fit_score(pandas steps of one series) -> pandas (ord, score list)`.
+def block_scorer(name: str, reach: int, score_block: Callable[[pd.DataFrame], pd.DataFrame]) -> Scorer:
+    """A scorer from a user's pandas function over one block of steps and the `reach` steps before it.
 
-    The whole series reaches one task, so this suits many short series; long ones need a block-wise scorer.
+    `score_block` gets ord, items, special and own (False on the steps that are only context), sorted by
+    ord, and returns ord and score (one number per item) for the own steps. A block has a bounded size,
+    so a series of any length stays distributed.
     """
-    rows = table.df.select(*KEYS)
-    out = rows.groupBy(SERIES).applyInPandas(
-        lambda key, pdf: fit_score(pdf.sort_values("ord")).assign(**{SERIES: key[0]})[[SERIES, "ord", "score"]],
-        f"{SERIES} {rows.schema[SERIES].dataType.simpleString()}, ord long, score array<double>",
-    )
-    joined = rows.join(out, [SERIES, "ord"])
-    if span is not None:
-        joined = joined.where(F.col("ord").between(span[0], span[1] - 1))
-    return scored(joined, table, (name, F.col("score"), F.lit(None).cast("int")))
+
+    def scores(table: StepTable, span: Span = None) -> DataFrame:
+        source = in_span(table.df.select(*KEYS), table, span, reach)
+        rows = spread(source, table.block, reach)
+        kind = rows.schema[SERIES].dataType.simpleString()
+
+        def run(key, pdf):
+            out = score_block(pdf[["ord", "items", "special", "own"]].sort_values("ord"))
+            return out.assign(**{SERIES: key[0]})[[SERIES, "ord", "score"]]
+
+        made = rows.groupBy(SERIES, "block").applyInPandas(run, f"{SERIES} {kind}, ord long, score array<double>")
+        joined = table.df.select(*KEYS).join(made, [SERIES, "ord"])
+        if span is not None:
+            joined = joined.where(F.col("ord").between(span[0], span[1] - 1))
+        return scored(joined, table, (name, F.col("score"), F.lit(None).cast("int")))
+
+    return scores
 
 
 register("frequency", lambda table, span=None: count_scores(table, span, ("frequency",)))
