@@ -39,10 +39,6 @@ def ranked_items(score: Column) -> Column:
     return F.transform(F.sort_array(pairs), lambda p: p["item"])
 
 
-def top_items(score: Column, k: int) -> Column:
-    return F.slice(ranked_items(score), 1, k)
-
-
 def first_best(score: Column) -> Column:
     """1-based position of the largest score, the lowest position on ties."""
     return F.array_position(score, F.array_max(score)).cast("int")
@@ -77,28 +73,28 @@ def combos(candidates: int, pick: int) -> Column:
     return F.from_json(F.lit(text), "array<array<int>>")
 
 
-def best_tickets(score: Column, candidates: int = 12, pick: int = 5, tickets: int = 5) -> Column:
-    """The `tickets` best combinations of the top `candidates` items: sum descending, then combo descending.
+def best_tickets(score: Column, candidates: Column, pool: int = 12, pick: int = 5, tickets: int = 5) -> Column:
+    """The `tickets` best combinations of the `pool` candidate items: sum descending, then combo descending.
 
     The candidates are put in item order first, so index order of the combinations is item order and
     the tie rule becomes "the later combination first".
     """
-    table = combos(candidates, pick)
+    table = combos(pool, pick)
 
-    def chosen(pool: Column) -> Column:
-        values = F.transform(pool, lambda item: F.get(score, item - 1))
-        return let(values, lambda v: best_of(pool, v))
+    def chosen(members: Column) -> Column:
+        values = F.transform(members, lambda item: F.get(score, item - 1))
+        return let(values, lambda v: best_of(members, v))
 
-    def best_of(pool: Column, v: Column) -> Column:
+    def best_of(members: Column, v: Column) -> Column:
         def total(c: Column) -> Column:
             parts = [F.get(v, F.get(c, F.lit(j))) for j in range(pick)]
             return F.round(reduce(lambda a, b: a + b, parts), 10)
 
         sums = F.transform(table, lambda c, i: F.struct(total(c).alias("total"), i.alias("at")))
         best = F.slice(F.sort_array(sums, asc=False), 1, tickets)
-        return F.transform(best, lambda b: F.transform(F.get(table, b["at"]), lambda j: F.get(pool, j)))
+        return F.transform(best, lambda b: F.transform(F.get(table, b["at"]), lambda j: F.get(members, j)))
 
-    return let(F.sort_array(top_items(score, candidates)), chosen)
+    return let(F.sort_array(candidates), chosen)
 
 
 def prize(hit_count: Column, special_hit: Column) -> Column:

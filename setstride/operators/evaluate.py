@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from setstride.config import INITIAL_STEPS, MAX_TICKETS, REFIT_EVERY, TEST_STEPS, TICKET_CANDIDATES, TICKET_COST, Domain
-from setstride.functions.arrays import best_tickets, expected_prize, hits, mean_rank, prize, ranked_items
+from setstride.functions.arrays import best_tickets, expected_prize, hits, mean_rank, prize
 from setstride.functions.stats import student_p
-from setstride.operators.layout import SERIES, StepTable, block_of, halo_window, range_layout, running_totals, spread
+from setstride.operators.layout import SERIES, StepTable, halo_window, running_totals, spread
 from setstride.operators.scorers import normalised, predictions
 
 
@@ -25,7 +25,7 @@ def outcomes(scores: DataFrame, domain: Domain) -> DataFrame:
             "ev",
             F.when(F.col("special_pick").isNull(), expected_prize(F.col("hits"), domain.specials)).otherwise(F.col("prize")),
         )
-        .withColumn("mean_rank", mean_rank(ranked_items(F.col("score")), F.col("items")))
+        .withColumn("mean_rank", mean_rank(F.col("ranked"), F.col("items")))
     )
 
 
@@ -182,6 +182,7 @@ def stale_scores(scores: DataFrame, table: StepTable, every: int, initial: int =
         F.col("ord").alias("fit_ord"),
         "model",
         "score",
+        "ranked",
         "picks",
         "special_pick",
     )
@@ -192,7 +193,7 @@ def stale_scores(scores: DataFrame, table: StepTable, every: int, initial: int =
 def ticket_rows(scores: DataFrame, domain: Domain, tickets: int = MAX_TICKETS, candidates: int = TICKET_CANDIDATES) -> DataFrame:
     """The best tickets of each step with their payoff: columns ticket (1-based), numbers, ticket_hits, ticket_prize."""
     made = scores.where(F.col("special").isNotNull()).withColumn(
-        "_tickets", best_tickets(F.col("score"), candidates, domain.pick, tickets)
+        "_tickets", best_tickets(F.col("score"), F.slice("ranked", 1, candidates), candidates, domain.pick, tickets)
     )
     rows = made.select(
         SERIES, "ord", "step_id", "ts", "model", "items", "special", "special_pick", F.posexplode("_tickets").alias("_at", "numbers")

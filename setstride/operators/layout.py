@@ -79,10 +79,10 @@ def running_totals(df: DataFrame, by: str, order: str, sums: dict[str, str]) ->
 def block_size(longest: int) -> int:
     """Rows per block for a series of `longest` steps.
 
-    About 16 * sqrt(n): the rows of a block and the per-block summaries of a series both grow with the
+    About 4 * sqrt(n): the rows of a block and the per-block summaries of a series both grow with the
     square root, until the block reaches what one task should hold.
     """
-    wanted = 1 << math.ceil(math.log2(16 * math.sqrt(max(longest, 1))))
+    wanted = 1 << math.ceil(math.log2(4 * math.sqrt(max(longest, 1))))
     return min(max(wanted, MIN_BLOCK), MAX_BLOCK)
 
 

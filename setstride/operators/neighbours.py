@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,21 +23,22 @@ def _matrix(lists: pd.Series) -> np.ndarray:
     return np.vstack(lists.to_numpy()).astype(np.float64)
 
 
-def _closest(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, base: np.ndarray, k: int, skip_self: bool):
-    """The k closest base rows per query (distance, then id)."""
+def _closest(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, base: np.ndarray, k: int, skip_self: bool, scale):
+    """The k closest base rows per query (distance, then id); each dimension divided by `scale`."""
     out = []
     for q, vector in zip(query_ids, queries):
-        distance = np.sqrt(((base - vector) ** 2).sum(axis=1))
+        distance = np.sqrt((((base - vector) / scale) ** 2).sum(axis=1))
         use = np.flatnonzero(ids != q) if skip_self else np.arange(len(ids))
         best = use[np.lexsort((ids[use], distance[use]))[:k]]
         out.append((np.full(len(best), q), ids[best], distance[best]))
     return out
 
 
-def nearest(queries: DataFrame, base: DataFrame, k: int, skip_self: bool = False) -> DataFrame:
+def nearest(queries: DataFrame, base: DataFrame, k: int, skip_self: bool = False, scale: np.ndarray | float = 1.0) -> DataFrame:
     """(query_id, neighbour_id, distance, rank) of the k nearest base vectors of every query.
 
-    Both frames are (id long, vec array). A few queries (their number is checked) go to every scan task
+    Both frames are (id long, vec array); `scale` divides each dimension (distances between standardised
+    vectors need no means). A few queries (their number is checked) go to every scan task
     beside the base, which then moves nothing. More queries are cut into groups and met group by chunk,
     each pair of bounded pieces in its own task. Either way a task emits k rows per query, not all pairs.
     """
@@ -51,7 +54,7 @@ def nearest(queries: DataFrame, base: DataFrame, k: int, skip_self: bool = False
             for part in parts:
                 if part.empty:
                     continue
-                found = _closest(query_ids, vectors, part["id"].to_numpy(), _matrix(part["vec"]), k, skip_self)
+                found = _closest(query_ids, vectors, part["id"].to_numpy(), _matrix(part["vec"]), k, skip_self, scale)
                 new = pd.DataFrame(
                     {c: np.concatenate([f[i] for f in found]) for i, c in enumerate(("query_id", "neighbour_id", "distance"))}
                 )
@@ -62,12 +65,12 @@ def nearest(queries: DataFrame, base: DataFrame, k: int, skip_self: bool = False
 
         candidates = base.select(F.col("id").cast("long"), "vec").mapInPandas(scan, PAIR_SCHEMA)
     else:
-        candidates = _nearest_by_chunks(queries, base, k, skip_self)
+        candidates = _nearest_by_chunks(queries, base, k, skip_self, scale)
     order = Window.partitionBy("query_id").orderBy("distance", "neighbour_id")
     return candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _nearest_by_chunks(queries: DataFrame, base: DataFrame, k: int, skip_self: bool) -> DataFrame:
+def _nearest_by_chunks(queries: DataFrame, base: DataFrame, k: int, skip_self: bool, scale) -> DataFrame:
     groups = max(1, -(-queries.count() // BROADCAST_QUERIES))
     chunks = max(1, -(-base.count() // BASE_CHUNK))
     left = queries.select(F.col("id").cast("long"), "vec", F.pmod(F.xxhash64("id"), F.lit(groups)).alias("g")).withColumn(
@@ -80,7 +83,7 @@ def _nearest_by_chunks(queries: DataFrame, base: DataFrame, k: int, skip_self: b
     def meet(q: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if q.empty or b.empty:
             return pd.DataFrame({"query_id": [], "neighbour_id": [], "distance": []})
-        found = _closest(q["id"].to_numpy(), _matrix(q["vec"]), b["id"].to_numpy(), _matrix(b["vec"]), k, skip_self)
+        found = _closest(q["id"].to_numpy(), _matrix(q["vec"]), b["id"].to_numpy(), _matrix(b["vec"]), k, skip_self, scale)
         return pd.DataFrame(
             {c: np.concatenate([f[i] for f in found]) for i, c in enumerate(("query_id", "neighbour_id", "distance"))}
         )
@@ -89,21 +92,21 @@ def _nearest_by_chunks(queries: DataFrame, base: DataFrame, k: int, skip_self: b
 
 
 def vector_moments(vectors: DataFrame, vec: str = "vec") -> DataFrame:
-    """Mean and population deviation of every dimension: (dim, mean, std)."""
+    """Mean and population deviation of every dimension: (dim, mean, std), from one summary per task."""
+    seen = vectors.select(array_to_vector(vec).alias("_v")).agg(
+        Summarizer.metrics("count", "mean", "variance").summary(F.col("_v")).alias("_s")
+    )
+    arrays = F.arrays_zip(vector_to_array("_s.mean").alias("mean"), vector_to_array("_s.variance").alias("variance"))
+    n = F.col("n")
     return (
-        vectors.select(F.posexplode(vec).alias("dim", "_x"))
-        .groupBy("dim")
-        .agg(F.avg("_x").alias("mean"), F.stddev_pop("_x").alias("std"))
+        seen.select(F.col("_s.count").alias("n"), F.posexplode(arrays).alias("dim", "_m"))
+        .select("dim", F.col("_m.mean").alias("mean"), F.sqrt(F.col("_m.variance") * (n - 1) / n).alias("std"))
     )
 
 
-def standardised(vectors: DataFrame, moments: DataFrame, vec: str = "vec") -> DataFrame:
-    """(x - mean) / (std + 1e-8) per dimension; the moments have one row per dimension, fixed by the schema."""
-    rows = moments.orderBy("dim").collect()
-    mean = F.lit([float(r["mean"]) for r in rows])
-    scale = F.lit([float(r["std"]) + 1e-8 for r in rows])
-    centred = F.zip_with(F.col(vec), mean, lambda x, m: x - m)
-    return vectors.withColumn(vec, F.zip_with(centred, scale, lambda x, s: x / s))
+def deviations(moments: DataFrame) -> np.ndarray:
+    """Standardising scale std + 1e-8 per dimension; one number per dimension, fixed by the vector width."""
+    return np.array([r["std"] for r in moments.orderBy("dim").select("std").collect()]) + 1e-8
 
 
 def state_vector(table: StepTable, short: int) -> Column:
@@ -115,8 +118,8 @@ def state_vector(table: StepTable, short: int) -> Column:
     return F.concat(*[F.transform(p, lambda x: x.cast("double")) for p in parts])
 
 
-def state_vectors(table: StepTable, short: int = 20) -> DataFrame:
-    state = slot_state(table, (short, 100), ("cnt", "last", "first"))
+def state_vectors(table: StepTable, short: int = 20, span: tuple[int, int] | None = None) -> DataFrame:
+    state = slot_state(table, (short, 100), ("cnt", "last", "first"), span)
     return state.select(SERIES, "ord", "step_id", "ts", "items", "special", state_vector(table, short).alias("vec"))
 
 
@@ -125,12 +128,11 @@ def neighbour_votes(table: StepTable, k: int = 10, short: int = 20, warm_up: int
 
     For a table of one series; the state before step i votes with step i.
     """
-    states = state_vectors(table.with_request(), short).where(F.col("ord") >= warm_up)
-    known = states.where(F.col("special").isNotNull())
-    moments = vector_moments(known)
-    scaled = standardised(states, moments).select(F.col("ord").alias("id"), "vec", "items", "special")
-    open_state = scaled.where(F.col("special").isNull()).select("id", "vec")
-    found = nearest(open_state, scaled.where(F.col("special").isNotNull()).select("id", "vec"), k)
+    open_table = table.with_request()
+    span = (table.longest, table.longest + 1)
+    known = state_vectors(table, short).where(F.col("ord") >= warm_up).select(F.col("ord").alias("id"), "vec")
+    asked = state_vectors(open_table, short, span).select(F.col("ord").alias("id"), "vec")
+    found = nearest(asked, known, k, scale=deviations(vector_moments(known)))
     followed = table.df.select(F.col("ord").alias("neighbour_id"), F.explode("items").alias("item")).join(
         found.select("neighbour_id"), "neighbour_id"
     )

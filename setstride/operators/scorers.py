@@ -1,7 +1,8 @@
 """Scorers: every candidate item of every step at once, as one score array per step and model.
 
-A scorer returns series_id, ord, step_id, ts, items, special, model, score, picks, special_pick.
-`picks` are the top five (score descending, item ascending); `special_pick` is null where a model has none.
+A scorer returns series_id, ord, step_id, ts, items, special, model, score, ranked, picks, special_pick.
+`ranked` lists all items (score descending, item ascending), `picks` its first five; `special_pick` is
+null where a model has none.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from setstride.config import MID_WINDOW, SHORT_WINDOW, VOTE_TENTHS
-from setstride.functions.arrays import array_total, first_best, let, softmax, top_items
+from setstride.functions.arrays import array_total, first_best, let, ranked_items, softmax
 from setstride.operators.layout import SERIES, StepTable, spread
 from setstride.operators.pairs import context_state
 from setstride.operators.state import current_gap, in_span, item_part, slot_state, special_part
@@ -29,8 +30,9 @@ def scored(df: DataFrame, table: StepTable, *models: tuple[str, Column, Column])
         *[F.struct(F.lit(m).alias("model"), s.alias("score"), p.cast("int").alias("special_pick")) for m, s, p in models]
     )
     rows = df.select(*KEYS, F.explode(entry).alias("_s")).select(*KEYS, "_s.*")
-    return rows.select(
-        *KEYS, "model", "score", top_items(F.col("score"), table.domain.pick).alias("picks"), "special_pick"
+    ranked = rows.withColumn("ranked", ranked_items(F.col("score")))
+    return ranked.select(
+        *KEYS, "model", "score", "ranked", F.slice("ranked", 1, table.domain.pick).alias("picks"), "special_pick"
     )
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from setstride.config import DRAWS as DOMAIN
-from setstride.functions.arrays import ranked_items
 from setstride.operators import combinations, learners, neighbours
 from setstride.operators.evaluate import ticket_rows
 from setstride.operators.layout import SERIES, StepTable
@@ -48,7 +47,7 @@ SELECT model, ord, round(mean_rank, 6) AS mean_rank FROM pk WHERE ord < (SELECT
 def _(spark, folder):
     from setstride.functions.arrays import mean_rank
 
-    return predictions(draws(spark, folder)).select("model", "ord", mean_rank(ranked_items(F.col("score")), F.col("items")).alias("mean_rank"))
+    return predictions(draws(spark, folder)).select("model", "ord", mean_rank(F.col("ranked"), F.col("items")).alias("mean_rank"))
 
 
 @query("ensemble_picks", with_(*SCORED, """
@@ -109,7 +108,7 @@ def _(spark, folder):
 SELECT model, item, rk AS rank, round(score / sum(score) OVER (PARTITION BY model), 6) AS prob FROM orank"""))
 def _(spark, folder):
     t, span = open_table(draws(spark, folder))
-    scores = predictions(t, span=span).select("model", F.posexplode(normalised(F.col("score"))).alias("at", "prob"), ranked_items(F.col("score")).alias("r"))
+    scores = predictions(t, span=span).select("model", F.posexplode(normalised(F.col("score"))).alias("at", "prob"), F.col("ranked").alias("r"))
     return scores.select("model", (F.col("at") + 1).alias("item"), F.array_position("r", F.col("at") + 1).alias("rank"), "prob")
 
 
