@@ -77,7 +77,7 @@ def _nearest_by_chunks(queries: DataFrame, base: DataFrame, k: int, skip_self: b
         "c", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))
     )
     right = base.select(F.col("id").cast("long"), "vec", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int").alias("c")).withColumn(
-        "g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).cast("long")
+        "g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))
     )
 
     def meet(q: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
