@@ -117,7 +117,7 @@ def boosted_trees(**params) -> GBTClassifier:
 
 
 def perceptron(inputs: int, **params) -> MultilayerPerceptronClassifier:
-    settings = dict(layers=[inputs, 128, 64, 2], seed=42, maxIter=50) | params
+    settings = dict(layers=[inputs, 128, 64, 2], seed=42, maxIter=20, blockSize=1024) | params
     return MultilayerPerceptronClassifier(labelCol="y", **settings)
 
 

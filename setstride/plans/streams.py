@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from setstride.operators.layout import SERIES
-from setstride.plans.common import query, table
+from setstride.operators.sessions import block_sessions
+from setstride.plans.common import numbered_events, query, table
 from setstride.session import shared_folder
 from setstride.streaming import incremental
 
@@ -31,8 +32,9 @@ def place(spark, label: str) -> str:
 @query("stream_load", "SELECT event_id, user_id, event_type, round(value, 6) AS value FROM events")
 def _(spark, folder):
     stream = incremental.event_stream(spark, landed_events(spark, folder))
-    path = incremental.run_incremental_load(stream, place(spark, "load"), place(spark, "load-checkpoint"))
-    return spark.read.parquet(path).select("event_id", "user_id", "event_type", "value")
+    path = place(spark, "load")
+    incremental.run_incremental_load(stream, path, place(spark, "load-checkpoint"))
+    return incremental.current_rows(spark, path).select("event_id", "user_id", "event_type", "value")
 
 
 @query("stream_state", """
@@ -65,10 +67,22 @@ def _(spark, folder):
     return rows.select(F.date_format("window_start", "yyyy-MM-dd").alias("window_start"), "item", "n", F.round("total", 4).alias("total"))
 
 
-@query("event_sessions", """
+SESSIONS_SQL = """
 WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL '1 day' THEN 0 ELSE 1 END AS new FROM events),
-s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS sid FROM e)
-SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start, count(*) AS n FROM s GROUP BY user_id, sid""")
+s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts) AS sid FROM e),
+w AS (SELECT user_id, min(ts) AS a, max(ts) + INTERVAL '1 day' AS b, count(*) AS n FROM s GROUP BY user_id, sid)
+SELECT user_id, strftime(a, '%Y-%m-%d %H:%M:%S.%f') AS session_start, strftime(b, '%Y-%m-%d %H:%M:%S.%f') AS session_end, n FROM w"""
+
+
+@query("event_sessions", SESSIONS_SQL)
+def _(spark, folder):
+    rows, size = numbered_events(spark, folder)
+    return block_sessions(rows, size).withColumnRenamed(SERIES, "user_id")
+
+
+@query("stream_sessions", SESSIONS_SQL + " WHERE b <= (SELECT max(ts) - INTERVAL '1 day' FROM events)")
 def _(spark, folder):
-    rows = table(spark, folder, "events").select(F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").alias(SERIES))
-    return incremental.sessions(rows).select(F.col(SERIES).alias("user_id"), "session_start", "n")
+    """The sessions that the watermark has closed."""
+    stream = incremental.event_stream(spark, landed_events(spark, folder)).select("ts", F.col("user_id").alias(SERIES))
+    done = incremental.run_to_table(incremental.sessions(stream), place(spark, "sessions"), place(spark, "sessions-checkpoint"))
+    return spark.read.parquet(done).withColumnRenamed(SERIES, "user_id")

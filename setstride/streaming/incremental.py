@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from setstride.operators.layout import SERIES, block_size, ordinal
 from setstride.operators.state import sparse_gaps
 from setstride.session import materialise
-from setstride.sources.store import upsert
 
 
 def event_stream(spark: SparkSession, folder: str, files_per_trigger: int = 1) -> DataFrame:
@@ -35,23 +34,28 @@ def _previous(spark: SparkSession, folder: str, batch: int, schema) -> DataFrame
     return spark.createDataFrame([], schema)
 
 
-def run_incremental_load(stream: DataFrame, folder: str, checkpoint: str, key: str = "event_id", delay: str = "1 day") -> str:
-    """Deduplicate late repeats and upsert each micro-batch; batch n reads version n-1 and writes version n.
+def run_incremental_load(stream: DataFrame, folder: str, checkpoint: str, key: str = "event_id", delay: str = "1 day") -> None:
+    """Drop late repeats and land each micro-batch as one delta; `current_rows` reads the table.
 
-    A batch that is run again writes the same version again, so a restart neither loses nor doubles rows.
-    Returns the path of the last version.
+    A batch costs what it holds, not what is stored. A batch that is run again writes the same delta
+    again, so a restart neither loses nor doubles rows.
     """
     clean = stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark([key])
-    schema, done = clean.schema, {}
 
-    def load(batch: DataFrame, number: int) -> None:
-        stored = _previous(batch.sparkSession, folder, number, schema)
-        upsert(stored, [batch], [key]).write.mode("overwrite").parquet(_version(folder, number))
-        done["path"] = _version(folder, number)
+    def land(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(_version(folder, number))
 
-    query = clean.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = clean.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return done["path"]
+
+
+def current_rows(spark: SparkSession, folder: str, key: str = "event_id") -> DataFrame:
+    """The table behind the deltas: for each key the row of its latest batch."""
+    deltas = spark.read.parquet(os.path.join(folder, "batch-*"))
+    batch = F.regexp_extract(F.input_file_name(), r"batch-(\d+)", 1).cast("long")
+    rest = [c for c in deltas.columns if c != key]
+    newest = deltas.withColumn("_seq", batch).groupBy(key).agg(F.max_by(F.struct(*rest), "_seq").alias("_row"))
+    return newest.select(key, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
 STATE = f"{SERIES} long, item string, appearances long, last_ord long, gap_sum long, n_steps long"
@@ -88,8 +92,8 @@ def advance_state(state: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFr
 def run_online_state(stream: DataFrame, folder: str, checkpoint: str) -> str:
     """Predict, reveal, update per micro-batch; returns the path of the final state version.
 
-    The per-step rows of batch n are in `folder`/steps/batch-n. State versions are written like in
-    `run_incremental_load`, so a batch that is run again starts from the same state.
+    The per-step rows of batch n are in `folder`/steps/batch-n. Batch n reads state version n-1 and writes version n, so a batch that is
+    run again starts from the same state. A version has one row per (series, item), not per event.
     """
     done = {}
 
@@ -115,10 +119,9 @@ def rolling_activity(events: DataFrame, size: str = "7 days", slide: str = "7 da
 
 
 def sessions(events: DataFrame, gap: str = "1 day", delay: str = "1 day") -> DataFrame:
-    """Sessions of a series: bursts of events no more than `gap` apart, merged per task first."""
-    spark = events.sparkSession
-    spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
-    source = events.withWatermark("ts", delay) if events.isStreaming else events
+    """Streaming sessions per series, merged inside each task before the shuffle (batch: `block_sessions`)."""
+    events.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+    source = events.withWatermark("ts", delay)
     return source.groupBy(F.session_window("ts", gap), SERIES).agg(F.count("*").alias("n")).select(
         SERIES, F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"), "n"
     )
