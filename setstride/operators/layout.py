@@ -26,14 +26,13 @@ MAX_BLOCK = 1 << 20
 LARGEST_HALO = 128
 
 
-def range_layout(df: DataFrame, keys: list[str], parts: int | None = None) -> DataFrame:
+def range_layout(df: DataFrame, keys: list[str]) -> DataFrame:
     """Sort `df` globally by unique `keys` and fix the layout: adds `_part` and `_pos` (row in part).
 
     The range bounds come from a sample, so the result is written once; both the sizes of the ranges
     and the rows are then read from the same files, whatever task is re-run.
     """
-    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     placed = ranged.withColumn("_place", F.monotonically_increasing_id())
     return materialise(
         placed.select(
@@ -101,14 +100,17 @@ def spread(df: DataFrame, size: int, back: int) -> DataFrame:
     return df.withColumn("block", F.explode(homes)).withColumn("own", F.col("block") == own)
 
 
-def by_block(df: DataFrame, *extra: str, series: str = SERIES) -> DataFrame:
+def by_block(df: DataFrame, rows: int | None = None, series: str = SERIES) -> DataFrame:
     """Bring each block together, sorted: the one exchange and sort that later windows reuse.
 
     The count is explicit because these narrow rows widen many times after the exchange; merging
-    partitions by shuffled bytes would leave most of the cluster idle.
+    partitions by shuffled bytes would leave most of the cluster idle. A known small number of `rows`
+    needs fewer tasks than the setting asks for.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(parts, series, "block").sortWithinPartitions(series, "block", *extra, "ord")
+    if rows is not None:
+        parts = min(parts, 1 + rows // MIN_BLOCK)
+    return df.repartition(parts, series, "block").sortWithinPartitions(series, "block", "ord")
 
 
 def halo_window(*extra: str, series: str = SERIES):
@@ -122,6 +124,7 @@ class StepTable:
     df: DataFrame
     block: int
     longest: int
+    rows: int
     domain: Domain = DRAWS
 
     @property
@@ -158,9 +161,10 @@ def build_steps(raw: DataFrame, domain: Domain = DRAWS, block: int | None = None
     numbered = materialise(
         ordinal(raw.select(SERIES, "step_id", "ts", "items", "special", "amount"), ["ts", "step_id"]), "numbered"
     )
-    longest = (numbered.agg(F.max("ord")).first()[0] or 0) + 1
+    last, count = numbered.agg(F.max("ord"), F.count("*")).first()
+    longest = (last or 0) + 1
     size = block or block_size(longest)
-    pairs = by_block(spread(numbered, size, 2))
+    pairs = by_block(spread(numbered, size, 2), count)
     w = halo_window()
     steps = (
         pairs.select(
@@ -172,4 +176,4 @@ def build_steps(raw: DataFrame, domain: Domain = DRAWS, block: int | None = None
         .where("own")
         .drop("own", "block")
     )
-    return StepTable(materialise(steps, "steps"), size, longest, domain)
+    return StepTable(materialise(steps, "steps"), size, longest, count, domain)

@@ -129,7 +129,7 @@ def context_state(table: StepTable, revealed: str = "next", span: tuple[int, int
     if span is not None:
         rows = in_span(rows, table, span)
         carry = carry.where(F.col("block").between(span[0] // table.block, (span[1] - 1) // table.block))
-    both = by_block(rows.withColumn("own", F.lit(True)).unionByName(carry, allowMissingColumns=True))
+    both = by_block(rows.withColumn("own", F.lit(True)).unionByName(carry, allowMissingColumns=True), table.rows)
     keep = [SERIES, "block", "ord", *STEP_COLUMNS]
     schema = StructType(
         [*both.select(*keep).schema.fields, *[StructField(n, ArrayType(DoubleType())) for n in ("score", "special_score")]]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from setstride.config import DRAWS, LOOKBACK, Domain
@@ -57,7 +57,7 @@ def rolling_features(table: StepTable, window: int = LOOKBACK, include_current:
     """
     keep = [SERIES, "ord", "step_id", "ts", "items", "special"]
     base = table.df.select(*keep)
-    rows = by_block(spread(base, table.block, window))
+    rows = by_block(spread(base, table.block, window), table.rows)
     cols = patterns(domain=table.domain)
     rows = rows.select(*keep, "block", "own", *[cols[c].alias(c) for c in ROLLED])
     w = halo_window().rowsBetween(1 - window, 0) if include_current else halo_window().rowsBetween(-window, -1)
@@ -82,7 +82,7 @@ def last_step_features(items: Column, domain: Domain = DRAWS) -> dict[str, Colum
 
 def sequence_windows(table: StepTable, length: int = 20) -> DataFrame:
     """Each step with the item sets of the `length` steps before it (only where all of them exist)."""
-    rows = by_block(spread(table.df.select(SERIES, "ord", "step_id", "items"), table.block, length))
+    rows = by_block(spread(table.df.select(SERIES, "ord", "step_id", "items"), table.block, length), table.rows)
     w = halo_window().rowsBetween(-length, -1)
     return rows.select(SERIES, "ord", "step_id", "items", "own", F.collect_list("items").over(w).alias("past")).where(
         F.col("own") & (F.size("past") == length)

@@ -101,7 +101,7 @@ def slot_state(
         rows = rows.where(F.col("block") >= span[0] // table.block)
         carry = carry.where(F.col("block").between(span[0] // table.block, (span[1] - 1) // table.block))
     carry = carry.withColumn("ord", F.lit(-1).cast("long")).withColumn("own", F.lit(False))
-    both = by_block(rows.unionByName(carry, allowMissingColumns=True))
+    both = by_block(rows.unionByName(carry, allowMissingColumns=True), table.rows)
     keep = [SERIES, "block", "ord", *STEP_COLUMNS]
     names = [*want, *[f"r{w}" for w in windows]]
     schema = StructType([*both.select(*keep).schema.fields, *[StructField(n, ArrayType(LongType())) for n in names]])

@@ -4,15 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from setstride.config import DRAWS as DOMAIN
-from setstride.config import INITIAL_STEPS, TEST_STEPS
+from setstride.config import INITIAL_STEPS
 from setstride.operators import evaluate
 from setstride.operators.scorers import count_scores, predictions
 from setstride.plans.common import draws, query, without_series
 from setstride.plans.sql import ALL_SCORES, DRAWS, FOLDS, METRICS, TICKETS, text, with_
 
-REVEALED = "oc2 AS (SELECT * FROM oc)"
-
 
 @query("walk_outcomes", with_(*ALL_SCORES, select="""
 SELECT model, ord, hits, CAST(special_hit AS BIGINT) AS special_hit, round(CAST(prize AS DOUBLE), 6) AS prize, round(ev, 6) AS ev, round(mean_rank, 6) AS mean_rank FROM oc"""))

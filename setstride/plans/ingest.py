@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from setstride.functions.casts import money, safe_float, safe_int
 from setstride.plans.common import draws, query, table
-from setstride.plans.sql import DRAWS, text, with_
+from setstride.plans.sql import DRAWS, with_
 from setstride.session import shared_folder
 from setstride.sources import records
 from setstride.sources.draws import draws_columns, draws_from_orders

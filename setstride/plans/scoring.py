@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from setstride.config import DRAWS as DOMAIN
 from setstride.operators import combinations, learners, neighbours
-from setstride.operators.evaluate import ticket_rows
-from setstride.operators.layout import SERIES, StepTable
+from setstride.operators.layout import StepTable
 from setstride.operators.scorers import average_scores, count_scores, ensemble_votes, markov_scores, normalised, predictions
-from setstride.plans.common import draws, query, table, without_series
-from setstride.plans.sql import ALL_SCORES, BLEND, DRAWS, FREQUENCY, GRID, MARKOV, RANKED, SCORES, STATE, TICKETS, text, with_
+from setstride.plans.common import draws, query, table
+from setstride.plans.sql import BLEND, DRAWS, FREQUENCY, GRID, MARKOV, RANKED, SCORES, STATE, text, with_
 
 SCORED = [DRAWS, GRID, STATE, FREQUENCY, BLEND, MARKOV, SCORES, RANKED]
 

@@ -4,7 +4,6 @@ from collections import namedtuple
 from datetime import date, timedelta
 
 import pytest
-from pyspark.sql import types as T
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tools")]
