@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from setstride.llm import near_join
+from setstride.llm import decontaminate, near_join, quality_rules, secrets, sharding, warc
 from setstride.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,28 @@ def query(name: str, sql: str | None = None):
 @query("op1_ngram_jaccard_join")
 def ngram_jaccard_join(spark, folder):
     return near_join.classes(table(spark, folder, "documents"), near_join.Similarity(words=3, per_hundred=90))
+
+
+@query("op7_llr_quality_rules")
+def llr_quality_rules(spark, folder):
+    return quality_rules.verdicts(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op6_jump_hash_sharding")
+def jump_hash_sharding(spark, folder):
+    return sharding.assign(table(spark, folder, "documents"), shards=8)
+
+
+@query("op2_arc_to_warc")
+def arc_to_warc(spark, folder):
+    return warc.page_records(table(spark, folder, "pages"))
+
+
+@query("op9_assignment_secrets")
+def assignment_secrets(spark, folder):
+    return secrets.report(table(spark, folder, "documents"))
+
+
+@query("op10_greedy_string_tiling")
+def greedy_string_tiling(spark, folder):
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
