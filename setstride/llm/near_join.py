@@ -236,13 +236,13 @@ def _verified(pairs: DataFrame, texts: DataFrame, sets: DataFrame, rule: Similar
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     one = sets.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     chosen = texts.join(one, "doc_id").select("node", "text")
-    tokens = chosen.mapInArrow(_write_tokens(rule), "node long, tokens array<long>").dropDuplicates(["node"])
+    tokens = chosen.mapInArrow(_write_tokens(rule), "node long, tokens array<long>")
     tokens = stored(tokens, "near-tokens")
     left = tokens.select(F.col("node").alias("a"), F.col("tokens").alias("left"))
     right = tokens.select(F.col("node").alias("b"), F.col("tokens").alias("right"))
     both = pairs.join(right, "b").join(left, "a")
     common = F.size(F.array_intersect("left", "right"))
-    return both.select("a", "b", rule.holds(common, F.size("left"), F.size("right")).alias("linked"))
+    return both.select("a", "b", rule.holds(common, F.size("left"), F.size("right")).alias("linked")).distinct()
 
 
 def classes(documents: DataFrame, rule: Similarity = Similarity()) -> DataFrame:
@@ -254,11 +254,14 @@ def classes(documents: DataFrame, rule: Similarity = Similarity()) -> DataFrame:
     index = stored(texts.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(_write_index(order, bounds, rule), _INDEX), "near-index")
 
     # within a group, members are met by the smallest node first
-    groups = index.groupBy("signature").agg(F.min("node").alias("a"), F.max("node").alias("last"), F.min("n").alias("small"), F.max("n").alias("large"))
+    groups = index.groupBy("signature").agg(F.min("node").alias("a"), F.max("node").alias("last"))
     groups = groups.where("a != last").select("signature", "a")
     near = stored(index.join(groups, "signature"), "near-groups")
     led = near.where("node != a").select("a", F.col("node").alias("b")).distinct()
-    known = stored(led, "near-led")
+    size = sets.where("node is not null").groupBy("node").agg(F.max("n").alias("n"))
+    sized = led.join(size.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
+    fits = (F.col("na") * 100 >= rule.per_hundred * F.col("nb")) & (F.col("nb") * 100 >= rule.per_hundred * F.col("na"))
+    known = stored(sized.where(fits).select("a", "b"), "near-led")
     tested = stored(_verified(known, texts, sets, rule), "near-tested")
     component = components(tested.where("linked").select("a", "b"))
 
@@ -266,12 +269,11 @@ def classes(documents: DataFrame, rule: Similarity = Similarity()) -> DataFrame:
     member = near.join(component.withColumnRenamed("root", "found"), "node", "left").select(
         "signature", "a", "node", "n", F.coalesce("found", "node").alias("root")
     )
-    mixed = member.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("node").alias("last"))
+    mixed = member.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     mixed = mixed.where("low != high").select("signature")
     open_members = stored(member.where("node != a").join(mixed, "signature", "left_semi").select("signature", "node", "n", "root"), "near-open")
     x = open_members.select("signature", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
     y = open_members.select("signature", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    fits = (F.col("na") * 100 >= rule.per_hundred * F.col("nb")) & (F.col("nb") * 100 >= rule.per_hundred * F.col("na"))
     met = x.join(y, "signature").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & fits).select("a", "b").distinct()
     rest = stored(met.join(tested, ["a", "b"], "left_anti"), "near-rest")
     links = tested.where("linked").select("a", "b")
@@ -293,6 +295,5 @@ def classes(documents: DataFrame, rule: Similarity = Similarity()) -> DataFrame:
 
 def one_of_each(documents: DataFrame, rule: Similarity = Similarity()) -> DataFrame:
     """The documents without those that a linked one of smaller doc_id stands for; repeated rows stay once, null ids stay."""
-    found = classes(documents, rule)
-    gone = found.where("component_id != doc_id").select("doc_id").distinct()
-    return documents.distinct().join(gone, "doc_id", "left_anti").select(documents.columns)
+    gone = classes(documents, rule).where("component_id != doc_id").select("doc_id").distinct()
+    return documents.join(gone, "doc_id", "left_anti").distinct().select(documents.columns)
