@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from setstride.llm import decontaminate, near_join, quality_rules, secrets, sharding, warc
+from setstride.llm import decontaminate, near_join, packing, pii, quality_rules, repeats, resampling, secrets, sharding, warc
 from setstride.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +52,23 @@ def assignment_secrets(spark, folder):
 @query("op10_greedy_string_tiling")
 def greedy_string_tiling(spark, folder):
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op4_boosted_pii")
+def boosted_pii(spark, folder):
+    return pii.report(table(spark, folder, "documents"))
+
+
+@query("op8_local_search_packing")
+def local_search_packing(spark, folder):
+    return packing.packed(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op3_suffix_array_dedup")
+def suffix_array_dedup(spark, folder):
+    return repeats.cut(table(spark, folder, "documents"), with_kept=False)
+
+
+@query("op5_importance_resampling")
+def importance_resampling(spark, folder):
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "labels"))
