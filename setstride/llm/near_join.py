@@ -10,9 +10,11 @@ Two documents link when the Jaccard similarity of their distinct k-word shingles
   a part of which c tokens stand in the prefix surely loses none of its k-combinations only by missing
   c - k + 1 of them, so the prefix is extended until these sums reach n - ceil(t n) + 1. Then two linked documents
   share a signature.
-* Equal sets are one node from the start. In every signature group each member is verified against one leader,
-  a count linear in the group. Only members of groups that are still in different components are then compared
-  with each other. No link is lost, and groups of copies never expand into pairs.
+* Equal sets are one node from the start. In every signature group each member is verified against one leader (the member with
+  the fewest rare tokens, most like the others), a count linear in the group. Only members of groups that are still in different
+  components are then compared with each other, inside tasks, in blocks of bounded size, by sketches: counts of tokens in
+  `SKETCH` cells, whose sums of differences bound the overlap from above. Pairs that could still link are verified on whole sets.
+  No link is lost, and groups of copies never expand into pairs.
 
 Null, empty and blank texts have no tokens and link with nothing. Texts shorter than a shingle are one token.
 Repeated rows of one doc_id are one document in the classes; null ids are left out of the index. Sets are of 64-bit hashes, nodes 64-bit
@@ -33,13 +35,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from setstride.llm.components import components
-from setstride.llm.tables import stored
+from setstride.llm.tables import n_partitions, stored
 from setstride.llm.textkit import shingle_sets
 
 CELL_BITS = 22
 RANGES = 64
-_SETS = "doc_id long, node long, n int"
-_INDEX = "signature long, node long, n int"
+SKETCH = 64
+BLOCK = 1024
+_SETS = "doc_id long, node long, n int, sketch array<int>"
+_INDEX = "signature long, node long, rare int"
 
 
 @dataclass(frozen=True)
@@ -53,6 +57,13 @@ class Similarity:
         """Tokens that a set of n shares at least with any partner."""
         return -(-self.per_hundred * n // 100)
 
+    def could_hold(self, na: str, nb: str, sa: str, sb: str) -> Column:
+        """False only where sizes and sketches rule a link out: no overlap exceeds half of what the sketches have in common."""
+        n = F.col(na) + F.col(nb)
+        fits = (F.col(na) * 100 >= self.per_hundred * F.col(nb)) & (F.col(nb) * 100 >= self.per_hundred * F.col(na))
+        apart = F.aggregate(F.zip_with(sa, sb, lambda x, y: F.abs(x - y)), F.lit(0), lambda t, d: t + d)
+        return fits & (100 * (n - apart) >= self.per_hundred * (n + apart))
+
     def holds(self, common: Column, left: Column, right: Column) -> Column:
         return 100 * common >= self.per_hundred * (left + right - common)
 
@@ -61,6 +72,16 @@ def _digest(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
+def _sketch(tokens: np.ndarray) -> np.ndarray:
+    """How many tokens fall into each of `SKETCH` cells."""
+    return np.bincount(((tokens >> np.uint64(16)) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH).astype(np.int32)
+
+
+def _sketches(rows: list[np.ndarray]) -> pa.Array:
+    flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * SKETCH), pa.array(flat, pa.int32()))
+
+
 def _read_sets(rule: Similarity):
     """One row per document, then the task's share of the frequency table in `RANGES` dense pieces."""
 
@@ -69,13 +90,14 @@ def _read_sets(rule: Similarity):
         piece = len(counts) // RANGES
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            rows = ([], [], [])
+            rows = ([], [], [], [])
             waiting: list[np.ndarray] = []
             held = 0
             for i, tokens in shingle_sets(batch.column(1), rule.words):
                 rows[0].append(ids[i])
                 rows[1].append(_digest(tokens) if len(tokens) else None)
                 rows[2].append(len(tokens))
+                rows[3].append(_sketch(tokens))
                 waiting.append(tokens)
                 held += len(tokens)
                 if held > 1 << 20:
@@ -84,14 +106,14 @@ def _read_sets(rule: Similarity):
             counts += _loads(waiting)
             n = len(rows[0])
             yield pa.record_batch(
-                [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
-                ["doc_id", "node", "n", "range", "loads"],
+                [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int32()), _sketches(rows[3]), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
+                ["doc_id", "node", "n", "sketch", "range", "loads"],
             )
         if counts.any():
             blobs = [np.minimum(counts[r * piece : (r + 1) * piece], 2**32 - 1).astype("<u4").tobytes() for r in range(RANGES)]
             yield pa.record_batch(
-                [pa.nulls(RANGES, pa.int64()), pa.nulls(RANGES, pa.int64()), pa.nulls(RANGES, pa.int32()), pa.array(range(RANGES), pa.int32()), pa.array(blobs, pa.binary())],
-                ["doc_id", "node", "n", "range", "loads"],
+                [pa.nulls(RANGES, pa.int64()), pa.nulls(RANGES, pa.int64()), pa.nulls(RANGES, pa.int32()), pa.nulls(RANGES, pa.list_(pa.int32())), pa.array(range(RANGES), pa.int32()), pa.array(blobs, pa.binary())],
+                ["doc_id", "node", "n", "sketch", "range", "loads"],
             )
 
     return run
@@ -138,8 +160,8 @@ def _class_bounds(mean: float) -> list[float]:
 
 
 def _parts(level: int, rule: Similarity) -> int:
-    """Parts of each frequent class for sets of 2^level tokens and more: some six prefix tokens in each."""
-    return max(1, (100 - rule.per_hundred) * (1 << level) // 600)
+    """Parts of each frequent class for sets of 2^level tokens and more: some three prefix tokens in each."""
+    return max(1, (100 - rule.per_hundred) * (1 << level) // 300)
 
 
 def signatures(tokens: np.ndarray, order: np.ndarray, bounds: np.ndarray, rule: Similarity) -> np.ndarray:
@@ -185,27 +207,28 @@ def _combinations(tokens: np.ndarray, size: np.ndarray, missing: int, level: int
 def _write_index(order: np.ndarray, bounds: np.ndarray, rule: Similarity):
     def run(batches):
         for batch in batches:
-            sigs, nodes, sizes, held = [], [], [], 0
+            sigs, nodes, rares, held = [], [], [], 0
             for _, tokens in shingle_sets(batch.column(0), rule.words):
                 if not len(tokens):
                     continue
                 s = signatures(tokens, order, bounds, rule)
+                rare = int((order[(tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64)] <= bounds[0]).sum())
                 if len(s):
                     sigs.append(s)
                     nodes.append(np.full(len(s), _digest(tokens), np.int64))
-                    sizes.append(np.full(len(s), len(tokens), np.int32))
+                    rares.append(np.full(len(s), rare, np.int32))
                     held += len(s)
                 if held > 1 << 18:
-                    yield _index_batch(sigs, nodes, sizes)
-                    sigs, nodes, sizes, held = [], [], [], 0
+                    yield _index_batch(sigs, nodes, rares)
+                    sigs, nodes, rares, held = [], [], [], 0
             if held:
-                yield _index_batch(sigs, nodes, sizes)
+                yield _index_batch(sigs, nodes, rares)
 
     return run
 
 
-def _index_batch(sigs, nodes, sizes):
-    return pa.record_batch([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes))], ["signature", "node", "n"])
+def _index_batch(sigs, nodes, rares):
+    return pa.record_batch([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(rares))], ["signature", "node", "rare"])
 
 
 def _write_tokens(rule: Similarity):
@@ -245,38 +268,107 @@ def _verified(pairs: DataFrame, texts: DataFrame, sets: DataFrame, rule: Similar
     return both.select("a", "b", rule.holds(common, F.size("left"), F.size("right")).alias("linked")).distinct()
 
 
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members of each group (signature, node, root, n, sketch, members) in the order of their units: a group of more than
+    `BLOCK` members is cut into blocks, and every two blocks are a unit, so that a task holds two blocks."""
+    blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
+    rows = members.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    other = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    units = other.select("signature", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "root", "n", "sketch")
+    key = ["signature", "low", "high"]
+    return units.repartition(n_partitions(members.sparkSession), *key).sortWithinPartitions(*key)
+
+
+def _meet(rule: Similarity):
+    """Pairs of members of a unit that are in different components and could link."""
+
+    def pairs(low, high, block, node, root, n, sketch):
+        if (root == root[0]).all():
+            return
+        within = low == high
+        for i in np.flatnonzero(block == low) if not within else range(len(node)):
+            other = np.arange(len(node)) > i if within else block == high
+            other = np.flatnonzero(other & (root != root[i]) & (100 * n >= rule.per_hundred * n[i]) & (100 * n[i] >= rule.per_hundred * n))
+            if len(other):
+                apart = np.abs(sketch[other] - sketch[i]).sum(axis=1)
+                total = n[other] + n[i]
+                for j in other[100 * (total - apart) >= rule.per_hundred * (total + apart)].tolist():
+                    yield (int(node[i]), int(node[j])) if node[i] < node[j] else (int(node[j]), int(node[i]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None and not batch.num_rows:
+                continue
+            if held and (batch is None or _unit(held[-1], -1) != _unit(batch, 0)):
+                yield from units(held)
+                held = []
+            if batch is not None:
+                held.append(batch)
+                ends = _ends(batch)
+                if len(ends) > 1:  # all but the last unit are whole
+                    yield from units([*held[:-1], batch.slice(0, ends[-2])])
+                    held = [batch.slice(ends[-2])]
+
+    def units(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches).combine_chunks()
+        batch = table.to_batches()[0]
+        column = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in ("low", "high", "block", "node", "root", "n")}
+        sketch = batch.column("sketch").flatten().to_numpy(zero_copy_only=False).reshape(-1, SKETCH)
+        found: list[tuple[int, int]] = []
+        at = 0
+        for end in _ends(batch):
+            part = slice(at, end)
+            found.extend(pairs(int(column["low"][at]), int(column["high"][at]), column["block"][part], column["node"][part], column["root"][part], column["n"][part].astype(np.int64), sketch[part]))
+            at = end
+            if len(found) > 1 << 16 or end == batch.num_rows and found:
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
+                found = []
+
+    return run
+
+
+def _unit(batch: pa.RecordBatch, i: int) -> tuple:
+    i = i % batch.num_rows
+    return tuple(batch.column(k)[i].as_py() for k in ("signature", "low", "high"))
+
+
+def _ends(batch: pa.RecordBatch) -> list[int]:
+    """Ends of the units of sorted rows."""
+    change = np.zeros(batch.num_rows - 1, bool)
+    for k in ("signature", "low", "high"):
+        c = batch.column(k).to_numpy(zero_copy_only=False)
+        change |= c[1:] != c[:-1]
+    return [*(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+
+
 def classes(documents: DataFrame, rule: Similarity = Similarity()) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id of its component, itself included): one row per row of `documents`."""
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     read = stored(texts.mapInArrow(_read_sets(rule), f"{_SETS}, range int, loads binary"), "near-sets")
-    sets = read.where(F.col("range").isNull()).select("doc_id", "node", "n")
+    sets = read.where(F.col("range").isNull()).select("doc_id", "node", "n", "sketch")
     order, bounds = frequency_classes(read.where(F.col("range").isNotNull()).select("range", "loads"))
     index = stored(texts.where(F.col("doc_id").isNotNull()).select("text").mapInArrow(_write_index(order, bounds, rule), _INDEX), "near-index")
 
-    # within a group, members are met by the smallest node first
-    groups = index.groupBy("signature").agg(F.min("node").alias("a"), F.max("node").alias("last"))
-    groups = groups.where("a != last").select("signature", "a")
+    # within a group, members are met by one leader first
+    groups = index.groupBy("signature").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high").select("signature")
     near = stored(index.join(groups, "signature"), "near-groups")
-    led = near.where("node != a").select("a", F.col("node").alias("b")).distinct()
-    size = sets.where("node is not null").groupBy("node").agg(F.max("n").alias("n"))
-    sized = led.join(size.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
-    fits = (F.col("na") * 100 >= rule.per_hundred * F.col("nb")) & (F.col("nb") * 100 >= rule.per_hundred * F.col("na"))
-    known = stored(sized.where(fits).select("a", "b"), "near-led")
+    leaders = near.groupBy("signature").agg(F.min(F.struct("rare", "node")).alias("first")).select("signature", F.col("first.node").alias("a"))
+    led = near.join(leaders, "signature").where("node != a").select("a", F.col("node").alias("b")).distinct()
+    size = sets.where("node is not null").groupBy("node").agg(F.max("n").alias("n"), F.max("sketch").alias("sketch"))
+    left, right = (size.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"s{c}")) for c in ("a", "b"))
+    known = stored(led.join(left, "a").join(right, "b").where(rule.could_hold("na", "nb", "sa", "sb")).select("a", "b"), "near-led")
     tested = stored(_verified(known, texts, sets, rule), "near-tested")
-    component = components(tested.where("linked").select("a", "b"))
+    links = tested.where("linked").select("a", "b")
+    component = components(links)
 
     # groups that hold several components: members of different components meet each other
-    member = near.join(component.withColumnRenamed("root", "found"), "node", "left").select(
-        "signature", "a", "node", "n", F.coalesce("found", "node").alias("root")
-    )
-    mixed = member.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    mixed = mixed.where("low != high").select("signature")
-    open_members = stored(member.where("node != a").join(mixed, "signature", "left_semi").select("signature", "node", "n", "root"), "near-open")
-    x = open_members.select("signature", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    y = open_members.select("signature", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    met = x.join(y, "signature").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & fits).select("a", "b").distinct()
-    rest = stored(met.join(tested, ["a", "b"], "left_anti"), "near-rest")
-    links = tested.where("linked").select("a", "b")
+    member = near.join(component.withColumnRenamed("root", "found"), "node", "left").select("signature", "node", F.coalesce("found", "node").alias("root"))
+    mixed = member.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
+    mixed = mixed.where("low != high").select("signature", "members")
+    open_members = member.distinct().join(mixed, "signature").join(size, "node")
+    met = stored(_dealt(open_members).mapInArrow(_meet(rule), "a long, b long").distinct(), "near-met")
+    rest = stored(met.join(tested, ["a", "b"], "left_anti").join(tested.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"), "near-rest")
     if rest.limit(1).count():
         more = stored(_verified(rest, texts, sets, rule), "near-rest-tested")
         links = links.unionByName(more.where("linked").select("a", "b"))
