@@ -16,13 +16,17 @@ def safe_float(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, "[,$]", "")).try_cast("double")
 
 
+# What the letter after a number of money multiplies it by.
+SCALE = {"m": 1e6, "b": 1e9}
+
+
 def money(text: Column) -> Column:
-    """ "$11M", "10 Million", "1.2B" to an amount."""
-    clean = F.regexp_replace(text, "[$,]", "")
-    pattern = r"(?i)([\d.]+)\s*(million|m|billion|b)?"
-    unit = F.lower(F.regexp_extract(clean, pattern, 2))
-    factor = F.when(unit.isin("million", "m"), 1e6).when(unit.isin("billion", "b"), 1e9).otherwise(1.0)
-    return F.regexp_extract(clean, pattern, 1).try_cast("double") * factor
+    """ "$11M", "10 Million", "1.2B" to an amount: the first number, scaled by the letter that follows it."""
+    bare = F.translate(text, "$,", "")
+    number = F.regexp_substr(bare, F.lit(r"[0-9.]+")).try_cast("double")
+    letter = F.lower(F.regexp_extract(bare, r"[0-9.]\s*(\p{L})", 1))
+    scale = F.create_map(*[F.lit(x) for pair in SCALE.items() for x in pair])
+    return number * F.coalesce(scale[letter], F.lit(1.0))
 
 
 def date_before_time(text: Column) -> Column:

@@ -16,11 +16,11 @@ from setstride.sources.draws import draws_columns, draws_from_orders
 from setstride.sources.html import elements, parse_table_draws
 from setstride.sources.store import Rules, append_table, backfill, latest_key, newer_than, prefer_official, read_table, upsert, violations
 
-BAD = "CASE WHEN step_id % 97 = 0 THEN 'number out of range' WHEN step_id % 89 = 0 THEN 'special missing' WHEN step_id % 83 = 0 THEN 'count of numbers' WHEN step_id % 79 = 0 THEN 'draw date' END"
+BAD = "CASE WHEN step_id % 73 = 0 THEN 'numbers missing' WHEN step_id % 97 = 0 THEN 'number out of range' WHEN step_id % 89 = 0 THEN 'special missing' WHEN step_id % 83 = 0 THEN 'count of numbers' WHEN step_id % 79 = 0 THEN 'draw date' END"
 
 
 def landed_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """The draws written as nested JSON pages (about 400 ids each), some records broken on purpose, read back."""
+    """The draws written as nested JSON pages (about 400 ids each), some records and one page broken on purpose, read back."""
     steps = draws_from_orders(spark, folder)
     k = F.col("step_id")
     numbers = F.when(k % 83 == 0, F.slice("items", 1, 4)).when(
@@ -39,9 +39,13 @@ def landed_pages(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("$"), F.col("amount").cast("decimal(18,2)").cast("string")).alias("JackpotAmount"),
         prizes.alias("PrizePayoutDetails"),
     )
-    pages = steps.groupBy(F.expr("step_id div 400").alias("p")).agg(F.collect_list(raw).alias("PreviousDraws"), F.count("*").alias("TotalPreviousDraws"))
+    listed = F.struct(k.alias("DrawNumber"), F.date_format("ts", "yyyy-MM-dd").alias("DrawDate"), F.transform(numbers, lambda n: n.cast("string")).alias("WinningNumbers"))
+    text = F.when(k % 73 == 0, F.to_json(listed)).otherwise(F.to_json(raw))
+    pages = steps.groupBy(F.expr("step_id div 400").alias("p")).agg(F.array_join(F.collect_list(text), ",").alias("records"), F.count("*").alias("n"))
+    lines = pages.select(F.concat(F.lit('{"PreviousDraws":['), F.col("records"), F.lit('],"TotalPreviousDraws":'), F.col("n").cast("string"), F.lit("}")).alias("value"))
+    broken = steps.agg(F.concat(F.lit("<html>"), F.count("*").cast("string")).alias("value"))
     path = f"{shared_folder(spark)}/pages-{uuid.uuid4().hex}"
-    pages.drop("p").write.json(path)
+    lines.unionByName(broken).write.text(path)
     return records.read_pages(spark, path)
 
 
@@ -56,12 +60,27 @@ def json_draws(spark, folder):
     return records.valid_draws(records.parse_draws(records.raw_records(landed_pages(spark, folder))))
 
 
-@query("json_quarantine", with_(DRAWS, select=f"SELECT {BAD} AS reason, count(*) AS n FROM d WHERE {BAD} IS NOT NULL GROUP BY 1").replace(
-    "CASE WHEN step_id % 97 = 0 THEN 'number out of range' WHEN step_id % 89 = 0 THEN 'special missing' WHEN step_id % 83 = 0 THEN 'count of numbers' WHEN step_id % 79 = 0 THEN 'draw date' END",
-    "CASE WHEN step_id % 79 = 0 THEN 'draw date' WHEN step_id % 83 = 0 THEN 'count of numbers' WHEN step_id % 89 = 0 THEN 'special missing' WHEN step_id % 97 = 0 THEN 'number out of range' END"))
+QUARANTINE = """CASE WHEN step_id % 73 = 0 THEN 'numbers missing' WHEN step_id % 79 = 0 THEN 'draw date' WHEN step_id % 83 = 0 THEN 'count of numbers'
+WHEN step_id % 89 = 0 THEN 'special missing' WHEN step_id % 97 = 0 THEN 'number out of range' END"""
+
+
+@query("json_quarantine", with_(DRAWS, select=f"SELECT {QUARANTINE} AS reason, count(*) AS n FROM d WHERE {QUARANTINE} IS NOT NULL GROUP BY 1 UNION ALL SELECT 'page unreadable', 1"))
 def json_quarantine(spark, folder):
-    parsed = records.parse_draws(records.raw_records(landed_pages(spark, folder)))
-    return records.quarantine(parsed).groupBy("reason").agg(F.count("*").alias("n"))
+    pages = landed_pages(spark, folder)
+    rejected = records.quarantine(records.parse_draws(records.raw_records(pages))).unionByName(records.unreadable_pages(pages))
+    return rejected.groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query(
+    "page_lineage",
+    with_(DRAWS, select="""
+SELECT CAST(0 AS BIGINT) AS broken, records, count(*) AS n FROM (SELECT count(*) AS records FROM d GROUP BY step_id // 400) GROUP BY records
+UNION ALL SELECT 1, 0, 1"""),
+)
+def page_lineage(spark, folder):
+    """How many pages hold how many records; one page is broken."""
+    pages = landed_pages(spark, folder).withColumn("page", F.coalesce(F.concat_ws(",", F.slice("PreviousDraws", 1, 1)), F.lit("")))
+    return records.page_report(pages).groupBy("broken", "records").agg(F.count("*").alias("n"))
 
 
 @query(

@@ -19,7 +19,8 @@ RECORD = (
     f"WinningNumbers:map<string,{BALL}>,"
     "JackpotAmount:string,Jackpot:string,jackpot_amount:string,Prizes:string,PrizePayoutDetails:string>"
 )
-PAGE = f"PreviousDraws array<{RECORD}>, TotalPreviousDraws string, _corrupt_record string"
+# A page keeps its records as text: a record of another shape is read, and judged, alone.
+PAGE = "PreviousDraws array<string>, TotalPreviousDraws string, _corrupt_record string"
 
 
 def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -28,8 +29,19 @@ def read_pages(spark: SparkSession, path: str, multi_line: bool = False) -> Data
     return reader.option("multiLine", multi_line).json(path).withColumn("page", F.input_file_name())
 
 
+def _unreadable() -> Column:
+    return F.col("_corrupt_record").isNotNull() | F.col("PreviousDraws").isNull()
+
+
 def raw_records(pages: DataFrame) -> DataFrame:
-    return pages.where(F.col("_corrupt_record").isNull()).select("page", F.explode("PreviousDraws").alias("raw"))
+    """One row per record of the readable pages, with its text and its fields; fields of another shape are null."""
+    texts = pages.where(~_unreadable()).select("page", F.explode("PreviousDraws").alias("text"))
+    return texts.select("page", "text", F.from_json("text", RECORD).alias("raw"))
+
+
+def unreadable_pages(pages: DataFrame) -> DataFrame:
+    """Quarantine rows of pages that are not JSON or hold no list of records."""
+    return pages.where(_unreadable()).select("page", F.lit(None).cast("long").alias("draw_number"), F.lit("page unreadable").alias("reason"), F.col("_corrupt_record").alias("raw"))
 
 
 def parse_draws(records: DataFrame, domain: Domain = DRAWS) -> DataFrame:
@@ -77,11 +89,11 @@ def parse_draws(records: DataFrame, domain: Domain = DRAWS) -> DataFrame:
 
 
 def valid_draws(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("reason").isNull()).drop("raw", "reason", "page")
+    return parsed.where(F.col("reason").isNull()).drop("raw", "reason", "page", "text")
 
 
 def quarantine(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("reason").isNotNull()).select("page", "draw_number", "reason", F.to_json("raw").alias("raw"))
+    return parsed.where(F.col("reason").isNotNull()).select("page", "draw_number", "reason", F.col("text").alias("raw"))
 
 
 def draw_prizes(parsed: DataFrame) -> DataFrame:
