@@ -15,6 +15,7 @@ def local_session(name: str = "setstride", cpus: str | int = "*", partitions: in
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -23,9 +24,11 @@ def local_session(name: str = "setstride", cpus: str | int = "*", partitions: in
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach; a temporary one only where the cluster names none."""
+    """The folder every executor can reach: the one the cluster names, or a temporary one for a local session only."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         named = tempfile.mkdtemp(prefix="setstride-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,10 @@ from setstride.operators.state import sparse_gaps
 from setstride.session import materialise
 
 
+#: Setting under which sessions are merged inside each task before the shuffle.
+MERGE_SESSIONS = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
+
 def event_stream(spark: SparkSession, folder: str, files_per_trigger: int = 1) -> DataFrame:
     """Parquet events as they land in `folder`; `ts` becomes a timestamp so that watermarks accept it."""
     schema = spark.read.parquet(folder).schema
@@ -23,38 +28,44 @@ def _version(folder: str, batch: int) -> str:
     return os.path.join(folder, f"batch-{batch:012d}")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_SUCCESS"))
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def newest_version(spark: SparkSession, folder: str) -> int:
+    """Number of the latest version in `folder`, -1 without any; read from the names of its files."""
+    try:
+        files = spark.read.parquet(os.path.join(folder, "batch-*"))
+    except AnalysisException:  # nothing has been written yet
+        return -1
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"batch-(\d+)", 1).cast("long")
+    found = files.select(F.max(number)).first()[0]
+    return -1 if found is None else found
 
 
 def _previous(spark: SparkSession, folder: str, batch: int, schema) -> DataFrame:
-    if batch > 0 and _exists(spark, _version(folder, batch - 1)):
-        return spark.read.schema(schema).parquet(_version(folder, batch - 1))
-    return spark.createDataFrame([], schema)
+    """The state that batch n starts from: empty for the first batch, else version n - 1, which must be there."""
+    if batch == 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(_version(folder, batch - 1))
 
 
-def run_incremental_load(stream: DataFrame, folder: str, checkpoint: str, key: str = "event_id", delay: str = "1 day") -> None:
-    """Drop late repeats and land each micro-batch as one delta; `current_rows` reads the table.
+def run_incremental_load(stream: DataFrame, folder: str, checkpoint: str) -> None:
+    """Land each micro-batch as one delta; `current_rows` resolves repeated keys when the table is read.
 
-    A batch costs what it holds, not what is stored. A batch that is run again writes the same delta
-    again, so a restart neither loses nor doubles rows.
+    A batch costs what it holds, not what is stored, and rows of any age are kept. A batch that is run again writes the
+    same delta again, so a restart neither loses nor doubles rows.
     """
-    clean = stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark([key])
 
     def land(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(_version(folder, number))
 
-    query = clean.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
-def current_rows(spark: SparkSession, folder: str, key: str = "event_id") -> DataFrame:
-    """The table behind the deltas: for each key the row of its latest batch."""
+def current_rows(spark: SparkSession, folder: str, key: str = "event_id", order: str = "ts") -> DataFrame:
+    """The table behind the deltas: for each key the row of its latest batch, inside a batch the one with the latest `order`."""
     deltas = spark.read.parquet(os.path.join(folder, "batch-*"))
     batch = F.regexp_extract(F.input_file_name(), r"batch-(\d+)", 1).cast("long")
     rest = [c for c in deltas.columns if c != key]
-    newest = deltas.withColumn("_seq", batch).groupBy(key).agg(F.max_by(F.struct(*rest), "_seq").alias("_row"))
+    newest = deltas.withColumn("_seq", batch).groupBy(key).agg(F.max_by(F.struct(*rest), F.struct("_seq", order, *[c for c in rest if c != order])).alias("_row"))
     return newest.select(key, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
@@ -93,9 +104,9 @@ def run_online_state(stream: DataFrame, folder: str, checkpoint: str) -> str:
     """Predict, reveal, update per micro-batch; returns the path of the final state version.
 
     The per-step rows of batch n are in `folder`/steps/batch-n. Batch n reads state version n-1 and writes version n, so a batch that is
-    run again starts from the same state. A version has one row per (series, item), not per event.
+    run again starts from the same state. A version has one row per (series, item), not per event. A run in which nothing new
+    has landed returns the version of the last one.
     """
-    done = {}
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
@@ -103,11 +114,11 @@ def run_online_state(stream: DataFrame, folder: str, checkpoint: str) -> str:
         emitted, after = advance_state(state, batch)
         emitted.write.mode("overwrite").parquet(_version(f"{folder}/steps", number))
         after.write.mode("overwrite").parquet(_version(f"{folder}/state", number))
-        done["path"] = _version(f"{folder}/state", number)
 
     query = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return done["path"]
+    spark = stream.sparkSession
+    return _version(f"{folder}/state", max(newest_version(spark, f"{folder}/state"), 0))
 
 
 def rolling_activity(events: DataFrame, size: str = "7 days", slide: str = "7 days", delay: str = "1 day") -> DataFrame:
@@ -119,8 +130,7 @@ def rolling_activity(events: DataFrame, size: str = "7 days", slide: str = "7 da
 
 
 def sessions(events: DataFrame, gap: str = "1 day", delay: str = "1 day") -> DataFrame:
-    """Streaming sessions per series, merged inside each task before the shuffle (batch: `block_sessions`)."""
-    events.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+    """Streaming sessions per series (batch: `block_sessions`); `MERGE_SESSIONS` in the session's settings merges them inside a task first."""
     source = events.withWatermark("ts", delay)
     return source.groupBy(F.session_window("ts", gap), SERIES).agg(F.count("*").alias("n")).select(
         SERIES, F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"), "n"
