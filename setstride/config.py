@@ -44,9 +44,7 @@ TICKET_COST = 1.0
 SHORT_WINDOW = 20
 MID_WINDOW = 50
 LOOKBACK = 10
-TRAIN_RATIO = 0.8
 INITIAL_STEPS = 200
-TEST_STEPS = 150
 VALIDATION_STEPS = 60
 MAX_TICKETS = 5
 TICKET_CANDIDATES = 12

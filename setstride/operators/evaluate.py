@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from setstride.config import INITIAL_STEPS, MAX_TICKETS, REFIT_EVERY, TEST_STEPS, TICKET_CANDIDATES, TICKET_COST, Domain
+from setstride.config import INITIAL_STEPS, MAX_TICKETS, REFIT_EVERY, TICKET_CANDIDATES, TICKET_COST, Domain
 from setstride.functions.arrays import best_tickets, expected_prize, hits, mean_rank, prize
 from setstride.functions.stats import student_p
 from setstride.operators.layout import SERIES, StepTable, halo_window, running_totals, spread
@@ -209,18 +209,19 @@ def prequential(
     table: StepTable,
     models: tuple[str, ...] = ("frequency", "markov", "bayesian"),
     initial: int = INITIAL_STEPS,
-    test: int = TEST_STEPS,
+    test: int | None = None,
     every: dict[str, int] | None = None,
 ) -> DataFrame:
-    """Scores of each model for initial <= ord < initial + test, refit on the model's own schedule."""
+    """Scores of each model from ord `initial` on, for `test` steps or to the end, refit on the model's own schedule."""
     every = REFIT_EVERY if every is None else every
-    scores = predictions(table, models, (initial, initial + test))
+    end = table.longest if test is None else initial + test
+    scores = predictions(table, models, (initial, end))
     fresh = [m for m in models if every.get(m, 1) <= 1]
     out = scores.where(F.col("model").isin(fresh)).withColumn("fit_ord", F.col("ord"))
     for model in models:
         if model not in fresh:
             aged = stale_scores(scores.where(F.col("model") == model), table, every[model], initial)
-            out = out.unionByName(aged.where(F.col("ord") < initial + test))
+            out = out.unionByName(aged.where(F.col("ord") < end))
     return out
 
 

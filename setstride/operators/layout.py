@@ -23,7 +23,6 @@ from setstride.session import materialise
 SERIES = "series_id"
 MIN_BLOCK = 1 << 10
 MAX_BLOCK = 1 << 20
-LARGEST_HALO = 128
 
 
 def range_layout(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -20,7 +20,7 @@ FEATURES = [
 ]
 
 
-def feature_grid(table: StepTable, warm_up: int = WARM_UP, drop_last: bool = True) -> DataFrame:
+def feature_grid(table: StepTable, warm_up: int = WARM_UP, drop_last: bool = False) -> DataFrame:
     """series_id, ord, item, y and the 18 features of every candidate, as of just before the step."""
     state = slot_state(table, WINDOWS, ("cnt", "last", "first", "gsq"))
     together = context_state(table, "same").select(SERIES, "ord", F.col("score").alias("cooc"))
@@ -97,13 +97,13 @@ def correlations(grid: DataFrame) -> DataFrame:
 
 
 def binned(column: Column, edges: list[float]) -> Column:
-    """Index of the left-open bin; values at or below the first edge or above the last fall out."""
-    out = F.when(column <= edges[0], None)
+    """Index of the left-open bin; -1 is the bin of values at or below the first edge or above the last."""
+    out = F.when(column <= edges[0], -1)
     for i, edge in enumerate(edges[1:]):
         out = out.when(column <= edge, i)
-    return out
+    return out.when(column.isNotNull(), -1)
 
 
 def response(grid: DataFrame, group: Column) -> DataFrame:
-    """Label rate and count per group; rows without a group are left out."""
-    return grid.groupBy(group.alias("bin")).agg(F.avg("y").alias("rate"), F.count("*").alias("n")).where(F.col("bin").isNotNull())
+    """Label rate and count per group; rows without a value are the null group."""
+    return grid.groupBy(group.alias("bin")).agg(F.avg("y").alias("rate"), F.count("*").alias("n"))

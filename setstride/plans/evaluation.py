@@ -8,7 +8,7 @@ from setstride.config import INITIAL_STEPS
 from setstride.operators import evaluate
 from setstride.operators.scorers import count_scores, predictions
 from setstride.plans.common import draws, query, without_series
-from setstride.plans.sql import ALL_SCORES, DRAWS, FOLDS, METRICS, TICKETS, text, with_
+from setstride.plans.sql import ALL_SCORES, DRAWS, FOLDS, METRICS, TICKETS, student_p, text, with_
 
 
 @query("walk_outcomes", with_(*ALL_SCORES, select="""
@@ -60,7 +60,10 @@ def _(spark, folder):
     return evaluate.compare_models(evaluate.fold_walk(t), t.domain).drop("p_value")
 
 
-@query("fold_significance")
+@query("fold_significance", with_(*ALL_SCORES, FOLDS, FOLD_WALK, f"""
+pm AS (SELECT model, count(*) AS n_draws, (avg(hits) - 25.0 / 47) / (stddev_samp(hits) / sqrt(count(*))) AS t FROM fo GROUP BY model)""", select=f"""
+SELECT model, n_draws, round(t, 6) + 0.0 AS t_stat, round({student_p('t', '(n_draws - 1)')}, 6) + 0.0 AS p_value,
+ CASE WHEN t > 0 THEN 'better' WHEN t < 0 THEN 'worse' ELSE 'none' END AS direction FROM pm"""))
 def _(spark, folder):
     t = draws(spark, folder)
     return evaluate.compare_models(evaluate.fold_walk(t), t.domain).select("model", "n_draws", "t_stat", "p_value", "direction")
@@ -77,9 +80,9 @@ def _(spark, folder):
     return parts.join(flags, ["series_id", "ord"], "left").select("ord", "part", F.coalesce("validation", F.lit(0)).alias("validation"))
 
 
-# --- prequential walk over 200 <= ord < 350
+# --- prequential walk from ord 200 to the end
 
-WALKED = "wanted AS MATERIALIZED (SELECT model, ord FROM pk WHERE ord >= 200 AND ord < 350)"
+WALKED = "wanted AS MATERIALIZED (SELECT model, ord FROM pk WHERE ord >= 200)"
 WALK_PARTS = [*ALL_SCORES, WALKED, TICKETS]
 
 
@@ -95,7 +98,7 @@ def _(spark, folder):
 
 
 @query("prequential_metrics", with_(*ALL_SCORES, select=f"""
-SELECT model, {METRICS}, round((avg(hits) - 25.0 / 47) / (stddev_samp(hits) / sqrt(count(*))), 6) AS t_stat FROM oc WHERE ord >= 200 AND ord < 350 GROUP BY model"""))
+SELECT model, {METRICS}, round((avg(hits) - 25.0 / 47) / (stddev_samp(hits) / sqrt(count(*))), 6) AS t_stat FROM oc WHERE ord >= 200 GROUP BY model"""))
 def _(spark, folder):
     t, scores = walked(spark, folder)
     tested = evaluate.against_random(evaluate.summary(evaluate.outcomes(scores, t.domain), ["model"], t.domain), t.domain)
@@ -113,7 +116,7 @@ def _(spark, folder):
 
 @query("drift", with_(*ALL_SCORES, """
 dr AS (SELECT model, ord - 200 AS position, avg(hits) OVER (PARTITION BY model ORDER BY ord ROWS BETWEEN 50 PRECEDING AND CURRENT ROW) AS ma
-       FROM oc WHERE ord >= 200 AND ord < 350)""", select="SELECT model, position, round(ma, 6) AS moving_avg FROM dr WHERE position % 50 = 49"))
+       FROM oc WHERE ord >= 200)""", select="SELECT model, position, round(ma, 6) AS moving_avg FROM dr WHERE position % 50 = 49"))
 def _(spark, folder):
     t, scores = walked(spark, folder)
     return without_series(evaluate.drift(evaluate.outcomes(scores, t.domain), t, INITIAL_STEPS))

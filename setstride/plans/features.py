@@ -13,7 +13,7 @@ from setstride.operators.state import (
     as_of_previous, average_gap, ball_stats, current_gap, frequency, gap_stats, item_grid, item_part, slot_state, sparse_gaps, step_items,
 )
 from setstride.plans.common import draws, numbered_events, query, table, without_series
-from setstride.plans.sql import DRAWS, GRID, STATE, text, with_
+from setstride.plans.sql import DRAWS, GRID, STATE, student_p, text, with_
 from setstride.sources.draws import draws_columns, draws_from_orders
 
 FEATURE_SQL = """
@@ -303,7 +303,7 @@ fx AS MATERIALIZED (
   CAST(len([j FOR j IN range(1, 5) IF li1[j + 1] - li1[j] = 1]) AS DOUBLE) AS last_consec,
   CAST(st.item % 2 AS DOUBLE) AS ball_is_odd, CAST((st.item - 1) // 10 AS DOUBLE) AS ball_zone
  FROM st JOIN gs USING (ord, item) JOIN co USING (ord, item) JOIN pv USING (ord)
- WHERE st.ord >= 50 AND st.ord < (SELECT n - 1 FROM len))
+ WHERE st.ord >= 50 AND st.ord < (SELECT n FROM len))
 """
 SIGNAL_PARTS = [DRAWS, GRID, STATE, COOC_SQL, SIGNAL]
 
@@ -325,17 +325,25 @@ def _(spark, folder):
     return out.withColumn("t_stat", F.round("t_stat", 4) + F.lit(0.0)).drop("p_value", "sig", "delta")
 
 
-@query("feature_significance")
+SIGNIFICANCE_SQL = CORR_SQL[: CORR_SQL.rindex("SELECT feature")] + f"""SELECT feature, corr, abs_corr, t_stat, round(p, 6) + 0.0 AS p_value, mean_appear, mean_not_app, delta,
+ CASE WHEN p < 0.001 THEN '***' WHEN p < 0.01 THEN '**' WHEN p < 0.05 THEN '*' ELSE '' END AS sig, n FROM (
+ SELECT *, {student_p('t', '(n - 2)')} AS p FROM (
+  SELECT feature, round(r, 6) + 0.0 AS corr, round(abs(r), 6) + 0.0 AS abs_corr, r * sqrt(n - 2) / sqrt(1 - r * r) AS t, round(r * sqrt(n - 2) / sqrt(1 - r * r), 4) + 0.0 AS t_stat,
+         round(p, 4) AS mean_appear, round(q, 4) AS mean_not_app, round(round(p, 4) - round(q, 4), 4) + 0.0 AS delta, n FROM ag))"""
+
+
+@query("feature_significance", SIGNIFICANCE_SQL)
 def _(spark, folder):
-    return signal.correlations(signal.feature_grid(draws(spark, folder)))
+    out = signal.correlations(signal.feature_grid(draws(spark, folder)))
+    return out.withColumn("t_stat", F.round("t_stat", 4) + F.lit(0.0)).withColumn("delta", F.round(F.round("mean_appear", 4) - F.round("mean_not_app", 4), 4) + F.lit(0.0))
 
 
 def response_sql(bins: str) -> str:
-    return with_(*SIGNAL_PARTS, select=f"SELECT bin, round(avg(y), 6) AS rate, count(*) AS n FROM (SELECT {bins} AS bin, y FROM fx) WHERE bin IS NOT NULL GROUP BY bin")
+    return with_(*SIGNAL_PARTS, select=f"SELECT bin, round(avg(y), 6) AS rate, count(*) AS n FROM (SELECT {bins} AS bin, y FROM fx) GROUP BY bin")
 
 
 def bins_sql(c: str, edges: list[float]) -> str:
-    return f"CASE WHEN {c} <= {edges[0]} THEN NULL " + " ".join(f"WHEN {c} <= {e} THEN CAST({i} AS BIGINT)" for i, e in enumerate(edges[1:])) + " END"
+    return f"CASE WHEN {c} <= {edges[0]} THEN CAST(-1 AS BIGINT) " + " ".join(f"WHEN {c} <= {e} THEN CAST({i} AS BIGINT)" for i, e in enumerate(edges[1:])) + f" WHEN {c} IS NOT NULL THEN -1 END"
 
 
 GAP_EDGES, FREQ_EDGES = [0, 0.5, 1.0, 1.5, 2.0, 99], [0, 0.5, 1.0, 2.0, 5.0, 99]

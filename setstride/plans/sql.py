@@ -121,8 +121,6 @@ fsum AS MATERIALIZED (
   FROM dates JOIN fw ON ts < we GROUP BY ALL HAVING n_train >= 50 AND n_test >= 5)
 """
 
-WALK = "wk AS MATERIALIZED (SELECT * FROM {source} WHERE ord >= 200 AND ord < 350)"
-
 # The 792 index combinations of 12 candidates and the five best tickets of every (model, ord) in `wanted`.
 TICKETS = """
 cd AS MATERIALIZED (
@@ -163,3 +161,13 @@ round(avg(hits) - 25.0 / 47, 6) + 0.0 AS vs_random_hits, round(avg(ev), 6) AS ev
 round((avg(ev) - 1) * 100, 6) + 0.0 AS roi_pct, round(sum(ev), 6) AS total_ev, CAST(count(*) AS DOUBLE) AS total_cost,
 round(avg(mean_rank), 6) AS mean_rank, round(avg(mean_rank) - 24, 6) + 0.0 AS vs_random_rank, round(stddev_samp(hits), 6) AS hits_std
 """
+
+
+def student_p(t: str, df: str) -> str:
+    """Two-sided p value for whole degrees of freedom: the finite series in the angle atan(t / sqrt(df)), its coefficients by gammas."""
+    angle = f"atan(abs({t}) / sqrt({df}))"
+    odd = f"""(2 / pi()) * ({angle} + CASE WHEN {df} > 1 THEN sin({angle}) * list_sum([
+      exp((2 * k + 1) * ln(cos({angle})) + 0.5 * ln(pi()) + lgamma(k + 1) - ln(2) - lgamma(k + 1.5)) FOR k IN range(0, CAST(({df} - 1) // 2 AS BIGINT))]) ELSE 0 END)"""
+    even = f"""sin({angle}) * list_sum([
+      exp(2 * k * ln(cos({angle})) + lgamma(k + 0.5) - 0.5 * ln(pi()) - lgamma(k + 1)) FOR k IN range(0, CAST({df} // 2 AS BIGINT))])"""
+    return f"(1 - CASE WHEN {df} % 2 = 1 THEN {odd} ELSE {even} END)"

@@ -12,7 +12,7 @@ from setstride.plans.common import draws
 @pytest.fixture(scope="module")
 def walk(spark):
     table = draws(spark, FOLDER)
-    return table, outcomes(prequential(table, every={}), table.domain).cache()
+    return table, outcomes(prequential(table, test=150, every={}), table.domain).cache()
 
 
 def test_first_predictions(walk):
