@@ -36,7 +36,6 @@ HEADLINE = [
     "brand_cooccurrence",
     "transition_matrix",
     "item_auc",
-    "sampled_items",
     "best_combinations",
     "neighbour_votes",
     "next_step_picks",

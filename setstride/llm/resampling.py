@@ -84,7 +84,7 @@ def log_ratios(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     parts = flagged.mapInArrow(_count, _TABLES).withColumn("part", F.pmod(F.xxhash64("raw"), F.lit(32)))
     total = parts.groupBy("range", "part").applyInArrow(_add, _TABLES).groupBy("range").applyInArrow(_add, _TABLES)
     raw, target = np.zeros((RANGES, (1 << CELL_BITS) // RANGES)), np.zeros((RANGES, (1 << CELL_BITS) // RANGES))
-    for row in total.toLocalIterator():
+    for row in total.collect():  # RANGES rows
         raw[row["range"]] = np.frombuffer(row["raw"], "<i8")
         target[row["range"]] = np.frombuffer(row["target"], "<i8")
     raw, target = raw.ravel(), target.ravel()

@@ -1,4 +1,4 @@
-"""Weighted sampling of item sets and exhaustive ranking of item combinations."""
+"""Exhaustive ranking of item combinations."""
 
 from __future__ import annotations
 
@@ -8,13 +8,6 @@ from pyspark.sql import functions as F
 from setstride.operators.layout import SERIES, StepTable
 from setstride.operators.pairs import cooccurrence
 
-SIMULATIONS = 50_000
-
-
-def hashed_uniform(text: Column) -> Column:
-    """A uniform number in (0, 1) fixed by the text: the first 52 bits of its md5."""
-    return (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint") + 0.5) / F.lit(float(16**13))
-
 
 def item_counts(table: StepTable, specials: bool = False) -> list[int]:
     """Appearances of every number of the (fixed, small) vocabulary, absent ones 0."""
@@ -25,42 +18,6 @@ def item_counts(table: StepTable, specials: bool = False) -> list[int]:
     return [found.get(n, 0) for n in range(1, width + 1)]
 
 
-def sample_items(table: StepTable, repetitions: int = SIMULATIONS) -> DataFrame:
-    """item, sim_count: inclusions over weighted draws of five without replacement.
-
-    The five smallest of -ln(u) / weight are such a draw; absent items weigh 1. Repetitions are
-    independent rows, so they spread over the cluster and combine before the only shuffle.
-    """
-    weights = F.lit([float(max(w, 1)) for w in item_counts(table)])
-    keys = F.transform(
-        weights,
-        lambda w, i: F.struct(
-            (-F.log(hashed_uniform(F.concat_ws("|", F.col("id").cast("string"), (i + 1).cast("string")))) / w).alias("key"),
-            (i + 1).alias("item"),
-        ),
-    )
-    drawn = F.slice(F.sort_array(keys), 1, table.domain.pick)
-    return (
-        table.spark.range(repetitions)
-        .select(F.explode(drawn).alias("_d"))
-        .groupBy(F.col("_d.item").alias("item"))
-        .agg(F.count("*").alias("sim_count"))
-    )
-
-
-def sample_specials(table: StepTable, repetitions: int = SIMULATIONS) -> DataFrame:
-    """item, sim_count: independent weighted draws of one special."""
-    weights = [max(w, 1) for w in item_counts(table, specials=True)]
-    edges, total = [], 0
-    for w in weights:
-        total += w
-        edges.append(total)
-    u = hashed_uniform(F.concat_ws("|", F.col("id").cast("string"), F.lit("special"))) * float(total)
-    drawn = table.spark.range(repetitions).select(u.alias("_u"))
-    position = F.size(F.filter(F.lit(edges), lambda e: e <= F.col("_u"))) + 1
-    return drawn.groupBy(position.alias("item")).agg(F.count("*").alias("sim_count"))
-
-
 def fitness_tables(table: StepTable) -> tuple[Column, Column]:
     """Share of appearances per item, and the pair share matrix flattened row by row, as constants.
 

@@ -72,15 +72,19 @@ def forest_rows(table: StepTable, lookback: int = LOOKBACK) -> DataFrame:
 
 
 def balanced_weights(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Add `weight` = n / (2 n_class) within `by`; class counts are a small table joined back."""
-    counts = rows.groupBy(*by, "y").agg(F.count("*").alias("_nc"))
-    totals = counts.groupBy(*by).agg(F.sum("_nc").alias("_n")) if by else counts.agg(F.sum("_nc").alias("_n"))
-    if by:
-        weights = counts.join(totals, by)
-    else:
-        weights = counts.withColumn("_j", F.lit(1)).join(totals.withColumn("_j", F.lit(1)), "_j").drop("_j")
-    weights = weights.select(*by, "y", (F.col("_n") / (2 * F.col("_nc"))).alias("weight"))
-    return rows.join(weights, [*by, "y"])
+    """Add `weight` = n / (2 n_class) within `by` (none, or a column of the fixed vocabulary).
+
+    Class counts are two numbers per group; they come back as a constant of the row expression, so no row moves for its weight.
+    """
+    counts = {tuple(r[:-1]): r[-1] for r in rows.groupBy(*by, "y").agg(F.count("*").alias("n")).collect()}
+    totals: dict[tuple, int] = {}
+    for (*group, _), n in counts.items():
+        totals[tuple(group)] = totals.get(tuple(group), 0) + n
+    weights = {"|".join(map(str, key)): totals[key[:-1]] / (2 * n) for key, n in counts.items()}
+    if not weights:
+        return rows.withColumn("weight", F.lit(None).cast("double"))
+    table = F.create_map(*[F.lit(x) for pair in sorted(weights.items()) for x in pair])
+    return rows.withColumn("weight", table[F.concat_ws("|", *[F.col(c).cast("string") for c in (*by, "y")])])
 
 
 def positive_weights(rows: DataFrame) -> DataFrame:

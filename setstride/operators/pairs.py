@@ -31,7 +31,8 @@ def cooccurrence(steps: DataFrame, items: str = "items", by: str = SERIES) -> Da
     """
     pairs = steps.select(by, F.explode(pairs_within(F.col(items))).alias("_p")).select(by, "_p.a", "_p.b")
     counts = pairs.groupBy(by, "a", "b").agg(F.count("*").alias("n"))
-    return counts.withColumn("share", F.col("n") / F.max("n").over(Window.partitionBy(by)))
+    top = counts.groupBy(by).agg(F.max("n").alias("_top"))
+    return counts.join(top, by).select(by, "a", "b", "n", (F.col("n") / F.col("_top")).alias("share"))
 
 
 def transition_pairs(table: StepTable, specials: bool = False) -> DataFrame:

@@ -124,25 +124,7 @@ def _(spark, folder):
     return predictions(t, span=span).select("model", F.array_sort("picks").alias("balls"), weight.alias("weight"))
 
 
-# --- sampling, combinations, neighbours
-
-UNIFORM = "(CAST('0x' || substr(md5({0}), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0"
-
-
-@query("sampled_items", with_(DRAWS, "wt AS (SELECT nums.item, greatest(count(li.ord), 1) AS w FROM nums LEFT JOIN li ON li.item = nums.item GROUP BY 1)", f"""
-ks AS (SELECT r, item, row_number() OVER (PARTITION BY r ORDER BY -ln({UNIFORM.format("r || '|' || item")}) / w, item) AS k FROM range(50000) a(r) CROSS JOIN wt)""", select="""
-SELECT item, count(*) AS sim_count FROM ks WHERE k <= 5 GROUP BY item"""))
-def _(spark, folder):
-    return combinations.sample_items(draws(spark, folder))
-
-
-@query("sampled_specials", with_(DRAWS, """
-wt AS (SELECT mnums.item, greatest(count(d.ord), 1) AS w FROM mnums LEFT JOIN d ON d.special = mnums.item GROUP BY 1),
-cm AS (SELECT item, sum(w) OVER (ORDER BY item) AS hi, sum(w) OVER (ORDER BY item) - w AS lo, sum(w) OVER () AS tot FROM wt)""", f"us AS (SELECT r, {UNIFORM.format("r || '|special'")} AS u FROM range(50000) a(r))", select="""
-SELECT item, count(*) AS sim_count FROM us JOIN cm ON u * tot >= lo AND u * tot < hi GROUP BY item"""))
-def _(spark, folder):
-    return combinations.sample_specials(draws(spark, folder))
-
+# --- combinations, neighbours
 
 FITNESS = """
 fr AS (SELECT nums.item, CAST(count(li.ord) AS DOUBLE) / (SELECT count(*) FROM li) AS f FROM nums LEFT JOIN li ON li.item = nums.item GROUP BY 1),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,26 +10,20 @@ from pyspark.sql import functions as F
 from setstride.operators.layout import SERIES, ordinal
 
 
-def upsert(stored: DataFrame, batches: list[DataFrame], keys: list[str]) -> DataFrame:
+def upsert(stored: DataFrame, batches: list[DataFrame], keys: list[str], order: list[str] | None = None) -> DataFrame:
     """Whole-row replace by key, the last batch wins; columns a batch lacks become null.
 
-    `max_by` combines before the shuffle, so a key rewritten many times costs one row per task.
+    Of a key that a batch repeats, the row with the largest `order` wins (by default the largest of the other columns in turn), whatever
+    task reads it. `max_by` combines before the shuffle, so a key rewritten many times costs one row per task.
     """
     versions = stored.withColumn("_seq", F.lit(0))
     for seq, batch in enumerate(batches, 1):
         versions = versions.unionByName(batch.withColumn("_seq", F.lit(seq)), allowMissingColumns=True)
     rest = [c for c in stored.columns if c not in keys]
-    newest = versions.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_seq").alias("_row"))
+    newest = versions.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("_seq", *(order or rest))).alias("_row"))
     return newest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in stored.columns])
 
 
-def write_snapshot(df: DataFrame, folder: str) -> str:
-    """Write a new version beside the old ones; readers of the previous version are not disturbed."""
-    path = f"{folder.rstrip('/')}/v-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return path
-
-
 def latest_key(df: DataFrame, key: str) -> DataFrame:
     return df.agg(F.coalesce(F.max(key), F.lit(0)).alias("latest"), F.count("*").alias("n_rows"))
 
