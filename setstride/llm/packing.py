@@ -101,13 +101,16 @@ def improved(bins: list[list[int]], lengths: list[int], most: int) -> list[list[
     size = np.array(lengths, np.int64)
     fill = [int(size[b].sum()) for b in bins]
     open_bins = {b for b in range(len(bins)) if fill[b] < most}
-    alive, failed = len(bins), 0
-    while alive > least and len(open_bins) > 1 and failed < FAILURES:
-        source, *others = heapq.nsmallest(NEIGHBOURS + 1, open_bins, key=lambda b: (fill[b], b))
+    alive, failed, tried = len(bins), 0, set()
+    while alive > least and len(open_bins) > 1 and open_bins - tried and failed < FAILURES:
+        source = min(open_bins - tried, key=lambda b: (fill[b], b))
+        others = heapq.nsmallest(NEIGHBOURS, open_bins - {source}, key=lambda b: (fill[b], b))
+        moved = False
         while bins[source]:
             step = _exchange(bins[source], bins, others, size, fill, most)
             if step is None:
                 break
+            moved = True
             target, given, taken = step
             bins[source] = [p for p in bins[source] if p not in given] + taken
             bins[target] = [p for p in bins[target] if p not in taken] + given
@@ -117,8 +120,14 @@ def improved(bins: list[list[int]], lengths: list[int], most: int) -> list[list[
             if fill[target] == most:
                 others.remove(target)
                 open_bins.discard(target)
-        open_bins.discard(source)
-        alive, failed = (alive - 1, 0) if not bins[source] else (alive, failed + 1)
+        if moved:  # bins that could not give before may now
+            tried.clear()
+        if bins[source]:
+            tried.add(source)
+            failed += 1
+        else:
+            open_bins.discard(source)
+            alive, failed = alive - 1, 0
     return [b for b in bins if b]
 
 
