@@ -3,14 +3,17 @@
 1. Base patterns (email, ip, card, phone) with their checks give spans that always stay.
 2. High-recall generators propose further, overlapping candidate spans of the same kinds (written-out and bracketed addresses, numbers
    without a plus, other separators, several numbers in a row).
-3. Boosted trees score candidates by format and context features. They are trained on all candidates of the corpus: features
+3. Boosted trees, one model per kind, score candidates by format and context features. They are trained on all candidates of the corpus: features
    are small integers, so the candidates collapse into a bounded table of distinct feature rows with counts (`cells`), on which the
-   boosting is exact. A candidate that overlaps a base span of its kind counts as a positive, any other as unlabelled, taken as a negative.
-4. The threshold is calibrated: the lowest score from which on at least `PRECISION` of the candidates are positives. Candidates from it on that overlap no
-   base span and no better candidate are added.
+   boosting is exact. A candidate that overlaps a base span of its kind counts as a positive, and so do its hidden copies: the same value in its place,
+   written in each way that only the generators know (`_hidden`). Other candidates are unlabelled. They count as negatives, except those that
+   could not be added (they overlap a base span) and those whose own writing or context vouches for them (`_vouched`), which take no part in the training.
+4. The threshold of a kind is calibrated: the lowest score from which on at least `PRECISION` of the candidates are positives and the model gives
+   each at least that probability. Candidates from it on that overlap no base span and no better candidate are added. So a form that nothing
+   vouches for is added where hidden copies outnumber the unlabelled candidates that look the same nine to one.
 
 Positions are code points, ends exclusive. Null and empty texts have no spans. Patterns start at the beginning of a run and never give characters back,
-so that very long texts take linear time. Without candidates or without both labels nothing is added. Repeated rows
+so that very long texts take linear time. A kind without base spans in the corpus adds nothing. Repeated rows
 give equal rows; an empty table gives an empty result; extra columns play no part.
 """
 
@@ -112,7 +115,7 @@ def base_spans(text: Column, has_digit: Column) -> dict[str, Column]:
     }
 
 
-FEATURES = ("kind", "digits", "length", "check", "sign", "separator", "before", "after", "cue")
+FEATURES = ("kind", "digits", "length", "check", "form", "separator", "before", "after", "cue")
 
 
 def _neighbour(c: Column) -> Column:
@@ -120,19 +123,58 @@ def _neighbour(c: Column) -> Column:
     return F.when((c == "") | F.rlike(c, F.lit(r"\s")), 0).when(F.rlike(c, F.lit(r"[\p{L}\p{N}_]")), 1).otherwise(2)
 
 
+def _address(value: Column) -> Column:
+    """An address with its written-out signs put back."""
+    at = F.regexp_replace(value, r"\x20?[(\[]at[)\]]\x20?|\x20at\x20", "@")
+    return F.regexp_replace(at, r"\x20?[(\[]dot[)\]]\x20?|\x20dot\x20", ".")
+
+
+def _form(kind: str, value: Column) -> Column:
+    """How the value is written: 0 as base patterns read it, else as only the generators do."""
+    if kind == "email":
+        return F.when(F.rlike(value, F.lit(r"[(\[]")), 1).when(F.contains(value, F.lit(" dot ")), 2).when(F.contains(value, F.lit(" at ")), 3).otherwise(0)
+    if kind == "ip":
+        return F.when(F.rlike(value, F.lit(r"[(\[]")), 1).when(F.contains(value, F.lit(" ")), 2).otherwise(0)
+    if kind == "card":
+        return F.when(F.rlike(value, F.lit("[./]")), 1).otherwise(0)
+    return F.when(F.startswith(value, F.lit("+")), 0).otherwise(1)
+
+
+def _hidden(kind: str, value: Column) -> list[Column]:
+    """A base value in the ways of writing that its base pattern does not read."""
+    if kind == "email":
+        name, host = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
+        ways = ((" [at] ", " [dot] "), (" at ", " dot "), (" at ", "."))
+        return [F.concat(name, F.lit(at), F.replace(host, F.lit("."), F.lit(dot))) for at, dot in ways]
+    if kind == "ip":
+        return [F.replace(value, F.lit("."), F.lit(dot)) for dot in ("[.]", " . ")]
+    if kind == "card":
+        return [F.regexp_replace(_digits(value), "([0-9]{4})(?=[0-9])", f"$1{dot}") for dot in "./"]
+    whole, home = F.substring(value, 2, 1 << 20), F.regexp_replace(value, r"^\+[0-9]{1,4}[\x20.-]+", "")
+    spaced = [F.trim(F.regexp_replace(v, r"[\x20().-]+", " ")) for v in (whole, home)]
+    return [whole, home, *[F.replace(v, F.lit(" "), F.lit(sep)) for v in spaced for sep in (" ", "-", ".")]]
+
+
+def _vouched(kind: str, f: Column) -> Column:
+    """The writing itself (brackets, both words, a valid card number) or a contact word says what an unlabelled candidate is."""
+    cue, check = f["cue"] == 1, f["check"] == 1
+    return {"email": check & (f["form"].isin(1, 2) | cue), "ip": check & ((f["form"] == 1) | cue), "card": check & (f["digits"].between(16, 19) | cue), "phone": cue & f["digits"].between(8, 15)}[kind]
+
+
 def _features(kind: str, span: Column, text: Column) -> Column:
     value = span["value"]
     digits = _digits(value)
-    check = _octets(F.regexp_replace(value, r"[^0-9.]", "")) if kind == "ip" else _luhn(digits) if kind == "card" else F.contains(value, F.lit("@"))
-    others = F.regexp_replace(value, r"[\p{L}0-9@+]", "")
+    plain = {"email": _address, "ip": lambda v: F.regexp_replace(v, "[^0-9.]", ""), "card": _digits, "phone": lambda v: v}[kind](value)
+    check = {"email": lambda: F.rlike(plain, F.lit(r"\.[A-Za-z]{2,}$")), "ip": lambda: _octets(plain), "card": lambda: _luhn(digits), "phone": lambda: F.lit(True)}[kind]()
+    others = F.regexp_replace(value, "[0-9+]", "")
     separator = F.when(others == "", 0).when(F.rlike(others, F.lit(r"^\.+$")), 1).when(F.rlike(others, F.lit(r"^\x20+$")), 2).when(F.rlike(others, F.lit("^-+$")), 3).otherwise(4)
     return F.struct(
         F.lit(KINDS.index(kind)).alias("kind"),
         F.least(F.char_length(digits), F.lit(20)).alias("digits"),
-        F.least(F.floor(F.char_length(value) / 4).cast("int"), F.lit(10)).alias("length"),
+        F.least(F.floor(F.char_length(plain) / 4).cast("int"), F.lit(10)).alias("length"),
         check.cast("int").alias("check"),
-        F.startswith(value, F.lit("+")).cast("int").alias("sign"),
-        separator.alias("separator"),
+        _form(kind, value).alias("form"),
+        (separator if kind == "phone" else F.lit(0)).alias("separator"),
         _neighbour(F.right(span["before"], F.lit(1))).alias("before"),
         _neighbour(F.substring(text, span["end"] + 1, F.lit(1))).alias("after"),
         F.rlike(span["before"], F.lit(_CUES[kind])).cast("int").alias("cue"),
@@ -145,25 +187,49 @@ def _overlaps(a: Column, b: Column) -> Column:
     return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
 
+def _proposed(text: Column, has_digit: Column) -> dict[str, Column]:
+    """Spans of the generators by kind."""
+    at = F.rlike(text, F.lit(r"@|[(\[]at[)\]]|\x20at\x20"))
+    return {
+        kind: F.when(at if kind == "email" else has_digit, _occurrences(text, GENERATORS[kind], lambda v: F.lit(True))).otherwise(_none())
+        for kind in KINDS
+    }
+
+
 def candidates(text: Column, has_digit: Column, base: dict[str, Column]) -> Column:
-    """Candidates of all kinds with features, `positive` (overlaps a base span of its kind) and `taken` (overlaps any)."""
+    """Candidates of all kinds with features and `taken` (overlaps any base span)."""
     every = F.concat(*base.values())
 
     def described(kind: str):
-        own = base[kind]
         return lambda span: let(_features(kind, span, text), lambda f: F.struct(
-            *[f[n].alias(n) for n in (*FEATURES, "start", "end")],
-            F.exists(own, lambda x: _overlaps(f, x)).cast("int").alias("positive"),
-            F.exists(every, lambda x: _overlaps(f, x)).alias("taken"),
+            *[f[n].alias(n) for n in (*FEATURES, "start", "end")], F.exists(every, lambda x: _overlaps(f, x)).alias("taken"),
         ))
 
-    out = []
-    for kind in KINDS:
-        written = F.rlike(text, F.lit(r"[(\[](?:at|dot)[)\]]|\x20dot\x20"))
-        guard = F.contains(text, F.lit("@")) | written if kind == "email" else has_digit
-        spans = F.when(guard, _occurrences(text, GENERATORS[kind], lambda v: F.lit(True))).otherwise(_none())
-        out.append(F.transform(spans, described(kind)))
-    return F.concat(*out)
+    return F.concat(*[F.transform(spans, described(kind)) for kind, spans in _proposed(text, has_digit).items()])
+
+
+def examples(text: Column, has_digit: Column, base: dict[str, Column]) -> Column:
+    """What the models are trained on: features and `positive` of candidates and of the hidden copies of base values."""
+    every = F.concat(*base.values())
+
+    def row(f: Column, positive: int) -> Column:
+        return F.struct(*[f[n].alias(n) for n in FEATURES], F.lit(positive).alias("positive"))
+
+    def told(kind: str):
+        def of(span: Column) -> Column:
+            copies = F.filter(F.array(*_hidden(kind, span["value"])), lambda v: F.rlike(v, F.lit(f"^(?:{GENERATORS[kind]})$")))
+            known = F.concat(
+                F.array(row(_features(kind, span, text), 1)),
+                F.transform(copies, lambda v: row(_features(kind, span.withField("value", v), text), 1)),
+            )
+            unknown = let(_features(kind, span, text), lambda f: F.when(~_vouched(kind, f), F.array(row(f, 0))))
+            own = F.exists(base[kind], lambda x: _overlaps(span, x))
+            return F.when(own, known).when(~F.exists(every, lambda x: _overlaps(span, x)), unknown)
+
+        return of
+
+    made = [F.transform(spans, told(kind)) for kind, spans in _proposed(text, has_digit).items()]
+    return F.flatten(F.filter(F.concat(*made), lambda x: x.isNotNull()))
 
 
 @dataclass(frozen=True)
@@ -223,8 +289,10 @@ def _grow(rows: list[dict], depth: int) -> Tree:
 def boost(cells: list[dict]) -> Model:
     """Boosted trees on feature cells with `n` candidates, `positive` of them; the threshold keeps the wanted precision."""
     good, total = sum(c["positive"] for c in cells), sum(c["n"] for c in cells)
-    if not good or good == total:
+    if not good:
         return Model()
+    if good == total:  # nothing speaks against any candidate
+        return Model([Tree(value=math.log(PRECISION / (1 - PRECISION)))], 0.0)
     score, trees = [0.0] * len(cells), []
     for _ in range(ROUNDS):
         rows = []
@@ -239,34 +307,50 @@ def boost(cells: list[dict]) -> Model:
     for k, (s, c) in enumerate(ordered):
         hits, seen = hits + c["positive"], seen + c["n"]
         last_of_score = k + 1 == len(ordered) or ordered[k + 1][0] < s
-        if last_of_score and hits >= PRECISION * seen:
+        if last_of_score and hits >= PRECISION * seen and s >= math.log(PRECISION / (1 - PRECISION)):
             threshold = s - 1e-9
     return Model(trees, threshold)
 
 
-def _found(documents: DataFrame) -> DataFrame:
-    """doc_id, arrays of base spans by kind, candidates; every step is a projection of the row."""
+def _read(documents: DataFrame) -> DataFrame:
+    """doc_id, text, digit, arrays of base spans by kind; every step is a projection of the row."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("digit", F.rlike("text", F.lit("[0-9]")))
-    rows = rows.select("*", *[c.alias(k) for k, c in base_spans(F.col("text"), F.col("digit")).items()])
-    return rows.withColumn("found", candidates(F.col("text"), F.col("digit"), {k: F.col(k) for k in KINDS}))
+    return rows.select("*", *[c.alias(k) for k, c in base_spans(F.col("text"), F.col("digit")).items()])
 
 
-def fit(documents: DataFrame) -> Model:
-    """Train on all candidates of the corpus: at most one collected row per distinct feature row."""
-    each = _found(documents).select(F.explode("found").alias("c"))
+def cells(documents: DataFrame) -> list[dict]:
+    """Distinct feature rows of the examples with their numbers: at most one collected row each."""
+    found = examples(F.col("text"), F.col("digit"), {k: F.col(k) for k in KINDS})
+    each = _read(documents).select(F.explode(found).alias("c"))
     names = [F.col(f"c.{n}").alias(n) for n in FEATURES]
-    cells = each.groupBy(*names).agg(F.count("*").alias("n"), F.sum("c.positive").alias("positive")).collect()
-    return boost(sorted((r.asDict() for r in cells), key=lambda r: tuple(r[n] for n in FEATURES)))
+    counted = each.groupBy(*names).agg(F.count("*").alias("n"), F.sum("c.positive").alias("positive")).collect()
+    return sorted((r.asDict() for r in counted), key=lambda r: tuple(r[n] for n in FEATURES))
+
+
+def fit(documents: DataFrame) -> list[Model]:
+    """A model for each kind, trained on all examples of the corpus."""
+    every = cells(documents)
+    return [boost([c for c in every if c["kind"] == k]) for k in range(len(KINDS))]
+
+
+def report(documents: DataFrame, models: list[Model] | None = None) -> DataFrame:
+    """doc_id, base counts and digest, all spans, and how many of them the models added."""
+    models = models or fit(documents)
+    rows = _read(documents)
+    able = [(k, m) for k, m in enumerate(models) if m.trees and m.threshold < math.inf]
+    if able:
+        rows = rows.withColumn("found", candidates(F.col("text"), F.col("digit"), {k: F.col(k) for k in KINDS}))
+
+        def reaching(least: float):
+            return lambda s: F.when(s >= F.lit(least), s)
 
+        def score(c: Column) -> Column:
+            """Null where the candidate is below the threshold of its kind."""
+            return F.coalesce(*[F.when(c["kind"] == k, let(m.column(c), reaching(m.threshold))) for k, m in able])
 
-def report(documents: DataFrame, model: Model | None = None) -> DataFrame:
-    """doc_id, base counts and digest, all spans, and how many of them the model added."""
-    model = model or fit(documents)
-    rows = _found(documents)
-    if model.trees and model.threshold < math.inf:
-        scored = F.transform("found", lambda c: c.withField("score", model.column(c)))
-        passing = F.filter(scored, lambda c: ~c["taken"] & (c["score"] >= F.lit(model.threshold)))
+        scored = F.transform(F.filter("found", lambda c: ~c["taken"]), lambda c: c.withField("score", score(c)))
+        passing = F.filter(scored, lambda c: c["score"].isNotNull())
 
         def better(a: Column, b: Column) -> Column:
             """`a` goes before `b`: higher score, then kind, then place."""

@@ -140,6 +140,24 @@ def test_pii_base_spans(spark, awkward, empty):  # noqa: F811
     assert pii.report(empty).count() == 0
 
 
+def test_pii_adds_other_ways_of_writing(spark):
+    """Written-out addresses, numbers without a plus and other separators are added where base matches have taught the models; look-alikes are not."""
+    card = next(c for c in (f"411122223333{n}" for n in range(1000, 1010)) if luhn(c))
+    told = [f"mail user{i}@host{i % 7}.org today. call +1 (017) 555-{7000 + i} now. from 10.0.{i}.1 here. paid {4000000000000000 + i} and also {card} so" for i in range(60)]
+    told += [f"on 2024-01-{i % 28 + 10} we look at this.{i} and 1. 2. 3. {i} things" for i in range(60)]
+    wanted = {
+        PII_TEXTS[5]: ["(017) 555-7713", "030 123 4567"], PII_TEXTS[6]: ["john [at] home [dot] org"], "write john at home dot org": ["john at home dot org"],
+        "contact name at host.org": ["name at host.org"], f"card {card[:4]}.{card[4:8]}.{card[8:12]}.{card[12:]}": [f"{card[:4]}.{card[4:8]}.{card[8:12]}.{card[12:]}"],
+        "host 10[.]1[.]2[.]3": ["10[.]1[.]2[.]3"], "on 2024-01-15 we look at this.9 and 1. 2. 3. 4 things": [], f"card {card[:4]}.{card[4:8]}.{card[8:12]}.{int(card[12:]) + 1}": [],
+    }
+    rows = spark.createDataFrame(list(enumerate([*wanted, *told])), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in pii.report(rows).collect()}
+    for i, (text, values) in enumerate(wanted.items()):
+        spans = [s.split(":") for s in found[i]["spans"].split(",") if s]
+        assert [text[int(start) : int(end)] for _, start, end in spans] == values and found[i]["n_added"] == len(values), text
+    assert not any(found[i]["n_added"] for i in range(len(wanted), len(wanted) + len(told)))
+
+
 def test_boosting_separates_cells():
     cells = [dict.fromkeys(pii.FEATURES, 0) | {"digits": d, "cue": c, "n": 40, "positive": 40 if d > 6 and c else 1} for d in range(12) for c in (0, 1)]
     model = pii.boost(cells)
