@@ -2,7 +2,7 @@
 
 The lexer reads name-literal pairs (`name = "literal"`, `name: literal`, `"name": "literal"`, `name => 'literal'`), resolves names that are
 assigned from other names until nothing changes, and scores every literal by the terms of the names that it reaches and by its own
-make-up. Literals with a score of at least 1 are added as kind `literal`; pattern matches always stay.
+make-up. Names and literals have any length and may hold escapes. Literals with a score of at least 1.5 are added as kind `literal`; pattern matches always stay.
 
 Positions are code points of the whole text, ends exclusive. Null and empty texts have no spans; ties at one start are ordered by kind.
 Repeated rows give equal rows. An empty table gives an empty result; extra columns play no part.
@@ -45,8 +45,8 @@ TERMS = {
 }
 _TERM_HINTS = ("pass", "pwd", "secret", "token", "key", "cred", "auth", "private", "bearer")
 _PAIR = re.compile(
-    r"""(?<![\w.$-])(?P<q>["']?)(?P<name>[A-Za-z_$][\w.$-]{0,63})(?P=q)[ \t]{0,8}(?::=|=>|=(?!=)|:(?!:))[ \t]{0,8}"""
-    r"""(?:"(?P<double>[^"\\\n]{1,512})"|'(?P<single>[^'\\\n]{1,512})'|(?P<bare>[^\s"',;{}()\[\]]{1,512}))"""
+    r"""(?<![\w.$-])(?P<q>["']?)(?P<name>[A-Za-z_$][\w.$-]*+)(?P=q)[ \t]*+(?::=|=>|=(?!=)|:(?!:))[ \t]*+"""
+    r"""(?:"(?P<double>(?:[^"\\\n]++|\\.)++)"|'(?P<single>(?:[^'\\\n]++|\\.)++)'|(?P<bare>[^\s"',;{}()\[\]]++))"""
 )
 _NAME = re.compile(r"[A-Za-z_$][\w.$-]*\Z")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 
 import pytest
@@ -196,6 +197,26 @@ def test_secret_spans(spark, awkward, empty):  # noqa: F811
     assert secrets.report(empty).count() == 0
 
 
+def literals_of(text):
+    return [text[start:end] for _, kind, _, start, end in secrets.scan(text) if kind == 3]
+
+
+def test_secret_literals_of_any_length():
+    """Whole spans and masks, whatever the length of the literal or the name, with escapes, and in linear time."""
+    for n in (512, 513, 640, 100_000):
+        value = ("Zk3x9QpL0aVt7Rm2" * (n // 16 + 1))[:n]
+        assert literals_of(f'auth_credential = "{value}"') == [value] == literals_of(f"auth_credential = {value}\n")
+        assert secrets.redacted(f'auth_credential = "{value}";') == f'auth_credential = "{secrets.MASK}";'
+        assert secrets.redacted(f"auth_credential = {value}\nx") == f"auth_credential = {secrets.MASK}\nx"
+    escaped = 'Zk3x9Qp\\"L0aVt7R\\\\m2'
+    assert literals_of(f'auth_credential = "{escaped}"') == [escaped]
+    assert literals_of(f'{"a" * 80}_auth_credential{" " * 20}= "Zk3x9QpL0aVt7Rm2"') == ["Zk3x9QpL0aVt7Rm2"]
+    started = time.monotonic()
+    for text in ('auth="' * 100_000, 'auth="\\"' * 100_000, "auth" * 100_000 + " =", "auth: b[" * 100_000, "auth:b<" * 100_000 + '="', "auth" + " " * 400_000):
+        secrets.scan(text)
+    assert time.monotonic() - started < 30
+
+
 def test_redaction_masks_and_keeps(spark, awkward, empty):  # noqa: F811
     rows = spark.createDataFrame([(i, t, 0) for i, t in enumerate(SECRET_TEXTS)], "doc_id long, text string, n_chars int")
     out = {r["doc_id"]: r for r in secrets.redact(rows).collect()}
