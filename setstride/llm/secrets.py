@@ -1,6 +1,7 @@
 """Secret scans: three fixed patterns, and an assignment-aware lexer for source and configuration text.
 
-The lexer reads name-literal pairs (`name = "literal"`, `name: literal`, `"name": "literal"`, `name => 'literal'`), resolves names that are
+The lexer reads name-literal pairs (`name = "literal"`, `name: literal`, `"name": "literal"`, `name => 'literal'`,
+`name: type = "literal"`), resolves names that are
 assigned from other names until nothing changes, and scores every literal by the terms of the names that it reaches and by its own
 make-up. Names and literals have any length and may hold escapes. Literals with a score of at least 1.5 are added as kind `literal`; pattern matches always stay.
 
@@ -44,8 +45,19 @@ TERMS = {
     "credential": 1.0, "credentials": 1.0, "cred": 0.7, "auth": 0.6, "key": 0.5, "private": 0.5, "access": 0.3, "signing": 0.5, "client": 0.2, "api": 0.4, "bearer": 0.8,
 }
 _TERM_HINTS = ("pass", "pwd", "secret", "token", "key", "cred", "auth", "private", "bearer")
+def _nested(opening: str, closing: str, depth: int = 3) -> str:
+    own = "[^" + re.escape(opening + closing) + r"\n=]"
+    inner = f"|{_nested(opening, closing, depth - 1)}" if depth > 1 else ""
+    return re.escape(opening) + f"(?:{own}++{inner})*+" + re.escape(closing)
+
+
+#: A declared type between a name and its "=": dotted words, bracketed arguments, unions, references.
+_ATOM = rf"(?:&(?:'\w++[ \t]++)?+)?+[A-Za-z_$][\w.$]*+(?:{_nested('[', ']')}|{_nested('<', '>')})*+"
+_TYPED = rf"[?!]?+:[ \t]*+{_ATOM}(?:[ \t]*+\|[ \t]*+{_ATOM})*+[ \t]*+=(?![=>])"
 _PAIR = re.compile(
-    r"""(?<![\w.$-])(?P<q>["']?)(?P<name>[A-Za-z_$][\w.$-]*+)(?P=q)[ \t]*+(?::=|=>|=(?!=)|:(?!:))[ \t]*+"""
+    r"""(?<![\w.$-])(?P<q>["']?)(?P<name>[A-Za-z_$][\w.$-]*+)(?P=q)[ \t]*+(?:"""
+    + _TYPED
+    + r"""|:=|=>|=(?!=)|:(?!:))[ \t]*+"""
     r"""(?:"(?P<double>(?:[^"\\\n]++|\\.)++)"|'(?P<single>(?:[^'\\\n]++|\\.)++)'|(?P<bare>[^\s"',;{}()\[\]]++))"""
 )
 _NAME = re.compile(r"[A-Za-z_$][\w.$-]*\Z")

@@ -201,6 +201,21 @@ def literals_of(text):
     return [text[start:end] for _, kind, _, start, end in secrets.scan(text) if kind == 3]
 
 
+TYPED_TEXTS = [
+    'api_key: str = "q8Zr-55xK-aa01-LLp2"', 'const authCredential: string = "q8Zr-55xK-aa01-LLp2";', 'authCredential?: string | null = "q8Zr-55xK-aa01-LLp2"',
+    'auth_credential: Optional[dict[str, list[str]]] = "q8Zr-55xK-aa01-LLp2"', "let auth_credential: &'static str = \"q8Zr-55xK-aa01-LLp2\";",
+    "authCredential: Promise<Map<string, string>> = 'q8Zr-55xK-aa01-LLp2'", "authCredential: string[] = q8Zr-55xK-aa01-LLp2",
+]
+
+
+def test_secret_literals_of_typed_names():
+    for text in TYPED_TEXTS:
+        assert literals_of(text) == ["q8Zr-55xK-aa01-LLp2"], text
+        assert "q8Zr" not in secrets.redacted(text)
+    assert not literals_of('f(token: x, name = "q8Zr-55xK-aa01-LLp2")') and not literals_of('title: str = "q8Zr-55xK-aa01-LLp2"')
+    assert literals_of("auth_credential: q8Zr-55xK-aa01-LLp2") == ["q8Zr-55xK-aa01-LLp2"]
+
+
 def test_secret_literals_of_any_length():
     """Whole spans and masks, whatever the length of the literal or the name, with escapes, and in linear time."""
     for n in (512, 513, 640, 100_000):
