@@ -44,7 +44,8 @@ TERMS = {
     "password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "pass": 0.6, "secret": 1.0, "token": 0.9, "apikey": 1.0,
     "credential": 1.0, "credentials": 1.0, "cred": 0.7, "auth": 0.6, "key": 0.5, "private": 0.5, "access": 0.3, "signing": 0.5, "client": 0.2, "api": 0.4, "bearer": 0.8,
 }
-_TERM_HINTS = ("pass", "pwd", "secret", "token", "key", "cred", "auth", "private", "bearer")
+#: Every sensitive name holds one of these: the terms that contain no other.
+_TERM_HINTS = tuple(t for t in TERMS if not any(o in t for o in TERMS if o != t))
 def _nested(opening: str, closing: str, depth: int = 3) -> str:
     own = "[^" + re.escape(opening + closing) + r"\n=]"
     inner = f"|{_nested(opening, closing, depth - 1)}" if depth > 1 else ""

@@ -216,6 +216,13 @@ def test_secret_literals_of_typed_names():
     assert literals_of("auth_credential: q8Zr-55xK-aa01-LLp2") == ["q8Zr-55xK-aa01-LLp2"]
 
 
+def test_secret_names_of_weak_terms():
+    """Terms that are only together sensitive need no other word in the text."""
+    for name in ("clientSigningAccess", "api_signing", "signing"):
+        assert literals_of(f'{name} = "Zk3x9QpL0aVt7Rm2"') == ["Zk3x9QpL0aVt7Rm2"] == literals_of(f'{name} = "Zk3x9QpL0aVt7Rm2" # monkey')
+    assert all(any(h in term for h in secrets._TERM_HINTS) for term in secrets.TERMS)
+
+
 def test_secret_literals_of_any_length():
     """Whole spans and masks, whatever the length of the literal or the name, with escapes, and in linear time."""
     for n in (512, 513, 640, 100_000):
