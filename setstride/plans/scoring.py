@@ -171,6 +171,17 @@ def _(spark, folder):
     return neighbours.nearest(latest, base.select("id", "vec"), 10, skip_self=True)
 
 
+@query("embedding_neighbours_by_50", """
+WITH ds AS (SELECT a.vec_id AS qid, b.vec_id, sqrt(list_sum([(CAST(a.embedding[j] AS DOUBLE) - b.embedding[j]) * (CAST(a.embedding[j] AS DOUBLE) - b.embedding[j]) FOR j IN range(1, 65)])) AS dist
+       FROM embeddings a CROSS JOIN embeddings b WHERE a.vec_id % 50 = 0 AND b.vec_id <> a.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY dist, vec_id) AS rank FROM ds)
+SELECT qid AS query_id, vec_id AS neighbour_id, round(dist, 6) AS distance, rank FROM r WHERE rank <= 10""")
+def _(spark, folder):
+    """Every vector whose id is divisible by 50 against all vectors: the queries grow with the table."""
+    base = table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
+    return neighbours.nearest(base.where(F.col("id") % 50 == 0), base, 10, skip_self=True)
+
+
 @query("embedding_moments", """
 SELECT i - 1 AS dim, round(avg(CAST(embedding[i] AS DOUBLE)), 6) + 0.0 AS mean, round(stddev_pop(CAST(embedding[i] AS DOUBLE)), 6) AS std
 FROM embeddings, range(1, 65) r(i) GROUP BY i""")

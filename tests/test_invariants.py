@@ -8,7 +8,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import Step, make_steps
+from conftest import FOLDER, Step, make_steps
 from setstride.operators.layout import SERIES, ordinal
 from setstride.operators.neighbours import _nearest_by_chunks, nearest
 from setstride.operators.pairs import context_state, sparse_transitions, transition_matrix
@@ -186,3 +186,12 @@ def test_user_scorer_sees_its_halo(small_blocks, steps):
     got = {r["ord"]: r["score"] for r in block_scorer("twice", 2, last_seen_twice)(small_blocks, None).collect()}
     for i in (2, 127, 128, 129, 299):
         assert got[i] == [float(sum(n in s.items for s in steps[i - 2:i])) for n in range(1, 48)]
+
+
+def test_neighbour_queries_grow_with_the_table(spark):
+    from setstride.plans import QUERIES
+    from setstride.plans.common import table
+
+    ids = {r["vec_id"] for r in table(spark, FOLDER, "embeddings").select("vec_id").collect()}
+    found = QUERIES["embedding_neighbours_by_50"](spark, FOLDER).collect()
+    assert sorted((r["query_id"], r["rank"]) for r in found) == [(q, k) for q in sorted(ids) if q % 50 == 0 for k in range(1, 11)]
