@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from setstride.llm import decontaminate, near_join, packing, pii, quality_rules, repeats, resampling, secrets, sharding, warc
+from setstride.llm import decontaminate, near_join, packing, pii, prefix_trie, quality_rules, repeats, resampling, secrets, sharding, warc
 from setstride.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,8 @@ def suffix_array_dedup(spark, folder):
 @query("op5_importance_resampling")
 def importance_resampling(spark, folder):
     return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op13_centroid_prefix_trie")
+def centroid_prefix_trie(spark, folder):
+    return prefix_trie.rebuilt_trie(table(spark, folder, "conversations"))
