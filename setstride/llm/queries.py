@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from setstride.llm import decontaminate, near_join, packing, pii, prefix_trie, quality_rules, repeats, resampling, secrets, sharding, warc
+from setstride.llm import collocations, decontaminate, near_join, packing, pii, prefix_trie, quality_rules, repeats, resampling, secrets, sharding, warc
 from setstride.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,8 @@ def importance_resampling(spark, folder):
 @query("op13_centroid_prefix_trie")
 def centroid_prefix_trie(spark, folder):
     return prefix_trie.rebuilt_trie(table(spark, folder, "conversations"))
+
+
+@query("op12_misra_gries_collocations")
+def misra_gries_collocations(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"))

@@ -68,12 +68,12 @@ def text_chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int
         at = to
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of every word, index of the first word of every row (one more than rows), first and last byte (exclusive) of the words."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True, blank: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words between bytes marked in `blank`: hash of every word, index of the first word of every row (one more than rows), first and last byte (exclusive) of the words."""
     rows = len(offsets) - 1
     if not len(data):
         return np.zeros(0, _U), np.zeros(rows + 1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    inside = ~BLANK[data]
+    inside = ~blank[data]
     starts = inside.copy()
     starts[1:] &= ~inside[:-1]
     edges = offsets[:-1][offsets[:-1] < len(data)]
