@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from setstride.llm import collocations, decontaminate, near_join, packing, pii, prefix_trie, quality_rules, repeats, resampling, secrets, sharding, warc
+from setstride.llm import collocations, decontaminate, language_id, near_join, packing, pii, prefix_trie, quality_rules, repeats, resampling, secrets, sharding, warc
 from setstride.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,8 @@ def centroid_prefix_trie(spark, folder):
 @query("op12_misra_gries_collocations")
 def misra_gries_collocations(spark, folder):
     return collocations.collocations(table(spark, folder, "documents"))
+
+
+@query("op11_hierarchical_language_id")
+def hierarchical_language_id(spark, folder):
+    return language_id.identify(table(spark, folder, "documents"))
