@@ -20,6 +20,7 @@ Null texts are empty; null languages are `und`. Repeated rows count as often as
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -96,7 +97,16 @@ def _is_set(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[(cell >> _U(3)).astype(np.int64)] >> (cell & _U(7)).astype(np.uint8)) & 1 == 1
 
 
-def _possible(words: _Words, k: int, known: int, bits: np.ndarray | None) -> np.ndarray:
+def _packed(bits: np.ndarray) -> bytes:
+    """The filter as it goes to tasks: compressed, so that few survivors are few bytes."""
+    return zlib.compress(bits.tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), np.uint8)
+
+
+def _possible(words: _Words, k: int, known: int, bits: np.ndarray) -> np.ndarray:
     """Where a phrase of k words starts all of whose phrases of `known` words survived."""
     ok = words.runs(k)
     if known and len(ok):
@@ -106,10 +116,11 @@ def _possible(words: _Words, k: int, known: int, bits: np.ndarray | None) -> np.
     return ok
 
 
-def _blocks(sizes: tuple[int, ...], known: int, bits: np.ndarray | None, part_bits: int):
+def _blocks(sizes: tuple[int, ...], known: int, packed: bytes, part_bits: int):
     """Counted hashes of every chunk, cut by hash partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = _unpacked(packed)
         for words, _ in _chunks(batches):
             found = [words.phrases(k)[_possible(words, k, known, bits)] for k in sizes if len(words.first) >= k]
             if not found or not sum(map(len, found)):
@@ -182,28 +193,29 @@ def _surviving(masses: dict[int, int], least: int, part_bits: int):
             cell = (summary.frequent(least) >> _U(64 - FILTER_BITS)) & _U(cells - 1)
             marked = np.zeros(cells, bool)
             marked[cell.astype(np.int64)] = True
-            yield pa.record_batch([pa.array([p], pa.int32()), pa.array([np.packbits(marked, bitorder="little").tobytes()], pa.binary())], ["part", "bits"])
+            yield pa.record_batch([pa.array([p], pa.int32()), pa.array([_packed(np.packbits(marked, bitorder="little"))], pa.binary())], ["part", "bits"])
 
     return run
 
 
-def survivors(texts: DataFrame, sizes: tuple[int, ...], least: int, known: int = 0, bits: np.ndarray | None = None) -> np.ndarray:
-    """The filter of `bits` and of all phrases of the given sizes that may occur `least` times."""
+def survivors(texts: DataFrame, sizes: tuple[int, ...], least: int, known: int, bits: np.ndarray) -> np.ndarray:
+    """The filter: cells set in `bits`, and those of all phrases of the given sizes that may occur `least` times."""
     spark = texts.sparkSession
     part_bits = min(max(n_partitions(spark) - 1, 1).bit_length(), FILTER_BITS - 3)
-    blocks = stored(texts.mapInArrow(_blocks(sizes, known, bits, part_bits), _BLOCKS), "phrase-blocks")
+    blocks = stored(texts.mapInArrow(_blocks(sizes, known, _packed(bits), part_bits), _BLOCKS), "phrase-blocks")
     masses = {r["part"]: r["mass"] for r in blocks.groupBy("part").agg(F.sum("mass").alias("mass")).collect()}  # a number per hash partition
     merged = blocks.repartition(n_partitions(spark), "part").mapInArrow(_surviving(masses, least, part_bits), "part int, bits binary")
     out = np.zeros((1 << part_bits, 1 << (FILTER_BITS - part_bits - 3)), np.uint8)
     for row in merged.toLocalIterator():  # 2^FILTER_BITS bits in all
-        out[row["part"]] = np.frombuffer(row["bits"], np.uint8)
-    return out.ravel() if bits is None else out.ravel() | bits
+        out[row["part"]] = _unpacked(row["bits"])
+    return out.ravel() | bits
 
 
-def _counted(longest: int, bits: np.ndarray):
+def _counted(longest: int, packed: bytes):
     """(lang, phrase, size, n): occurrences of surviving phrases in every chunk, and its words per language as size 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = _unpacked(packed)
         for words, langs in _chunks(batches):
             if not len(words.first):
                 continue
@@ -232,12 +244,12 @@ def _count_batch(lang, phrase, size, n) -> pa.RecordBatch:
 def phrase_counts(documents: DataFrame, least: int, longest: int) -> DataFrame:
     """(lang, phrase, size, n): exact counts of all phrases of 1 to `longest` words that occur `least` times, and of all words (size 0)."""
     texts = documents.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    bits = survivors(texts, (1,), least)
+    bits = survivors(texts, (1,), least, 0, np.zeros(1 << (FILTER_BITS - 3), np.uint8))
     if longest > 1:
         bits = survivors(texts, (2,), least, 1, bits)
     if longest > 2:
         bits = survivors(texts, tuple(range(3, longest + 1)), least, 2, bits)
-    counts = texts.mapInArrow(_counted(longest, bits), "lang string, phrase string, size int, n long").groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
+    counts = texts.mapInArrow(_counted(longest, _packed(bits)), "lang string, phrase string, size int, n long").groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
     return stored(counts.where((F.col("n") >= least) | (F.col("size") == 0)), "phrase-counts")
 
 
