@@ -13,8 +13,11 @@ Two documents link when the Jaccard similarity of their distinct k-word shingles
 * Equal sets are one node from the start. In every signature group each member is verified against one leader (the member with
   the fewest rare tokens, most like the others), a count linear in the group. Only members of groups that are still in different
   components are then compared with each other, inside tasks, in blocks of bounded size, by sketches: counts of tokens in
-  `SKETCH` cells, whose sums of differences bound the overlap from above. Pairs that could still link are verified on whole sets.
-  No link is lost, and groups of copies never expand into pairs.
+  `SKETCH` cells, whose sums of differences bound the overlap from above. What leaves these tasks first are the *members* that have a
+  partner, not the pairs. For those, and only those, the tokens that any other of them also has are counted exactly (`shared`): a
+  token that is nowhere else cannot be in an overlap, so two texts with edits of their own are told apart without a comparison, however
+  many of them a group holds. Pairs that sizes, sketches and shared tokens still allow leave the group of their least common signature, once,
+  and are verified on whole sets. No link is lost, and groups of copies never expand into pairs.
 
 Null, empty and blank texts have no tokens and link with nothing. Texts shorter than a shingle are one token.
 Repeated rows of one doc_id are one document in the classes; null ids are left out of the index. Sets are of 64-bit hashes, nodes 64-bit
@@ -254,13 +257,16 @@ def _token_batch(ids, out):
     return pa.record_batch([pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(out)))], ["node", "tokens"])
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
-    """(a, b, linked) for candidate pairs of nodes, decided on whole token sets read again from one text per node."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _tokens_of(wanted: DataFrame, texts: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
+    """(node, tokens) of the wanted nodes, from one text each."""
     one = sets.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     chosen = texts.join(one, "doc_id").select("node", "text")
-    tokens = chosen.mapInArrow(_write_tokens(rule), "node long, tokens array<long>")
-    tokens = stored(tokens, "near-tokens")
+    return stored(chosen.mapInArrow(_write_tokens(rule), "node long, tokens array<long>"), "near-tokens")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
+    """(a, b, linked) for candidate pairs of nodes, decided on whole token sets read again from one text per node."""
+    tokens = _tokens_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), texts, sets, rule)
     left = tokens.select(F.col("node").alias("a"), F.col("tokens").alias("left"))
     right = tokens.select(F.col("node").alias("b"), F.col("tokens").alias("right"))
     both = pairs.join(right, "b").join(left, "a")
@@ -268,32 +274,39 @@ def _verified(pairs: DataFrame, texts: DataFrame, sets: DataFrame, rule: Similar
     return both.select("a", "b", rule.holds(common, F.size("left"), F.size("right")).alias("linked")).distinct()
 
 
-def _dealt(members: DataFrame) -> DataFrame:
+def _dealt(members: DataFrame, *more: str) -> DataFrame:
     """Members of each group (signature, node, root, n, sketch, members) in the order of their units: a group of more than
     `BLOCK` members is cut into blocks, and every two blocks are a unit, so that a task holds two blocks."""
     blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
     rows = members.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     other = rows.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    units = other.select("signature", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "root", "n", "sketch")
+    units = other.select("signature", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "root", "n", "sketch", *more)
     key = ["signature", "low", "high"]
     return units.repartition(n_partitions(members.sparkSession), *key).sortWithinPartitions(*key)
 
 
-def _meet(rule: Similarity):
-    """Pairs of members of a unit that are in different components and could link."""
-
-    def pairs(low, high, block, node, root, n, sketch):
-        if (root == root[0]).all():
-            return
-        within = low == high
-        for i in np.flatnonzero(block == low) if not within else range(len(node)):
-            other = np.arange(len(node)) > i if within else block == high
-            other = np.flatnonzero(other & (root != root[i]) & (100 * n >= rule.per_hundred * n[i]) & (100 * n[i] >= rule.per_hundred * n))
-            if len(other):
-                apart = np.abs(sketch[other] - sketch[i]).sum(axis=1)
-                total = n[other] + n[i]
-                for j in other[100 * (total - apart) >= rule.per_hundred * (total + apart)].tolist():
-                    yield (int(node[i]), int(node[j])) if node[i] < node[j] else (int(node[j]), int(node[i]))
+def _partners(unit: dict[str, np.ndarray], rule: Similarity) -> Iterator[tuple[int, np.ndarray]]:
+    """Each member of a unit with the later ones, of other components, that sizes, sketches and shared tokens allow it to link with."""
+    low, high = int(unit["low"][0]), int(unit["high"][0])
+    block, root, n, sketch = unit["block"], unit["root"], unit["n"].astype(np.int64), unit["sketch"]
+    if (root == root[0]).all():
+        return
+    most = unit.get("shared", n).astype(np.int64)
+    within = low == high
+    for i in np.flatnonzero(block == low) if not within else range(len(root)):
+        other = np.arange(len(root)) > i if within else block == high
+        bound = np.minimum(most, most[i])
+        other = np.flatnonzero(other & (root != root[i]) & (100 * np.minimum(np.minimum(n, n[i]), bound) >= rule.per_hundred * (n + n[i] - bound)))
+        if len(other):
+            apart = np.abs(sketch[other] - sketch[i]).sum(axis=1)
+            total = n[other] + n[i]
+            other = other[100 * (total - apart) >= rule.per_hundred * (total + apart)]
+        if len(other):
+            yield i, other
+
+
+def _by_unit(names: tuple[str, ...], found, out: list[str]):
+    """A kernel over units: `found` gives rows for each, as tuples of the columns `out`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -313,21 +326,79 @@ def _meet(rule: Similarity):
     def units(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(batches).combine_chunks()
         batch = table.to_batches()[0]
-        column = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in ("low", "high", "block", "node", "root", "n")}
-        sketch = batch.column("sketch").flatten().to_numpy(zero_copy_only=False).reshape(-1, SKETCH)
-        found: list[tuple[int, int]] = []
+        column = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in ("signature", "low", "high", "block", "node", "root", "n", *names)}
+        column["sketch"] = batch.column("sketch").flatten().to_numpy(zero_copy_only=False).reshape(-1, SKETCH)
+        rows: list[tuple] = []
         at = 0
         for end in _ends(batch):
-            part = slice(at, end)
-            found.extend(pairs(int(column["low"][at]), int(column["high"][at]), column["block"][part], column["node"][part], column["root"][part], column["n"][part].astype(np.int64), sketch[part]))
+            rows.extend(found({name: c[at:end] for name, c in column.items()}))
             at = end
-            if len(found) > 1 << 16 or end == batch.num_rows and found:
-                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*found)], ["a", "b"])
-                found = []
+            if len(rows) > 1 << 16 or end == batch.num_rows and rows:
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows)], out)
+                rows = []
 
     return run
 
 
+def _open(rule: Similarity):
+    """(signature, node): the members of a unit that have a partner there."""
+
+    def found(unit: dict[str, np.ndarray]):
+        paired = np.zeros(len(unit["node"]), bool)
+        for i, other in _partners(unit, rule):
+            paired[i] = True
+            paired[other] = True
+        return [(int(unit["signature"][0]), v) for v in unit["node"][paired].tolist()]
+
+    return _by_unit((), found, ["signature", "node"])
+
+
+def _meet(rule: Similarity):
+    """(a, b): pairs of members of a unit that are in different components and could link, from the least signature they share."""
+
+    def found(unit: dict[str, np.ndarray]):
+        signature, node, all_of = int(unit["signature"][0]), unit["node"].tolist(), unit["all"]
+        for i, other in _partners(unit, rule):
+            for j in other.tolist():
+                if np.intersect1d(all_of[i], all_of[j], assume_unique=True)[0] == signature:
+                    yield (node[i], node[j]) if node[i] < node[j] else (node[j], node[i])
+
+    return _by_unit(("shared", "all"), found, ["a", "b"])
+
+
+def _own_or_known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(token, node, n) from (node, tokens): a token that several nodes of a batch have gives one row with n = 2 and no node, and its nodes a row
+    without token that counts it; other tokens go with their node. So a token that very many nodes have is few rows."""
+    for batch in batches:
+        nodes, lists = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
+        of = np.repeat(nodes, lists.value_lengths().to_numpy(zero_copy_only=False))
+        tokens, at, counts = np.unique(lists.flatten().to_numpy(zero_copy_only=False), return_inverse=True, return_counts=True)
+        alone = counts[at] == 1
+        order = np.flatnonzero(alone)
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
+        known, times = np.unique(of[~alone], return_counts=True)
+        both = tokens[counts > 1]
+        yield pa.record_batch(
+            [
+                pa.concat_arrays([pa.array(flat[order]), pa.array(both), pa.nulls(len(known), pa.int64())]),
+                pa.concat_arrays([pa.array(of[order]), pa.nulls(len(both), pa.int64()), pa.array(known)]),
+                pa.array(np.concatenate([np.ones(len(order), np.int64), np.full(len(both), 2), times])),
+            ],
+            ["token", "node", "n"],
+        )
+
+
+def _shared_counts(tokens: DataFrame) -> DataFrame:
+    """(node, shared): at most so many tokens of each node (node, tokens) some other node also has; nodes without any are absent.
+
+    The count is exact unless a node stands repeatedly, which only raises it."""
+    met = stored(tokens.mapInArrow(_own_or_known, "token long, node long, n long"), "near-own")
+    tall = met.where("token is not null")
+    common = tall.groupBy("token").agg(F.sum("n").alias("times")).where("times > 1").select("token")
+    elsewhere = tall.where("node is not null").join(common, "token").select("node", F.lit(1).cast("long").alias("n"))
+    return elsewhere.unionByName(met.where("token is null").select("node", "n")).groupBy("node").agg(F.sum("n").alias("shared"))
+
+
 def _unit(batch: pa.RecordBatch, i: int) -> tuple:
     i = i % batch.num_rows
     return tuple(batch.column(k)[i].as_py() for k in ("signature", "low", "high"))
@@ -366,8 +437,13 @@ def classes(documents: DataFrame, rule: Similarity = Similarity()) -> DataFrame:
     member = near.join(component.withColumnRenamed("root", "found"), "node", "left").select("signature", "node", F.coalesce("found", "node").alias("root"))
     mixed = member.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
     mixed = mixed.where("low != high").select("signature", "members")
-    open_members = member.distinct().join(mixed, "signature").join(size, "node")
-    met = stored(_dealt(open_members).mapInArrow(_meet(rule), "a long, b long").distinct(), "near-met")
+    open_members = stored(member.distinct().join(mixed, "signature").join(size, "node"), "near-open")
+    paired = stored(_dealt(open_members).mapInArrow(_open(rule), "signature long, node long").distinct(), "near-paired")
+    shared = stored(_shared_counts(_tokens_of(paired.select("node").distinct(), texts, sets, rule)), "near-shared")
+    every = paired.groupBy("node").agg(F.sort_array(F.collect_list("signature")).alias("all"))
+    left = paired.join(open_members.drop("members"), ["signature", "node"]).join(shared, "node").join(every, "node")
+    left = left.join(paired.groupBy("signature").agg(F.count("*").alias("members")), "signature")
+    met = stored(_dealt(left, "shared", "all").mapInArrow(_meet(rule), "a long, b long"), "near-met")
     rest = stored(met.join(tested, ["a", "b"], "left_anti").join(tested.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"), "near-rest")
     if rest.limit(1).count():
         more = stored(_verified(rest, texts, sets, rule), "near-rest-tested")
