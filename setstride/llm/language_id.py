@@ -20,6 +20,7 @@ What is collected and shipped to tasks grows with the number of languages only (
 from __future__ import annotations
 
 import itertools
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -87,15 +88,23 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for lang in set(here):
                 held[lang] = held.get(lang, 0) + counts[here == lang].sum(axis=0)
     if held:
-        yield pa.record_batch([pa.array(list(held)), pa.array([c.astype("<i8").tobytes() for c in held.values()], pa.binary())], ["lang", "counts"])
+        yield pa.record_batch([pa.array(list(held)), pa.array([_packed(c) for c in held.values()], pa.binary())], ["lang", "counts"])
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    return zlib.compress(counts.astype("<i8").tobytes(), 1)
+
+
+def _unpacked(blob: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(blob), "<i8")
 
 
 def _add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(_CELLS, np.int64)
     for batch in batches:
         for blob in batch.column("counts"):
-            total = total + np.frombuffer(blob.as_buffer(), "<i8")
-    yield pa.record_batch([pa.array([key[0].as_py()], pa.string()), pa.array([total.astype("<i8").tobytes()], pa.binary())], ["lang", "counts"])
+            total = total + _unpacked(blob.as_py())
+    yield pa.record_batch([pa.array([key[0].as_py()], pa.string()), pa.array([_packed(total)], pa.binary())], ["lang", "counts"])
 
 
 def families(profiles: dict[str, np.ndarray]) -> list[list[str]]:
@@ -196,7 +205,7 @@ def learn(learned: DataFrame, sample: int = SAMPLE) -> Hierarchy | None:
     """The hierarchy of (doc_id, text, lang) rows without nulls; None where there are none."""
     counted = learned.select("text", "lang").mapInArrow(_count, "lang string, counts binary").withColumn("part", F.pmod(F.xxhash64("counts"), F.lit(32)).cast("int"))
     total = counted.groupBy("lang", "part").applyInArrow(_add, "lang string, counts binary").groupBy("lang").applyInArrow(_add, "lang string, counts binary")
-    profiles = {r["lang"]: np.frombuffer(r["counts"], "<i8") for r in total.toLocalIterator()}  # one row per language
+    profiles = {r["lang"]: _unpacked(r["counts"]) for r in total.toLocalIterator()}  # one row per language
     if not profiles:
         return None
     groups = families(profiles)
@@ -207,7 +216,8 @@ def learn(learned: DataFrame, sample: int = SAMPLE) -> Hierarchy | None:
         spark = learned.sparkSession
         place = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
         chosen = learned.select("doc_id", "lang").distinct().withColumn("at", F.row_number().over(place)).where(F.col("at") <= sample)
-        texts = learned.join(chosen.select("doc_id", "lang"), ["doc_id", "lang"]).select("doc_id", "lang", "text").dropDuplicates(["doc_id", "lang"])
+        picked = F.broadcast(chosen.select("doc_id", "lang"))  # `sample` rows per language at most
+        texts = learned.join(picked, ["doc_id", "lang"]).select("doc_id", "lang", "text").dropDuplicates(["doc_id", "lang"])
         shares = stored(texts.select("text", "lang").mapInArrow(_sampled_shares, "lang string, shares binary"), "language-sample")
         of = spark.createDataFrame([(n, *p) for p in pairs for n in p], "lang string, first string, second string")
         fitted = shares.join(of, "lang").groupBy("first", "second").applyInArrow(_fit, "first string, second string, weights binary")
