@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import itertools
-import json
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -67,36 +64,6 @@ def softmax(values: Column) -> Column:
     return let(let(values, raise_all), shares)
 
 
-def combos(candidates: int, pick: int) -> Column:
-    """All index combinations in lexicographic order, as one constant array."""
-    text = json.dumps([list(c) for c in itertools.combinations(range(candidates), pick)])
-    return F.from_json(F.lit(text), "array<array<int>>")
-
-
-def best_tickets(score: Column, candidates: Column, pool: int = 12, pick: int = 5, tickets: int = 5) -> Column:
-    """The `tickets` best combinations of the `pool` candidate items: sum descending, then combo descending.
-
-    The candidates are put in item order first, so index order of the combinations is item order and
-    the tie rule becomes "the later combination first".
-    """
-    table = combos(pool, pick)
-
-    def chosen(members: Column) -> Column:
-        values = F.transform(members, lambda item: F.get(score, item - 1))
-        return let(values, lambda v: best_of(members, v))
-
-    def best_of(members: Column, v: Column) -> Column:
-        def total(c: Column) -> Column:
-            parts = [F.get(v, F.get(c, F.lit(j))) for j in range(pick)]
-            return F.round(reduce(lambda a, b: a + b, parts), 10)
-
-        sums = F.transform(table, lambda c, i: F.struct(total(c).alias("total"), i.alias("at")))
-        best = F.slice(F.sort_array(sums, asc=False), 1, tickets)
-        return F.transform(best, lambda b: F.transform(F.get(table, b["at"]), lambda j: F.get(members, j)))
-
-    return let(F.sort_array(candidates), chosen)
-
-
 def prize(hit_count: Column, special_hit: Column) -> Column:
     """Payoff of a ticket."""
     pairs = [F.lit(v) for (h, s), amount in PRIZES.items() for v in (2 * h + int(s), amount)]

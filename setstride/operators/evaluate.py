@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from setstride.config import INITIAL_STEPS, MAX_TICKETS, REFIT_EVERY, TICKET_CANDIDATES, TICKET_COST, Domain
-from setstride.functions.arrays import best_tickets, expected_prize, hits, mean_rank, prize
+from setstride.functions.arrays import expected_prize, hits, mean_rank, prize
 from setstride.functions.stats import student_p
+from setstride.operators.kernels import ticket_kernel
 from setstride.operators.layout import SERIES, StepTable, halo_window, running_totals, spread
 from setstride.operators.scorers import normalised, predictions
 
@@ -190,19 +191,33 @@ def stale_scores(scores: DataFrame, table: StepTable, every: int, initial: int =
     return facts.join(served, [SERIES, "ord"])
 
 
-def ticket_rows(scores: DataFrame, domain: Domain, tickets: int = MAX_TICKETS, candidates: int = TICKET_CANDIDATES) -> DataFrame:
-    """The best tickets of each step with their payoff: columns ticket (1-based), numbers, ticket_hits, ticket_prize."""
-    made = scores.where(F.col("special").isNotNull()).withColumn(
-        "_tickets", best_tickets(F.col("score"), F.slice("ranked", 1, candidates), candidates, domain.pick, tickets)
-    )
-    rows = made.select(
-        SERIES, "ord", "step_id", "ts", "model", "items", "special", "special_pick", F.posexplode("_tickets").alias("_at", "numbers")
+TICKET_KEYS = [SERIES, "ord", "step_id", "ts", "model", "items", "special", "special_pick"]
+
+
+def best_tickets(scores: DataFrame, domain: Domain, tickets: int = MAX_TICKETS, candidates: int = TICKET_CANDIDATES) -> DataFrame:
+    """Each scored step with its best combinations of the first `candidates` items: tickets, ticket_hits (parallel arrays)."""
+    kept = scores.select(*TICKET_KEYS, "score", "ranked")
+    schema = kept.select(*TICKET_KEYS, F.lit(None).cast("array<array<int>>").alias("tickets"), F.lit(None).cast("array<int>").alias("ticket_hits")).schema
+    return kept.mapInArrow(ticket_kernel(TICKET_KEYS, candidates, domain.pick, tickets), schema)
+
+
+def ticket_steps(scores: DataFrame, domain: Domain, tickets: int = MAX_TICKETS, candidates: int = TICKET_CANDIDATES) -> DataFrame:
+    """The best tickets of each revealed step, one row per step and model, with `ticket_prizes` beside them."""
+    made = best_tickets(scores.where(F.col("special").isNotNull()), domain, tickets, candidates)
+    known = F.col("special_pick") == F.col("special")
+    paid = F.when(F.col("special_pick").isNull(), F.transform("ticket_hits", lambda h: expected_prize(h, domain.specials))).otherwise(
+        F.transform("ticket_hits", lambda h: prize(h, known))
     )
-    h = F.size(F.array_intersect("numbers", "items"))
-    paid = F.when(F.col("special_pick").isNull(), expected_prize(h, domain.specials)).otherwise(
-        prize(h, F.col("special_pick") == F.col("special"))
+    return made.withColumn("ticket_prizes", paid)
+
+
+def ticket_rows(scores: DataFrame, domain: Domain, tickets: int = MAX_TICKETS, candidates: int = TICKET_CANDIDATES) -> DataFrame:
+    """One row per ticket of each step: columns ticket (1-based), numbers, ticket_hits, ticket_prize."""
+    steps = ticket_steps(scores, domain, tickets, candidates)
+    rows = steps.select(*TICKET_KEYS, F.posexplode(F.arrays_zip("tickets", "ticket_hits", "ticket_prizes")).alias("_at", "_t"))
+    return rows.select(
+        *TICKET_KEYS, (F.col("_at") + 1).alias("ticket"), F.col("_t.tickets").alias("numbers"), "_t.ticket_hits", F.col("_t.ticket_prizes").alias("ticket_prize")
     )
-    return rows.withColumn("ticket", F.col("_at") + 1).withColumn("ticket_hits", h).withColumn("ticket_prize", paid).drop("_at")
 
 
 def prequential(
@@ -225,19 +240,20 @@ def prequential(
     return out
 
 
-def multi_ticket(tickets: DataFrame) -> DataFrame:
-    """Return of buying the first 1..K tickets each step, per model."""
-    return multi_ticket_steps(tickets).groupBy("model", "buy_n").agg(
-        F.avg("paid").alias("ev_per_draw"),
-        F.max(F.col("buy_n") * TICKET_COST).alias("cost_per_draw"),
-        F.avg(F.col("paid") - F.col("buy_n") * TICKET_COST).alias("net_ev"),
-        (F.avg(F.col("paid") - F.col("buy_n") * TICKET_COST) / F.max(F.col("buy_n") * TICKET_COST) * 100).alias("roi_pct"),
-    )
+def _paid(k: int) -> Column:
+    """What the first `k` tickets of a step pay."""
+    return F.aggregate(F.slice("ticket_prizes", 1, k), F.lit(0.0), lambda a, p: a + p)
 
 
-def multi_ticket_steps(tickets: DataFrame) -> DataFrame:
-    upto = Window.partitionBy(SERIES, "model", "ord").orderBy("ticket").rowsBetween(Window.unboundedPreceding, 0)
-    return tickets.select(SERIES, "model", "ord", F.col("ticket").alias("buy_n"), F.sum("ticket_prize").over(upto).alias("paid"))
+def multi_ticket(steps: DataFrame, tickets: int = MAX_TICKETS) -> DataFrame:
+    """Return of buying the first 1..K tickets each step, per model; running sums stay inside the row."""
+    means = steps.groupBy("model").agg(*[F.avg(_paid(k)).alias(f"_{k}") for k in range(1, tickets + 1)])
+    rows = means.select("model", F.posexplode(F.array(*[f"_{k}" for k in range(1, tickets + 1)])).alias("_at", "ev_per_draw"))
+    cost = (F.col("_at") + 1) * TICKET_COST
+    return rows.select(
+        "model", (F.col("_at") + 1).alias("buy_n"), "ev_per_draw", cost.alias("cost_per_draw"),
+        (F.col("ev_per_draw") - cost).alias("net_ev"), ((F.col("ev_per_draw") - cost) / cost * 100).alias("roi_pct"),
+    )
 
 
 def drift(rows: DataFrame, table: StepTable, origin: int = 0, window: int = 51, every: int = 50) -> DataFrame:
@@ -252,21 +268,27 @@ def drift(rows: DataFrame, table: StepTable, origin: int = 0, window: int = 51,
     )
 
 
-def walk_report(scores: DataFrame, table: StepTable, origin: int = INITIAL_STEPS) -> DataFrame:
-    """Per model: metrics of the first ticket, hit shares, last drift value and the 1..K ticket returns."""
-    tickets = ticket_rows(scores, table.domain)
-    first = tickets.where("ticket = 1").select("*", F.col("ticket_hits").alias("hits"), F.col("ticket_prize").alias("ev"), F.lit(None).cast("double").alias("mean_rank"))
-    metrics = summary(first, ["model"], table.domain).select(
-        "model", "n_draws", F.col("mean_hits").alias("avg_hits"), F.col("precision_at5").alias("prec_at5"),
-        F.col("vs_random_hits").alias("vs_random"), "ev_per_draw", F.col("net_ev_per_draw").alias("net_ev"), "roi_pct",
-    )
-    buys = multi_ticket(tickets).groupBy("model").pivot("buy_n", list(range(1, MAX_TICKETS + 1))).agg(
-        F.first("ev_per_draw").alias("ev"), F.first("net_ev").alias("net_ev"), F.first("roi_pct").alias("roi")
+def walk_report(scores: DataFrame, table: StepTable, tickets: int = MAX_TICKETS) -> DataFrame:
+    """Per model, from one pass: metrics of the first ticket, shares of its hits, last drift value and the 1..K ticket returns."""
+    steps = ticket_steps(scores, table.domain, tickets)
+    first = steps.withColumn("hits", F.get("ticket_hits", F.lit(0))).withColumn("ev", F.get("ticket_prizes", F.lit(0)))
+    n, pick = F.col("n_draws"), table.domain.pick
+    rows = first.groupBy("model").agg(
+        F.count("*").alias("n_draws"), F.avg("hits").alias("avg_hits"), F.avg("ev").alias("ev_per_draw"),
+        *[F.count_if(F.col("hits") == h).alias(f"_h{h}") for h in range(pick + 1)],
+        *[F.avg(_paid(k)).alias(f"buy{k}_ev") for k in range(1, tickets + 1)],
     )
-    named = buys.select(
-        "model", *[F.col(f"{k}_{c}").alias(f"buy{k}_{c}") for k in range(1, MAX_TICKETS + 1) for c in ("ev", "net_ev", "roi")]
+    return rows.select(
+        "model", "n_draws", "avg_hits", (F.col("avg_hits") / pick).alias("prec_at5"), (F.col("avg_hits") - table.domain.random_hits).alias("vs_random"),
+        "ev_per_draw", (F.col("ev_per_draw") - TICKET_COST).alias("net_ev"), ((F.col("ev_per_draw") - TICKET_COST) / TICKET_COST * 100).alias("roi_pct"),
+        *[
+            c for k in range(1, tickets + 1) for c in (
+                F.col(f"buy{k}_ev"), (F.col(f"buy{k}_ev") - k * TICKET_COST).alias(f"buy{k}_net_ev"),
+                ((F.col(f"buy{k}_ev") - k * TICKET_COST) / (k * TICKET_COST) * 100).alias(f"buy{k}_roi"),
+            )
+        ],
+        *[(F.col(f"_h{h}") / n * 100).alias(f"hit{h}_pct") for h in range(pick + 1)],
     )
-    return metrics.join(named, "model")
 
 
 # ---------------------------------------------------------------------------------------------------

@@ -7,6 +7,7 @@ per slot (about 150 of them), whose generated code is too large for the JIT and
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -171,3 +172,50 @@ def context_kernel(keep: list[str], items: int, specials: int, revealed: str) ->
             yield _finish(batch, keep, own, {"score": score, "special_score": special_score})
 
     return run
+
+
+def quanta(scores: np.ndarray) -> np.ndarray:
+    """Scores of rows as whole numbers: units of 1e-9, or of 1e-9 times the power of ten above the row's largest score.
+
+    Whole scores stay exact up to 10^9, and sums of whole numbers have no order of addition.
+    """
+    digits = np.array([len(str(int(top))) if top >= 1 else 0 for top in scores.max(axis=1)])
+    return np.floor(scores * 10.0 ** (9 - digits)[:, None] + 0.5)
+
+
+def ticket_kernel(keep: list[str], pool: int, pick: int, tickets: int, rows: int = 4096) -> Callable[[Batches], Batches]:
+    """The `tickets` best combinations of the `pool` first-ranked items of each row, and how many of the row's items each holds.
+
+    Combinations rank by the sum of whole-number scores, the lexicographically later one first on equal sums. All sums of a
+    block of rows are one product with the 0/1 matrix of combinations; sums times their number stay below 2^53, so they are exact.
+    """
+    table = np.array(list(itertools.combinations(range(pool), pick)))
+    member = np.zeros((pool, len(table)))
+    member[table.T, np.arange(len(table))] = 1
+
+    def best(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        n = batch.num_rows
+        score = _lists(_column(batch, "score"))[1].reshape(n, -1).astype(np.float64)
+        ranked = _lists(_column(batch, "ranked"))[1].reshape(n, -1)
+        chosen = np.sort(ranked[:, :pool], axis=1)  # index order is item order
+        whole = np.take_along_axis(quanta(score), chosen - 1, axis=1)
+        key = (whole @ member) * len(table) + np.arange(len(table))
+        few = np.argpartition(key, len(table) - tickets, axis=1)[:, -tickets:]
+        at = np.take_along_axis(few, np.argsort(-np.take_along_axis(key, few, axis=1), axis=1), axis=1)
+        numbers = np.take_along_axis(chosen, table[at].reshape(n, -1), axis=1).reshape(n, tickets, pick)
+        hot = np.zeros((n, score.shape[1] + 1), np.int32)
+        hot[_lists(_column(batch, "items"))] = 1
+        hits = np.take_along_axis(hot, numbers.reshape(n, -1), axis=1).reshape(n, tickets, pick).sum(axis=2)
+        return numbers, hits
+
+    def run(batches: Batches) -> Batches:
+        for whole in batches:
+            for at in range(0, whole.num_rows, rows):
+                batch = whole.slice(at, rows)
+                numbers, hits = best(batch)
+                each = _as_lists(numbers.reshape(-1, pick).astype(np.int32))
+                offsets = pa.array(np.arange(0, (len(hits) + 1) * tickets, tickets, dtype=np.int32))
+                made = [pa.ListArray.from_arrays(offsets, each), _as_lists(hits.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([*batch.select(keep).columns, *made], names=[*keep, "tickets", "ticket_hits"])
+
+    return run

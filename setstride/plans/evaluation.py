@@ -111,7 +111,7 @@ SELECT model, buy_n, round(avg(paid), 6) AS ev_per_draw, CAST(buy_n AS DOUBLE) A
        round((avg(paid) - buy_n) / buy_n * 100, 6) + 0.0 AS roi_pct FROM cu GROUP BY model, buy_n"""))
 def _(spark, folder):
     t, scores = walked(spark, folder)
-    return evaluate.multi_ticket(evaluate.ticket_rows(scores, t.domain))
+    return evaluate.multi_ticket(evaluate.ticket_steps(scores, t.domain))
 
 
 @query("drift", with_(*ALL_SCORES, """
@@ -155,7 +155,8 @@ cu AS (SELECT model, ord, ticket AS buy_n, sum(paid) OVER (PARTITION BY model, o
 be AS (SELECT model, buy_n, avg(paid) AS e FROM cu GROUP BY ALL),
 b5 AS (SELECT model, """ + BUYS + """ FROM be GROUP BY model),
 f1 AS (SELECT model, count(*) AS n_draws, round(avg(hits), 6) AS avg_hits, round(avg(hits) / 5, 6) AS prec_at5, round(avg(hits) - 25.0 / 47, 6) + 0.0 AS vs_random,
-       round(avg(paid), 6) AS ev_per_draw, round(avg(paid) - 1, 6) + 0.0 AS net_ev, round((avg(paid) - 1) * 100, 6) + 0.0 AS roi_pct FROM tp WHERE ticket = 1 GROUP BY model)""", select="SELECT * FROM f1 JOIN b5 USING (model)"))
+       round(avg(paid), 6) AS ev_per_draw, round(avg(paid) - 1, 6) + 0.0 AS net_ev, round((avg(paid) - 1) * 100, 6) + 0.0 AS roi_pct,
+       """ + ", ".join(f"round(100.0 * count(*) FILTER (hits = {h}) / count(*), 6) AS hit{h}_pct" for h in range(6)) + """ FROM tp WHERE ticket = 1 GROUP BY model)""", select="SELECT * FROM f1 JOIN b5 USING (model)"))
 def _(spark, folder):
     t, scores = walked(spark, folder)
     return evaluate.walk_report(scores, t)

@@ -121,18 +121,21 @@ fsum AS MATERIALIZED (
   FROM dates JOIN fw ON ts < we GROUP BY ALL HAVING n_train >= 50 AND n_test >= 5)
 """
 
-# The 792 index combinations of 12 candidates and the five best tickets of every (model, ord) in `wanted`.
+# The 792 index combinations of 12 candidates and the five best tickets of every (model, ord) in `wanted`; scores are whole
+# numbers of units below the power of ten above the largest one.
 TICKETS = """
+qt AS (
+  SELECT model, ord, item, CAST(floor(score * power(10.0, 9 - CASE WHEN top >= 1 THEN length(CAST(CAST(floor(top) AS BIGINT) AS VARCHAR)) ELSE 0 END) + 0.5) AS BIGINT) AS q
+  FROM (SELECT rk.*, max(score) OVER (PARTITION BY model, ord) AS top FROM rk JOIN wanted USING (model, ord)) WHERE rk <= 12),
 cd AS MATERIALIZED (
-  SELECT model, ord, list(item ORDER BY item) AS c, list(score ORDER BY item) AS p
-  FROM rk JOIN wanted USING (model, ord) WHERE rk <= 12 GROUP BY model, ord),
+  SELECT model, ord, list(item ORDER BY item) AS c, list(q ORDER BY item) AS p FROM qt GROUP BY model, ord),
 cx AS MATERIALIZED (
   SELECT a.i AS a, b.i AS b, c.i AS c3, e.i AS e, f.i AS f, row_number() OVER (ORDER BY a.i, b.i, c.i, e.i, f.i) AS cid
   FROM range(1, 13) a(i) JOIN range(1, 13) b(i) ON b.i > a.i JOIN range(1, 13) c(i) ON c.i > b.i
   JOIN range(1, 13) e(i) ON e.i > c.i JOIN range(1, 13) f(i) ON f.i > e.i),
 tk AS MATERIALIZED (
   SELECT model, ord, [c[a], c[b], c[c3], c[e], c[f]] AS numbers,
-         row_number() OVER (PARTITION BY model, ord ORDER BY round(p[a] + p[b] + p[c3] + p[e] + p[f], 10) DESC, cid DESC) AS ticket
+         row_number() OVER (PARTITION BY model, ord ORDER BY p[a] + p[b] + p[c3] + p[e] + p[f] DESC, cid DESC) AS ticket
   FROM cd, cx QUALIFY ticket <= 5),
 tp AS MATERIALIZED (
   SELECT tk.model, tk.ord, d.ts, tk.ticket, tk.numbers, len(list_intersect(tk.numbers, d.items)) AS hits, sp.special_pick,
