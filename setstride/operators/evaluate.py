@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from setstride.functions.arrays import expected_prize, hits, mean_rank, prize
 from setstride.functions.stats import student_p
 from setstride.operators.kernels import ticket_kernel
 from setstride.operators.layout import SERIES, StepTable, halo_window, running_totals, spread
-from setstride.operators.scorers import normalised, predictions
+from setstride.operators.scorers import normalised, predictions, refitted
 
 
 def outcomes(scores: DataFrame, domain: Domain) -> DataFrame:
@@ -227,17 +229,26 @@ def prequential(
     test: int | None = None,
     every: dict[str, int] | None = None,
 ) -> DataFrame:
-    """Scores of each model from ord `initial` on, for `test` steps or to the end, refit on the model's own schedule."""
+    """Scores of each model from ord `initial` on, for `test` steps or to the end, refit on the model's own schedule.
+
+    A model of counts follows every step; refit every k steps, it serves its fit's prediction up to the next. A learned model is fitted
+    at initial, initial + k, ... on the steps before, and scores the steps up to the next fit.
+    """
     every = REFIT_EVERY if every is None else every
-    end = table.longest if test is None else initial + test
-    scores = predictions(table, models, (initial, end))
-    fresh = [m for m in models if every.get(m, 1) <= 1]
-    out = scores.where(F.col("model").isin(fresh)).withColumn("fit_ord", F.col("ord"))
-    for model in models:
-        if model not in fresh:
-            aged = stale_scores(scores.where(F.col("model") == model), table, every[model], initial)
-            out = out.unionByName(aged.where(F.col("ord") < end))
-    return out
+    end = table.longest if test is None else min(initial + test, table.longest)
+    learned = [m for m in models if refitted(m)]
+    followed = tuple(m for m in models if m not in learned)
+    parts = []
+    if followed:
+        scores = predictions(table, followed, (initial, end))
+        fresh = [m for m in followed if every.get(m, 1) <= 1]
+        parts.append(scores.where(F.col("model").isin(fresh)).withColumn("fit_ord", F.col("ord")))
+        parts += [stale_scores(scores.where(F.col("model") == m), table, every[m], initial).where(F.col("ord") < end) for m in followed if m not in fresh]
+    for model in learned:
+        step = max(every.get(model, 1), 1)
+        scores = refitted(model)(table, list(range(initial, end, step)), end)
+        parts.append(scores.withColumn("fit_ord", F.col("ord") - F.pmod(F.col("ord") - initial, F.lit(step))))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _paid(k: int) -> Column:

@@ -1,38 +1,43 @@
-"""Spark ML scorers on as-of-step features.
+"""Learned scorers on as-of-step features, fitted once or anew along a walk.
 
-Default is one pooled model over (step, item) rows; `per_item` fits one model per number on the whole
-state vector of a step, a loop over the fixed vocabulary and not over data.
+* `decision_tree`: one tree per item on the whole state vector (gap, gap ratio, last-30 and last-100 count of every item).
+* `rf`, `xgb`: a forest and boosted trees per item on the feature matrix (8 rolled statistics, gap and last-20 count of every item).
+* `mlp`: one network for all items on an item's own gap and last-30 count. Rows with equal inputs are one weighted row, so
+  the training table is as small as the number of distinct inputs, and is counted in one pass for all fits of a walk.
+
+A fit at ordinal `fit` has seen the steps before it and scores the steps from there up to the next fit. Trees: see `trees`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import itertools
+import math
+from collections.abc import Callable, Iterator
+from functools import partial
 
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    GBTClassifier,
-    MultilayerPerceptronClassifier,
-    RandomForestClassifier,
-)
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from setstride.config import LOOKBACK, SHORT_WINDOW, VALIDATION_STEPS
+from setstride.config import LOOKBACK, SHORT_WINDOW, VALIDATION_STEPS, Domain
 from setstride.functions.arrays import multihot
+from setstride.operators import trees
 from setstride.operators.evaluate import outcomes
 from setstride.operators.layout import SERIES, StepTable
 from setstride.operators.neighbours import state_vectors
 from setstride.operators.patterns import ROLLED, rolling_features
-from setstride.operators.scorers import KEYS, scored
-from setstride.operators.state import average_gap, current_gap, item_grid, item_part, slot_state
+from setstride.operators.scorers import KEYS, Span, register, register_refitted, scored
+from setstride.operators.state import current_gap, item_part, slot_state
+from setstride.operators.trees import Bins, Matrix, Models
 
-TREE_FEATURES = ["gap", "gap_ratio", "freq30", "freq100"]
-ROLL_FEATURES = [f"{c}_roll{LOOKBACK}_{s}" for c in ROLLED for s in ("mean", "std")]
-FOREST_FEATURES = [*ROLL_FEATURES, "gap", "freq20"]
-# Fixed value: weight of a positive row, 42 absent items for 5 present ones.
+WARM_UP = 100
+# Weight of a positive row, 42 absent items for 5 present ones; layers, rate and passes of the network.
 POSITIVE_WEIGHT = 42 / 5
+HIDDEN = (128, 64)
+RATE = 0.001
+EPOCHS = 100
+BATCHES = 8
 
 
 def feature_matrix(table: StepTable, lookback: int = LOOKBACK, include_current: bool = False) -> DataFrame:
@@ -48,188 +53,283 @@ def feature_matrix(table: StepTable, lookback: int = LOOKBACK, include_current:
     )
 
 
-def tree_rows(table: StepTable, warm_up: int = 100) -> DataFrame:
-    """Pooled (step, item) rows with gap, gap ratio and two rolling counts."""
-    state = slot_state(table, (30, 100), ("cnt", "last", "first")).where(F.col("ord") >= warm_up)
-    cnt, last, first = (item_part(table, n) for n in ("cnt", "last", "first"))
-    arrays = {
-        "gap": current_gap(last),
-        "avg_gap": average_gap(cnt, last, first),
-        "freq30": item_part(table, "r30"),
-        "freq100": item_part(table, "r100"),
-    }
-    grid = item_grid(state, table, arrays, KEYS)
-    return grid.withColumn("gap_ratio", F.col("gap") / F.greatest("avg_gap", F.lit(1.0))).drop("avg_gap")
-
+# ---------------------------------------------------------------------------------------------------
+# Bins of fixed width, from the vocabulary alone
 
-def forest_rows(table: StepTable, lookback: int = LOOKBACK) -> DataFrame:
-    """Pooled rows with the step's rolled statistics, the item's gap and its last-20 count."""
-    state = slot_state(table, (SHORT_WINDOW,)).where(F.col("ord") >= lookback)
-    arrays = {"gap": current_gap(item_part(table, "last")), "freq20": item_part(table, f"r{SHORT_WINDOW}")}
-    rolled = rolling_features(table, lookback).select(SERIES, "ord", *ROLL_FEATURES)
-    joined = state.join(rolled, [SERIES, "ord"])
-    return item_grid(joined, table, arrays, [*KEYS, *ROLL_FEATURES])
 
+def state_bins(domain: Domain) -> Bins:
+    """Bins of the state vector: whole gaps and counts, eighths of the gap ratio."""
+    names = [f"{n}_{i}" for n in ("gap", "gap_ratio", "freq30", "freq100") for i in range(1, domain.items + 1)]
+    return Bins(names, np.zeros(4 * domain.items), np.repeat([1.0, 0.125, 1.0, 1.0], domain.items))
 
-def balanced_weights(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Add `weight` = n / (2 n_class) within `by` (none, or a column of the fixed vocabulary).
 
-    Class counts are two numbers per group; they come back as a constant of the row expression, so no row moves for its weight.
-    """
-    counts = {tuple(r[:-1]): r[-1] for r in rows.groupBy(*by, "y").agg(F.count("*").alias("n")).collect()}
-    totals: dict[tuple, int] = {}
-    for (*group, _), n in counts.items():
-        totals[tuple(group)] = totals.get(tuple(group), 0) + n
-    weights = {"|".join(map(str, key)): totals[key[:-1]] / (2 * n) for key, n in counts.items()}
-    if not weights:
-        return rows.withColumn("weight", F.lit(None).cast("double"))
-    table = F.create_map(*[F.lit(x) for pair in sorted(weights.items()) for x in pair])
-    return rows.withColumn("weight", table[F.concat_ws("|", *[F.col(c).cast("string") for c in (*by, "y")])])
-
-
-def positive_weights(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("weight", F.when(F.col("y") == 1, POSITIVE_WEIGHT).otherwise(1.0))
-
-
-def repeat_positives(rows: DataFrame) -> DataFrame:
-    """Balance for learners without weights: positives are repeated 8.4 times on average, nothing is dropped."""
-    extra = F.pmod(F.xxhash64(SERIES, "ord", "item"), F.lit(10)) < 4
-    times = F.when(F.col("y") == 1, F.lit(8) + extra.cast("int")).otherwise(F.lit(1))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).drop("_copy")
+def matrix_bins(domain: Domain, lookback: int = LOOKBACK) -> Bins:
+    """Bins of the feature matrix: whole gaps and counts; rolled statistics within 2.7 deviations of random picking."""
+    n, k = domain.items, domain.pick
+    spread = (n - k) / (n - 1)
+    share = {"odd_count": (n + 1) // 2 / n, "low_count": domain.low_max / n}
+    expected = {
+        "white_sum": (k * (n + 1) / 2, math.sqrt(k * (n - k) * (n + 1) / 12)),
+        "number_range": ((k - 1) * (n + 1) / (k + 1), (n + 1) * math.sqrt(2 * (k - 1) / (k + 2)) / (k + 1)),
+        **{c: (k * p, math.sqrt(k * p * (1 - p) * spread)) for c, p in share.items()},
+    }
+    names, low, width = [], [], []
+    for c in ROLLED:
+        mean, deviation = expected[c]
+        for statistic, centre, error in (("mean", mean, deviation / math.sqrt(lookback)), ("std", deviation, deviation / math.sqrt(2 * lookback - 2))):
+            names.append(f"{c}_{statistic}")
+            width.append(error / 6)
+            low.append(centre - 16 * error / 6)
+    names += [f"{x}_{i}" for x in ("gap", f"freq{SHORT_WINDOW}") for i in range(1, n + 1)]
+    return Bins(names, np.array(low + [0.0] * 2 * n), np.array(width + [1.0] * 2 * n))
 
 
-def assembled(rows: DataFrame, features: list[str]) -> DataFrame:
-    return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep").transform(rows)
+def state_matrix(table: StepTable, warm_up: int = WARM_UP) -> Matrix:
+    vectors = state_vectors(table, 30).where(F.col("ord") >= warm_up).withColumnRenamed("vec", "x")
+    return trees.binned_matrix(table, vectors, state_bins(table.domain))
 
 
-def decision_tree(**params) -> DecisionTreeClassifier:
-    settings = dict(maxDepth=5, minInstancesPerNode=20, seed=42) | params
-    return DecisionTreeClassifier(labelCol="y", weightCol="weight", **settings)
+def forest_matrix(table: StepTable, lookback: int = LOOKBACK) -> Matrix:
+    return trees.binned_matrix(table, feature_matrix(table, lookback), matrix_bins(table.domain, lookback))
 
 
-def random_forest(**params) -> RandomForestClassifier:
-    settings = dict(numTrees=50, maxDepth=6, minInstancesPerNode=1, featureSubsetStrategy="0.5", seed=42) | params
-    return RandomForestClassifier(labelCol="y", weightCol="weight", **settings)
+# ---------------------------------------------------------------------------------------------------
+# Learned scorers: (table, fit ordinals, end) -> scores of the steps from the first fit on
 
 
-def boosted_trees(**params) -> GBTClassifier:
-    settings = dict(
-        maxIter=100, maxDepth=5, stepSize=0.05, subsamplingRate=0.63, featureSubsetStrategy="0.773",
-        minInstancesPerNode=5, seed=42,
-    ) | params
-    return GBTClassifier(labelCol="y", weightCol="weight", **settings)
+def tree_walk(table: StepTable, fits: list[int], end: int | None = None, matrix: Matrix | None = None, depth: int = 5, least: int = 20) -> DataFrame:
+    matrix = matrix or state_matrix(table)
+    models = trees.fit_gini(matrix, fits, depth, least)
+    return trees.served(matrix, table, "decision_tree", fits, [models], end=end)
 
 
-def perceptron(inputs: int, **params) -> MultilayerPerceptronClassifier:
-    settings = dict(layers=[inputs, 128, 64, 2], seed=42, maxIter=20, blockSize=1024) | params
-    return MultilayerPerceptronClassifier(labelCol="y", **settings)
+def forest_walk(
+    table: StepTable, fits: list[int], end: int | None = None, matrix: Matrix | None = None, count: int = 50, depth: int = 6, least: int = 1, share: float = 0.5
+) -> DataFrame:
+    matrix = matrix or forest_matrix(table)
+    models = trees.fit_gini(matrix, fits, depth, least, count, share)
+    return trees.served(matrix, table, "rf", fits, [models], end=end)
+
+
+def boosted_walk(table: StepTable, fits: list[int], end: int | None = None, matrix: Matrix | None = None, rounds: int = 100, depth: int = 5, **settings) -> DataFrame:
+    matrix = matrix or forest_matrix(table)
+    sets = trees.fit_boosted(matrix, fits, depth, rounds, **settings)
+    return trees.served(matrix, table, "xgb", fits, sets, trees.logistic, end)
+
+
+# --- network
+
+
+def network_inputs(table: StepTable, warm_up: int = WARM_UP) -> DataFrame:
+    """Step keys with the gap and the last-30 count of every item."""
+    state = slot_state(table, (30,)).where(F.col("ord") >= warm_up)
+    return state.select(*KEYS, current_gap(item_part(table, "last")).alias("gap"), item_part(table, "r30").alias("freq"))
+
+
+def input_counts(inputs: DataFrame, fits: list[int], items: int) -> DataFrame:
+    """(fit number, gap, freq, n, present): how often each input occurred between a fit and the one before, and how often with the item."""
+    starts = np.array(fits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fit = np.searchsorted(starts, batch.column("ord").to_numpy(), "right")
+            n = batch.num_rows
+            cells = np.stack([np.repeat(fit, items), *(batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("gap", "freq"))])
+            lists = batch.column("items")
+            hot = np.zeros((n, items), np.int64)
+            hot[np.repeat(np.arange(n), lists.value_lengths().to_numpy(zero_copy_only=False)), lists.flatten().to_numpy(zero_copy_only=False) - 1] = 1
+            keys, at, count = np.unique(cells, axis=1, return_inverse=True, return_counts=True)
+            present = np.bincount(at.ravel(), hot.ravel(), keys.shape[1]).astype(np.int64)
+            yield pa.record_batch([pa.array(c) for c in (*keys, count, present)], ["fit", "gap", "freq", "n", "present"])
+
+    known = inputs.where("special is not null").where(F.col("ord") < int(starts[-1])).select("ord", "gap", "freq", "items")
+    made = known.mapInArrow(run, "fit long, gap long, freq long, n long, present long")
+    return made.groupBy("fit", "gap", "freq").agg(F.sum("n").alias("n"), F.sum("present").alias("present"))
+
+
+class Network:
+    """Two hidden layers of rectified units and a logistic output over (gap, freq), fitted by weighted mini-batches with Adam."""
+
+    def __init__(self, hidden: tuple[int, int] = HIDDEN, seed: int = 42):
+        rng = np.random.default_rng(seed)
+        sizes = [2, *hidden, 1]
+        self.weights = [p for a, b in itertools.pairwise(sizes) for p in (rng.normal(0, math.sqrt(2 / a), (a, b)), np.zeros(b))]
+        self.mean, self.scale = np.zeros(2), np.ones(2)
+        self.losses: list[float] = []
+
+    def _layers(self, x: np.ndarray) -> list[np.ndarray]:
+        out = [(x - self.mean) / self.scale]
+        for i in range(0, len(self.weights), 2):
+            z = out[-1] @ self.weights[i] + self.weights[i + 1]
+            out.append(np.maximum(z, 0) if i + 2 < len(self.weights) else z)
+        return out
+
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        return trees.logistic(self._layers(x)[-1][:, 0])
+
+    def fit(self, x: np.ndarray, n: np.ndarray, present: np.ndarray, epochs: int = EPOCHS, rate: float = RATE, batches: int = BATCHES, positive: float = POSITIVE_WEIGHT) -> "Network":
+        """x: distinct inputs; n, present: rows and rows with the item of each. Equal to fitting on the single rows."""
+        total = n.sum()
+        self.mean = (x * n[:, None]).sum(axis=0) / total
+        self.scale = np.sqrt(((x - self.mean) ** 2 * n[:, None]).sum(axis=0) / total) + 1e-8
+        yes, no = positive * present, (n - present).astype(float)
+        whole = (yes + no).sum() / batches
+        moments = [(np.zeros_like(w), np.zeros_like(w)) for w in self.weights]
+        order, step = np.random.default_rng(7), 0
+        for _ in range(epochs):
+            loss = 0.0
+            for part in np.array_split(order.permutation(len(x)), min(batches, len(x))):
+                layers = self._layers(x[part])
+                p = trees.logistic(layers[-1][:, 0])
+                loss -= (yes[part] * np.log(p + 1e-12) + no[part] * np.log(1 - p + 1e-12)).sum()
+                slope = ((yes[part] + no[part]) * p - yes[part])[:, None] / whole
+                grads = []
+                for i in range(len(self.weights) - 2, -1, -2):
+                    below = layers[i // 2]
+                    grads[:0] = [below.T @ slope, slope.sum(axis=0)]
+                    slope = (slope @ self.weights[i].T) * (below > 0)
+                step += 1
+                for w, g, (m, v) in zip(self.weights, grads, moments):
+                    m += 0.1 * (g - m)
+                    v += 0.001 * (g * g - v)
+                    w -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+            self.losses.append(loss / (whole * batches))
+        return self
+
+
+def network_walk(table: StepTable, fits: list[int], end: int | None = None, epochs: int = EPOCHS) -> DataFrame:
+    inputs = network_inputs(table)
+    items = table.domain.items
+    counted = np.array([tuple(r) for r in input_counts(inputs, fits, items).orderBy("fit", "gap", "freq").toLocalIterator()], np.int64).reshape(-1, 5)
+    networks = []
+    for j in range(len(fits)):
+        seen = counted[counted[:, 0] <= j]
+        if not len(seen):
+            raise ValueError(f"no steps before the fit at {fits[j]}")
+        keys, at = np.unique(seen[:, 1:3], axis=0, return_inverse=True)
+        n, present = (np.bincount(at.ravel(), seen[:, c], len(keys)).astype(np.int64) for c in (3, 4))
+        networks.append(Network().fit(keys.astype(float), n, present, epochs))
+    starts = np.array(fits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fit = np.searchsorted(starts, batch.column("ord").to_numpy(), "right") - 1
+            x = np.stack([batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("gap", "freq")], axis=1).reshape(-1, items, 2)
+            score = np.zeros((len(x), items))
+            for j in np.unique(fit):
+                inputs, at = np.unique(x[fit == j].reshape(-1, 2), axis=0, return_inverse=True)
+                score[fit == j] = networks[j].predict(inputs.astype(float))[at.ravel()].reshape(-1, items)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * items), pa.array(np.round(score, 12).ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.select(KEYS).columns, lists], names=[*KEYS, "score"])
+
+    rows = inputs.where(F.col("ord") >= fits[0])
+    if end is not None:
+        rows = rows.where(F.col("ord") < end)
+    schema = rows.select(*KEYS, F.lit(None).cast("array<double>").alias("score")).schema
+    return scored(rows.mapInArrow(run, schema), table, ("mlp", F.col("score"), F.lit(None).cast("int")))
+
+
+# ---------------------------------------------------------------------------------------------------
+# One fit, importances, search
+
+
+def cut_at(table: StepTable, ratio: float, first: int) -> int:
+    """The ordinal that parts the first `ratio` of the usable steps from the rest."""
+    return first + math.floor((table.longest - first) * ratio)
 
 
-def before_cut(rows: DataFrame, table: StepTable, ratio: float) -> tuple[DataFrame, DataFrame]:
-    """Chronological split of feature rows at floor(n * ratio) of each series' usable steps."""
-    ends = rows.groupBy(SERIES).agg(
-        (F.min("ord") + F.floor((F.max("ord") - F.min("ord") + 1) * ratio)).alias("_cut")
-    )
-    marked = rows.join(ends, SERIES)
-    return marked.where("ord < _cut").drop("_cut"), marked.where("ord >= _cut").drop("_cut")
+def tree_scores(table: StepTable, ratio: float = 0.8) -> DataFrame:
+    return tree_walk(table, [cut_at(table, ratio, WARM_UP)])
 
 
-def item_probabilities(model, rows: DataFrame, features: list[str]) -> DataFrame:
-    """Long scores (..., item, y, prob) of the rows."""
-    out = model.transform(assembled(rows, features))
-    return out.select(*KEYS, "item", "y", F.get(vector_to_array("probability"), F.lit(1)).alias("prob"))
+def forest_scores(table: StepTable, ratio: float = 0.8, **settings) -> DataFrame:
+    return forest_walk(table, [cut_at(table, ratio, LOOKBACK)], **settings)
 
 
-def gather_scores(long: DataFrame, table: StepTable, name: str) -> DataFrame:
-    """Long item scores to one score array per step (at most one entry per vocabulary item)."""
-    wide = long.groupBy(SERIES, "ord").agg(
-        *[F.any_value(c).alias(c) for c in KEYS[2:]],
-        F.sort_array(F.collect_list(F.struct("item", "prob"))).alias("_p"),
-    )
-    score = F.transform("_p", lambda e: F.round(e["prob"], 12))
-    return scored(wide, table, (name, score, F.lit(None).cast("int")))
-
-
-def pooled_scores(
-    name: str,
-    table: StepTable,
-    rows: DataFrame,
-    features: list[str],
-    estimator,
-    balance: Callable[[DataFrame], DataFrame],
-    ratio: float = 0.8,
-) -> DataFrame:
-    """Fit on the first `ratio` of the steps, score the rest."""
-    train, test = before_cut(rows, table, ratio)
-    ready = assembled(balance(train), features).persist()
-    model = estimator.fit(ready)
-    ready.unpersist()
-    return gather_scores(item_probabilities(model, test, features), table, name)
+def boosted_scores(table: StepTable, ratio: float = 0.8, **settings) -> DataFrame:
+    return boosted_walk(table, [cut_at(table, ratio, LOOKBACK)], **settings)
 
 
-def tree_scores(table: StepTable, ratio: float = 0.8) -> DataFrame:
-    return pooled_scores(
-        "decision_tree", table, tree_rows(table), TREE_FEATURES, decision_tree(), lambda r: balanced_weights(r, []), ratio
-    )
+def network_scores(table: StepTable, ratio: float = 0.8, **settings) -> DataFrame:
+    return network_walk(table, [cut_at(table, ratio, WARM_UP)], **settings)
 
 
-def forest_scores(table: StepTable, ratio: float = 0.8, **params) -> DataFrame:
-    return pooled_scores(
-        "rf", table, forest_rows(table), FOREST_FEATURES, random_forest(**params), lambda r: balanced_weights(r, []), ratio
-    )
+def tree_models(table: StepTable, ratio: float = 0.8, depth: int = 5, least: int = 20) -> tuple[Matrix, Models]:
+    matrix = state_matrix(table)
+    return matrix, trees.fit_gini(matrix, [cut_at(table, ratio, WARM_UP)], depth, least)
 
 
-def boosted_scores(table: StepTable, ratio: float = 0.8, **params) -> DataFrame:
-    return pooled_scores("xgb", table, forest_rows(table), FOREST_FEATURES, boosted_trees(**params), positive_weights, ratio)
+def tree_importance(table: StepTable, ratio: float = 0.8) -> DataFrame:
+    """feature_name, importance: mean over the trees of all items, largest first (one row per feature)."""
+    matrix, models = tree_models(table, ratio)
+    rows = trees.importance(models, matrix.bins.names)
+    return table.spark.createDataFrame(rows, "feature_name string, importance double").orderBy(F.desc("importance"), "feature_name")
 
 
-def perceptron_scores(table: StepTable, ratio: float = 0.8, **params) -> DataFrame:
-    features = ["gap", "freq30"]
-    return pooled_scores("mlp", table, tree_rows(table), features, perceptron(len(features), **params), repeat_positives, ratio)
+def tree_roots(table: StepTable, ratio: float = 0.8) -> DataFrame:
+    """item, feature_name, bin, gain: the first split of every item's tree (one row per item)."""
+    matrix, models = tree_models(table, ratio, depth=1)
+    rows = [
+        (int(models.item[m]) + 1, matrix.bins.names[models.feature[m, 0]], int(models.bin[m, 0]), float(models.gain[m, 0]), *map(float, models.value[m]))
+        for m in range(len(models)) if models.feature[m, 0] >= 0
+    ]
+    return table.spark.createDataFrame(rows, "item int, feature_name string, bin int, gain double, share double, share_low double, share_high double")
 
 
-def per_item_trees(table: StepTable, ratio: float = 0.8, warm_up: int = 100, items: list[int] | None = None):
-    """One decision tree per number on the 4 x 47 state vector; returns {item: model}."""
-    states = state_vectors(table, 30).where(F.col("ord") >= warm_up)
-    train, _ = before_cut(states, table, ratio)
-    train = train.withColumn("features", array_to_vector("vec")).persist()
-    models = {}
-    for item in items or range(1, table.domain.items + 1):
-        labelled = train.withColumn("y", F.array_contains("items", item).cast("int"))
-        models[item] = decision_tree().fit(balanced_weights(labelled, []))
-    train.unpersist()
-    return models
+def balanced_weights(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Add `weight` = n / (2 n_class) within `by` (none, or a column of the fixed vocabulary).
 
+    Class counts are two numbers per group; they come back as a constant of the row expression, so no row moves for its weight.
+    """
+    counts = {tuple(r[:-1]): r[-1] for r in rows.groupBy(*by, "y").agg(F.count("*").alias("n")).collect()}
+    totals: dict[tuple, int] = {}
+    for (*group, _), n in counts.items():
+        totals[tuple(group)] = totals.get(tuple(group), 0) + n
+    weights = {"|".join(map(str, key)): totals[key[:-1]] / (2 * n) for key, n in counts.items()}
+    if not weights:
+        return rows.withColumn("weight", F.lit(None).cast("double"))
+    table = F.create_map(*[F.lit(x) for pair in sorted(weights.items()) for x in pair])
+    return rows.withColumn("weight", table[F.concat_ws("|", *[F.col(c).cast("string") for c in (*by, "y")])])
 
-def state_feature_names(table: StepTable) -> list[str]:
-    return [f"{n}_{i}" for n in ("gap", "gap_ratio", "freq30", "freq100") for i in range(1, table.domain.items + 1)]
 
+def sampled_settings(trials: int, seed: int = 42) -> list[dict]:
+    """Parameter maps of a forest, drawn once each."""
+    rng = np.random.default_rng(seed)
+    space = {"depth": range(3, 8), "least": (1, 5, 10, 20), "share": (0.2, 0.35, 0.5, 0.8)}
+    every = [dict(zip(space, v)) for v in itertools.product(*space.values())]
+    return [every[i] for i in rng.permutation(len(every))[:trials]]
 
-def importances(table: StepTable, models: list, names: list[str]) -> DataFrame:
-    """feature_name, importance: mean over the fitted models, largest first (one row per feature)."""
-    means = [sum(float(m.featureImportances[i]) for m in models) / len(models) for i in range(len(names))]
-    rows = table.spark.createDataFrame(list(zip(names, means)), "feature_name string, importance double")
-    return rows.orderBy(F.desc("importance"), "feature_name")
 
+def halving_search(table: StepTable, trials: int = 30, first: int = 2, keep: float = 1 / 3, most: int = 50, last: int = VALIDATION_STEPS) -> DataFrame:
+    """Successive halving over forests: all settings with few trees, then the best third with three times as many, up to `most`.
 
-def tree_importance(table: StepTable, ratio: float = 0.8) -> DataFrame:
-    train, _ = before_cut(tree_rows(table), table, ratio)
-    model = decision_tree().fit(assembled(balanced_weights(train, []), TREE_FEATURES))
-    return importances(table, [model], TREE_FEATURES)
-
-
-def grid_search(table: StepTable, grid: list[dict], make=random_forest, last: int = VALIDATION_STEPS) -> DataFrame:
-    """Mean hits on the last `last` steps of each parameter map; the split is by time, never random."""
-    rows = assembled(forest_rows(table), FOREST_FEATURES)
-    ends = table.df.groupBy(SERIES).agg((F.max("ord") + 1 - last).alias("_cut"))
-    marked = rows.join(ends, SERIES).persist()
-    train, valid = marked.where("ord < _cut").drop("_cut"), marked.where("ord >= _cut").drop("_cut")
-    train = balanced_weights(train, [])
-    results = []
-    for trial, params in enumerate(grid):
-        out = make(**params).fit(train).transform(valid)
-        long = out.select(*KEYS, "item", "y", F.get(vector_to_array("probability"), F.lit(1)).alias("prob"))
-        hits = outcomes(gather_scores(long, table, "trial"), table.domain).agg(F.avg("hits")).first()[0]
-        results.append((trial, str(sorted(params.items())), float(hits)))
-    marked.unpersist()
-    return table.spark.createDataFrame(results, "trial int, params string, avg_hits double").orderBy(F.desc("avg_hits"), "trial")
+    Hits count on the last `last` steps; the split is by time. All trials share one binned matrix. Ties keep the earlier trial.
+    Columns: trial, params, trees (of its last rung), avg_hits there; best first.
+    """
+    matrix, fit = forest_matrix(table), table.longest - last
+    running = list(enumerate(sampled_settings(trials)))
+    results: dict[int, tuple[int, float]] = {}
+    count = first
+    while running:
+        for trial, settings in running:
+            scores = forest_walk(table, [fit], matrix=matrix, count=count, **settings)
+            hits = outcomes(scores, table.domain).agg(F.avg("hits")).first()[0]
+            results[trial] = (count, float(hits))
+        if len(running) == 1 or count >= most:
+            break
+        running.sort(key=lambda r: (-results[r[0]][1], r[0]))
+        running = running[: max(1, math.ceil(len(running) * keep))]
+        count = min(most, count * 3)
+    settings = dict(enumerate(sampled_settings(trials)))
+    rows = [(t, str(sorted(settings[t].items())), n, h) for t, (n, h) in results.items()]
+    return table.spark.createDataFrame(rows, "trial int, params string, trees int, avg_hits double").orderBy(F.desc("trees"), F.desc("avg_hits"), "trial")
+
+
+def _once(walk: Callable[..., DataFrame], first: int, table: StepTable, span: Span = None) -> DataFrame:
+    """One fit before the span, or on the first 80 % of the steps."""
+    return walk(table, [cut_at(table, 0.8, first)]) if span is None else walk(table, [span[0]], span[1])
+
+
+for _name, _walk, _first in (("decision_tree", tree_walk, WARM_UP), ("rf", forest_walk, LOOKBACK), ("xgb", boosted_walk, LOOKBACK), ("mlp", network_walk, WARM_UP)):
+    register(_name, partial(_once, _walk, _first))
+    register_refitted(_name, _walk)

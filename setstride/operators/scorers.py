@@ -7,6 +7,7 @@ null where a model has none.
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 from functools import reduce
 
@@ -111,7 +112,9 @@ def average_scores(predictions: DataFrame, table: StepTable, name: str = "averag
 
 
 Scorer = Callable[[StepTable, Span], DataFrame]
+Refitted = Callable[[StepTable, list[int], int | None], DataFrame]
 REGISTRY: dict[str, Scorer] = {}
+REFITTED: dict[str, Refitted] = {}
 
 
 def register(name: str, scorer: Scorer) -> None:
@@ -119,7 +122,19 @@ def register(name: str, scorer: Scorer) -> None:
     REGISTRY[name] = scorer
 
 
+def register_refitted(name: str, walk: Refitted) -> None:
+    """Add a scorer that is fitted: any function (steps, fit ordinals, end) -> scores of the steps from the first fit up to `end`."""
+    REFITTED[name] = walk
+
+
+def refitted(name: str) -> Refitted | None:
+    """The walk of a fitted scorer; None for one whose state follows every step."""
+    importlib.import_module("setstride.operators.learners")
+    return REFITTED.get(name)
+
+
 def scorer(name: str) -> Scorer:
+    importlib.import_module("setstride.operators.learners")  # registers the learned ones
     if name not in REGISTRY:
         raise ValueError(f"unknown scorer {name!r}; known: {', '.join(sorted(REGISTRY))}")
     return REGISTRY[name]

@@ -238,6 +238,38 @@ def _(spark, folder):
     return learners.balanced_weights(grid, ["item"]).groupBy("item", "y").agg(F.count("*").alias("n"), F.max("weight").alias("weight"))
 
 
+# --- learned scorers
+
+TREE_BINS = """
+fb AS MATERIALIZED (
+  SELECT ord, dim, CAST(least(31, floor(x)) AS BIGINT) AS bin FROM (
+    SELECT ord, item - 1 AS dim, CAST(gap AS DOUBLE) AS x FROM st
+    UNION ALL SELECT ord, item + 46, gap / greatest(avg_gap, 1) / 0.125 FROM st
+    UNION ALL SELECT ord, item + 93, CAST(r30 AS DOUBLE) FROM st
+    UNION ALL SELECT ord, item + 140, CAST(r100 AS DOUBLE) FROM st), len
+  WHERE ord >= 100 AND ord < 100 + CAST(floor((n - 100) * 0.8) AS BIGINT)),
+fa AS (SELECT dim, bin, count(*) AS n FROM fb GROUP BY ALL),
+fp AS (SELECT li.item, dim, bin, count(*) AS k FROM fb JOIN li USING (ord) GROUP BY ALL),
+cum AS (
+  SELECT item, dim, bin, sum(n) OVER (w ROWS UNBOUNDED PRECEDING) AS ln, sum(k) OVER (w ROWS UNBOUNDED PRECEDING) AS lk,
+         sum(n) OVER (PARTITION BY item, dim) AS an, sum(k) OVER (PARTITION BY item, dim) AS ak
+  FROM (SELECT nums.item, f.dim, b.bin, coalesce(fa.n, 0) AS n, coalesce(fp.k, 0) AS k
+        FROM nums CROSS JOIN range(188) f(dim) CROSS JOIN range(32) b(bin) LEFT JOIN fa USING (dim, bin) LEFT JOIN fp USING (item, dim, bin))
+  WINDOW w AS (PARTITION BY item, dim ORDER BY bin)),
+wt AS (SELECT *, CAST(an AS DOUBLE) / (2 * (an - ak)) AS w0, CAST(an AS DOUBLE) / (2 * ak) AS w1 FROM cum),
+sd AS (SELECT *, w0 * (an - ak) + w1 * ak AS aw, w0 * (ln - lk) + w1 * lk AS lw, w0 * (an - ln - ak + lk) + w1 * (ak - lk) AS rw FROM wt WHERE ln >= 20 AND an - ln >= 20),
+gn AS (SELECT *, round(2 * w1 * ak * (aw - w1 * ak) / aw - 2 * w1 * lk * (lw - w1 * lk) / lw - 2 * w1 * (ak - lk) * (rw - w1 * (ak - lk)) / rw, 9) AS gain FROM sd),
+rt AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY gain DESC, dim, bin) AS r FROM gn)
+"""
+
+
+@query("tree_roots", with_(DRAWS, GRID, STATE, TREE_BINS, select="""
+SELECT item, ['gap', 'gap_ratio', 'freq30', 'freq100'][CAST(dim // 47 AS INTEGER) + 1] || '_' || (dim % 47 + 1) AS feature_name, bin, round(gain, 6) AS gain,
+       round(w1 * ak / aw, 6) AS share, round(w1 * lk / lw, 6) AS share_low, round(w1 * (ak - lk) / rw, 6) AS share_high FROM rt WHERE r = 1"""))
+def _(spark, folder):
+    return learners.tree_roots(draws(spark, folder))
+
+
 @query("tree_scores")
 def _(spark, folder):
     return picks_of(learners.tree_scores(draws(spark, folder)))
@@ -260,10 +292,9 @@ def _(spark, folder):
 
 @query("perceptron_scores")
 def _(spark, folder):
-    return picks_of(learners.perceptron_scores(draws(spark, folder)))
+    return picks_of(learners.network_scores(draws(spark, folder)))
 
 
 @query("forest_search")
 def _(spark, folder):
-    grid = [{"numTrees": n, "maxDepth": d} for n in (10, 20) for d in (3, 5)]
-    return learners.grid_search(draws(spark, folder), grid)
+    return learners.halving_search(draws(spark, folder))
