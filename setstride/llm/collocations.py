@@ -33,7 +33,7 @@ from setstride.llm.tables import n_partitions, stored
 from setstride.llm.textkit import LOWER, grams, mix, text_chunks, word_hashes
 
 FILTER_BITS = 27
-CHUNK = 16 << 20
+CHUNK = 4 << 20
 MERGE = 1 << 20
 _U = np.uint64
 _ENDS = np.zeros(256, bool)
