@@ -1,96 +1,95 @@
-"""Exact nearest neighbours: distributed scans that keep only k candidates per query and task."""
+"""Exact nearest neighbours: blocks of vectors meet inside tasks, which keep only k candidates per query.
+
+One plan serves any number of queries: queries and base are packed into blocks of bounded size, every query block meets every base
+block that may hold a neighbour, and the k best of each meeting are merged per query.
+
+* `nearest` compares query vectors with all base vectors.
+* `neighbour_walk` scores every step by the steps that followed the k earlier states closest to its own, each dimension scaled by its deviation over the
+  states known before that step. All of a step's past is its base, so the work grows with the square of a walk; `span` limits it to the steps asked for.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from setstride.operators.layout import SERIES, StepTable
+from setstride.operators.scorers import KEYS, Span, register, scored
 from setstride.operators.state import average_gap, current_gap, item_part, slot_state
+from setstride.session import materialise
+
+QUERY_BLOCK = 1 << 12
+BASE_BLOCK = 1 << 14
+STEP_BLOCK = 1 << 12
+#: States known at least before a step is scored by its neighbours, as `k`; candidates beyond k that are measured again.
+NEIGHBOURS = 10
+SPARE = 16
+_FLAT = 1e-7
+
 
-BROADCAST_QUERIES = 512
-BASE_CHUNK = 1 << 14
-PAIR_SCHEMA = "query_id long, neighbour_id long, distance double"
+def _lists(column: pa.Array) -> np.ndarray:
+    """A list column of equal lengths as a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+
+
+def _first(distance: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k smallest distances, smaller ids first on ties."""
+    if len(distance) > 4 * k:
+        near = np.flatnonzero(distance <= np.partition(distance, k - 1)[k - 1])
+    else:
+        near = np.arange(len(distance))
+    return near[np.lexsort((ids[near], distance[near]))[:k]]
 
 
-def _matrix(lists: pd.Series) -> np.ndarray:
-    return np.vstack(lists.to_numpy()).astype(np.float64)
+def _packed(frame: DataFrame, size: int, name: str) -> DataFrame:
+    """(block, ids binary, vecs binary) of (id, vec), in blocks of about `size` vectors."""
+    blocks = max(1, -(-frame.count() // size))
 
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches)).combine_chunks()
+        ids, vecs = table.column("id").to_numpy().astype("<i8"), _lists(table.column("vec").combine_chunks())
+        yield pa.record_batch([pa.array([key[0].as_py()], pa.int64()), pa.array([ids.tobytes()], pa.binary()), pa.array([vecs.tobytes()], pa.binary())], ["block", "ids", "vecs"])
 
-def _closest(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, base: np.ndarray, k: int, skip_self: bool, scale):
-    """The k closest base rows per query (distance, then id); each dimension divided by `scale`."""
-    out = []
-    for q, vector in zip(query_ids, queries):
-        distance = np.sqrt((((base - vector) / scale) ** 2).sum(axis=1))
-        use = np.flatnonzero(ids != q) if skip_self else np.arange(len(ids))
-        best = use[np.lexsort((ids[use], distance[use]))[:k]]
-        out.append((np.full(len(best), q), ids[best], distance[best]))
-    return out
+    rows = frame.select(F.col("id").cast("long").alias("id"), "vec").where("id is not null and vec is not null")
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
+    return materialise(dealt.groupBy("block").applyInArrow(run, "block long, ids binary, vecs binary"), name)
 
 
 def nearest(queries: DataFrame, base: DataFrame, k: int, skip_self: bool = False, scale: np.ndarray | float = 1.0) -> DataFrame:
-    """(query_id, neighbour_id, distance, rank) of the k nearest base vectors of every query.
+    """(query_id, neighbour_id, distance, rank) of the k nearest base vectors of every query; ties keep the smaller id.
 
     Both frames are (id long, vec array); `scale` divides each dimension (distances between standardised
-    vectors need no means). A few queries (their number is checked) go to every scan task
-    beside the base, which then moves nothing. More queries are cut into groups and met group by chunk,
-    each pair of bounded pieces in its own task. Either way a task emits k rows per query, not all pairs.
+    vectors need no means). Rows without id or vector take no part.
     """
-    few = queries.limit(BROADCAST_QUERIES + 1).collect()
-    if not few:
-        return base.sparkSession.createDataFrame([], PAIR_SCHEMA + ", rank int")
-    if len(few) <= BROADCAST_QUERIES:
-        query_ids = np.array([r["id"] for r in few], dtype=np.int64)
-        vectors = np.array([r["vec"] for r in few], dtype=np.float64)
-
-        def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            kept: pd.DataFrame | None = None
-            for part in parts:
-                if part.empty:
-                    continue
-                found = _closest(query_ids, vectors, part["id"].to_numpy(), _matrix(part["vec"]), k, skip_self, scale)
-                new = pd.DataFrame(
-                    {c: np.concatenate([f[i] for f in found]) for i, c in enumerate(("query_id", "neighbour_id", "distance"))}
-                )
-                both = new if kept is None else pd.concat([kept, new])
-                kept = both.sort_values(["query_id", "distance", "neighbour_id"]).groupby("query_id").head(k)
-            if kept is not None:
-                yield kept
-
-        candidates = base.select(F.col("id").cast("long"), "vec").mapInPandas(scan, PAIR_SCHEMA)
-    else:
-        candidates = _nearest_by_chunks(queries, base, k, skip_self, scale)
+    asked = _packed(queries, QUERY_BLOCK, "queries").select(F.col("block").alias("asked"), F.col("ids").alias("qids"), F.col("vecs").alias("qvecs"))
+    known = _packed(base, BASE_BLOCK, "base")
+    groups = asked.select("asked").agg(F.collect_list("asked").alias("asked"))  # block numbers
+    both = known.join(groups, how="cross").withColumn("asked", F.explode("asked")).join(asked, "asked")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids, qids = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["qids"], "<i8")
+                vecs, qvecs = np.frombuffer(row["vecs"]).reshape(len(ids), -1), np.frombuffer(row["qvecs"]).reshape(len(qids), -1)
+                found = []
+                for q, vec in zip(qids, qvecs):
+                    distance = np.sqrt((((vecs - vec) / scale) ** 2).sum(axis=1))
+                    use = np.flatnonzero(ids != q) if skip_self else np.arange(len(ids))
+                    best = use[_first(distance[use], ids[use], k)]
+                    found.append((np.full(len(best), q), ids[best], distance[best]))
+                yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*found)], ["query_id", "neighbour_id", "distance"])
+
+    candidates = both.repartition("asked", "block").mapInArrow(meet, "query_id long, neighbour_id long, distance double")
     order = Window.partitionBy("query_id").orderBy("distance", "neighbour_id")
     return candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _nearest_by_chunks(queries: DataFrame, base: DataFrame, k: int, skip_self: bool, scale) -> DataFrame:
-    groups = max(1, -(-queries.count() // BROADCAST_QUERIES))
-    chunks = max(1, -(-base.count() // BASE_CHUNK))
-    left = queries.select(F.col("id").cast("long"), "vec", F.pmod(F.xxhash64("id"), F.lit(groups)).alias("g")).withColumn(
-        "c", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))
-    )
-    right = base.select(F.col("id").cast("long"), "vec", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int").alias("c")).withColumn(
-        "g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))
-    )
-
-    def meet(q: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or b.empty:
-            return pd.DataFrame({"query_id": [], "neighbour_id": [], "distance": []})
-        found = _closest(q["id"].to_numpy(), _matrix(q["vec"]), b["id"].to_numpy(), _matrix(b["vec"]), k, skip_self, scale)
-        return pd.DataFrame(
-            {c: np.concatenate([f[i] for f in found]) for i, c in enumerate(("query_id", "neighbour_id", "distance"))}
-        )
-
-    return left.groupBy("g", "c").cogroup(right.groupBy("g", "c")).applyInPandas(meet, PAIR_SCHEMA)
-
-
 def vector_moments(vectors: DataFrame, vec: str = "vec") -> DataFrame:
     """Mean and population deviation of every dimension: (dim, mean, std), from one summary per task."""
     seen = vectors.select(array_to_vector(vec).alias("_v")).agg(
@@ -104,11 +103,6 @@ def vector_moments(vectors: DataFrame, vec: str = "vec") -> DataFrame:
     )
 
 
-def deviations(moments: DataFrame) -> np.ndarray:
-    """Standardising scale std + 1e-8 per dimension; one number per dimension, fixed by the vector width."""
-    return np.array([r["std"] for r in moments.orderBy("dim").select("std").collect()]) + 1e-8
-
-
 def state_vector(table: StepTable, short: int) -> Column:
     """[gap, gap / max(mean gap, 1), appearances in the last `short`, in the last 100] for every item."""
     cnt, last, first = (item_part(table, n) for n in ("cnt", "last", "first"))
@@ -123,19 +117,128 @@ def state_vectors(table: StepTable, short: int = 20, span: tuple[int, int] | Non
     return state.select(SERIES, "ord", "step_id", "ts", "items", "special", state_vector(table, short).alias("vec"))
 
 
-def neighbour_votes(table: StepTable, k: int = 10, short: int = 20, warm_up: int = 25) -> DataFrame:
-    """(item, votes): items of the steps that followed the k past states closest to the open state.
-
-    For a table of one series; the state before step i votes with step i.
-    """
-    open_table = table.with_request()
-    span = (table.longest, table.longest + 1)
-    known = state_vectors(table, short).where(F.col("ord") >= warm_up).select(F.col("ord").alias("id"), "vec")
-    asked = state_vectors(open_table, short, span).select(F.col("ord").alias("id"), "vec")
-    found = nearest(asked, known, k, scale=deviations(vector_moments(known)))
-    followed = table.df.select(F.col("ord").alias("neighbour_id"), F.explode("items").alias("item")).join(
-        found.select("neighbour_id"), "neighbour_id"
+# ---------------------------------------------------------------------------------------------------
+# Every step by its own past
+
+
+def _step_blocks(vectors: DataFrame, items: int) -> DataFrame:
+    """One row per (series, block): packed ordinals, states, revealed items, and the sums of the revealed states."""
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches)).combine_chunks()
+        order = np.argsort(table.column("ord").to_numpy())
+        table = table.take(pa.array(order)).combine_chunks()
+        vecs = _lists(table.column("vec").combine_chunks())
+        known = table.column("known").to_numpy().astype(bool)
+        lists = table.column("items").combine_chunks()
+        hot = np.zeros((len(vecs), items), np.uint8)
+        hot[np.repeat(np.arange(len(vecs)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy() - 1] = 1
+        seen = vecs[known]
+        blobs = [table.column("ord").to_numpy().astype("<i8"), vecs, hot, known.astype(np.uint8), seen.sum(axis=0), (seen * seen).sum(axis=0)]
+        arrays = [pa.array([key[0].as_py()], table.schema.field(SERIES).type), pa.array([key[1].as_py()], pa.int64()), pa.array([int(known.sum())], pa.int64())]
+        yield pa.record_batch([*arrays, *[pa.array([b.tobytes()], pa.binary()) for b in blobs]], [SERIES, "block", "n", "ords", "vecs", "hot", "known", "one", "two"])
+
+    kind = vectors.schema[SERIES].dataType.simpleString()
+    rows = vectors.select(SERIES, "ord", "vec", "items", F.col("special").isNotNull().alias("known"), F.floor(F.col("ord") / STEP_BLOCK).alias("block"))
+    blocks = rows.groupBy(SERIES, "block").applyInArrow(run, f"{SERIES} {kind}, block long, n long, ords binary, vecs binary, hot binary, known binary, one binary, two binary")
+    return materialise(blocks, "states")
+
+
+def _sums_before(blocks: DataFrame) -> DataFrame:
+    """(series, block, before_n, before_one, before_two): sums over all earlier blocks; only the blocks' sums pass through a series' task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, n, one, two = None, 0, 0.0, 0.0
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row[SERIES] != last:
+                    last, n, one, two = row[SERIES], 0, np.zeros(len(row["one"]) // 8), np.zeros(len(row["one"]) // 8)
+                yield pa.RecordBatch.from_pylist([{SERIES: last, "block": row["block"], "before_n": n, "before_one": one.tobytes(), "before_two": two.tobytes()}], schema=schema)
+                n, one, two = n + row["n"], one + np.frombuffer(row["one"]), two + np.frombuffer(row["two"])
+
+    series = blocks.schema[SERIES].dataType
+    made = f"{SERIES} {series.simpleString()}, block long, before_n long, before_one binary, before_two binary"
+    schema = pa.schema([(SERIES, pa.int32() if series.simpleString() == "int" else pa.int64() if series.simpleString() == "bigint" else pa.string()), ("block", pa.int64()), ("before_n", pa.int64()), ("before_one", pa.binary()), ("before_two", pa.binary())])
+    return blocks.select(SERIES, "block", "n", "one", "two").repartition(SERIES).sortWithinPartitions(SERIES, "block").mapInArrow(run, made)
+
+
+def _meet_past(k: int, items: int, span: Span):
+    """(ord, near) of the query steps of a pair of blocks: the k closest earlier states there, with the items that followed them."""
+    entry = pa.struct([("distance", pa.float64()), ("ord", pa.int64()), ("items", pa.list_(pa.int32()))])
+
+    def scales(row: dict, vecs: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """Deviation of every dimension over the states known before each row, + 1e-8."""
+        seen = np.where(known[:, None], vecs, 0.0)
+        one = np.frombuffer(row["before_one"]) + np.vstack([np.zeros(vecs.shape[1]), np.cumsum(seen, axis=0)[:-1]])
+        two = np.frombuffer(row["before_two"]) + np.vstack([np.zeros(vecs.shape[1]), np.cumsum(seen * seen, axis=0)[:-1]])
+        n = np.maximum(row["before_n"] + np.concatenate([[0], np.cumsum(known)[:-1]]), 1)[:, None]
+        return np.sqrt(np.maximum(two / n - (one / n) ** 2, 0.0)) + 1e-8
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                q_ords, ords = np.frombuffer(row["q_ords"], "<i8"), np.frombuffer(row["ords"], "<i8")
+                q_vecs, vecs = np.frombuffer(row["q_vecs"]).reshape(len(q_ords), -1), np.frombuffer(row["vecs"]).reshape(len(ords), -1)
+                known = np.frombuffer(row["known"], np.uint8).astype(bool)
+                hot = np.frombuffer(row["hot"], np.uint8).reshape(len(ords), items)
+                scale = scales(row, q_vecs, np.frombuffer(row["q_known"], np.uint8).astype(bool))
+                wanted = np.ones(len(q_ords), bool) if span is None else (q_ords >= span[0]) & (q_ords < span[1])
+                rows = []
+                for part in np.array_split(np.flatnonzero(wanted), max(1, wanted.sum() // 256)):
+                    # squared distances of all pairs by two products, then the closest anew; dimensions that never varied take no part
+                    weight = np.where(scale[part] > _FLAT, 1 / scale[part] ** 2, 0.0)
+                    rough = (vecs * vecs) @ weight.T - 2 * (vecs @ (q_vecs[part] * weight).T)
+                    for j, q in enumerate(part):
+                        past = np.flatnonzero(known & (ords < q_ords[q]))
+                        if not len(past):
+                            continue
+                        if len(past) > k + SPARE:
+                            past = past[np.argpartition(rough[past, j], k + SPARE)[: k + SPARE]]
+                        exact = np.sqrt(((vecs[past] - q_vecs[q]) ** 2 * weight[j]).sum(axis=1))
+                        best = past[_first(exact, ords[past], k)]
+                        near = dict(zip(past.tolist(), exact.tolist()))
+                        rows.append((int(q_ords[q]), [{"distance": near[i], "ord": int(ords[i]), "items": (np.flatnonzero(hot[i]) + 1).tolist()} for i in best.tolist()]))
+                if rows:
+                    key = batch.column(SERIES).type
+                    yield pa.record_batch([pa.array([row[SERIES]] * len(rows), key), pa.array([o for o, _ in rows], pa.int64()), pa.array([v for _, v in rows], pa.list_(entry))], [SERIES, "ord", "near"])
+
+    return run
+
+
+def nearest_past(table: StepTable, span: Span = None, k: int = NEIGHBOURS, short: int = 20, warm_up: int = 25) -> DataFrame:
+    """series, ord, near: the k earlier states closest to each step's own, as (distance, ord, items that followed), the closest first."""
+    vectors = state_vectors(table, short).where(F.col("ord") >= warm_up)
+    items = table.domain.items
+    blocks = _step_blocks(vectors, items)
+    asked = blocks.join(_sums_before(blocks), [SERIES, "block"])
+    if span is not None:
+        asked = asked.where(F.col("block").between(span[0] // STEP_BLOCK, (span[1] - 1) // STEP_BLOCK))
+    queries = asked.select(
+        SERIES, F.col("block").alias("asked"), *[F.col(c).alias(f"q_{c}") for c in ("ords", "vecs", "known")], "before_n", "before_one", "before_two",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("block"))).alias("block"),
+    )
+    pairs = queries.join(blocks.select(SERIES, "block", "ords", "vecs", "known", "hot"), [SERIES, "block"])
+    kind = blocks.schema[SERIES].dataType.simpleString()
+    parts = int(table.spark.conf.get("spark.sql.shuffle.partitions"))
+    met = pairs.repartition(parts, SERIES, "asked", "block").mapInArrow(
+        _meet_past(k, items, span), f"{SERIES} {kind}, ord long, near array<struct<distance double, ord long, items array<int>>>"
     )
-    votes = followed.groupBy("item").agg(F.count("*").alias("votes"))
-    numbers = table.spark.range(1, table.domain.items + 1).select(F.col("id").cast("int").alias("item"))
-    return numbers.join(votes, "item", "left").select("item", F.coalesce("votes", F.lit(0)).alias("votes"))
+    merged = met.groupBy(SERIES, "ord").agg(F.flatten(F.collect_list("near")).alias("near"))  # k per block of the past
+    return merged.select(SERIES, "ord", F.slice(F.array_sort("near"), 1, k).alias("near"))
+
+
+def neighbour_walk(table: StepTable, span: Span = None, k: int = NEIGHBOURS, short: int = 20, warm_up: int = 25) -> DataFrame:
+    """Scores of every step with a past: how many of its k neighbours each item followed."""
+    near = nearest_past(table, span, k, short, warm_up).select(SERIES, "ord", F.flatten(F.transform("near", lambda e: e["items"])).alias("_voted"))
+    rows = table.df.select(*KEYS).join(near, [SERIES, "ord"])
+    votes = F.transform(F.sequence(F.lit(1), F.lit(table.domain.items)), lambda n: F.size(F.filter("_voted", lambda v: v == n)).cast("double"))
+    return scored(rows, table, ("knn", votes, F.lit(None).cast("int")))
+
+
+register("knn", neighbour_walk)
+
+
+def neighbour_votes(table: StepTable, k: int = NEIGHBOURS, short: int = 20, warm_up: int = 25) -> DataFrame:
+    """(item, votes) for the open step of a table of one series; the state before step i votes with step i."""
+    scores = neighbour_walk(table.with_request(), (table.longest, table.longest + 1), k, short, warm_up)
+    return scores.select(F.posexplode("score").alias("at", "votes")).select((F.col("at") + 1).alias("item"), F.col("votes").cast("long").alias("votes"))

@@ -134,7 +134,7 @@ def refitted(name: str) -> Refitted | None:
 
 
 def scorer(name: str) -> Scorer:
-    importlib.import_module("setstride.operators.learners")  # registers the learned ones
+    importlib.import_module("setstride.operators.learners")  # registers the learned ones and the neighbours
     if name not in REGISTRY:
         raise ValueError(f"unknown scorer {name!r}; known: {', '.join(sorted(REGISTRY))}")
     return REGISTRY[name]

@@ -213,6 +213,31 @@ def _(spark, folder):
     return neighbours.neighbour_votes(draws(spark, folder))
 
 
+# The ten nearest earlier states of every step, each dimension scaled by its deviation over the states before that step.
+NEIGHBOUR_WALK = """
+vw AS MATERIALIZED (
+  SELECT ord, item, a, b, c, e, stddev_pop(a) OVER w + 1e-8 AS sa, stddev_pop(b) OVER w + 1e-8 AS sb, stddev_pop(c) OVER w + 1e-8 AS sc, stddev_pop(e) OVER w + 1e-8 AS se
+  FROM v4, len WHERE ord < n WINDOW w AS (PARTITION BY item ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+vv AS MATERIALIZED (
+  SELECT ord, list_concat(list_concat(list(a ORDER BY item), list(b ORDER BY item)), list_concat(list(c ORDER BY item), list(e ORDER BY item))) AS x,
+         list_concat(list_concat(list(sa ORDER BY item), list(sb ORDER BY item)), list_concat(list(sc ORDER BY item), list(se ORDER BY item))) AS s FROM vw GROUP BY ord),
+vq AS MATERIALIZED (SELECT ord, list_transform(list_zip(x, s), lambda t: CASE WHEN t[2] > 1e-7 THEN t[1] / t[2] / t[2] ELSE 0 END) AS u,
+         list_transform(s, lambda t: CASE WHEN t > 1e-7 THEN 1 / t / t ELSE 0 END) AS w FROM vv),
+vx AS MATERIALIZED (SELECT ord, x, list_transform(x, lambda t: t * t) AS xx FROM vv),
+dn AS (SELECT q.ord AS q, b.ord AS i, list_dot_product(b.xx, q.w) - 2 * list_dot_product(b.x, q.u) AS dist FROM vq q JOIN vx b ON b.ord < q.ord),
+nn AS MATERIALIZED (SELECT q, unnest(min_by(i, dist, 10)) AS i FROM dn GROUP BY q),
+kv AS (SELECT q AS ord, nums.item, count(v.item) AS votes FROM (SELECT DISTINCT q FROM nn) CROSS JOIN nums LEFT JOIN (SELECT nn.q, li.item FROM nn JOIN li ON li.ord = nn.i) v USING (q, item) GROUP BY ALL),
+kr AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY votes DESC, item) AS r FROM kv)
+"""
+
+
+@query("neighbour_picks", with_(DRAWS, GRID, STATE_VECTORS, NEIGHBOUR_WALK, select=f"""
+SELECT ord, {text('list(item ORDER BY r) FILTER (r <= 5)')} AS picks, CAST(max(votes) AS DOUBLE) AS best_score FROM kr GROUP BY ord"""))
+def _(spark, folder):
+    """Every step by the ten closest states of its own past."""
+    return picks_of(neighbours.neighbour_walk(draws(spark, folder))).drop("special_pick")
+
+
 # --- learning inputs
 
 
