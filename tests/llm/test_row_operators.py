@@ -46,16 +46,37 @@ def test_quality_ratio_by_hand(spark, awkward, labels):  # noqa: F811
     ratio = quality_rules.fit(awkward, labels)
     rows = quality_rules.judged(awkward, ratio)
     assert rows.columns[:-1] == awkward.columns
-    every = sorted({w for r in awkward.collect() for w in WORD.findall(r["text"] or "")})
-    cell = {r["w"]: r["c"] for r in spark.createDataFrame([(w,) for w in every], "w string").selectExpr("w", f"pmod(xxhash64(w), {quality_rules.CELLS}) c").collect()}
+    pairs = {p for r in awkward.collect() for w in [WORD.findall(r["text"] or "")] for p in [*zip(w, w[1:]), *((v, None) for v in w)]}
+    cells = spark.createDataFrame(sorted(pairs, key=str), "v string, w string").selectExpr(
+        "v", "w", f"if(w is null, pmod(xxhash64(v), {quality_rules.CELLS}), {quality_rules.CELLS} + pmod(xxhash64(xxhash64(v), xxhash64(w)), {quality_rules.CELLS})) c"
+    )
+    cell = {(r["v"], r["w"]): r["c"] for r in cells.collect()}
+    weights = ratio.weights
+    assert len(weights) == 2 * quality_rules.CELLS
     for r in rows.collect():
         rules = r[-1]
-        if rules["n_words"]:
-            cells = [cell[w] for w in WORD.findall(r["text"])]
-            assert rules["score"] == pytest.approx(sum(round(ratio.weights[c], 3) for c in cells) / len(cells), abs=1e-9)
+        words = WORD.findall(r["text"] or "")
+        if words:
+            found = [cell[v, None] for v in words] + [cell[p] for p in zip(words, words[1:])]
+            assert rules["score"] == pytest.approx(sum(weights[c] for c in found) / len(found), abs=1e-9)
         assert rules["kept"] == (not rules["base_failed"] and rules["score"] >= ratio.threshold)
 
 
+def test_quality_weights_are_smoothed_log_ratios_outside_the_plan(spark, awkward, labels):  # noqa: F811
+    ratio = quality_rules.fit(awkward, labels, orders=(1,))
+    good = {r["doc_id"] for r in quality_rules._sampled(labels, 100).where("good and pmod(xxhash64(1, doc_id), 2) = 0").collect()}
+    raw, target = [0] * quality_rules.CELLS, [0] * quality_rules.CELLS
+    words = awkward.selectExpr("doc_id", r"explode(split(coalesce(text, ''), '[\\x20\\x09-\\x0D]+')) w").where("w != ''")
+    for r in words.selectExpr("doc_id", f"pmod(xxhash64(w), {quality_rules.CELLS}) c").collect():
+        raw[r["c"]] += 1
+        target[r["c"]] += r["doc_id"] in good
+    share = sum(target) / sum(raw)
+    for c, w in enumerate(ratio.weights):
+        assert w == pytest.approx(math.log((target[c] + 8) / (share * raw[c] + 8)), abs=6e-4)
+    plan = quality_rules.verdicts(awkward, labels)._jdf.queryExecution().toString()
+    assert len(plan) < 200_000
+
+
 def test_quality_without_labels_and_rows(awkward, empty, labels):  # noqa: F811
     bare = quality_rules.fit(awkward, labels.limit(0))
     assert bare.threshold == -math.inf
