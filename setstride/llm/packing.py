@@ -3,9 +3,10 @@
 Documents are tokenised, cut into pieces of at most `most` tokens, and the pieces packed in blocks: a block is one task's
 share of some `BLOCK` pieces, by a hash of the piece. A block wastes part of one sequence at the most against packing all at once.
 
-Inside a block, pieces go best-fit in falling length. Where more sequences are used than the total length needs, the emptiest
-one gives its pieces away: it exchanges one for one, two for one or one for two, or moves a piece, whenever the squared fill of
-the two sequences grows, until it is empty or nothing helps.
+Inside a block, pieces go best-fit in falling length. Where more sequences are used than the total length needs, the underfull ones, the emptiest
+first, give their pieces away: each exchanges one for one, two for one or one for two, or moves a piece, with any other underfull sequence, whenever the squared fill of
+the two grows, until it is empty or nothing helps. The search ends when no sequence can give anything, or at the bound of the total length;
+a partner is looked up by the length it holds and its room.
 
 Null texts are empty; an empty document is its end token alone. Equal lengths are taken in the order of (doc_id, piece), null ids first.
 Repeated rows are pieces of their own. An empty table gives an empty result. Extra columns play no part.
@@ -13,9 +14,11 @@ Repeated rows are pieces of their own. An empty table gives an empty result. Ext
 
 from __future__ import annotations
 
-import heapq
+import bisect
+import itertools
 import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,9 +32,6 @@ from setstride.llm.tokens import WordTokenizer
 MOST = 4096
 BLOCK = 1 << 16
 END = 1
-#: The search offers a source to so many underfull bins with the most room, and ends after so many sources that could not be emptied.
-NEIGHBOURS = 256
-FAILURES = 16
 CHUNK_CHARS = 1 << 20
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -95,88 +95,116 @@ def best_fit(lengths: list[int], most: int) -> list[list[int]]:
     return bins
 
 
+class _Underfull:
+    """Bins with room, found by what they hold: for every length of a piece (kind 1) or of a pair of pieces (kind 2), the bins that hold it, by room.
+
+    Kind 0 holds nothing: a bin that only receives. `reach` is the largest sum of a length and a room beside it, so that one
+    comparison rules out all lengths that cannot take part in an exchange.
+    """
+
+    def __init__(self, most: int):
+        self.most = most
+        self.places: list[dict[int, list[tuple[int, int]]]] = [{}, {}, {}]
+        self.reach = [np.full(s * most + 1, -1, np.int64) for s in (1, 1, 2)]
+
+    def _entries(self, held: list[int]) -> list[tuple[int, int]]:
+        distinct = sorted(set(held))
+        pairs = {x + y for x, y in itertools.combinations(distinct, 2)} | {2 * x for x in distinct if held.count(x) > 1}
+        return [(0, 0), *((1, x) for x in distinct), *((2, t) for t in pairs)]
+
+    def add(self, b: int, room: int, held: list[int]) -> None:
+        for kind, t in self._entries(held):
+            place = self.places[kind].setdefault(t, [])
+            bisect.insort(place, (room, b))
+            self.reach[kind][t] = place[-1][0] + t
+
+    def remove(self, b: int, room: int, held: list[int]) -> None:
+        for kind, t in self._entries(held):
+            place = self.places[kind][t]
+            place.pop(bisect.bisect_left(place, (room, b)))
+            self.reach[kind][t] = place[-1][0] + t if place else -1
+
+    def best(self, own: list[int], room: int) -> tuple[int, tuple[int, ...], int, int] | None:
+        """(bin, lengths given, kind and length taken) of the exchange that moves the most tokens out of a bin, or None.
+
+        The bin that receives must end up fuller than the one that gives was: then the sum of squared fills grows.
+        """
+        singles = sorted(set(own), reverse=True)
+        pairs = {tuple(p) for p in itertools.combinations(sorted(own), 2)}
+        best, most_moved = None, 0
+        for kind, gifts in ((0, [(y,) for y in singles]), (1, [*((y,) for y in singles), *sorted(pairs, key=lambda p: (-sum(p), p))]), (2, [(y,) for y in singles])):
+            for given in gifts:
+                total = sum(given)
+                if total <= most_moved:
+                    continue
+                # a longer taken part moves less, so the first that fits is the best of this gift
+                for t in np.flatnonzero(self.reach[kind][: max(total - most_moved, 0)] >= total).tolist():
+                    place = self.places[kind][t]
+                    at = bisect.bisect_left(place, (total - t, -1))
+                    if at < len(place) and place[at][0] < total - t + room:
+                        most_moved, best = total - t, (place[at][1], given, kind, t)
+                        break
+        return best
+
+
+def _taken(held: list[int], kind: int, total: int) -> list[int]:
+    """Lengths of the piece or the pair of that total among those held."""
+    if kind < 2:
+        return [total] * kind
+    counts = Counter(held)
+    return next([x, total - x] for x in sorted(counts) if total - x in counts and (2 * x != total or counts[x] > 1))
+
+
 def improved(bins: list[list[int]], lengths: list[int], most: int) -> list[list[int]]:
-    """Local search: the emptiest bin is dissolved while exchanges with other underfull bins raise the sum of squared fills."""
+    """Local search: every underfull bin, the emptiest first, gives pieces away while exchanges with other underfull bins raise the
+    sum of squared fills. It ends when as few bins are left as the total needs, or when no bin could give anything."""
     least = math.ceil(sum(lengths) / most)
-    size = np.array(lengths, np.int64)
-    fill = [int(size[b].sum()) for b in bins]
-    open_bins = {b for b in range(len(bins)) if fill[b] < most}
-    alive, failed, tried = len(bins), 0, set()
-    while alive > least and len(open_bins) > 1 and open_bins - tried and failed < FAILURES:
-        source = min(open_bins - tried, key=lambda b: (fill[b], b))
-        others = heapq.nsmallest(NEIGHBOURS, open_bins - {source}, key=lambda b: (fill[b], b))
+    alive = len(bins)
+    if alive <= least:
+        return bins
+    bins = [list(b) for b in bins]
+    held = [[lengths[p] for p in b] for b in bins]
+    room = [most - sum(h) for h in held]
+    index = _Underfull(most)
+    for b in range(len(bins)):
+        if room[b]:
+            index.add(b, room[b], held[b])
+
+    def hand_over(giver: int, receiver: int, sizes: list[int]) -> None:
+        for x in sizes:
+            at = held[giver].index(x)
+            bins[receiver].append(bins[giver].pop(at))
+            held[receiver].append(held[giver].pop(at))
+            room[giver], room[receiver] = room[giver] + x, room[receiver] - x
+
+    moved = True
+    while moved and alive > least:
         moved = False
-        while bins[source]:
-            step = _exchange(bins[source], bins, others, size, fill, most)
-            if step is None:
+        for source in sorted((b for b in range(len(bins)) if bins[b] and room[b]), key=lambda b: (-room[b], b)):
+            if alive <= least:
                 break
-            moved = True
-            target, given, taken = step
-            bins[source] = [p for p in bins[source] if p not in given] + taken
-            bins[target] = [p for p in bins[target] if p not in taken] + given
-            gain = int(size[given].sum()) - int(size[taken].sum() if taken else 0)
-            fill[source] -= gain
-            fill[target] += gain
-            if fill[target] == most:
-                others.remove(target)
-                open_bins.discard(target)
-        if moved:  # bins that could not give before may now
-            tried.clear()
-        if bins[source]:
-            tried.add(source)
-            failed += 1
-        else:
-            open_bins.discard(source)
-            alive, failed = alive - 1, 0
+            if not room[source]:
+                continue
+            index.remove(source, room[source], held[source])
+            while bins[source]:
+                step = index.best(held[source], room[source])
+                if step is None:
+                    break
+                target, given, kind, total = step
+                index.remove(target, room[target], held[target])
+                taken = _taken(held[target], kind, total)
+                hand_over(source, target, list(given))
+                hand_over(target, source, taken)
+                if room[target]:
+                    index.add(target, room[target], held[target])
+                moved = True
+            if not bins[source]:
+                alive -= 1
+            elif room[source]:
+                index.add(source, room[source], held[source])
     return [b for b in bins if b]
 
 
-def _exchange(own: list[int], bins, others: list[int], size: np.ndarray, fill: list[int], most: int):
-    """(bin, pieces given, pieces taken) of the exchange that moves the most tokens out of `own`, or None.
-
-    The bin that receives must end up fuller than the one that gives was: then the sum of squared fills grows.
-    """
-    if not others:
-        return None
-    room = np.array([most - fill[b] for b in others])
-    full = int(size[own].sum())
-    flat = np.array([p for b in others for p in bins[b]], np.int64)
-    where = np.repeat(np.arange(len(others)), [len(bins[b]) for b in others])
-    best = (0, None)
-
-    def offer(given: list[int], moved: np.ndarray, spots: np.ndarray, taken) -> None:
-        nonlocal best
-        b_fill = most - room[spots]
-        ok = (moved > best[0]) & (moved <= room[spots]) & (b_fill + moved > full)
-        if ok.any():
-            k = int(np.argmax(np.where(ok, moved, 0)))
-            best = (int(moved[k]), (others[int(spots[k])], given, taken(k)))
-
-    every = np.arange(len(others))
-    for y in own:
-        offer([y], np.full(len(others), size[y]), every, lambda k: [])
-        offer([y], size[y] - size[flat], where, lambda k: [int(flat[k])])
-    for i, y in enumerate(own):
-        for z in own[i + 1 :]:
-            offer([y, z], size[y] + size[z] - size[flat], where, lambda k: [int(flat[k])])
-    if best[1] is None:
-        first, second, spot = _pairs([bins[b] for b in others])
-        for y in own:
-            offer([y], size[y] - size[first] - size[second], spot, lambda k: [int(first[k]), int(second[k])])
-    return best[1]
-
-
-def _pairs(groups: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    firsts, seconds, spots = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for n, g in enumerate(groups):
-        a, b = np.triu_indices(len(g), 1)
-        held = np.array(g, np.int64)
-        firsts.append(held[a])
-        seconds.append(held[b])
-        spots.append(np.full(len(a), n))
-    return np.concatenate(firsts), np.concatenate(seconds), np.concatenate(spots)
-
-
 def pack(lengths: list[int], most: int = MOST) -> list[list[int]]:
     return improved(best_fit(lengths, most), lengths, most)
 

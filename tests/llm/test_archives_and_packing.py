@@ -195,3 +195,26 @@ def test_pipeline_stages(spark, awkward, labels, tmp_path):  # noqa: F811
     packed = corpus_pipeline.run(spark, folder).collect()
     assert {r["doc_id"] for r in packed} == seen[3]
     assert not re.search("limit|sample", " ".join(n for n, _ in corpus_pipeline.STAGES))
+
+
+@pytest.mark.parametrize("low,high", [(27, 50), (22, 37), (30, 36)])
+def test_search_goes_on_until_no_bin_can_give(low, high):
+    """Against plain trying of every exchange between every two underfull bins."""
+    rng = random.Random(low)
+    lengths = [rng.randint(low, high) for _ in range(120)]
+    bins = packing.pack(lengths, 100)
+    held = [sorted(lengths[p] for p in b) for b in bins]
+    if len(bins) == math.ceil(sum(lengths) / 100):
+        return
+    for i, a in enumerate(held):
+        for j, b in enumerate(held):
+            if i == j or sum(a) == 100 or sum(b) == 100:
+                continue
+            gifts = [(g, t) for g in map(sum, [[x] for x in a] + [[x, y] for x, y in zip(a, a[1:])]) for t in [0, *b]] + [(g, x + y) for g in a for n, x in enumerate(b) for y in b[n + 1 :]]
+            assert not any(0 < g - t <= 100 - sum(b) and sum(b) + g - t > sum(a) for g, t in gifts if (g in a or t in [*b]))
+
+
+def test_search_finds_what_best_fit_misses():
+    rng = random.Random(1)
+    lengths = [rng.randint(1100, 2050) for _ in range(3000)]
+    assert len(packing.best_fit(lengths, 4096)) == 1297 and len(packing.pack(lengths, 4096)) <= 1265
