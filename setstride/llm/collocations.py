@@ -4,12 +4,12 @@ Texts are lower-cased (A-Z), cut into pieces at `[.,;:!?\\x0A-\\x0D]` and into w
 inside a piece. Everything is counted per language. A phrase is a candidate when it has 2 to `longest` words and occurs at least `least`
 times, overlaps included.
 
-* First pass, for single words, then pairs, then longer phrases: a task counts the hashes of one chunk of text and sends the counts as
-  blocks, one per hash partition (the leading bits of the hash). A block is a summary without error; a partition merges its blocks
+* First pass, for single words, then pairs, then longer phrases: the mass of each hash partition (the leading bits of the hash) is counted; then a task
+  counts the hashes of one chunk of text and sends the counts as blocks, one per partition. A block is a summary without error; a partition merges its blocks
   into one Misra-Gries summary whose capacity exceeds the partition's mass divided by `least`, so no phrase with `least`
   occurrences is lost. Memory of a merge is its partition's mass / `least` counters; more partitions make them smaller.
 * What survives is kept as one bit per hash cell in a table of 2^`FILTER_BITS` bits, of fixed size whatever the corpus. Longer phrases are only sent where all their shorter ones survive.
-* Second pass: occurrences whose cell is set are counted exactly, by language and words, not by hash. Cells that others
+* Second pass: occurrences whose cell is set are counted exactly, in a task by 64-bit hash, over all tasks by language and words. Cells that others
   share only add phrases whose exact count then rules them out.
 * A cut of a candidate into its first k words and the rest scores floor(1000 * count * words / (count of first * count of rest)), in
   whole numbers of any size; the lowest-scoring cut counts, then the smallest k.
@@ -21,6 +21,7 @@ Null texts are empty; null languages are `und`. Repeated rows count as often as
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +36,7 @@ from setstride.llm.textkit import LOWER, grams, mix, text_chunks, word_hashes
 FILTER_BITS = 27
 CHUNK = 4 << 20
 MERGE = 1 << 20
+HELD = 1 << 19
 _U = np.uint64
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -116,15 +118,20 @@ def _possible(words: _Words, k: int, known: int, bits: np.ndarray) -> np.ndarray
     return ok
 
 
-def _blocks(sizes: tuple[int, ...], known: int, packed: bytes, part_bits: int):
-    """Counted hashes of every chunk, cut by hash partition."""
+def _blocks(sizes: tuple[int, ...], known: int, packed: bytes, part_bits: int, only_mass: bool = False):
+    """Counted hashes of every chunk, cut by hash partition; or only the mass of each partition in the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = _unpacked(packed)
+        mass = np.zeros(1 << part_bits, np.int64)
         for words, _ in _chunks(batches):
             found = [words.phrases(k)[_possible(words, k, known, bits)] for k in sizes if len(words.first) >= k]
             if not found or not sum(map(len, found)):
                 continue
+            if only_mass:
+                for f in found:
+                    mass += np.bincount((f >> _U(64 - part_bits)).astype(np.int64), minlength=len(mass))
+                continue
             hashes, counts = np.unique(np.concatenate(found), return_counts=True)
             part = (hashes >> _U(64 - part_bits)).astype(np.int64)
             edges = np.searchsorted(part, np.arange((1 << part_bits) + 1))
@@ -136,6 +143,8 @@ def _blocks(sizes: tuple[int, ...], known: int, packed: bytes, part_bits: int):
                 ],
                 ["part", "mass", "hashes", "counts"],
             )
+        if mass.any():
+            yield pa.record_batch([pa.array(np.arange(len(mass)), pa.int32()), pa.array(mass)], ["part", "mass"])
 
     return run
 
@@ -202,8 +211,10 @@ def survivors(texts: DataFrame, sizes: tuple[int, ...], least: int, known: int,
     """The filter: cells set in `bits`, and those of all phrases of the given sizes that may occur `least` times."""
     spark = texts.sparkSession
     part_bits = min(max(n_partitions(spark) - 1, 1).bit_length(), FILTER_BITS - 3)
-    blocks = stored(texts.mapInArrow(_blocks(sizes, known, _packed(bits), part_bits), _BLOCKS), "phrase-blocks")
-    masses = {r["part"]: r["mass"] for r in blocks.groupBy("part").agg(F.sum("mass").alias("mass")).collect()}  # a number per hash partition
+    packed = _packed(bits)
+    weighed = texts.mapInArrow(_blocks(sizes, known, packed, part_bits, True), "part int, mass long")
+    masses = {r["part"]: r["mass"] for r in weighed.groupBy("part").agg(F.sum("mass").alias("mass")).collect()}  # a number per hash partition
+    blocks = texts.mapInArrow(_blocks(sizes, known, packed, part_bits), _BLOCKS)
     merged = blocks.repartition(n_partitions(spark), "part").mapInArrow(_surviving(masses, least, part_bits), "part int, bits binary")
     out = np.zeros((1 << part_bits, 1 << (FILTER_BITS - part_bits - 3)), np.uint8)
     for row in merged.toLocalIterator():  # 2^FILTER_BITS bits in all
@@ -211,28 +222,58 @@ def survivors(texts: DataFrame, sizes: tuple[int, ...], least: int, known: int,
     return out.ravel() | bits
 
 
+class _Held:
+    """Counts of a task's surviving phrases by hash, with the words of each once; at most `HELD` of them and one chunk's."""
+
+    def __init__(self):
+        self.hashes, self.counts, self.sizes = np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.langs, self.texts = pa.array([], pa.string()), pa.array([], pa.string())
+
+    def add(self, words: _Words, langs: pa.Array, hashes: np.ndarray, at: np.ndarray, sizes: np.ndarray, counts: np.ndarray) -> None:
+        """Sorted distinct `hashes`, each with a place where it stands and its size and count."""
+        place = np.searchsorted(self.hashes, hashes)
+        known = (place < len(self.hashes)) & (self.hashes[np.minimum(place, max(len(self.hashes) - 1, 0))] == hashes) if len(self.hashes) else np.zeros(len(hashes), bool)
+        self.counts[place[known]] += counts[known]
+        new = ~known
+        if not new.any():
+            return
+        order = np.argsort(np.concatenate([self.hashes, hashes[new]]), kind="stable")
+        self.hashes = np.concatenate([self.hashes, hashes[new]])[order]
+        self.counts = np.concatenate([self.counts, counts[new]])[order]
+        self.sizes = np.concatenate([self.sizes, sizes[new]])[order]
+        self.langs = pa.concat_arrays([self.langs, langs.take(pa.array(words.row[at[new]]))]).take(pa.array(order))
+        self.texts = pa.concat_arrays([self.texts, words.texts(at[new], sizes[new])]).take(pa.array(order))
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        for a in range(0, len(self.hashes), 1 << 16):
+            part = slice(a, a + (1 << 16))
+            yield _count_batch(self.langs[part], self.texts[part], self.sizes[part], self.counts[part])
+
+
 def _counted(longest: int, packed: bytes):
-    """(lang, phrase, size, n): occurrences of surviving phrases in every chunk, and its words per language as size 0."""
+    """(lang, phrase, size, n): occurrences of surviving phrases in a task, and its words per language as size 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = _unpacked(packed)
+        held, totals = _Held(), Counter()
         for words, langs in _chunks(batches):
             if not len(words.first):
                 continue
-            hashes, starts, sizes = [], [], []
+            codes = langs.dictionary_encode()
+            counts = np.bincount(codes.indices.to_numpy(zero_copy_only=False)[words.row], minlength=len(codes.dictionary))
+            totals.update(dict(zip(codes.dictionary.to_pylist(), counts.tolist())))
             for k in range(1, longest + 1):
                 phrases, ok = words.phrases(k), words.runs(k)
                 at = np.flatnonzero(ok & _is_set(bits, phrases[: len(ok)])) if len(ok) else np.zeros(0, np.int64)
-                hashes.append(phrases[at])
-                starts.append(at)
-                sizes.append(np.full(len(at), k))
-            _, first, counts = np.unique(np.concatenate(hashes), return_index=True, return_counts=True)
-            at, size = np.concatenate(starts)[first], np.concatenate(sizes)[first]
-            if len(at):
-                yield _count_batch(langs.take(pa.array(words.row[at])), words.texts(at, size), size, counts)
-            codes = langs.dictionary_encode()
-            total = np.bincount(codes.indices.to_numpy(zero_copy_only=False)[words.row], minlength=len(codes.dictionary))
-            yield _count_batch(codes.dictionary, pa.array([""] * len(total)), np.zeros(len(total), np.int64), total)
+                if len(at):
+                    hashes, first, times = np.unique(phrases[at], return_index=True, return_counts=True)
+                    held.add(words, langs, hashes, at[first], np.full(len(first), k), times)
+            if len(held.hashes) > HELD:
+                yield from held.rows()
+                held = _Held()
+        yield from held.rows()
+        if totals:
+            yield _count_batch(pa.array(list(totals)), pa.array([""] * len(totals)), np.zeros(len(totals), np.int64), np.array(list(totals.values())))
 
     return run
 
