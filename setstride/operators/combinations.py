@@ -1,12 +1,18 @@
-"""Exhaustive ranking of item combinations."""
+"""Exhaustive ranking of item combinations, once over all steps or as of the fits of a walk."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from setstride.operators.layout import SERIES, StepTable
 from setstride.operators.pairs import cooccurrence
+from setstride.operators.scorers import KEYS, Span, register, register_refitted, scored
+from setstride.operators.state import dense_prefix
 
 
 def item_counts(table: StepTable, specials: bool = False) -> list[int]:
@@ -59,3 +65,89 @@ def best_combinations(table: StepTable, top: int = 10) -> DataFrame:
     shares, pairs = fitness_tables(table)
     scored = all_combinations(table).withColumn("fitness", fitness(F.col("items"), shares, pairs, table.domain.items))
     return scored.orderBy(F.desc("fitness"), "items").limit(top)
+
+
+# ---------------------------------------------------------------------------------------------------
+# As of the fits of a walk
+
+
+def fittest(counts: np.ndarray, pick: int) -> tuple[list[int], float]:
+    """The fittest `pick` items (0-based) for counts of items (diagonal) and pairs; ties in item order.
+
+    Combinations grow level by level in lexicographic order; each keeps its last item, so a level is a few vector operations.
+    """
+    width = len(counts)
+    single = 0.6 * np.diag(counts) / max(np.trace(counts), 1)
+    both = np.triu(counts, 1) + np.triu(counts, 1).T
+    pair = 0.4 * both / max(both.max(), 1)
+    members = np.arange(width)[:, None]
+    score = single.copy()
+    for _ in range(pick - 1):
+        last = members[:, -1]
+        times = width - 1 - last
+        parent = np.repeat(np.arange(len(members)), times)
+        added = np.arange(len(parent)) - np.repeat(np.cumsum(times) - times, times) + last[parent] + 1
+        gain = single[added]
+        for j in range(members.shape[1]):
+            gain = gain + pair[members[parent, j], added]
+        members, score = np.hstack([members[parent], added[:, None]]), score[parent] + gain
+    best = int(np.argmax(np.round(score, 12)))
+    return members[best].tolist(), float(score[best])
+
+
+def counts_at_fits(table: StepTable, fits: list[int]) -> DataFrame:
+    """series, fit, cells (cell, n): appearances of items (cell = 48 x item for 47 items) and of pairs in the steps before each fit."""
+    width = table.domain.items
+    part = sum((F.when(F.col("ord") >= f, 1).otherwise(0) for f in fits[1:]), F.lit(0)) if len(fits) <= 64 else None
+    if part is None:  # regular fits
+        part = F.greatest(F.lit(0), F.floor((F.col("ord") - fits[0]) / (fits[1] - fits[0])) + F.when(F.col("ord") >= fits[0], 1).otherwise(0))
+    else:
+        part = part + F.when(F.col("ord") >= fits[0], 1).otherwise(0)
+    known = table.df.where(F.col("special").isNotNull() & (F.col("ord") < fits[-1])).select(SERIES, part.cast("long").alias("block"), F.array_sort("items").alias("v"))
+    cells = F.flatten(F.transform("v", lambda a: F.transform(F.filter("v", lambda b: b >= a), lambda b: (a - 1) * width + b - 1)))
+    totals = known.select(SERIES, "block", F.explode(cells).alias("cell")).groupBy(SERIES, "block", "cell").agg(F.count("*").alias("n"))
+    # a part without steps of its own still has the counts of the parts before it
+    every = known.select(SERIES).distinct().select(SERIES, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(len(fits) - 1).cast("long"))).alias("block"))
+    blank = every.select(SERIES, "block", F.lit(0).cast("int").alias("cell"), F.lit(0).cast("long").alias("n"))
+    dense = dense_prefix(totals.unionByName(blank), "cell", width * width, {"n": "sum"})
+    return dense.groupBy(SERIES, (F.col("block") - 1).alias("fit_no")).agg(F.collect_list(F.struct("cell", F.col("_n").alias("n"))).alias("cells"))
+
+
+def combination_walk(table: StepTable, fits: list[int], end: int | None = None) -> DataFrame:
+    """The fittest combination as of each fit, served to the steps up to the next: score 1 for its items, 0 for others."""
+    width, pick = table.domain.items, table.domain.pick
+    counted = counts_at_fits(table, fits)
+    kind = counted.schema[SERIES].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for cells in batch.column("cells").to_pylist():
+                flat = np.zeros(width * width)
+                flat[[c["cell"] for c in cells]] = [c["n"] for c in cells]
+                items, score = fittest(flat.reshape(width, width), pick)
+                rows.append(([i + 1 for i in items], score))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(SERIES), batch.column("fit_no"), pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.float64())],
+                names=[SERIES, "fit_no", "best", "fitness"],
+            )
+
+    found = counted.repartition(SERIES, "fit_no").mapInArrow(run, f"{SERIES} {kind}, fit_no long, best array<int>, fitness double")
+    starts = F.array(*[F.lit(f).cast("long") for f in fits]) if len(fits) <= 64 else F.transform(F.sequence(F.lit(0), F.lit(len(fits) - 1)), lambda i: i * (fits[1] - fits[0]) + fits[0])
+    served = found.select(
+        SERIES, "best", F.get(starts, F.col("fit_no").cast("int")).alias("lo"),
+        F.coalesce(F.get(starts, F.col("fit_no").cast("int") + 1), F.lit(table.longest + 1 if end is None else end)).alias("hi"),
+    )
+    served = served.select(SERIES, "best", F.explode(F.when(F.col("hi") > F.col("lo"), F.sequence(F.col("lo"), F.col("hi") - 1))).alias("ord"))
+    rows = table.df.select(*KEYS).join(served, [SERIES, "ord"])
+    score = F.transform(F.sequence(F.lit(1), F.lit(width)), lambda n: F.array_contains("best", n).cast("double"))
+    return scored(rows, table, ("genetic", score, F.lit(None).cast("int")))
+
+
+def _combination_scores(table: StepTable, span: Span = None) -> DataFrame:
+    lo, hi = span or (table.longest * 4 // 5, table.longest)
+    return combination_walk(table, [lo], hi)
+
+
+register("genetic", _combination_scores)
+register_refitted("genetic", combination_walk)

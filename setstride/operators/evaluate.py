@@ -302,6 +302,21 @@ def walk_report(scores: DataFrame, table: StepTable, tickets: int = MAX_TICKETS)
     )
 
 
+def next_step_document(table: StepTable, models: tuple[str, ...], votes: int = 10, consensus: int = 5) -> DataFrame:
+    """One row per series with a JSON `document` for its open step: each model's picks, special and tickets, the items with the
+    most votes and the consensus (all sized by the models and the vocabulary)."""
+    opened, span = table.with_request(), (table.longest, table.longest + 1)
+    scores = predictions(opened, models, span)
+    made = best_tickets(scores, table.domain).select(SERIES, "ord", "model", "special_pick", "tickets").join(scores.select(SERIES, "ord", "model", "picks"), [SERIES, "ord", "model"])
+    counted = made.select(SERIES, F.explode("picks").alias("item")).groupBy(SERIES, "item").agg(F.count("*").alias("votes"))
+    ranked = counted.groupBy(SERIES).agg(F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("down"), "item"))).alias("_v"))
+    entry = F.struct("model", F.array_sort("picks").alias("items"), F.col("special_pick").alias("special"), "tickets")
+    models_of = made.groupBy(SERIES, "ord").agg(F.sort_array(F.collect_list(entry)).alias("models"))
+    top = F.transform(F.slice("_v", 1, votes), lambda v: F.struct(v["item"].alias("item"), (-v["down"]).alias("votes")))
+    chosen = F.array_sort(F.transform(F.slice("_v", 1, consensus), lambda v: v["item"]))
+    return models_of.join(ranked, SERIES).select("ord", F.to_json(F.struct("ord", "models", top.alias("votes"), chosen.alias("consensus"))).alias("document"))
+
+
 # ---------------------------------------------------------------------------------------------------
 # Score quality
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from setstride.config import LOOKBACK, SHORT_WINDOW, VALIDATION_STEPS, Domain
 from setstride.functions.arrays import multihot
-from setstride.operators import trees
+from setstride.operators import combinations, trees  # noqa: F401 (combinations registers its scorer)
 from setstride.operators.evaluate import outcomes
 from setstride.operators.layout import SERIES, StepTable
 from setstride.operators.neighbours import state_vectors

@@ -177,7 +177,5 @@ def block_scorer(name: str, reach: int, score_block: Callable[[pd.DataFrame], pd
 register("frequency", lambda table, span=None: count_scores(table, span, ("frequency",)))
 register("bayesian", lambda table, span=None: count_scores(table, span, ("bayesian",)))
 register("markov", markov_scores)
-register(
-    "ensemble",
-    lambda table, span=None: ensemble_votes(predictions(table, ("frequency", "markov", "bayesian"), span), table),
-)
+VOTERS = ("frequency", "markov", "bayesian", "knn", "decision_tree", "genetic")
+register("ensemble", lambda table, span=None: ensemble_votes(predictions(table, VOTERS, span), table))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import functions as F
 
-from setstride.operators import combinations, learners, neighbours
+from setstride.operators import combinations, evaluate, learners, neighbours, scorers
 from setstride.operators.layout import StepTable
 from setstride.operators.scorers import average_scores, count_scores, ensemble_votes, markov_scores, normalised, predictions
 from setstride.plans.common import draws, query, table
@@ -158,6 +160,72 @@ def _(spark, folder):
     return combinations.best_combinations(draws(spark, folder))
 
 
+COMBINATION_FITS = """
+ft AS (SELECT f AS no, 200 + f * CAST(ceil((n - 200) / 3.0) AS BIGINT) AS fit FROM range(3) r(f), len WHERE 200 + f * CAST(ceil((n - 200) / 3.0) AS BIGINT) < n),
+fr AS MATERIALIZED (SELECT fit, nums.item, CAST(count(li.ord) AS DOUBLE) / (5 * fit) AS f FROM ft CROSS JOIN nums LEFT JOIN li ON li.item = nums.item AND li.ord < fit GROUP BY fit, nums.item),
+pc AS (SELECT fit, a.item AS a, b.item AS b, count(*) AS n FROM li a JOIN li b ON a.ord = b.ord AND a.item < b.item JOIN ft ON a.ord < fit GROUP BY ALL),
+ps AS MATERIALIZED (SELECT x.fit, x.item AS a, y.item AS b, coalesce(CAST(pc.n AS DOUBLE) / max(pc.n) OVER (PARTITION BY x.fit), 0) AS s
+       FROM fr x JOIN fr y ON x.fit = y.fit AND x.item < y.item LEFT JOIN pc ON pc.fit = x.fit AND pc.a = x.item AND pc.b = y.item),
+pm AS MATERIALIZED (SELECT x.fit, list(coalesce(ps.s, 0.0) ORDER BY x.item, y.item) AS m FROM fr x JOIN fr y ON x.fit = y.fit LEFT JOIN ps ON ps.fit = x.fit AND ps.a = x.item AND ps.b = y.item GROUP BY x.fit),
+fl AS MATERIALIZED (SELECT fit, list(f ORDER BY item) AS f FROM fr GROUP BY fit),
+u2 AS (SELECT a, unnest(range(a + 1, 48)) AS b FROM (SELECT unnest(range(1, 48)) AS a)),
+u3 AS (SELECT *, unnest(range(b + 1, 48)) AS c FROM u2), u4 AS (SELECT *, unnest(range(c + 1, 48)) AS e FROM u3), u5 AS (SELECT *, unnest(range(e + 1, 48)) AS g FROM u4),
+sf AS (SELECT fit, a, b, c, e, g, round(0.6 * (f[a] + f[b] + f[c] + f[e] + f[g]) + 0.4 * (""" + " + ".join(f"m[({x} - 1) * 47 + {y}]" for x, y in itertools.combinations("abceg", 2)) + """), 12) AS fitness FROM u5 CROSS JOIN (SELECT * FROM pm JOIN fl USING (fit))),
+tp AS (SELECT fit, max(fitness) AS fitness FROM sf GROUP BY fit),
+cb AS MATERIALIZED (SELECT fit, min([a, b, c, e, g]) AS best FROM sf JOIN tp USING (fit, fitness) GROUP BY fit)
+"""
+
+
+@query("combination_picks", with_(DRAWS, COMBINATION_FITS, select=f"""
+SELECT d.ord, fit AS fit_ord, {text('best')} AS picks, len(list_intersect(best, items)) AS hits FROM d JOIN cb ON fit = 200 + (d.ord - 200) // CAST(ceil(((SELECT n FROM len) - 200) / 3.0) AS BIGINT) * CAST(ceil(((SELECT n FROM len) - 200) / 3.0) AS BIGINT) WHERE d.ord >= 200"""))
+def _(spark, folder):
+    """Every step from 200 on by the fittest combination as of its fit, three fits in all."""
+    t = draws(spark, folder)
+    every = -(-(t.longest - 200) // 3)
+    scores = evaluate.prequential(t, ("genetic",), 200, every={"genetic": every})
+    return evaluate.outcomes(scores, t.domain).select("ord", "fit_ord", "picks", "hits")
+
+
+@query("learned_walk")
+def _(spark, folder):
+    """Learned and neighbour models walked from step 200 to the end, fitted anew at every quarter of the walk: metrics per model."""
+    t = draws(spark, folder)
+    every = -(-(t.longest - 200) // 4)
+    models = ("decision_tree", "mlp", "knn", "genetic")
+    scores = evaluate.prequential(t, models, 200, every={m: every for m in models if m != "knn"})
+    return evaluate.summary(evaluate.outcomes(scores, t.domain), ["model"], t.domain)
+
+
+@query("voter_ensemble_picks")
+def _(spark, folder):
+    """Votes of all six voters on the last fifth of the steps, fitted on the steps before."""
+    t = draws(spark, folder)
+    return picks_of(scorers.scorer("ensemble")(t, (t.longest * 4 // 5, t.longest))).drop("special_pick")
+
+
+NEXT_TICKETS = """
+qt AS (SELECT model, item, CAST(floor(score * power(10.0, 9 - CASE WHEN top >= 1 THEN length(CAST(CAST(floor(top) AS BIGINT) AS VARCHAR)) ELSE 0 END) + 0.5) AS BIGINT) AS q
+  FROM (SELECT *, max(score) OVER (PARTITION BY model) AS top FROM orank) WHERE rk <= 12),
+cd AS (SELECT model, list(item ORDER BY item) AS c, list(q ORDER BY item) AS p FROM qt GROUP BY model),
+cx AS (SELECT a.i AS a, b.i AS b, c.i AS c3, e.i AS e, f.i AS f, row_number() OVER (ORDER BY a.i, b.i, c.i, e.i, f.i) AS cid
+  FROM range(1, 13) a(i) JOIN range(1, 13) b(i) ON b.i > a.i JOIN range(1, 13) c(i) ON c.i > b.i JOIN range(1, 13) e(i) ON e.i > c.i JOIN range(1, 13) f(i) ON f.i > e.i)
+"""
+
+
+@query("next_step_tickets", with_(DRAWS, OPEN_SCORES, NEXT_TICKETS, select=f"""
+SELECT model, row_number() OVER (PARTITION BY model ORDER BY p[a] + p[b] + p[c3] + p[e] + p[f] DESC, cid DESC) AS ticket, {text('[c[a], c[b], c[c3], c[e], c[f]]')} AS numbers FROM cd, cx QUALIFY ticket <= 5"""))
+def _(spark, folder):
+    t, span = open_table(draws(spark, folder))
+    made = evaluate.best_tickets(predictions(t, span=span), t.domain)
+    return made.select("model", F.posexplode("tickets").alias("at", "numbers")).select("model", (F.col("at") + 1).alias("ticket"), "numbers")
+
+
+@query("next_step_document")
+def _(spark, folder):
+    """One JSON document: every model's picks and tickets for the open step, and the consensus of all."""
+    return evaluate.next_step_document(draws(spark, folder), ("frequency", "markov", "bayesian", "knn", "genetic", "decision_tree", "mlp"))
+
+
 @query("embedding_neighbours", """
 WITH q AS (SELECT label, max(vec_id) AS qid FROM embeddings GROUP BY label),
 ds AS (SELECT q.qid, b.vec_id, sqrt(list_sum([(CAST(a.embedding[j] AS DOUBLE) - b.embedding[j]) * (CAST(a.embedding[j] AS DOUBLE) - b.embedding[j]) FOR j IN range(1, 65)])) AS dist
