@@ -45,6 +45,11 @@ def hits(picks: Column, actual: Column, k: int = 5) -> Column:
     return F.size(F.array_intersect(F.slice(picks, 1, k), actual))
 
 
+def not_among(items: Column, size: int) -> Column:
+    """The items of 1..size that are not listed, in order."""
+    return F.array_except(F.sequence(F.lit(1), F.lit(size)), items)
+
+
 def mean_rank(ranked: Column, actual: Column) -> Column:
     """Mean 1-based rank of the items that came up."""
     total = let(

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from setstride.functions.arrays import not_among
 from setstride.functions.casts import money, safe_float, safe_int
 from setstride.plans.common import draws, query, table
 from setstride.plans.sql import DRAWS, with_
@@ -14,7 +15,8 @@ from setstride.session import shared_folder
 from setstride.sources import records
 from setstride.sources.draws import draws_columns, draws_from_orders
 from setstride.sources.html import elements, parse_table_draws
-from setstride.sources.store import Rules, append_table, backfill, latest_key, newer_than, prefer_official, read_table, upsert, violations
+from setstride.sources.keyed import KeyedTable
+from setstride.sources.store import Rules, append_table, backfill, before_old_page, latest_key, newer_than, prefer_official, read_table, violations
 
 BAD = "CASE WHEN step_id % 73 = 0 THEN 'numbers missing' WHEN step_id % 97 = 0 THEN 'number out of range' WHEN step_id % 89 = 0 THEN 'special missing' WHEN step_id % 83 = 0 THEN 'count of numbers' WHEN step_id % 79 = 0 THEN 'draw date' END"
 
@@ -186,7 +188,45 @@ def upsert_orders(spark, folder):
     k = F.col("o_orderkey")
     first = orders.where(k % 2 == 0).withColumn("o_totalprice", F.col("o_totalprice") + 1)
     second = orders.where(k % 5 == 0).select("o_orderkey", (F.col("o_totalprice") + 2).alias("o_totalprice"))
-    return upsert(orders.where(k % 3 != 0), [first, second], ["o_orderkey"])
+    held = KeyedTable(spark, f"{shared_folder(spark)}/orders-{uuid.uuid4().hex}", orders.schema, ("o_orderkey",), 16)
+    for batch in (orders.where(k % 3 != 0), first, second):
+        held.upsert(batch)
+    return held.read()
+
+
+@query(
+    "upsert_few_keys",
+    """SELECT o_orderkey, o_custkey, round(CASE WHEN o_orderkey IN (SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 3) THEN -o_totalprice ELSE o_totalprice END, 6) AS o_totalprice FROM orders""",
+)
+def upsert_few_keys(spark, folder):
+    """The three dearest orders are written anew: only their buckets are read and written."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    held = KeyedTable(spark, f"{shared_folder(spark)}/orders-{uuid.uuid4().hex}", orders.schema, ("o_orderkey",), 16)
+    held.upsert(orders)
+    dearest = orders.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(3)
+    held.upsert(dearest.withColumn("o_totalprice", -F.col("o_totalprice")))
+    return held.read()
+
+
+@query(
+    "incremental_pages",
+    """WITH p AS (SELECT o_orderkey, o_totalprice, (SELECT max(o_orderkey) FROM orders) // 100 - o_orderkey // 100 AS page FROM orders),
+b AS (SELECT max(o_orderkey) AS k FROM orders WHERE o_orderkey <= (SELECT max(o_orderkey) // 2 FROM orders))
+SELECT o_orderkey, page, round(o_totalprice, 6) AS o_totalprice FROM p, b WHERE o_orderkey > k AND page <= (SELECT min(page) FROM p, b WHERE o_orderkey <= k)""",
+)
+def incremental_pages(spark, folder):
+    """Orders in pages of a hundred keys, newest first, up to the first page with a stored one."""
+    orders = table(spark, folder, "orders")
+    top = orders.agg(F.max("o_orderkey")).first()[0]
+    pages = orders.withColumn("page", F.lit(top // 100) - F.expr("o_orderkey div 100"))
+    return before_old_page(pages, orders.where(F.col("o_orderkey") <= top // 2), "o_orderkey", "page").select("o_orderkey", "page", "o_totalprice")
+
+
+@query("items_not_drawn", with_(DRAWS, select="SELECT ord, array_to_string([x FOR x IN range(1, 48) IF NOT list_contains(items, x)], ' ') AS others FROM d"))
+def items_not_drawn(spark, folder):
+    """The complement of every step's items."""
+    t = draws(spark, folder)
+    return t.df.select("ord", not_among(F.col("items"), t.domain.items).alias("others"))
 
 
 @query(

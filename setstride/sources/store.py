@@ -34,6 +34,17 @@ def newer_than(incoming: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     return incoming.where(F.col(key) > F.lit(bound))
 
 
+def before_old_page(incoming: DataFrame, stored: DataFrame, key: str, page: str) -> DataFrame:
+    """New rows of a paged load, newest page first, that stops with the first page that holds a known row.
+
+    Rows beyond the stored bound on that page and the pages before it; later pages are not asked for, whatever they hold.
+    """
+    bound = latest_key(stored, key).first()["latest"]
+    old = incoming.where(F.col(key) <= F.lit(bound)).agg(F.min(page)).first()[0]
+    read = incoming if old is None else incoming.where(F.col(page) <= F.lit(old))
+    return read.where(F.col(key) > F.lit(bound))
+
+
 def backfill(stored: DataFrame, scraped: DataFrame, key: str = "step_id", date: str = "ts") -> DataFrame:
     """Rows of dates not stored yet under provisional ids below every known one, the newest highest."""
     missing = scraped.join(stored.select(date).distinct(), date, "left_anti")
@@ -96,3 +107,18 @@ def append_table(df: DataFrame, path: str, fmt: str = "csv", run: str | None = N
 def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "csv") -> DataFrame:
     reader = spark.read.schema(schema).format(fmt)
     return (reader.option("header", True) if fmt == "csv" else reader).load(path)
+
+
+def append_summary(report: DataFrame, path: str, run_time: str, elapsed: dict[str, float]) -> None:
+    """Append one row per model of a walk report to a CSV table: run time, model, metrics, elapsed seconds and the ticket returns, 25 columns."""
+    seconds = F.create_map(*[F.lit(v) for pair in elapsed.items() for v in pair]) if elapsed else None
+    took = F.lit(None).cast("double") if seconds is None else F.try_element_at(seconds, F.col("model"))
+    base = [F.round(c, d).alias(c) for c, d in (("avg_hits", 4), ("prec_at5", 4), ("vs_random", 4), ("ev_per_draw", 4), ("net_ev", 4), ("roi_pct", 2))]
+    buys = [F.round(f"buy{k}_{c}", d).alias(f"buy{k}_{c}") for k in range(1, 6) for c, d in (("ev", 4), ("net_ev", 4), ("roi", 2))]
+    row = report.select(F.lit(run_time).alias("run_time"), "model", "n_draws", *base, F.round(took, 1).alias("elapsed_sec"), *buys)
+    append_table(row, path)
+
+
+def write_document(document: DataFrame, path: str) -> None:
+    """JSON documents as lines of text, one per series; a second run replaces the first."""
+    document.select(F.col("document").alias("value")).write.mode("overwrite").text(path)
