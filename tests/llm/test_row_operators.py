@@ -48,7 +48,7 @@ def test_quality_ratio_by_hand(spark, awkward, labels):  # noqa: F811
     assert rows.columns[:-1] == awkward.columns
     pairs = {p for r in awkward.collect() for w in [WORD.findall(r["text"] or "")] for p in [*zip(w, w[1:]), *((v, None) for v in w)]}
     cells = spark.createDataFrame(sorted(pairs, key=str), "v string, w string").selectExpr(
-        "v", "w", f"if(w is null, pmod(xxhash64(v), {quality_rules.CELLS}), {quality_rules.CELLS} + pmod(xxhash64(xxhash64(v), xxhash64(w)), {quality_rules.CELLS})) c"
+        "v", "w", f"if(w is null, pmod(xxhash64(v), {quality_rules.CELLS}), {quality_rules.CELLS} + pmod(xxhash64(v) ^ shiftleft(xxhash64(w), 1), {quality_rules.CELLS})) c"
     )
     cell = {(r["v"], r["w"]): r["c"] for r in cells.collect()}
     weights = ratio.weights
