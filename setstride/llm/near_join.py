@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from setstride.llm.components import components
-from setstride.llm.tables import n_partitions, stored
+from setstride.llm.tables import discard, n_partitions, stored
 from setstride.llm.textkit import shingle_sets
 
 CELL_BITS = 22
@@ -424,6 +424,7 @@ def classes(documents: DataFrame, rule: Similarity = Similarity()) -> DataFrame:
     # within a group, members are met by one leader first
     groups = index.groupBy("signature").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high").select("signature")
     near = stored(index.join(groups, "signature"), "near-groups")
+    discard(index)
     leaders = near.groupBy("signature").agg(F.min(F.struct("rare", "node")).alias("first")).select("signature", F.col("first.node").alias("a"))
     led = near.join(leaders, "signature").where("node != a").select("a", F.col("node").alias("b")).distinct()
     size = sets.where("node is not null").groupBy("node").agg(F.max("n").alias("n"), F.max("sketch").alias("sketch"))
@@ -437,12 +438,15 @@ def classes(documents: DataFrame, rule: Similarity = Similarity()) -> DataFrame:
     member = near.join(component.withColumnRenamed("root", "found"), "node", "left").select("signature", "node", F.coalesce("found", "node").alias("root"))
     mixed = member.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
     mixed = mixed.where("low != high").select("signature", "members")
-    open_members = stored(member.distinct().join(mixed, "signature").join(size, "node"), "near-open")
+    open_members = member.distinct().join(mixed, "signature").join(size, "node")
     paired = stored(_dealt(open_members).mapInArrow(_open(rule), "signature long, node long").distinct(), "near-paired")
-    shared = stored(_shared_counts(_tokens_of(paired.select("node").distinct(), texts, sets, rule)), "near-shared")
+    tokens = _tokens_of(paired.select("node").distinct(), texts, sets, rule)
+    shared = stored(_shared_counts(tokens), "near-shared")
+    discard(tokens)
     every = paired.groupBy("node").agg(F.sort_array(F.collect_list("signature")).alias("all"))
-    left = paired.join(open_members.drop("members"), ["signature", "node"]).join(shared, "node").join(every, "node")
-    left = left.join(paired.groupBy("signature").agg(F.count("*").alias("members")), "signature")
+    nodes = shared.join(size, "node").join(component.withColumnRenamed("root", "found"), "node", "left").join(every, "node")
+    nodes = nodes.select("node", "n", "sketch", "shared", "all", F.coalesce("found", "node").alias("root"))
+    left = paired.join(paired.groupBy("signature").agg(F.count("*").alias("members")), "signature").join(nodes, "node")
     met = stored(_dealt(left, "shared", "all").mapInArrow(_meet(rule), "a long, b long"), "near-met")
     rest = stored(met.join(tested, ["a", "b"], "left_anti").join(tested.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"), "near-rest")
     if rest.limit(1).count():

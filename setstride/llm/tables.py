@@ -42,7 +42,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
             spark.conf.unset(_CLEANUP)
         else:
             spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])).parquet(path)
+    back = spark.read.schema(T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])).parquet(path)
+    back._stored_at = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a `stored` table that no later step reads; what was made from it must be written already."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def words_of(text: Column) -> Column:
