@@ -4,14 +4,15 @@
   headers are "URL IP date type length", version 2 headers add result code, checksum, location, offset and file name before the length.
 * `parse_arc` reads a file of either version by its header definition and the declared lengths, never by searching for
   separators, so payloads may hold anything.
-* `warc_records` synthesises what ARC lacks: a record id (name-based UUID of origin, date and digest), the WARC-Date of
-  the 14-digit date, the type, and block and payload digests.
+* `converted` synthesises what ARC lacks: a record id (name-based UUID of the file, the place in it, origin, date and digest), the WARC-Date of
+  the 14-digit date, the type, and block and payload digests. An HTTP head is part of the block and not of the payload.
+  Records of any origin are converted; only those that `arc_blocks` wrote carry a page id (as a fragment of their URL), others have none.
 * `write_warc` and `read_warc` keep archives as gzip text files: bytes pass through unchanged, one record after another.
   Tasks write archives of at most `RECORDS` records each; a reader task holds one archive compressed and one record plain.
 
 Of records with equal payloads the one with the largest page id is the response, the others revisit it; the digest groups only
 exchange digests and ids, not payloads. Null html is an empty payload, null urls an empty origin, null ids are written
-as "-" and sort before all others. Repeated rows of one id are records of their own. An empty table gives an empty archive and result.
+as "-" and sort before all others. Repeated rows of one id are records of their own: one is the response, the others revisit it. An empty table gives an empty archive and result.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +38,8 @@ ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
-_ID_PARAMETER = "page"
+_ID_MARK = "#x-page-id="
+_UNKNOWN_ADDRESS = "0.0.0.0"
 _CAPTURED = "20200101000000"  # pages carry no capture time
 
 
@@ -50,25 +53,23 @@ def _arc_url(url: str) -> str:
 
 
 def arc_record(version: int, offset: int, name: str, key: str, url: str, payload: bytes) -> bytes:
-    fields = [_arc_url(url), "0.0.0.0", _CAPTURED, "text/html"]
+    fields = [_arc_url(url) + _ID_MARK + key, _UNKNOWN_ADDRESS, _CAPTURED, "text/html"]
     if version == 2:
-        fields += ["200", hashlib.md5(payload).hexdigest(), key, str(offset), name]
-    else:
-        fields[1] = key  # version 1 has no free field; the id takes the place of the unknown address
+        fields += ["200", hashlib.md5(payload).hexdigest(), "-", str(offset), name]
     return " ".join([*fields, str(len(payload))]).encode() + b"\n" + payload + b"\n"
 
 
 def arc_version_block(version: int, name: str) -> bytes:
     body = f"{version} 0 pages\n{ARC_FIELDS[version]}\n".encode()
-    head = ["filedesc://" + name, "0.0.0.0", _CAPTURED, "text/plain"]
+    head = ["filedesc://" + name, _UNKNOWN_ADDRESS, _CAPTURED, "text/plain"]
     if version == 2:
         head += ["200", "-", "-", "0", name]
     return " ".join([*head, str(len(body))]).encode() + b"\n" + body + b"\n"
 
 
 def parse_arc(data: bytes) -> Iterator[dict]:
-    """Records of an ARC file as dicts of header fields (by the definition in its version block) and `payload`."""
-    view, at, names = memoryview(data), 0, None
+    """Records of an ARC file as dicts of header fields (by the definition in its version block), `payload`, and their `place` (file and offset)."""
+    view, at, names, file = memoryview(data), 0, None, ""
     while at < len(data):
         end = data.index(b"\n", at)
         line = data[at:end].decode()
@@ -82,10 +83,11 @@ def parse_arc(data: bytes) -> Iterator[dict]:
             names = definition.split(" ")
             if ARC_FIELDS.get(int(version.split(" ")[0])) != definition:
                 raise ValueError(f"unknown ARC version {version!r}")
+            file = values[0]
         else:
             # fields are taken from the right, as old URLs may hold blanks
             head = line.rsplit(" ", len(names) - 1)
-            yield dict(zip(names, head)) | {"payload": bytes(body)}
+            yield dict(zip(names, head)) | {"payload": bytes(body), "place": f"{file} {at}"}
         at = end + 1 + length
         while at < len(data) and data[at] == 10:
             at += 1
@@ -93,13 +95,14 @@ def parse_arc(data: bytes) -> Iterator[dict]:
 
 def arc_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(page_id, url, html) as ARC files of some megabytes, versions in turn: column `arc`."""
-    number = 0
+    number, task = 0, TaskContext.get()
+    part = task.partitionId() if task else 0
     for batch in batches:
         block, version, name = bytearray(), 1, ""
         for key, url, html in zip(*(c.to_pylist() for c in batch.columns)):
             if not block:
                 version = 1 + number % 2
-                name = f"block-{number}.arc"
+                name = f"block-{part}-{number}.arc"
                 number += 1
                 block += arc_version_block(version, name)
             block += arc_record(version, len(block), name, "-" if key is None else str(key), url or "", html or b"")
@@ -110,28 +113,41 @@ def arc_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array([bytes(block)], pa.binary())], ["arc"])
 
 
+def http_parts(block: bytes) -> tuple[bytes, bytes]:
+    """The HTTP head of a block, with the blank line that ends it, and what follows; no head where there is none."""
+    if not block.startswith(b"HTTP/"):
+        return b"", block
+    ends = [block.find(mark) + len(mark) for mark in (b"\r\n\r\n", b"\n\n") if mark in block]
+    cut = min(ends, default=len(block))
+    return block[:cut], block[cut:]
+
+
 def converted(record: dict) -> dict:
     """What a WARC record needs, from an ARC record of either version."""
-    payload = record["payload"]
+    head, payload = http_parts(record["payload"])
     digest = sha1_base32(payload)
-    date = record["Archive-date"]
-    key = record.get("Location", record["IP-address"])
+    date = (record["Archive-date"] + "0" * 14)[:14]
+    url, mark, key = record["URL"].rpartition(_ID_MARK)
+    if not mark or not re.fullmatch(r"-|-?[0-9]+", key):
+        url, key = record["URL"], "-"
     stamp = f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z"
-    name = f"{record['URL']} {date} {digest} {key}"
+    name = f"{record['place']} {record['URL']} {date} {digest}"
+    address = record["IP-address"]
     return {
-        "page_id": None if key == "-" else int(key), "url": record["URL"], "date": stamp,
-        "record_id": f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}", "content_type": record["Content-type"], "digest": digest, "payload": payload,
+        "page_id": None if key == "-" else int(key), "url": url, "date": stamp, "record_id": f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}",
+        "content_type": "application/http; msgtype=response" if head else record["Content-type"], "address": None if address == _UNKNOWN_ADDRESS else address,
+        "digest": digest, "head": head, "payload": payload,
     }
 
 
-_CONVERTED = "page_id long, url string, date string, record_id string, content_type string, digest string, payload binary"
+_CONVERTED = "page_id long, url string, date string, record_id string, content_type string, address string, digest string, head binary, payload binary"
 
 
 def _columns(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(rows, schema)
 
 
-_CONVERTED_ARROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("date", pa.string()), ("record_id", pa.string()), ("content_type", pa.string()), ("digest", pa.string()), ("payload", pa.binary())])
+_CONVERTED_ARROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("date", pa.string()), ("record_id", pa.string()), ("content_type", pa.string()), ("address", pa.string()), ("digest", pa.string()), ("head", pa.binary()), ("payload", pa.binary())])
 
 
 def _convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,10 +166,12 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select(F.col("content").alias("arc"))
 
 
-def _bytes_of(page_id, url, date, record_id, content_type, digest, refers, payload: bytes) -> bytes:
-    block = payload if refers is None else b""
+def _bytes_of(page_id, url, date, record_id, content_type, address, digest, refers, head: bytes, payload: bytes) -> bytes:
+    block = head + payload if refers is None else head
     lines = ["WARC/1.1", f"WARC-Type: {'response' if refers is None else 'revisit'}", f"WARC-Record-ID: <{record_id}>", f"WARC-Date: {date}"]
     lines += [f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Block-Digest: sha1:{sha1_base32(block)}"]
+    if address is not None:
+        lines.append(f"WARC-IP-Address: {address}")
     if refers is not None:
         lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <{refers['record_id']}>"]
         lines += [f"X-Refers-To-Page: {refers['page_id']}"]
@@ -180,7 +198,7 @@ def _serialise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def write_warc(records: DataFrame, path: str) -> None:
     """Write converted records with `refers` (null: a response) as archives of whole records."""
-    rows = records.select("page_id", "url", "date", "record_id", "content_type", "digest", "refers", "payload").mapInArrow(_serialise, "record binary")
+    rows = records.select("page_id", "url", "date", "record_id", "content_type", "address", "digest", "refers", "head", "payload").mapInArrow(_serialise, "record binary")
     rows.select(F.col("record").cast("string").alias("value")).write.option("compression", "gzip").option("lineSep", "\n").option("maxRecordsPerFile", RECORDS).text(path)
 
 
@@ -235,8 +253,9 @@ def parse_warc(data: bytes) -> Iterator[dict]:
         if not first.startswith("WARC/"):
             raise ValueError(f"no record at {first[:40]!r}")
         fields = dict(line.split(": ", 1) for line in lines)
-        payload = stream.take(int(fields["Content-Length"]))
+        block = stream.take(int(fields["Content-Length"]))
         stream.take(4)
+        payload = http_parts(block)[1] if fields["Content-Type"].startswith("application/http") else block
         refers, key = fields.get("X-Refers-To-Page"), fields["X-Page"]
         whole = refers is None
         yield {

@@ -139,6 +139,35 @@ def test_word_tokenizer_equals_the_tokenizer(awkward):  # noqa: F811
         assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids, text[:50]
 
 
+def test_foreign_arc_files_of_both_versions(spark, tmp_path):
+    """Records that another writer made: blanks in URLs, HTTP heads, addresses, no page ids."""
+    http = b"HTTP/1.0 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    bodies = [b"<html>Hello World!!!</html>", b"same\n\n", b"same\n\n"]
+    for version in (1, 2):
+        body = f"{version} 0 Alexa Internet\n{warc.ARC_FIELDS[version]}\n".encode()
+        tail = "" if version == 1 else "200 - - 0 old.arc "
+        data = f"filedesc://old-{version}.arc 0.0.0.0 19960923142103 text/plain {tail}{len(body)}\n".encode() + body + b"\n"
+        for url, ip, date, payload in zip(("http://www.dryswamp.edu:80/index.html", "http://a b/x#page=3", "http://c/"), ("127.10.100.2", "10.0.0.1", "10.0.0.2"), ("19961104142103", "199611", "19961104142104"), bodies):
+            data += f"{url} {ip} {date} text/html {tail}{len(http + payload)}\n".encode() + http + payload + b"\n"
+        (tmp_path / f"old-{version}.arc").write_bytes(data)
+    records = warc.convert(warc.read_arc(spark, str(tmp_path))).collect()
+    assert len(records) == 6 and len({r["record_id"] for r in records}) == 6 and all(r["page_id"] is None for r in records)
+    assert {bytes(r["payload"]) for r in records} == set(bodies) and {bytes(r["head"]) for r in records} == {http}
+    assert {r["date"] for r in records} == {"1996-11-04T14:21:03Z", "1996-11-00T00:00:00Z", "1996-11-04T14:21:04Z"}
+    warc.write_warc(warc.with_references(warc.convert(warc.read_arc(spark, str(tmp_path)))), str(tmp_path / "warc"))
+    back = warc.read_warc(spark, str(tmp_path / "warc")).collect()
+    assert sorted(r["type"] for r in back) == ["response"] * 2 + ["revisit"] * 4
+    assert {(r["payload_digest"], r["payload_bytes"]) for r in back} == {(sha(b), len(b)) for b in bodies}
+    text = spark.read.text(str(tmp_path / "warc")).collect()
+    assert any(r["value"].startswith("WARC-IP-Address: 127.10.100.2") for r in text)
+
+
+def test_repeated_pages_are_one_response(spark):
+    pages = spark.createDataFrame([(1, "u", "x")] * 3 + [(2, "v", "y")], "page_id long, url string, html string").repartition(3)
+    rows = sorted(((r["page_id"], r["record_type"], r["refers_to"]) for r in warc.page_records(pages).collect()), key=str)
+    assert [r[:2] for r in rows] == [(1, "response"), (1, "revisit"), (1, "revisit"), (2, "response")] and rows[1][2] == 1
+
+
 def test_packing_of_lengths():
     rng = random.Random(4)
     for n, low, high in ((400, 1, 100), (300, 17, 46), (60, 30, 60), (0, 1, 2)):
