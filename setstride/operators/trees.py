@@ -79,6 +79,17 @@ class Models:
     def __len__(self) -> int:
         return len(self.item)
 
+    def take(self, m: int, level: int, splits: tuple[np.ndarray, ...]) -> None:
+        """Add one level's splits (see `_best`) to a model."""
+        f, b, gain, own, left, right = splits
+        nodes = 1 << level
+        at = slice(nodes - 1, 2 * nodes - 1)
+        self.feature[m, at], self.bin[m, at], self.gain[m, at] = f, b, np.where(f >= 0, gain, 0.0)
+        if level == 0:
+            self.value[m, 0] = own[0]
+        below = 2 * np.flatnonzero(f >= 0) + 2 * nodes - 1
+        self.value[m, below], self.value[m, below + 1] = left[f >= 0], right[f >= 0]
+
     def nodes(self, m: int, b: np.ndarray, depth: int) -> np.ndarray:
         """The node that each binned row reaches within `depth` splits."""
         node = np.zeros(len(b), np.int64)
@@ -162,35 +173,62 @@ def _small(values: np.ndarray) -> tuple[str, bytes]:
     return "<i8", values.astype("<i8").tobytes()
 
 
+class _Block:
+    """One packed block in a task."""
+
+    def __init__(self, row: dict, items: int, boost: "Boost | None"):
+        self.ords, self.keys, self.b, self.y = _unpack(row, items)
+        self.cells = (np.arange(self.b.shape[1]) * BINS)[None, :] + self.b
+        self.boost = boost
+        self.margins = None if boost is None else boost.margins(np.frombuffer(row["margin"], "<f4").reshape(len(self.ords), -1), self.b)
+
+    def counts(self, models: Models, m: int, level: int) -> np.ndarray | None:
+        """(channel, node, feature, bin) of one model's level, flat; None without rows."""
+        item, features = int(models.item[m]), self.b.shape[1]
+        times = self.boost.taken(self.keys, item) if self.boost else drawn(self.keys, int(models.draw[m]), item)
+        node = models.nodes(m, self.b, level) - ((1 << level) - 1)
+        at = np.repeat(np.arange(len(self.ords)), np.where((self.ords < models.fit[m]) & (node >= 0), times, 0))
+        if not len(at):
+            return None
+        size = (1 << level) * features * BINS
+        place = node[at, None] * (features * BINS) + self.cells[at]
+        if self.boost is None:
+            return np.stack([np.bincount(place.ravel(), minlength=size), np.bincount(place[self.y[at, item] == 1].ravel(), minlength=size)])
+        g, h = self.boost.gradients(self.margins[at, m], self.y[at, item])  # models are in the order of the margins
+        return np.stack([np.bincount(place.ravel(), np.repeat(x, features), size).astype(np.int64) for x in (h, g)])
+
+
 def _count_level(models: Models, level: int, groups: int, items: int, boost: "Boost | None"):
     """(model, kind, counts): histograms of one level over a block, for the models of a group."""
-    first = (1 << level) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ords, keys, b, y = _unpack(row, items)
-                features = b.shape[1]
-                cells = (np.arange(features) * BINS)[None, :] + b
-                margins = None if boost is None else boost.margins(np.frombuffer(row["margin"], "<f4").reshape(len(ords), -1), b)
+                block = _Block(row, items, boost)
                 for m in range(row["group"], len(models), groups):
-                    item = int(models.item[m])
-                    times = np.where(ords < models.fit[m], boost.taken(keys, item) if boost else drawn(keys, int(models.draw[m]), item), 0)
-                    node = models.nodes(m, b, level) - first
-                    at = np.repeat(np.arange(len(ords)), np.where(node >= 0, times, 0))
-                    if not len(at):
-                        continue
-                    size = (1 << level) * features * BINS
-                    place = node[at, None] * (features * BINS) + cells[at]
-                    if boost is None:
-                        every = np.bincount(place.ravel(), minlength=size)
-                        some = np.bincount(place[y[at, item] == 1].ravel(), minlength=size)
-                    else:
-                        g, h = boost.gradients(margins[at, boost.column(m)], y[at, item])
-                        every = np.bincount(place.ravel(), np.repeat(h, features), size).astype(np.int64)
-                        some = np.bincount(place.ravel(), np.repeat(g, features), size).astype(np.int64)
-                    kind, blob = _small(np.stack([every, some]))
-                    yield pa.record_batch([pa.array([m], pa.int32()), pa.array([kind]), pa.array([blob], pa.binary())], ["model", "kind", "counts"])
+                    counts = block.counts(models, m, level)
+                    if counts is not None:
+                        kind, blob = _small(counts)
+                        yield pa.record_batch([pa.array([m], pa.int32()), pa.array([kind]), pa.array([blob], pa.binary())], ["model", "kind", "counts"])
+
+    return run
+
+
+def _grow_whole(models: Models, groups: int, items: int, rule: "Gini | Boost"):
+    """All levels of a group's models in one task, where a single block holds all rows: the same steps as level by level."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                block = _Block(row, items, rule if isinstance(rule, Boost) else None)
+                for m in range(row["group"], len(models), groups):
+                    for level in range(models.depth):
+                        counts = block.counts(models, m, level)
+                        if counts is None:
+                            break
+                        splits = _best(m, models, level, rule, counts.reshape(2, 1 << level, -1, BINS).astype(float))
+                        models.take(m, level, splits)
+                        yield _split_row(m, level, splits)
 
     return run
 
@@ -241,9 +279,6 @@ class Boost:
     round: int = 0
     recent: tuple[Models, ...] = ()
 
-    def column(self, m: int) -> int:
-        return m  # models are in the order of the margins
-
     def margins(self, kept: np.ndarray, b: np.ndarray) -> np.ndarray:
         out = kept.astype(np.float64)
         for trees in self.recent:
@@ -270,42 +305,52 @@ class Boost:
         return gain, h, g, all_h, all_g, lambda c, o: -self.rate * o / (c + self.smooth)
 
 
+_SPLITS = "model int, level int, " + ", ".join(f"{c} binary" for c in "fbgvlr")
+
+
+def _best(m: int, models: Models, level: int, rule: Gini | Boost, total: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Feature, bin and gain of every node's best split, and the values of the node and of both its parts."""
+    nodes = 1 << level
+    live = np.flatnonzero(total[0, :, 0].any(axis=1))
+    gain, left_n, left_1, n, one, value = rule.best(m, models, level, live, *total[:, live])
+    flat = gain.reshape(len(live), -1)
+    at = flat.argmax(axis=1)
+    f, b = np.divmod(at, BINS)
+    r = np.arange(len(live))
+    top = flat[r, at]
+    ln, l1, an, a1 = left_n[r, f, b], left_1[r, f, b], n[r, 0, 0], one[r, 0, 0]
+    made = [np.where(top > 1e-9, f, -1).astype("<i2"), b.astype("u1"), np.maximum(top, 0.0), value(an, a1), value(ln, l1), value(an - ln, a1 - l1)]
+    out = [np.full(nodes, -1, "<i2"), np.zeros(nodes, "u1"), *(np.zeros(nodes) for _ in range(4))]
+    for whole, part in zip(out, made):
+        whole[live] = part
+    return tuple(out)
+
+
+def _split_row(m: int, level: int, splits: tuple[np.ndarray, ...]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([m], pa.int32()), pa.array([level], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in splits]], ["model", "level", *"fbgvlr"])
+
+
 def _choose(models: Models, level: int, rule: Gini | Boost, features: int):
     """Best split of every node from a model's histograms of all blocks; rows come sorted by model."""
     nodes = 1 << level
 
-    def best(m: int, blobs: list[tuple[str, pa.Scalar]]) -> tuple:
+    def row(m: int, blobs: list[tuple[str, pa.Scalar]]) -> pa.RecordBatch:
         total = np.zeros((2, nodes, features, BINS))
         for kind, blob in blobs:
             total += np.frombuffer(blob.as_buffer(), kind).reshape(total.shape)
-        live = np.flatnonzero(total[0, :, 0].any(axis=1))
-        gain, left_n, left_1, n, one, value = rule.best(m, models, level, live, *total[:, live])
-        flat = gain.reshape(len(live), -1)
-        at = flat.argmax(axis=1)
-        f, b = np.divmod(at, BINS)
-        r = np.arange(len(live))
-        top = flat[r, at]
-        ln, l1, an, a1 = left_n[r, f, b], left_1[r, f, b], n[r, 0, 0], one[r, 0, 0]
-        made = [np.where(top > 1e-9, f, -1).astype("<i2"), b.astype("u1"), np.maximum(top, 0.0), value(an, a1), value(ln, l1), value(an - ln, a1 - l1)]
-        out = [np.full(nodes, -1, "<i2"), np.zeros(nodes, "u1"), *(np.zeros(nodes) for _ in range(4))]
-        for whole, part in zip(out, made):
-            whole[live] = part
-        return m, *(x.tobytes() for x in out)
+        return _split_row(m, level, _best(m, models, level, rule, total))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, []
         for batch in batches:
             for m, kind, blob in zip(batch.column("model").to_pylist(), batch.column("kind").to_pylist(), batch.column("counts")):
                 if held and m != last:
-                    yield row(best(last, held))
+                    yield row(last, held)
                     held = []
                 last = m
                 held.append((kind, blob))
         if held:
-            yield row(best(last, held))
-
-    def row(values: tuple) -> pa.RecordBatch:
-        return pa.record_batch([pa.array([values[0]], pa.int32()), *[pa.array([x], pa.binary()) for x in values[1:]]], ["model", *"fbgvlr"])
+            yield row(last, held)
 
     return run
 
@@ -315,24 +360,21 @@ def _slice(models: Models, rows: slice) -> Models:
 
 
 def _grow(tasks: DataFrame, groups: int, models: Models, rule: Gini | Boost, matrix: Matrix) -> None:
-    """Grow all trees, level by level, in place."""
-    features = len(matrix.bins.names)
+    """Grow all trees in place: level by level over all blocks, or whole where one block holds all rows."""
+    kinds = ("<i2", "u1", "<f8", "<f8", "<f8", "<f8")
+
+    def take(found: DataFrame) -> None:
+        for row in found.collect():  # one row per model and level
+            models.take(row["model"], row["level"], tuple(np.frombuffer(row[c], k) for c, k in zip("fbgvlr", kinds)))
+
+    if matrix.count <= BLOCK_ROWS:
+        take(tasks.mapInArrow(_grow_whole(models, groups, matrix.items, rule), _SPLITS))
+        return
     spread = int(tasks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for level in range(models.depth):
-        nodes = 1 << level
-        schema = "model int, " + ", ".join(f"{c} binary" for c in "fbgvlr")
         counted = tasks.mapInArrow(_count_level(models, level, groups, matrix.items, rule if isinstance(rule, Boost) else None), "model int, kind string, counts binary")
         met = counted.repartition(min(len(models), spread), "model").sortWithinPartitions("model")
-        for row in met.mapInArrow(_choose(models, level, rule, features), schema).collect():  # one row per model
-            m, at = row["model"], slice(nodes - 1, 2 * nodes - 1)
-            models.feature[m, at], models.bin[m, at] = np.frombuffer(row["f"], "<i2"), np.frombuffer(row["b"], "u1")
-            models.gain[m, at] = np.frombuffer(row["g"])
-            if level == 0:
-                models.value[m, 0] = np.frombuffer(row["v"])[0]
-            split = models.feature[m, at] >= 0
-            below = 2 * np.flatnonzero(split) + 2 * nodes - 1
-            models.value[m, below] = np.frombuffer(row["l"])[split]
-            models.value[m, below + 1] = np.frombuffer(row["r"])[split]
+        take(met.mapInArrow(_choose(models, level, rule, len(matrix.bins.names)), _SPLITS))
 
 
 def _tasks(blocks: DataFrame, matrix: Matrix, models: int) -> tuple[DataFrame, int]:
