@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import FOLDER, Step, make_steps
+from setstride.operators import neighbours
 from setstride.operators.layout import SERIES, ordinal
-from setstride.operators.neighbours import _nearest_by_chunks, nearest
+from setstride.operators.neighbours import nearest
 from setstride.operators.pairs import context_state, sparse_transitions, transition_matrix
 from setstride.operators.scorers import block_scorer, predictions
 from setstride.operators.signal import feature_grid
@@ -157,7 +158,7 @@ def test_online_state_equals_batch(spark):
     assert {(r[SERIES], r["item"]): (r["appearances"], r["last_ord"]) for r in state.collect()} == batch
 
 
-def test_nearest_paths_agree_with_brute_force(spark):
+def test_nearest_paths_agree_with_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(7)
     vectors = rng.integers(0, 4, size=(200, 3)).astype(float)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id long, vec array<double>").repartition(5)
@@ -171,7 +172,9 @@ def test_nearest_paths_agree_with_brute_force(spark):
             got[r["query_id"]].append(r["neighbour_id"])
         return {q: ids[:4] for q, ids in got.items()}
     assert gather(nearest(queries, df, 4, skip_self=True)) == expect
-    assert gather(_nearest_by_chunks(queries, df, 4, True, 1.0)) == expect
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(neighbours, "BASE_BLOCK", 30)
+    assert gather(nearest(queries, df, 4, skip_self=True)) == expect
 
 
 def test_user_scorer_sees_its_halo(small_blocks, steps):
