@@ -9,7 +9,7 @@ times, overlaps included.
   into one Misra-Gries summary whose capacity exceeds the partition's mass divided by `least`, so no phrase with `least`
   occurrences is lost. Memory of a merge is its partition's mass / `least` counters; more partitions make them smaller.
 * What survives is kept as one bit per hash cell in a table of 2^`FILTER_BITS` bits, of fixed size whatever the corpus. Longer phrases are only sent where all their shorter ones survive.
-* Second pass: occurrences whose cell is set are counted exactly, in a task by 64-bit hash, over all tasks by language and words. Cells that others
+* Second pass: occurrences whose cell is set are counted exactly, in a task by 64-bit hash, over all tasks by language and words, again in blocks by hash partition. Cells that others
   share only add phrases whose exact count then rules them out.
 * A cut of a candidate into its first k words and the rest scores floor(1000 * count * words / (count of first * count of rest)), in
   whole numbers of any size; the lowest-scoring cut counts, then the smallest k.
@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -207,10 +208,14 @@ def _surviving(masses: dict[int, int], least: int, part_bits: int):
     return run
 
 
+def _part_bits(partitions: int) -> int:
+    return min(max(partitions - 1, 1).bit_length(), FILTER_BITS - 3)
+
+
 def survivors(texts: DataFrame, sizes: tuple[int, ...], least: int, known: int, bits: np.ndarray) -> np.ndarray:
     """The filter: cells set in `bits`, and those of all phrases of the given sizes that may occur `least` times."""
     spark = texts.sparkSession
-    part_bits = min(max(n_partitions(spark) - 1, 1).bit_length(), FILTER_BITS - 3)
+    part_bits = _part_bits(n_partitions(spark))
     packed = _packed(bits)
     weighed = texts.mapInArrow(_blocks(sizes, known, packed, part_bits, True), "part int, mass long")
     masses = {r["part"]: r["mass"] for r in weighed.groupBy("part").agg(F.sum("mass").alias("mass")).collect()}  # a number per hash partition
@@ -244,14 +249,25 @@ class _Held:
         self.langs = pa.concat_arrays([self.langs, langs.take(pa.array(words.row[at[new]]))]).take(pa.array(order))
         self.texts = pa.concat_arrays([self.texts, words.texts(at[new], sizes[new])]).take(pa.array(order))
 
-    def rows(self) -> Iterator[pa.RecordBatch]:
-        for a in range(0, len(self.hashes), 1 << 16):
-            part = slice(a, a + (1 << 16))
-            yield _count_batch(self.langs[part], self.texts[part], self.sizes[part], self.counts[part])
+    def blocks(self, part_bits: int) -> Iterator[pa.RecordBatch]:
+        """One row per hash partition: its phrases as parallel lists."""
+        edges = np.searchsorted(self.hashes >> _U(64 - part_bits), np.arange((1 << part_bits) + 1, dtype=_U))
+        for p, (a, b) in enumerate(zip(edges.tolist(), edges.tolist()[1:])):
+            if a < b:
+                yield _count_block(p, self.langs[a:b], self.texts[a:b], self.sizes[a:b], self.counts[a:b])
+
+
+_COUNTS = "part int, langs array<string>, phrases array<string>, sizes array<long>, counts array<long>"
+
+
+def _count_block(part: int, langs: pa.Array, phrases: pa.Array, sizes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    ends = pa.array([0, len(langs)], pa.int32())
+    lists = [pa.ListArray.from_arrays(ends, v) for v in (langs.cast(pa.string()), phrases, pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()))]
+    return pa.record_batch([pa.array([part], pa.int32()), *lists], ["part", "langs", "phrases", "sizes", "counts"])
 
 
-def _counted(longest: int, packed: bytes):
-    """(lang, phrase, size, n): occurrences of surviving phrases in a task, and its words per language as size 0."""
+def _counted(longest: int, packed: bytes, part_bits: int):
+    """Occurrences of surviving phrases in a task, in blocks by hash partition, and its words per language as phrases of size 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = _unpacked(packed)
@@ -269,17 +285,37 @@ def _counted(longest: int, packed: bytes):
                     hashes, first, times = np.unique(phrases[at], return_index=True, return_counts=True)
                     held.add(words, langs, hashes, at[first], np.full(len(first), k), times)
             if len(held.hashes) > HELD:
-                yield from held.rows()
+                yield from held.blocks(part_bits)
                 held = _Held()
-        yield from held.rows()
+        yield from held.blocks(part_bits)
         if totals:
-            yield _count_batch(pa.array(list(totals)), pa.array([""] * len(totals)), np.zeros(len(totals), np.int64), np.array(list(totals.values())))
+            yield _count_block(0, pa.array(list(totals), pa.string()), pa.array([""] * len(totals)), np.zeros(len(totals), np.int64), np.array(list(totals.values())))
 
     return run
 
 
-def _count_batch(lang, phrase, size, n) -> pa.RecordBatch:
-    return pa.record_batch([lang.cast(pa.string()), phrase, pa.array(size, pa.int32()), pa.array(n, pa.int64())], ["lang", "phrase", "size", "n"])
+def _exact(least: int):
+    """Whole hash partitions of blocks to the exact counts of their phrases: those of `least` occurrences, and the totals."""
+
+    def merged(tables: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(tables).group_by(["lang", "phrase", "size"]).aggregate([("n", "sum")]).rename_columns(["lang", "phrase", "size", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        waiting, kept = 0, 0
+        for batch in batches:
+            columns = [batch.column(c).flatten() for c in ("langs", "phrases", "sizes", "counts")]
+            held.append(pa.table(columns, ["lang", "phrase", "size", "n"]))
+            waiting += len(columns[0])
+            if waiting > max(MERGE, 2 * kept):
+                held = [merged(held)]
+                waiting = kept = held[0].num_rows
+        if held:
+            table = merged(held)
+            wanted = pc.or_(pc.greater_equal(table["n"], least), pc.equal(table["size"], 0))
+            yield from table.filter(wanted).combine_chunks().to_batches(max_chunksize=1 << 16)
+
+    return run
 
 
 def phrase_counts(documents: DataFrame, least: int, longest: int) -> DataFrame:
@@ -290,8 +326,10 @@ def phrase_counts(documents: DataFrame, least: int, longest: int) -> DataFrame:
         bits = survivors(texts, (2,), least, 1, bits)
     if longest > 2:
         bits = survivors(texts, tuple(range(3, longest + 1)), least, 2, bits)
-    counts = texts.mapInArrow(_counted(longest, _packed(bits)), "lang string, phrase string, size int, n long").groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
-    return stored(counts.where((F.col("n") >= least) | (F.col("size") == 0)), "phrase-counts")
+    parts = n_partitions(texts.sparkSession)
+    blocks = texts.mapInArrow(_counted(longest, _packed(bits), _part_bits(parts)), _COUNTS)
+    counts = blocks.repartition(parts, "part").mapInArrow(_exact(least), "lang string, phrase string, size long, n long")
+    return stored(counts.withColumn("size", F.col("size").cast("int")), "phrase-counts")
 
 
 def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
