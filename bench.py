@@ -39,6 +39,7 @@ HEADLINE = [
     "best_combinations",
     "neighbour_votes",
     "next_step_picks",
+    "perceptron_scores",
 ]
 
 

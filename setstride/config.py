@@ -59,7 +59,6 @@ REFIT_EVERY = {
     "rf": 3,
     "xgb": 3,
     "ensemble": 30,
-    "montecarlo": 5,
     "genetic": 10,
     "mlp": 10,
 }
@@ -67,7 +66,6 @@ REFIT_EVERY = {
 # Vote weight of each scorer in the ensemble, in tenths so that votes add up exactly.
 VOTE_TENTHS = {
     "frequency": 10,
-    "monte_carlo": 10,
     "markov": 10,
     "bayesian": 12,
     "knn": 12,
