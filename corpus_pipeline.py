@@ -50,7 +50,7 @@ STAGES = [
     ("sequence_packing", sequence_packing),
 ]
 
-#: The stages cannot be stated in SQL; tests/llm checks each against a brute-force version.
+#: The stages cannot be stated in SQL; tests/llm holds the operators behind them against brute force, and the stages against what each must keep.
 ORACLE_SQL = None
 
 
