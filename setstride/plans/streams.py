@@ -25,10 +25,11 @@ def landed_events(spark, folder, parts: int = 4, in_order: bool = True) -> str:
     return path
 
 
-def run_by_parts(spark, folder, run, parts: int = 4) -> None:
+def run_by_parts(spark, folder, run, parts: int = 4, files_per_trigger: int | None = 1_000, close: bool = True) -> None:
     """Land the events part by part in the order of time and run the stream after each; a last row far ahead closes all windows.
 
-    `run(stream)` starts from its checkpoint each time, so this is as many runs of the job as there are parts.
+    `run(stream)` starts from its checkpoint each time, so this is as many runs of the job as there are parts. The files of
+    one part overlap in time; without a number of `files_per_trigger` they are one batch.
     """
     path = f"{shared_folder(spark)}/growing-{uuid.uuid4().hex}"
     events = table(spark, folder, "events")
@@ -37,9 +38,9 @@ def run_by_parts(spark, folder, run, parts: int = 4) -> None:
     part = F.least(F.floor((seconds - lo) * parts / (hi - lo + 1)), F.lit(parts - 1))
     ahead = events.agg((F.max("ts") + F.expr("INTERVAL 60 DAYS")).alias("ts"))
     closing = events.limit(0).unionByName(ahead, allowMissingColumns=True).select(events.columns)
-    for rows in [*[events.where(part == n) for n in range(parts)], closing]:
+    for rows in [*[events.where(part == n) for n in range(parts)], *([closing] if close else [])]:
         rows.write.mode("append").parquet(path)
-        run(incremental.event_stream(spark, path, 1_000))
+        run(incremental.event_stream(spark, path, files_per_trigger))
 
 
 def place(spark, label: str) -> str:
@@ -61,10 +62,15 @@ gp AS (SELECT *, ord - lag(ord) OVER (PARTITION BY user_id, event_type ORDER BY
 SELECT user_id, event_type, count(*) AS appearances, max(ord) AS last_ord, CAST(coalesce(sum(gap), 0) AS BIGINT) AS gap_sum, max(n_steps) AS n_steps
 FROM gp GROUP BY ALL""")
 def _(spark, folder):
-    stream = incremental.event_stream(spark, landed_events(spark, folder)).select(
-        F.col("user_id").alias(SERIES), "event_id", "ts", F.col("event_type").alias("item")
-    )
-    path = incremental.run_online_state(stream, place(spark, "online"), place(spark, "online-checkpoint"))
+    """Every part is one batch whatever its number of files, so the batches follow the order of time."""
+    place_to, checkpoint = place(spark, "online"), place(spark, "online-checkpoint")
+
+    def run(stream):
+        steps = stream.select(F.col("user_id").alias(SERIES), "event_id", "ts", F.col("event_type").alias("item"))
+        incremental.run_online_state(steps, place_to, checkpoint)
+
+    run_by_parts(spark, folder, run, files_per_trigger=None, close=False)
+    path = incremental.newest_state(spark, place_to)
     return spark.read.schema(incremental.STATE).parquet(path).withColumnsRenamed({SERIES: "user_id", "item": "event_type"})
 
 
