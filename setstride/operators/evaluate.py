@@ -146,7 +146,7 @@ def fold_walk(table: StepTable, models: tuple[str, ...] = ("frequency", "markov"
     return rows.join(fold_dates(date_histogram(table), **months), "ts")
 
 
-def across_folds(per_fold: DataFrame) -> DataFrame:
+def across_folds(per_fold: DataFrame, *more: Column) -> DataFrame:
     """Mean and population deviation over the folds of each model."""
     return per_fold.groupBy("model").agg(
         F.count("*").alias("n_folds"),
@@ -158,16 +158,25 @@ def across_folds(per_fold: DataFrame) -> DataFrame:
         F.avg("ev_per_draw").alias("ev_avg"),
         F.avg("net_ev_per_draw").alias("net_ev_avg"),
         (F.avg("net_ev_per_draw") / TICKET_COST * 100).alias("roi_pct"),
+        *more,
     )
 
 
 def compare_models(rows: DataFrame, domain: Domain) -> DataFrame:
-    """One row per model over its folds, with the pooled t test against random picking."""
+    """One row per model over its folds, with the pooled t test against random picking.
+
+    The test pools the folds' counts of hits, so the walk is scored once.
+    """
     per_fold = summary(rows, ["model", "fold"], domain)
-    pooled = against_random(summary(rows, ["model"], domain), domain)
-    return across_folds(per_fold).join(
-        pooled.select("model", "n_draws", "t_stat", "p_value", "direction"), "model"
+    counts = [F.sum(f"hit{h}") for h in range(domain.pick + 1)]
+    n, one, two = (sum((c * h**power for h, c in enumerate(counts)), F.lit(0)) for power in (0, 1, 2))
+    pooled = across_folds(per_fold, n.alias("n_draws"), one.alias("_one"), two.alias("_two"))
+    n, one, two = F.col("n_draws"), F.col("_one"), F.col("_two")
+    variance = F.try_divide(n * two - one * one, n * (n - 1))
+    tested = against_random(
+        pooled.withColumn("vs_random_hits", one / n - domain.random_hits).withColumn("hits_std", F.sqrt(variance)), domain
     )
+    return tested.drop("_one", "_two", "vs_random_hits", "hits_std")
 
 
 # ---------------------------------------------------------------------------------------------------
