@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from setstride.functions.stats import student_p
 from setstride.operators.layout import SERIES, StepTable
-from setstride.operators.pairs import context_state
+from setstride.operators.pairs import joint_state
 from setstride.operators.patterns import last_step_features
-from setstride.operators.state import average_gap, current_gap, item_grid, item_part, slot_state
+from setstride.operators.state import average_gap, current_gap, item_grid, item_part
 
 WINDOWS = (5, 10, 30, 100)
 WARM_UP = 50
@@ -22,9 +22,8 @@ FEATURES = [
 
 def feature_grid(table: StepTable, warm_up: int = WARM_UP, drop_last: bool = False) -> DataFrame:
     """series_id, ord, item, y and the 18 features of every candidate, as of just before the step."""
-    state = slot_state(table, WINDOWS, ("cnt", "last", "first", "gsq"))
-    together = context_state(table, "same").select(SERIES, "ord", F.col("score").alias("cooc"))
-    wide = state.where(F.col("ord") >= warm_up).join(together, [SERIES, "ord"])
+    state = joint_state(table, WINDOWS, ("cnt", "last", "first", "gsq"), "same").withColumnRenamed("score", "cooc")
+    wide = state.where((F.col("ord") >= warm_up) & F.col("prev_items").isNotNull())
     if drop_last:
         ends = table.df.groupBy(SERIES).agg(F.max("ord").alias("_end"))
         wide = wide.join(ends, SERIES).where("ord < _end").drop("_end")

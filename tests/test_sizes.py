@@ -1,8 +1,10 @@
 """Faults that only larger inputs show, brought on by many files, small blocks or the shape of the plan."""
 
+import numpy as np
 from check import compare, connection
 
 from conftest import FOLDER
+from setstride.operators.kernels import half_up
 from setstride.plans import ORACLES, QUERIES
 
 
@@ -18,3 +20,31 @@ def test_online_state_from_events_in_many_files(spark, tmp_path):
     events.repartition(6, "event_id").write.parquet(f"{tmp_path}/events.parquet")
     note = agrees(spark, str(tmp_path), "stream_state")
     assert note == "" or note.startswith("~"), note
+
+
+def logical_plan(spark, name):
+    return QUERIES[name](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_states_of_a_step_are_not_joined(spark):
+    for name in ("feature_grid", "feature_significance", "response_by_last"):
+        assert "Join" not in logical_plan(spark, name), name
+
+
+def test_votes_and_means_of_a_step_are_not_gathered(spark):
+    for name in ("ensemble_picks", "average_picks"):
+        assert "any_value" not in logical_plan(spark, name), name
+
+
+def test_folds_score_the_walk_once(spark):
+    for name in ("fold_comparison", "fold_significance"):
+        assert logical_plan(spark, name).count("MapInArrow") == 1, name
+
+
+def test_count_models_rank_inside_the_kernel(spark):
+    for name in ("score_ranks", "drift_all_steps", "fold_metrics", "item_auc"):
+        assert "sort_array" not in logical_plan(spark, name), name
+
+
+def test_halves_go_up():
+    assert half_up(np.array([1 / 40960, 0.1, 0.3000000000004, 0.0])).tolist() == [0.000024414063, 0.1, 0.3, 0.0]
