@@ -134,12 +134,13 @@ def combination_walk(table: StepTable, fits: list[int], end: int | None = None)
 
     found = counted.repartition(SERIES, "fit_no").mapInArrow(run, f"{SERIES} {kind}, fit_no long, best array<int>, fitness double")
     starts = F.array(*[F.lit(f).cast("long") for f in fits]) if len(fits) <= 64 else F.transform(F.sequence(F.lit(0), F.lit(len(fits) - 1)), lambda i: i * (fits[1] - fits[0]) + fits[0])
-    served = found.select(
-        SERIES, "best", F.get(starts, F.col("fit_no").cast("int")).alias("lo"),
-        F.coalesce(F.get(starts, F.col("fit_no").cast("int") + 1), F.lit(table.longest + 1 if end is None else end)).alias("hi"),
-    )
-    served = served.select(SERIES, "best", F.explode(F.when(F.col("hi") > F.col("lo"), F.sequence(F.col("lo"), F.col("hi") - 1))).alias("ord"))
-    rows = table.df.select(*KEYS).join(served, [SERIES, "ord"])
+    if len(fits) <= 64:
+        number = sum((F.when(F.col("ord") >= f, 1).otherwise(0) for f in fits[1:]), F.lit(0))
+    else:
+        number = F.least(F.floor((F.col("ord") - fits[0]) / (fits[1] - fits[0])), F.lit(len(fits) - 1))
+    # one row per series and fit meets the steps; no row per served step is made
+    asked = table.df.select(*KEYS).where(F.col("ord").between(fits[0], (table.longest + 1 if end is None else end) - 1))
+    rows = asked.withColumn("fit_no", number.cast("long")).join(found.select(SERIES, "fit_no", "best"), [SERIES, "fit_no"])
     score = F.transform(F.sequence(F.lit(1), F.lit(width)), lambda n: F.array_contains("best", n).cast("double"))
     return scored(rows, table, ("genetic", score, F.lit(None).cast("int")))
 
