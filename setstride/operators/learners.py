@@ -13,6 +13,7 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Callable, Iterator
+from dataclasses import replace
 from functools import partial
 
 import numpy as np
@@ -42,15 +43,15 @@ BATCHES = 8
 
 def feature_matrix(table: StepTable, lookback: int = LOOKBACK, include_current: bool = False) -> DataFrame:
     """x (8 rolled statistics, every item's gap, every item's last-20 count) and y (multi-hot) per step."""
-    state = slot_state(table, (SHORT_WINDOW,)).where(F.col("ord") >= lookback)
     rolled = rolling_features(table, lookback, include_current).select(
         SERIES, "ord", F.array(*[f"{c}_roll{lookback}_{s}" for c in ROLLED for s in ("mean", "std")]).alias("_roll")
     )
+    # the narrow rolled values join the narrow steps; the state is made beside them
+    beside = replace(table, df=table.df.join(rolled, [SERIES, "ord"], "left"))
+    state = slot_state(beside, (SHORT_WINDOW,), beside=("_roll",)).where(F.col("ord") >= lookback)
     gap = F.transform(current_gap(item_part(table, "last")), lambda x: x.cast("double"))
     freq = F.transform(item_part(table, f"r{SHORT_WINDOW}"), lambda x: x.cast("double"))
-    return state.join(rolled, [SERIES, "ord"]).select(
-        *KEYS, F.concat("_roll", gap, freq).alias("x"), multihot(F.col("items"), table.domain.items).alias("y")
-    )
+    return state.select(*KEYS, F.concat("_roll", gap, freq).alias("x"), multihot(F.col("items"), table.domain.items).alias("y"))
 
 
 # ---------------------------------------------------------------------------------------------------
