@@ -240,7 +240,10 @@ def frequency(table: StepTable, window: int | None = None, specials: bool = Fals
     lengths = series_length(table)
     occurred = step_items(table, specials)
     if window:
-        occurred = occurred.join(lengths, SERIES).where(F.col("ord") >= F.col("n_steps") - window)
+        # the last blocks of each series meet their steps by block, so no task reads a whole series
+        first = F.greatest(F.col("n_steps") - window, F.lit(0))
+        tails = lengths.select(SERIES, "n_steps", F.explode(F.sequence(block_of(table.block, first), block_of(table.block, F.col("n_steps") - 1))).alias("block"))
+        occurred = occurred.withColumn("block", block_of(table.block)).join(tails, [SERIES, "block"]).where(F.col("ord") >= F.col("n_steps") - window)
     counts = occurred.groupBy(SERIES, "item").agg(F.count("*").alias("n"))
     return (
         dense_items(table, lengths, specials)

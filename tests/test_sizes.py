@@ -3,7 +3,8 @@
 import numpy as np
 from check import compare, connection
 
-from conftest import FOLDER
+from conftest import FOLDER, Step, make_steps
+from setstride.operators.combinations import combination_walk
 from setstride.operators.kernels import half_up
 from setstride.plans import ORACLES, QUERIES
 
@@ -48,3 +49,20 @@ def test_count_models_rank_inside_the_kernel(spark):
 
 def test_halves_go_up():
     assert half_up(np.array([1 / 40960, 0.1, 0.3000000000004, 0.0])).tolist() == [0.000024414063, 0.1, 0.3, 0.0]
+
+
+def test_fits_meet_the_steps_as_one_row_each(spark):
+    t = make_steps(spark, [Step(0, i, i, [1 + (i + 9 * j) % 47 for j in range(5)], 1 + i % 27) for i in range(300)], block=128)
+    walk = combination_walk(t, [200, 240, 280], 290)
+    assert "sequence(lo" not in walk._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["ord"] for r in walk.collect()) == list(range(200, 290))
+
+
+def test_rolled_values_join_narrow_steps(spark):
+    plan = logical_plan(spark, "feature_matrix")
+    assert plan.index("MapInArrow") < plan.index("Join")
+
+
+def test_tail_of_a_series_is_found_by_block(spark):
+    plan = logical_plan(spark, "item_frequency")
+    assert "block" in plan
