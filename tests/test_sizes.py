@@ -6,6 +6,7 @@ from check import compare, connection
 from conftest import FOLDER, Step, make_steps
 from setstride.operators.combinations import combination_walk
 from setstride.operators.kernels import half_up
+from setstride.operators.neighbours import _state_matrix, _step_blocks, state_vectors
 from setstride.plans import ORACLES, QUERIES
 
 
@@ -66,3 +67,14 @@ def test_rolled_values_join_narrow_steps(spark):
 def test_tail_of_a_series_is_found_by_block(spark):
     plan = logical_plan(spark, "item_frequency")
     assert "block" in plan
+
+
+def test_packed_states_are_the_state_vectors_and_narrow(spark):
+    t = make_steps(spark, [Step(0, i, i, [1 + (i * i + 9 * j) % 47 for j in range(5)], 1 + i % 27) for i in range(900)], block=512)
+    wanted = {r["ord"]: list(r["vec"]) for r in state_vectors(t).collect()}
+    blocks = _step_blocks(t, 512, 20, 25).collect()
+    assert sorted(r["block"] for r in blocks) == [0, 1]
+    for r in blocks:
+        ords = np.frombuffer(r["ords"], "<i8")
+        assert _state_matrix(r["states"], ords).tolist() == [wanted[o] for o in ords]
+        assert len(r["states"]) < 300 * len(ords)  # the vectors take 1504 bytes each
