@@ -116,6 +116,43 @@ def test_margins_written_between_rounds_change_nothing(planted, monkeypatch):
     assert np.allclose(*scores, atol=1e-6)
 
 
+def test_a_pair_code_counts_as_its_features_do():
+    rng = np.random.default_rng(1)
+    n, items = 5000, 3
+    b = np.minimum(rng.geometric(0.1, (n, 7)), 31).astype(np.uint8)
+    y = rng.integers(0, 2, (n, items)).astype(np.uint8)
+    row = {"n": n, "ords": np.arange(n).astype("<i8").tobytes(), "keys": rng.integers(0, 1 << 60, n).tobytes(), "b": b.tobytes(), "y": y.tobytes()}
+    rows = trees._Rows([row], items, 4000)
+    models = trees.Models(np.array([1]), np.array([3000]), np.array([4]), 2)
+    sample, node = trees._sample(rows, models, 0, None, None), rng.integers(0, 4, n)
+    times = trees.drawn(rows.keys, 4, 1)[:3000]
+    sample.place(node[:3000][times > 0])
+    every, some = trees._channels(sample.counts(4))
+    below, splits = sample.counts(4), np.array([2, -1, 3, 0])
+    sample.split((splits, np.array([5, 0, 9, 12]), None))
+    assert (sample.counts(8, below, splits) == sample.counts(8)).all()
+    for f in range(7):
+        for counts, weight in ((every, times), (some, times * y[:3000, 1])):
+            plain = np.bincount(node[:3000] * trees.BINS + b[:3000, f], weight, 4 * trees.BINS)
+            assert (counts[:, f].ravel() == plain).all()
+
+
+@pytest.mark.parametrize(
+    "walk", [lambda *a: learners.forest_walk(*a, count=3, depth=4), lambda *a: learners.boosted_walk(*a, rounds=3, depth=3, least=1.0)]
+)
+def test_whole_and_level_by_level_growing_agree(spark, planted, monkeypatch, walk):
+    """Whole growing is one job whatever the rounds, and its trees are those of blocks that meet level by level."""
+    collected = []
+    take = trees._take
+    monkeypatch.setattr(trees, "_take", lambda *a: (collected.append(1), take(*a)))
+    whole = [r["score"] for r in walk(planted, [300], 310).orderBy("ord").collect()]
+    assert len(collected) == 1
+    monkeypatch.setattr(trees, "WHOLE_ROWS", 0)
+    monkeypatch.setattr(trees, "BLOCK_ROWS", 100)
+    parts = [r["score"] for r in walk(planted, [300], 310).orderBy("ord").collect()]
+    assert np.allclose(whole, parts, atol=1e-6)
+
+
 def test_importance_finds_the_gap(planted):
     rows = learners.tree_importance(planted).collect()
     assert len(rows) == 188 and sum(r["importance"] for r in rows) <= 1 + 1e-9
