@@ -41,6 +41,12 @@ def test_quality_counts(spark, awkward, labels):  # noqa: F811
     assert all(not r["kept"] for r in found if r["base_failed"])
 
 
+def test_quality_sorts_by_natural_order(awkward, labels):  # noqa: F811
+    """Repeated windows are sorted without a comparing lambda."""
+    plan = quality_rules.verdicts(awkward, labels)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array(" in plan and "array_sort(" not in plan
+
+
 def test_quality_ratio_by_hand(spark, awkward, labels):  # noqa: F811
     """Scores are the mean smoothed log ratios of the counted words, and the threshold decides every row."""
     ratio = quality_rules.fit(awkward, labels)
