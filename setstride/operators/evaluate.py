@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from setstride.config import INITIAL_STEPS, MAX_TICKETS, REFIT_EVERY, TICKET_CANDIDATES, TICKET_COST, Domain
@@ -12,26 +12,39 @@ from setstride.functions.arrays import expected_prize, hits, mean_rank, prize
 from setstride.functions.stats import student_p
 from setstride.operators.kernels import ticket_kernel
 from setstride.operators.layout import SERIES, StepTable, halo_window, running_totals, spread
-from setstride.operators.scorers import normalised, predictions, refitted
+from setstride.operators.scorers import COUNTED, KEYS, count_outcomes, count_tickets, normalised, predictions, refitted
+
+COUNT_MODELS = ("frequency", "markov", "bayesian")
 
 
 def outcomes(scores: DataFrame, domain: Domain) -> DataFrame:
     """Score each revealed step: hits, special_hit, prize (0 without a special pick), ev, mean_rank."""
-    revealed = scores.where(F.col("special").isNotNull())
     h = hits(F.col("picks"), F.col("items"), domain.pick)
+    return paid_outcomes(scores.withColumn("hits", h).withColumn("mean_rank", mean_rank(F.col("ranked"), F.col("items"))), domain)
+
+
+def paid_outcomes(rows: DataFrame, domain: Domain) -> DataFrame:
+    """Rows of revealed steps that know their hits, with special_hit, prize and ev."""
     special_hit = F.col("special_pick") == F.col("special")
     return (
-        revealed.withColumn("hits", h)
+        rows.where(F.col("special").isNotNull())
         .withColumn("special_hit", F.coalesce(special_hit, F.lit(False)))
         .withColumn("prize", F.when(F.col("special_pick").isNull(), 0.0).otherwise(prize(F.col("hits"), F.col("special_hit"))))
         .withColumn(
             "ev",
             F.when(F.col("special_pick").isNull(), expected_prize(F.col("hits"), domain.specials)).otherwise(F.col("prize")),
         )
-        .withColumn("mean_rank", mean_rank(F.col("ranked"), F.col("items")))
     )
 
 
+def walk_outcomes(table: StepTable, models: tuple[str, ...] = COUNT_MODELS, start: int | None = None) -> DataFrame:
+    """`outcomes` of all steps, or of those from ord `start` on; count models make theirs beside the scores, which stay in the task."""
+    span = None if start is None else (start, table.longest)
+    if set(models) <= set(COUNTED):
+        return paid_outcomes(count_outcomes(table, models, span), table.domain)
+    return outcomes(predictions(table, models, span), table.domain)
+
+
 def summary(rows: DataFrame, keys: list[str], domain: Domain) -> DataFrame:
     """The per-model (or per-fold) metric row over outcome rows."""
     counts = [F.count_if(F.col("hits") == h).alias(f"hit{h}") for h in range(domain.pick + 1)]
@@ -142,8 +155,7 @@ def fold_dates(dates: DataFrame, **months: int) -> DataFrame:
 
 def fold_walk(table: StepTable, models: tuple[str, ...] = ("frequency", "markov", "bayesian"), **months: int) -> DataFrame:
     """Outcome rows of every model with their test fold."""
-    rows = outcomes(predictions(table, models), table.domain)
-    return rows.join(fold_dates(date_histogram(table), **months), "ts")
+    return walk_outcomes(table, models).join(fold_dates(date_histogram(table), **months), "ts")
 
 
 def across_folds(per_fold: DataFrame, *more: Column) -> DataFrame:
@@ -214,7 +226,10 @@ def best_tickets(scores: DataFrame, domain: Domain, tickets: int = MAX_TICKETS,
 
 def ticket_steps(scores: DataFrame, domain: Domain, tickets: int = MAX_TICKETS, candidates: int = TICKET_CANDIDATES) -> DataFrame:
     """The best tickets of each revealed step, one row per step and model, with `ticket_prizes` beside them."""
-    made = best_tickets(scores.where(F.col("special").isNotNull()), domain, tickets, candidates)
+    return paid_tickets(best_tickets(scores.where(F.col("special").isNotNull()), domain, tickets, candidates), domain)
+
+
+def paid_tickets(made: DataFrame, domain: Domain) -> DataFrame:
     known = F.col("special_pick") == F.col("special")
     paid = F.when(F.col("special_pick").isNull(), F.transform("ticket_hits", lambda h: expected_prize(h, domain.specials))).otherwise(
         F.transform("ticket_hits", lambda h: prize(h, known))
@@ -222,9 +237,14 @@ def ticket_steps(scores: DataFrame, domain: Domain, tickets: int = MAX_TICKETS,
     return made.withColumn("ticket_prizes", paid)
 
 
-def ticket_rows(scores: DataFrame, domain: Domain, tickets: int = MAX_TICKETS, candidates: int = TICKET_CANDIDATES) -> DataFrame:
-    """One row per ticket of each step: columns ticket (1-based), numbers, ticket_hits, ticket_prize."""
-    steps = ticket_steps(scores, domain, tickets, candidates)
+def walk_tickets(table: StepTable, models: tuple[str, ...] = COUNT_MODELS, start: int = INITIAL_STEPS, tickets: int = MAX_TICKETS, candidates: int = TICKET_CANDIDATES) -> DataFrame:
+    """`ticket_steps` of count models from ord `start` on, made in the tasks that score them."""
+    kernel = ticket_kernel([*KEYS, "model", "special_pick"], candidates, table.domain.pick, tickets)
+    return paid_tickets(count_tickets(table, models, (start, table.longest), KEYS, kernel), table.domain)
+
+
+def ticket_rows(steps: DataFrame) -> DataFrame:
+    """One row per ticket of each step of `ticket_steps`: columns ticket (1-based), numbers, ticket_hits, ticket_prize."""
     rows = steps.select(*TICKET_KEYS, F.posexplode(F.arrays_zip("tickets", "ticket_hits", "ticket_prizes")).alias("_at", "_t"))
     return rows.select(
         *TICKET_KEYS, (F.col("_at") + 1).alias("ticket"), F.col("_t.tickets").alias("numbers"), "_t.ticket_hits", F.col("_t.ticket_prizes").alias("ticket_prize")
@@ -279,18 +299,24 @@ def multi_ticket(steps: DataFrame, tickets: int = MAX_TICKETS) -> DataFrame:
 def drift(rows: DataFrame, table: StepTable, origin: int = 0, window: int = 51, every: int = 50) -> DataFrame:
     """Moving mean of hits over `window` rows, reported at positions every-1, 2*every-1, ... of the walk."""
     at = rows.select(SERIES, "model", (F.col("ord") - origin).alias("ord"), "hits")
-    spread_rows = spread(at, table.block, window - 1)
-    w = halo_window("model").rowsBetween(-(window - 1), 0)
+    ordered = halo_window("model")
+    sums = spread(at, table.block, window - 1).select(
+        "*", F.row_number().over(ordered).alias("_k"), F.sum("hits").over(ordered.rowsBetween(Window.unboundedPreceding, 0)).alias("_sum")
+    )
+    moved = F.col("_sum") - F.lag("_sum", window, 0).over(ordered)  # no row adds up its frame anew
     return (
-        spread_rows.withColumn("moving_avg", F.avg("hits").over(w))
+        sums.withColumn("moving_avg", moved / F.least("_k", F.lit(window)))
         .where(F.col("own") & (F.col("ord") % every == every - 1))
         .select(SERIES, "model", F.col("ord").alias("position"), "moving_avg")
     )
 
 
 def walk_report(scores: DataFrame, table: StepTable, tickets: int = MAX_TICKETS) -> DataFrame:
-    """Per model, from one pass: metrics of the first ticket, shares of its hits, last drift value and the 1..K ticket returns."""
-    steps = ticket_steps(scores, table.domain, tickets)
+    return ticket_report(ticket_steps(scores, table.domain, tickets), table, tickets)
+
+
+def ticket_report(steps: DataFrame, table: StepTable, tickets: int = MAX_TICKETS) -> DataFrame:
+    """Per model, from one pass over `ticket_steps`: metrics of the first ticket, shares of its hits and the 1..K ticket returns."""
     first = steps.withColumn("hits", F.get("ticket_hits", F.lit(0))).withColumn("ev", F.get("ticket_prizes", F.lit(0)))
     n, pick = F.col("n_draws"), table.domain.pick
     rows = first.groupBy("model").agg(

@@ -174,6 +174,91 @@ def context_kernel(keep: list[str], items: int, specials: int, revealed: str) ->
     return run
 
 
+def _runs(batches: Batches, size: int, back: int) -> Iterator[tuple[pa.RecordBatch, int, int, tuple, bool]]:
+    """Runs of consecutive steps of one (series, block): batch, first and last row, (series, block, first ord), whether the run goes on from the batch before.
+
+    Rows may come in any order; a step that does not follow the one before it opens a run of its own.
+    """
+    after = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        series, ords = _column(batch, "series_id").to_numpy(zero_copy_only=False), _numbers(batch, "ord")
+        block = (ords + back) // size
+        cut = np.flatnonzero((series[1:] != series[:-1]) | (block[1:] != block[:-1]) | (ords[1:] != ords[:-1] + 1)) + 1
+        for a, b in itertools.pairwise([0, *cut.tolist(), batch.num_rows]):
+            yield batch, a, b, (series[a], int(block[a]), int(ords[a])), a == 0 and (series[a], block[a], ords[a]) == after
+        after = series[-1], block[-1], ords[-1] + 1
+
+
+def _hot(batch: pa.RecordBatch, name: str, width: int, kind: type = bool) -> np.ndarray:
+    hot = np.zeros((batch.num_rows, width), kind)
+    hot[_lists(_column(batch, name))] = 1
+    return hot
+
+
+def _tall(kind: pa.DataType, at: tuple, key: np.ndarray, key_name: str, values: dict[str, np.ndarray]) -> pa.RecordBatch:
+    fixed = [pa.array([at[0]] * len(key), kind), *[pa.array(np.full(len(key), v, np.int64)) for v in at[1:]]]
+    arrays = [*fixed, pa.array(key.astype(np.int32)), *[pa.array(v.astype(np.int64)) for v in values.values()]]
+    return pa.RecordBatch.from_arrays(arrays, names=["series_id", "block", "start", key_name, *values])
+
+
+def slot_totals_kernel(size: int, back: int, width: int) -> Callable[[Batches], Batches]:
+    """One row per run of steps and slot seen there: n, last, first and gsq, the sum of squared gaps between its steps."""
+
+    def run(batches: Batches) -> Batches:
+        opened, n, last, first, gsq, kind, whole, hot = None, None, None, None, None, None, None, None
+
+        def closed() -> Batches:
+            if opened is not None and (n > 0).any():
+                k = np.flatnonzero(n)
+                yield _tall(kind, opened, k, "slot", {"n": n[k], "last": last[k], "first": first[k], "gsq": gsq[k]})
+
+        for batch, a, b, at, goes_on in _runs(batches, size, back):
+            if batch is not whole:
+                whole, hot, ords = batch, _hot(batch, "slots", width), _numbers(batch, "ord")[:, None]
+            if not goes_on:
+                yield from closed()
+                opened, kind = at, _column(batch, "series_id").type
+                n, gsq, last, first = (np.full(width, v, np.int64) for v in (0, 0, -1, -1))
+            h, o = hot[a:b], ords[a:b]
+            seen = np.maximum.accumulate(np.where(h, o, last), axis=0)
+            before = np.vstack([last, seen[:-1]])
+            gsq = gsq + (np.where(h & (before >= 0), o - before, 0) ** 2).sum(axis=0)
+            first = np.where(first >= 0, first, np.where(h.any(axis=0), o[np.argmax(h, axis=0), 0], -1))
+            n, last = n + h.sum(axis=0), seen[-1]
+        yield from closed()
+
+    return run
+
+
+def cell_totals_kernel(size: int, items: int, specials: int) -> Callable[[Batches], Batches]:
+    """One row per run of steps and (context, target) met there: cell = context * items + target, and n."""
+
+    def run(batches: Batches) -> Batches:
+        opened, counts, kind, whole, hot = None, None, None, None, None
+
+        def closed() -> Batches:
+            if opened is not None and counts.any():
+                flat = counts.reshape(-1)
+                cell = np.flatnonzero(flat)
+                yield _tall(kind, opened, cell, "cell", {"n": flat[cell]})
+
+        for batch, a, b, at, goes_on in _runs(batches, size, 0):
+            if batch is not whole:
+                whole = batch
+                hot = [_hot(batch, c, w, np.float32) for c, w in (("contexts", items + specials), ("targets", items), ("special_targets", items))]
+            if not goes_on:
+                yield from closed()
+                opened, kind, counts = at, _column(batch, "series_id").type, np.zeros((items + specials, items), np.int64)
+            contexts, targets, special_targets = (h[a:b] for h in hot)  # counts of one batch are exact in 24 bits
+            counts[:items] += (contexts[:, :items].T @ targets).astype(np.int64)
+            counts[items:] += (contexts[:, items:].T @ special_targets).astype(np.int64)
+        yield from closed()
+
+    return run
+
+
 def _stepped(kernel: Callable[[Batches], Batches]) -> Callable[[pa.RecordBatch], pa.RecordBatch]:
     """A kernel as a function of one batch with rows; its state lives on between the calls."""
     box: list[pa.RecordBatch] = []
@@ -273,10 +358,54 @@ def average(made: dict[str, Scored], name: str) -> dict[str, Scored]:
     return {name: (half_up(total / len(made)), None)}
 
 
+Shape = Callable[[pa.RecordBatch, np.ndarray, np.ndarray | None], dict[str, pa.Array]]
+
+
+def _chosen_special(special: np.ndarray | None, n: int) -> pa.Array:
+    return pa.nulls(n, pa.int32()) if special is None else pa.array(special.astype(np.int32))
+
+
+def ranked_shape(pick: int) -> Shape:
+    """score, ranked, picks, special_pick."""
+
+    def shape(batch, scores, special):
+        ranked = ranks(scores)
+        return {"score": _as_lists(scores), "ranked": _as_lists(ranked), "picks": _as_lists(ranked[:, :pick]), "special_pick": _chosen_special(special, len(scores))}
+
+    return shape
+
+
+def picks_shape(pick: int) -> Shape:
+    """picks, special_pick and the largest score."""
+
+    def shape(batch, scores, special):
+        return {"picks": _as_lists(ranks(scores)[:, :pick]), "special_pick": _chosen_special(special, len(scores)), "best_score": pa.array(scores.max(axis=1))}
+
+    return shape
+
+
+def outcome_shape(pick: int) -> Shape:
+    """special_pick, hits and mean_rank of the items that came up; a rank is the number of scores above, and of equal ones of lower items."""
+
+    def shape(batch, scores, special):
+        n, width = scores.shape
+        at, value = _lists(_column(batch, "items"))
+        value = value.astype(np.int64) - 1
+        row, own = scores[at], scores[at, value][:, None]
+        rank = 1 + ((row > own) | (row == own) & (np.arange(width) < value[:, None])).sum(axis=1)
+        met = np.zeros((n, width), bool)
+        met[at[rank <= pick], value[rank <= pick]] = True
+        size = np.bincount(at, minlength=n)
+        mean = np.bincount(at, rank, n) / np.maximum(size, 1)
+        return {"special_pick": _chosen_special(special, n), "hits": pa.array(met.sum(axis=1).astype(np.int32)), "mean_rank": pa.array(mean, mask=size == 0)}
+
+    return shape
+
+
 def ranking_kernel(
-    state: Callable[[Batches], Batches], keep: list[str], pick: int, lowest: int, score: Callable[[pa.RecordBatch], dict[str, Scored]]
+    state: Callable[[Batches], Batches], keep: list[str], lowest: int, score: Callable[[pa.RecordBatch], dict[str, Scored]], shape: Shape
 ) -> Callable[[Batches], Batches]:
-    """One row per step from ord `lowest` on and model: `keep`, model, score, ranked, picks, special_pick."""
+    """One row per step from ord `lowest` on and model: `keep`, model and the columns of `shape`; nothing else leaves the task."""
 
     def run(batches: Batches) -> Batches:
         for whole in state(batches):
@@ -284,10 +413,8 @@ def ranking_kernel(
             if not batch.num_rows:
                 continue
             for model, (scores, special) in score(batch).items():
-                ranked, n = ranks(scores), batch.num_rows
-                chosen = pa.nulls(n, pa.int32()) if special is None else pa.array(special.astype(np.int32))
-                arrays = [pa.array([model] * n), _as_lists(scores), _as_lists(ranked), _as_lists(ranked[:, :pick]), chosen]
-                yield pa.RecordBatch.from_arrays([*batch.select(keep).columns, *arrays], names=[*keep, "model", "score", "ranked", "picks", "special_pick"])
+                made = shape(batch, scores, special)
+                yield pa.RecordBatch.from_arrays([*batch.select(keep).columns, pa.array([model] * batch.num_rows), *made.values()], names=[*keep, "model", *made])
 
     return run
 
@@ -328,6 +455,8 @@ def ticket_kernel(keep: list[str], pool: int, pick: int, tickets: int, rows: int
 
     def run(batches: Batches) -> Batches:
         for whole in batches:
+            if not whole.num_rows:
+                continue
             for at in range(0, whole.num_rows, rows):
                 batch = whole.slice(at, rows)
                 numbers, hits = best(batch)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from setstride.operators.kernels import context_kernel, joint_kernel
+from setstride.operators.kernels import cell_totals_kernel, context_kernel, joint_kernel
 from setstride.operators.layout import SERIES, StepTable, block_of, by_block
 from setstride.operators.state import STEP_COLUMNS, dense_prefix, in_span, slot_rows, state_schema
+from setstride.session import materialise
 
 
 def pairs_within(items: Column) -> Column:
@@ -102,7 +103,7 @@ def context_columns(table: StepTable, revealed: str) -> tuple[Column, Column, Co
     empty = F.array().cast("array<int>")
     previous = F.transform("prev_items", lambda n: n - 1)
     if revealed == "next":
-        contexts = F.concat(previous, F.array(F.col("prev_special") + F.lit(items - 1)))
+        contexts = F.concat(previous, F.when(F.col("prev_special").isNull(), empty).otherwise(F.array(F.col("prev_special") + F.lit(items - 1))))
         targets = F.transform("items", lambda n: n - 1)
         special_targets = F.when(F.col("special").isNull(), empty).otherwise(F.array(F.col("special") - 1))
     else:
@@ -127,19 +128,9 @@ def context_rows(table: StepTable, revealed: str, span: tuple[int, int] | None)
     )
     if span is not None:
         rows = rows.where(F.col("ord") < span[1])
-    pairs = F.flatten(
-        F.transform(
-            "contexts",
-            lambda c: F.transform(
-                F.when(c < items, F.col("targets")).otherwise(F.col("special_targets")), lambda t: c * items + t
-            ),
-        )
-    )
-    totals = (
-        rows.select(SERIES, "block", F.explode(pairs).alias("cell"))
-        .groupBy(SERIES, "block", "cell")
-        .agg(F.count("*").alias("n"))
-    )
+    schema = StructType([rows.schema[SERIES], *[StructField(n, LongType()) for n in ("block", "start")], StructField("cell", IntegerType()), StructField("n", LongType())])
+    steps = rows.select(SERIES, "ord", "contexts", "targets", "special_targets")
+    totals = materialise(steps.mapInArrow(cell_totals_kernel(table.block, items, specials), schema), "cell-totals")
     cells = dense_prefix(totals, "cell", (items + specials) * items, {"n": "sum"})
     context = F.expr(f"cell div {items}")
     carry = (

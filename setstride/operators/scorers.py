@@ -14,10 +14,13 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from setstride.config import MID_WINDOW, SHORT_WINDOW, VOTE_TENTHS
 from setstride.functions.arrays import array_total, let, ranked_items
-from setstride.operators.kernels import average, context_kernel, count_models, joint_kernel, ranking_kernel, slot_kernel, votes
+from setstride.operators.kernels import (
+    Batches, Shape, average, context_kernel, count_models, joint_kernel, outcome_shape, picks_shape, ranked_shape, ranking_kernel, slot_kernel, votes,
+)
 from setstride.operators.layout import SERIES, StepTable, by_block, spread
 from setstride.operators.pairs import context_rows, joint_rows
 from setstride.operators.state import in_span, slot_rows
@@ -43,8 +46,17 @@ FREQUENCY = {"cnt": 50, f"r{MID_WINDOW}": 30, f"r{SHORT_WINDOW}": 20}
 COUNTED = ("frequency", "bayesian", "markov")
 
 
-def _counted(table: StepTable, span: Span, models: tuple[str, ...], combine: Callable[[dict], dict] | None = None) -> DataFrame:
-    """The count models over one pass of the blocks that each needs: state, scores and ranks stay inside the kernel."""
+RANKED = "score array<double>, ranked array<int>, picks array<int>, special_pick int"
+
+
+def _counted(
+    table: StepTable, span: Span, models: tuple[str, ...], combine: Callable[[dict], dict] | None = None, shape: Shape | None = None,
+    made: str = RANKED, keep: list[str] = KEYS, after: Callable[[Batches], Batches] | None = None,
+) -> DataFrame:
+    """The count models over one pass of the blocks that each needs: state, scores and ranks stay inside the kernel.
+
+    `shape` makes the columns that leave it, `made` names them and `keep` those of the step; `after` is a kernel over its rows in the same task.
+    """
     windows = (SHORT_WINDOW, MID_WINDOW) if "frequency" in models else ()
     want, items, specials = ("cnt", "last"), table.domain.items, table.domain.specials
     if models == ("markov",):
@@ -57,15 +69,14 @@ def _counted(table: StepTable, span: Span, models: tuple[str, ...], combine: Cal
     else:
         rows = by_block(slot_rows(table, windows, want, span), table.rows)
         state = slot_kernel(KEYS, items + specials, windows, want)
-    none = F.lit(None)
-    made = [none.cast("string").alias("model"), none.cast("array<double>").alias("score"), none.cast("array<int>").alias("ranked"), none.cast("array<int>").alias("picks"), none.cast("int").alias("special_pick")]
-    schema = rows.select(*KEYS, *made).schema
+    schema = StructType([*rows.select(*keep).schema.fields, StructField("model", StringType()), *StructType.fromDDL(made).fields])
 
     def score(batch):
         scores = count_models(batch, models, items, FREQUENCY)
         return scores if combine is None else combine(scores)
 
-    return rows.mapInArrow(ranking_kernel(state, KEYS, table.domain.pick, max(1, span[0] if span else 1), score), schema)
+    kernel = ranking_kernel(state, KEYS if after else keep, max(1, span[0] if span else 1), score, shape or ranked_shape(table.domain.pick))
+    return rows.mapInArrow(kernel if after is None else lambda batches: after(kernel(batches)), schema)
 
 
 def count_scores(table: StepTable, span: Span = None, models: tuple[str, ...] = ("frequency", "bayesian")) -> DataFrame:
@@ -82,9 +93,25 @@ def count_ensemble(table: StepTable, span: Span = None, models: tuple[str, ...]
     return _counted(table, span, models, lambda made: votes(made, VOTE_TENTHS, pick))
 
 
-def count_average(table: StepTable, span: Span = None, models: tuple[str, ...] = ("frequency", "bayesian"), name: str = "average") -> DataFrame:
-    """`average_scores` of count models, taken beside their scores."""
-    return _counted(table, span, models, lambda made: average(made, name))
+def average_picks(table: StepTable, span: Span = None, models: tuple[str, ...] = ("frequency", "bayesian"), name: str = "average") -> DataFrame:
+    """Picks and largest score of the `average_scores` of count models, taken beside their scores, which stay in the task."""
+    return _counted(table, span, models, lambda made: average(made, name), picks_shape(table.domain.pick), "picks array<int>, special_pick int, best_score double", [SERIES, "ord"])
+
+
+def count_outcomes(table: StepTable, models: tuple[str, ...] = ("frequency", "markov", "bayesian"), span: Span = None) -> DataFrame:
+    """hits and mean_rank of every step of count models, taken beside their scores."""
+    shape, made = outcome_shape(table.domain.pick), "special_pick int, hits int, mean_rank double"
+    return _counted(table, span, tuple(m for m in COUNTED if m in models), None, shape, made, [SERIES, "ord", "step_id", "ts", "special"])
+
+
+def count_tickets(table: StepTable, models: tuple[str, ...], span: Span, keep: list[str], kernel: Callable[[Batches], Batches]) -> DataFrame:
+    """A ticket kernel over the scores of count models, in the task that makes them; steps without a special have none."""
+
+    def revealed(batches: Batches) -> Batches:
+        return kernel(b.filter(b.column(b.schema.get_field_index("special")).is_valid()) for b in batches)
+
+    made = "special_pick int, tickets array<array<int>>, ticket_hits array<int>"
+    return _counted(table, span, tuple(m for m in COUNTED if m in models), made=made, keep=keep, after=revealed)
 
 
 def normalised(score: Column) -> Column:

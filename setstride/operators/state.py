@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from setstride.operators.kernels import slot_kernel
+from setstride.operators.kernels import slot_kernel, slot_totals_kernel
 from setstride.operators.layout import SERIES, StepTable, block_of, by_block, halo_window, spread
+from setstride.session import materialise
 
 STEP_COLUMNS = ["step_id", "ts", "items", "special", "prev_items", "prev_special", "prev2_items"]
 
@@ -66,15 +67,12 @@ def dense_prefix(totals: DataFrame, key: str, width: int, values: dict[str, str]
 def _carry(table: StepTable, width: int, back: int, span, gaps: bool) -> DataFrame:
     """One row per (block, slot): slot state summed over every step before the block's halo."""
     rows = table.df if span is None else table.df.where(F.col("ord") < span[1])
-    tall = rows.select(SERIES, "ord", F.explode(slots_of(table)).alias("item"))
-    if gaps:
-        tall = sparse_gaps(tall, table.block)
-    totals = tall.groupBy(SERIES, block_of(table.block, F.col("ord") + back).alias("block"), F.col("item").alias("slot")).agg(
-        F.count("*").alias("n"),
-        F.max("ord").alias("last"),
-        F.min("ord").alias("first"),
-        (F.sum(F.col("gap") * F.col("gap")) if gaps else F.lit(0).cast("long")).alias("gsq"),
-    )
+    steps = rows.select(SERIES, "ord", slots_of(table).alias("slots"))
+    schema = StructType([steps.schema[SERIES], *[StructField(n, LongType()) for n in ("block", "start")], StructField("slot", IntegerType()), *[StructField(n, LongType()) for n in ("n", "last", "first", "gsq")]])
+    totals = materialise(steps.mapInArrow(slot_totals_kernel(table.block, back, width), schema), "slot-totals")
+    if gaps:  # the gap that a run of steps opens with ends in it
+        opening = F.col("first") - F.lag("last").over(Window.partitionBy(SERIES, "slot").orderBy("start"))
+        totals = totals.withColumn("gsq", F.col("gsq") + F.coalesce(opening * opening, F.lit(0)))
     how = {"n": "sum", "last": "max", "first": "min", "gsq": "sum"}
     return dense_prefix(totals, "slot", width, how).select(
         SERIES, "block", F.array("slot").alias("slots"), *[f"_{v}" for v in how]

@@ -15,13 +15,13 @@ from setstride.plans.sql import ALL_SCORES, DRAWS, FOLDS, METRICS, TICKETS, stud
 SELECT model, ord, hits, CAST(special_hit AS BIGINT) AS special_hit, round(CAST(prize AS DOUBLE), 6) AS prize, round(ev, 6) AS ev, round(mean_rank, 6) AS mean_rank FROM oc"""))
 def _(spark, folder):
     t = draws(spark, folder)
-    return evaluate.outcomes(predictions(t), t.domain).select("model", "ord", "hits", "special_hit", "prize", "ev", "mean_rank")
+    return evaluate.walk_outcomes(t).select("model", "ord", "hits", "special_hit", "prize", "ev", "mean_rank")
 
 
 @query("walk_metrics", with_(*ALL_SCORES, select=f"SELECT model, {METRICS} FROM oc GROUP BY model"))
 def _(spark, folder):
     t = draws(spark, folder)
-    return evaluate.summary(evaluate.outcomes(predictions(t), t.domain), ["model"], t.domain)
+    return evaluate.summary(evaluate.walk_outcomes(t), ["model"], t.domain)
 
 
 @query("fold_table", with_(DRAWS, FOLDS, select="""
@@ -86,22 +86,16 @@ WALKED = "wanted AS MATERIALIZED (SELECT model, ord FROM pk WHERE ord >= 200)"
 WALK_PARTS = [*ALL_SCORES, WALKED, TICKETS]
 
 
-def walked(spark, folder):
-    t = draws(spark, folder)
-    return t, evaluate.prequential(t, every={})
-
-
 @query("prequential_tickets", with_(*WALK_PARTS, select=f"SELECT model, ord, ticket, {text('numbers')} AS numbers, hits AS ticket_hits, round(paid, 6) AS ticket_prize FROM tp"))
 def _(spark, folder):
-    t, scores = walked(spark, folder)
-    return evaluate.ticket_rows(scores, t.domain).select("model", "ord", "ticket", "numbers", "ticket_hits", "ticket_prize")
+    return evaluate.ticket_rows(evaluate.walk_tickets(draws(spark, folder))).select("model", "ord", "ticket", "numbers", "ticket_hits", "ticket_prize")
 
 
 @query("prequential_metrics", with_(*ALL_SCORES, select=f"""
 SELECT model, {METRICS}, round((avg(hits) - 25.0 / 47) / (stddev_samp(hits) / sqrt(count(*))), 6) AS t_stat FROM oc WHERE ord >= 200 GROUP BY model"""))
 def _(spark, folder):
-    t, scores = walked(spark, folder)
-    tested = evaluate.against_random(evaluate.summary(evaluate.outcomes(scores, t.domain), ["model"], t.domain), t.domain)
+    t = draws(spark, folder)
+    tested = evaluate.against_random(evaluate.summary(evaluate.walk_outcomes(t, start=INITIAL_STEPS), ["model"], t.domain), t.domain)
     return tested.drop("p_value", "direction")
 
 
@@ -110,23 +104,22 @@ cu AS (SELECT model, ord, ticket AS buy_n, sum(paid) OVER (PARTITION BY model, o
 SELECT model, buy_n, round(avg(paid), 6) AS ev_per_draw, CAST(buy_n AS DOUBLE) AS cost_per_draw, round(avg(paid) - buy_n, 6) + 0.0 AS net_ev,
        round((avg(paid) - buy_n) / buy_n * 100, 6) + 0.0 AS roi_pct FROM cu GROUP BY model, buy_n"""))
 def _(spark, folder):
-    t, scores = walked(spark, folder)
-    return evaluate.multi_ticket(evaluate.ticket_steps(scores, t.domain))
+    return evaluate.multi_ticket(evaluate.walk_tickets(draws(spark, folder)))
 
 
 @query("drift", with_(*ALL_SCORES, """
 dr AS (SELECT model, ord - 200 AS position, avg(hits) OVER (PARTITION BY model ORDER BY ord ROWS BETWEEN 50 PRECEDING AND CURRENT ROW) AS ma
        FROM oc WHERE ord >= 200)""", select="SELECT model, position, round(ma, 6) AS moving_avg FROM dr WHERE position % 50 = 49"))
 def _(spark, folder):
-    t, scores = walked(spark, folder)
-    return without_series(evaluate.drift(evaluate.outcomes(scores, t.domain), t, INITIAL_STEPS))
+    t = draws(spark, folder)
+    return without_series(evaluate.drift(evaluate.walk_outcomes(t, start=INITIAL_STEPS), t, INITIAL_STEPS))
 
 
 @query("drift_all_steps", with_(*ALL_SCORES, """
 dr AS (SELECT model, ord AS position, avg(hits) OVER (PARTITION BY model ORDER BY ord ROWS BETWEEN 50 PRECEDING AND CURRENT ROW) AS ma FROM oc)""", select="SELECT model, position, round(ma, 6) AS moving_avg FROM dr WHERE position % 50 = 49"))
 def _(spark, folder):
     t = draws(spark, folder)
-    return without_series(evaluate.drift(evaluate.outcomes(predictions(t), t.domain), t))
+    return without_series(evaluate.drift(evaluate.walk_outcomes(t), t))
 
 
 STALE = """
@@ -158,8 +151,8 @@ f1 AS (SELECT model, count(*) AS n_draws, round(avg(hits), 6) AS avg_hits, round
        round(avg(paid), 6) AS ev_per_draw, round(avg(paid) - 1, 6) + 0.0 AS net_ev, round((avg(paid) - 1) * 100, 6) + 0.0 AS roi_pct,
        """ + ", ".join(f"round(100.0 * count(*) FILTER (hits = {h}) / count(*), 6) AS hit{h}_pct" for h in range(6)) + """ FROM tp WHERE ticket = 1 GROUP BY model)""", select="SELECT * FROM f1 JOIN b5 USING (model)"))
 def _(spark, folder):
-    t, scores = walked(spark, folder)
-    return evaluate.walk_report(scores, t)
+    t = draws(spark, folder)
+    return evaluate.ticket_report(evaluate.walk_tickets(t), t)
 
 
 AUC = """

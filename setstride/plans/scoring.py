@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from setstride.operators import combinations, evaluate, learners, neighbours, scorers
 from setstride.operators.layout import StepTable
-from setstride.operators.scorers import count_average, count_ensemble, count_scores, markov_scores, normalised, predictions
+from setstride.operators.scorers import average_picks, count_ensemble, count_outcomes, count_scores, markov_scores, normalised, predictions
 from setstride.plans.common import draws, query, table
 from setstride.plans.sql import BLEND, DRAWS, FREQUENCY, GRID, MARKOV, RANKED, SCORES, STATE, text, with_
 
@@ -44,9 +44,7 @@ def _(spark, folder):
 @query("score_ranks", with_(*SCORED, select="""
 SELECT model, ord, round(mean_rank, 6) AS mean_rank FROM pk WHERE ord < (SELECT n FROM len)"""))
 def _(spark, folder):
-    from setstride.functions.arrays import mean_rank
-
-    return predictions(draws(spark, folder)).select("model", "ord", mean_rank(F.col("ranked"), F.col("items")).alias("mean_rank"))
+    return count_outcomes(draws(spark, folder)).select("model", "ord", "mean_rank")
 
 
 @query("ensemble_picks", with_(*SCORED, """
@@ -65,8 +63,7 @@ av AS (SELECT ord, item, round(sum(p ORDER BY model) / 2, 12) AS s FROM nm GROUP
 ar AS (SELECT *, row_number() OVER (PARTITION BY ord ORDER BY s DESC, item) AS r FROM av)""", select=f"""
 SELECT ord, {text('list(item ORDER BY r) FILTER (r <= 5)')} AS picks, round(max(s), 6) AS best_score FROM ar GROUP BY ord""").replace("sum(score ORDER BY item) OVER", "sum(score) OVER"))
 def _(spark, folder):
-    t = draws(spark, folder)
-    return picks_of(count_average(t)).drop("special_pick")
+    return average_picks(draws(spark, folder)).select("ord", "picks", "best_score")
 
 
 # --- the open step after all history

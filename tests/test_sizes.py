@@ -1,12 +1,18 @@
 """Faults that only larger inputs show, brought on by many files, small blocks or the shape of the plan."""
 
+from dataclasses import replace
+
 import numpy as np
 from check import compare, connection
 
 from conftest import FOLDER, Step, make_steps
 from setstride.operators.combinations import combination_walk
+from setstride.operators.evaluate import drift, outcomes, walk_outcomes
 from setstride.operators.kernels import half_up
 from setstride.operators.neighbours import _state_matrix, _step_blocks, state_vectors
+from setstride.operators.pairs import context_state
+from setstride.operators.scorers import predictions
+from setstride.operators.state import slot_state
 from setstride.plans import ORACLES, QUERIES
 
 
@@ -48,6 +54,43 @@ def test_count_models_rank_inside_the_kernel(spark):
         assert "sort_array" not in logical_plan(spark, name), name
 
 
+def test_outcomes_leave_the_kernel_without_scores(spark):
+    """Rank lookups, frames and block totals in rows cost more than the scores themselves."""
+    for name in ("drift_all_steps", "fold_metrics", "walk_metrics"):
+        plan = logical_plan(spark, name)
+        assert "array_position" not in plan and "ranked" not in plan and "flatten" not in plan, name
+    assert "avg(hits" not in logical_plan(spark, "drift_all_steps")
+    assert "ranked" not in logical_plan(spark, "average_picks")
+
+
+def test_tickets_are_made_where_the_scores_are(spark):
+    assert logical_plan(spark, "prequential_tickets").count("MapInArrow") == 1
+
+
+def test_kernel_outcomes_are_those_of_the_scores(spark):
+    rng = np.random.default_rng(7)
+    steps = [Step(k, i, i, rng.choice(47, 5, replace=False) + 1, None if i % 41 == 40 and i > 270 else int(rng.integers(1, 28))) for k in (0, 1) for i in range(300 if k == 0 else 30)]
+    t = make_steps(spark, [s._replace(items=[int(n) for n in s.items]) for s in steps], block=128)
+    names = ["series_id", "ord", "model", "special_pick", "hits", "special_hit", "prize", "ev", "mean_rank"]
+    plain = outcomes(predictions(t), t.domain).select(names)
+    assert sorted(map(str, walk_outcomes(t).select(names).collect())) == sorted(map(str, plain.collect()))
+    seen = {(r["series_id"], r["model"], r["position"]): r["moving_avg"] for r in drift(walk_outcomes(t), t, 0, 51, 50).collect()}
+    hits = {(r["series_id"], r["model"], r["ord"]): r["hits"] for r in plain.collect()}
+    for (series, model, at), mean in seen.items():
+        if at > 286:  # a step without outcome lies in the frame
+            continue
+        frame = [hits[series, model, o] for o in range(max(at - 50, 0), at + 1) if (series, model, o) in hits]
+        assert abs(mean - sum(frame) / len(frame)) < 1e-12
+
+
+def test_totals_of_runs_do_not_depend_on_the_order_of_steps(spark):
+    steps = [Step(0, i, i, [1 + (i * i + 9 * j) % 47 for j in range(5)], 1 + i % 27) for i in range(400)]
+    t = make_steps(spark, steps, block=128)
+    mixed = replace(t, df=t.df.repartition(5, "step_id").orderBy("special"))
+    for state in (lambda x: slot_state(x, (5,), ("cnt", "last", "first", "gsq")), lambda x: context_state(x, "next")):
+        assert sorted(map(str, state(mixed).collect())) == sorted(map(str, state(t).collect()))
+
+
 def test_halves_go_up():
     assert half_up(np.array([1 / 40960, 0.1, 0.3000000000004, 0.0])).tolist() == [0.000024414063, 0.1, 0.3, 0.0]
 
