@@ -419,6 +419,85 @@ def ranking_kernel(
     return run
 
 
+def grid_features(batch: pa.RecordBatch, items: int, low_max: int) -> dict[str, np.ndarray]:
+    """The 18 features of `signal.feature_grid` as (step, item) arrays, and `y`; what is the same for all items of a step has one column."""
+    n, ords, number = batch.num_rows, _numbers(batch, "ord")[:, None], np.arange(1, items + 1)[None, :]
+    state = {c: _matrix(batch, c)[:, :items] for c in ("cnt", "last", "first", "gsq", "r5", "r10", "r30", "r100")}
+    gap, more = (ords - 1 - state["last"]).astype(np.float64), state["cnt"] > 1
+    gaps = np.maximum(state["cnt"] - 1, 1)
+    mean = np.where(more, (state["last"] - state["first"]) / gaps, ords)
+    spread = np.sqrt(np.maximum(state["gsq"] / gaps - mean * mean, 0.0))
+    f5, f30 = state["r5"] / 5.0, state["r30"] / 30.0
+    at, value = _lists(_column(batch, "prev_items"))
+    value, follows = value.astype(np.int64), np.concatenate([at[1:] == at[:-1], [False]]) if len(at) else np.zeros(0, bool)
+
+    def per_step(x: np.ndarray) -> np.ndarray:
+        return np.bincount(at, x, n)[:, None]
+
+    def came(name: str) -> np.ndarray:
+        hot = np.zeros((n, items), bool)
+        row, item = _lists(_column(batch, name))
+        hot[row, item.astype(np.int64) - 1] = True
+        return hot
+
+    return {
+        "y": came("items"), "current_gap": gap, "avg_gap": mean, "gap_ratio": np.where(mean > 0, gap / np.where(mean > 0, mean, 1.0), 1.0),
+        "gap_zscore": np.where(more, (gap - mean) / np.maximum(spread, 1.0), 0.0), "freq_5": f5, "freq_10": state["r10"] / 10.0, "freq_30": f30,
+        "freq_100": state["r100"] / np.minimum(100, ords), "freq_ratio_5_30": f5 / np.maximum(f30, 1e-6),
+        "appeared_last": came("prev_items"), "appeared_prev2": came("prev2_items"), "cooccur_last": np.where(ords >= 2, _matrix(batch, "score") / ords, 0.0),
+        "last_sum": per_step(value), "last_odd_cnt": per_step(value % 2 == 1), "last_high_cnt": per_step(value > low_max),
+        "last_consec": per_step(follows & (np.concatenate([value[1:], value[:1]]) - value == 1)), "ball_is_odd": number % 2, "ball_zone": (number - 1) // 10,
+    }
+
+
+def _grids(state: Callable[[Batches], Batches], items: int, low_max: int, warm_up: int, rows: int = 4096) -> Callable[[Batches], Iterator[dict[str, np.ndarray]]]:
+    def run(batches: Batches) -> Iterator[dict[str, np.ndarray]]:
+        for whole in state(batches):
+            kept = whole.filter(pa.array((_numbers(whole, "ord") >= warm_up) & _column(whole, "prev_items").is_valid().to_numpy(zero_copy_only=False)))
+            for at in range(0, kept.num_rows, rows):
+                yield grid_features(kept.slice(at, rows), items, low_max)
+
+    return run
+
+
+def moments_kernel(state: Callable[[Batches], Batches], items: int, low_max: int, warm_up: int, centre: dict[str, float]) -> Callable[[Batches], Batches]:
+    """One row per task and feature of `centre`: n, and sums of y, x, x^2 and xy, where x is the feature less its centre."""
+    grids = _grids(state, items, low_max, warm_up)
+
+    def run(batches: Batches) -> Batches:
+        sums = np.zeros((len(centre), 5))
+        for grid in grids(batches):
+            y = grid["y"]
+            for k, (name, middle) in enumerate(centre.items()):
+                x = np.broadcast_to(grid[name] - middle if middle else grid[name].astype(np.float64), y.shape)
+                sums[k] += y.size, y.sum(), x.sum(), (x * x).sum(), x[y].sum()
+        columns = [pa.array(list(centre)), pa.array(sums[:, 0].astype(np.int64)), *[pa.array(sums[:, k]) for k in range(1, 5)]]
+        yield pa.RecordBatch.from_arrays(columns, names=["feature", "n", "sy", "sx", "sxx", "sxy"])
+
+    return run
+
+
+def rates_kernel(state: Callable[[Batches], Batches], items: int, low_max: int, warm_up: int, group: Callable[[dict[str, np.ndarray]], np.ndarray]) -> Callable[[Batches], Batches]:
+    """Rows of a task and group (small whole numbers from -1 on): bin, n, and how many labels are 1."""
+    grids = _grids(state, items, low_max, warm_up)
+
+    def run(batches: Batches) -> Batches:
+        for grid in grids(batches):
+            key, y = group(grid).astype(np.int64).reshape(-1) + 1, grid["y"].reshape(-1)
+            n, hit = np.bincount(key), np.bincount(key, y)
+            found = np.flatnonzero(n)
+            columns = [pa.array((found - 1).astype(np.int32)), pa.array(n[found].astype(np.int64)), pa.array(hit[found].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["bin", "n", "hit"])
+
+    return run
+
+
+def left_open_bins(x: np.ndarray, edges: list[float]) -> np.ndarray:
+    """`signal.binned` of numbers."""
+    at = np.searchsorted(np.array(edges, np.float64), x, "left") - 1
+    return np.where((at < 0) | (at >= len(edges) - 1), -1, at)
+
+
 def quanta(scores: np.ndarray) -> np.ndarray:
     """Scores of rows as whole numbers: units of 1e-9, or of 1e-9 times the power of ten above the row's largest score.
 

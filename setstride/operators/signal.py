@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from setstride.functions.stats import student_p
+from setstride.operators.kernels import half_up, joint_kernel, left_open_bins, moments_kernel, rates_kernel
 from setstride.operators.layout import SERIES, StepTable
-from setstride.operators.pairs import joint_state
+from setstride.operators.pairs import joint_rows, joint_state
 from setstride.operators.patterns import last_step_features
 from setstride.operators.state import average_gap, current_gap, item_grid, item_part
 
@@ -81,11 +82,16 @@ def correlations(grid: DataFrame) -> DataFrame:
         F.avg(F.when(y == 1, F.col("x"))).alias("mean_appear"),
         F.avg(F.when(y == 0, F.col("x"))).alias("mean_not_app"),
     )
+    return tested(rows)
+
+
+def tested(rows: DataFrame) -> DataFrame:
+    """t, p and significance beside feature, n, corr, mean_appear and mean_not_app."""
     r = F.col("corr")
     t = F.try_divide(r * F.sqrt(F.col("n") - 2), F.sqrt(1 - r * r))
-    tested = rows.withColumn("t_stat", t).withColumn("p_value", student_p(F.col("t_stat"), F.col("n") - 2))
+    known = rows.withColumn("t_stat", t).withColumn("p_value", student_p(F.col("t_stat"), F.col("n") - 2))
     p = F.col("p_value")
-    return tested.select(
+    return known.select(
         "feature", "corr", F.abs("corr").alias("abs_corr"), "t_stat", "p_value",
         F.round("mean_appear", 4).alias("mean_appear"),
         F.round("mean_not_app", 4).alias("mean_not_app"),
@@ -95,6 +101,44 @@ def correlations(grid: DataFrame) -> DataFrame:
     )
 
 
+def _blocks(table: StepTable):
+    """The blocks and the state kernel behind the grid of all candidates, for sums that leave no step."""
+    want = ("cnt", "last", "first", "gsq")
+    keep = [SERIES, "ord", "items", "prev_items", "prev2_items"]
+    return joint_rows(table, WINDOWS, want, "same"), joint_kernel(keep, table.domain.items, table.domain.specials, WINDOWS, want, "same")
+
+
+def grid_correlations(table: StepTable, warm_up: int = WARM_UP) -> DataFrame:
+    """`correlations` of the whole grid, from sums of each task: no candidate becomes a row."""
+    rows, state = _blocks(table)
+    d = table.domain
+    centre = dict.fromkeys(FEATURES, 0.0) | {"current_gap": d.items / d.pick, "avg_gap": d.items / d.pick, "last_sum": d.pick * (d.items + 1) / 2}
+    sums = rows.mapInArrow(moments_kernel(state, d.items, d.low_max, warm_up, centre), "feature string, n long, sy double, sx double, sxx double, sxy double")
+    whole = sums.groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("n", "sy", "sx", "sxx", "sxy")]).where("n > 0")
+    n, sy, sx, sxx, sxy = (F.col(c) for c in ("n", "sy", "sx", "sxx", "sxy"))
+    middle = F.element_at(F.create_map(*[F.lit(v) for pair in centre.items() for v in pair]), F.col("feature"))
+    together = F.sqrt((n * sxx - sx * sx) * (n * sy - sy * sy))
+    return tested(
+        whole.select(
+            "feature", "n", F.try_divide(n * sxy - sx * sy, together).alias("corr"),
+            (middle + F.try_divide(sxy, sy)).alias("mean_appear"), (middle + F.try_divide(sx - sxy, n - sy)).alias("mean_not_app"),
+        )
+    )
+
+
+def grid_response(table: StepTable, feature: str, edges: list[float] | None = None, digits: int | None = None, warm_up: int = WARM_UP) -> DataFrame:
+    """`response` of the whole grid to a feature, a whole number or cut by `edges` after rounding: groups are counted in the tasks."""
+    rows, state = _blocks(table)
+    d = table.domain
+
+    def group(grid):
+        x = grid[feature] if digits is None else half_up(grid[feature], digits)
+        return x if edges is None else left_open_bins(x, edges)
+
+    counts = rows.mapInArrow(rates_kernel(state, d.items, d.low_max, warm_up, group), "bin int, n long, hit long")
+    return counts.groupBy("bin").agg((F.sum("hit") / F.sum("n")).alias("rate"), F.sum("n").alias("n"))
+
+
 def binned(column: Column, edges: list[float]) -> Column:
     """Index of the left-open bin; -1 is the bin of values at or below the first edge or above the last."""
     out = F.when(column <= edges[0], -1)

@@ -321,7 +321,7 @@ SELECT feature, round(r, 6) + 0.0 AS corr, round(abs(r), 6) + 0.0 AS abs_corr, r
 
 @query("feature_correlations", CORR_SQL)
 def _(spark, folder):
-    out = signal.correlations(signal.feature_grid(draws(spark, folder)))
+    out = signal.grid_correlations(draws(spark, folder))
     return out.withColumn("t_stat", F.round("t_stat", 4) + F.lit(0.0)).drop("p_value", "sig", "delta")
 
 
@@ -334,7 +334,7 @@ SIGNIFICANCE_SQL = CORR_SQL[: CORR_SQL.rindex("SELECT feature")] + f"""SELECT fe
 
 @query("feature_significance", SIGNIFICANCE_SQL)
 def _(spark, folder):
-    out = signal.correlations(signal.feature_grid(draws(spark, folder)))
+    out = signal.grid_correlations(draws(spark, folder))
     return out.withColumn("t_stat", F.round("t_stat", 4) + F.lit(0.0)).withColumn("delta", F.round(F.round("mean_appear", 4) - F.round("mean_not_app", 4), 4) + F.lit(0.0))
 
 
@@ -351,14 +351,14 @@ GAP_EDGES, FREQ_EDGES = [0, 0.5, 1.0, 1.5, 2.0, 99], [0, 0.5, 1.0, 2.0, 5.0, 99]
 
 @query("response_by_last", response_sql("CAST(appeared_last AS BIGINT)"))
 def _(spark, folder):
-    return signal.response(signal.feature_grid(draws(spark, folder)), F.col("appeared_last").cast("int"))
+    return signal.grid_response(draws(spark, folder), "appeared_last")
 
 
 @query("response_by_gap_ratio", response_sql(bins_sql("gap_ratio", GAP_EDGES)))
 def _(spark, folder):
-    return signal.response(signal.feature_grid(draws(spark, folder)), signal.binned(F.col("gap_ratio"), GAP_EDGES))
+    return signal.grid_response(draws(spark, folder), "gap_ratio", GAP_EDGES)
 
 
 @query("response_by_freq_ratio", response_sql(bins_sql("round(freq_ratio_5_30, 9)", FREQ_EDGES)))
 def _(spark, folder):
-    return signal.response(signal.feature_grid(draws(spark, folder)), signal.binned(F.round("freq_ratio_5_30", 9), FREQ_EDGES))
+    return signal.grid_response(draws(spark, folder), "freq_ratio_5_30", FREQ_EDGES, 9)

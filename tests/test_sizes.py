@@ -63,6 +63,11 @@ def test_outcomes_leave_the_kernel_without_scores(spark):
     assert "ranked" not in logical_plan(spark, "average_picks")
 
 
+def test_candidates_do_not_become_rows(spark):
+    for name in ("feature_significance", "feature_correlations", "response_by_last", "response_by_gap_ratio", "response_by_freq_ratio"):
+        assert "arrays_zip" not in logical_plan(spark, name), name
+
+
 def test_tickets_are_made_where_the_scores_are(spark):
     assert logical_plan(spark, "prequential_tickets").count("MapInArrow") == 1
 
