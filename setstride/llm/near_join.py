@@ -16,7 +16,7 @@ Two documents link when the Jaccard similarity of their distinct k-word shingles
   `SKETCH` cells, whose sums of differences bound the overlap from above. What leaves these tasks first are the *members* that have a
   partner, not the pairs. For those, and only those, the tokens that any other of them also has are counted exactly (`shared`): a
   token that is nowhere else cannot be in an overlap, so two texts with edits of their own are told apart without a comparison, however
-  many of them a group holds. Pairs that sizes, sketches and shared tokens still allow leave the group of their least common signature, once,
+  many of them a group holds. Pairs that sizes, sketches and shared tokens still allow leave their groups, are kept once,
   and are verified on whole sets. No link is lost, and groups of copies never expand into pairs.
 
 Null, empty and blank texts have no tokens and link with nothing. Texts shorter than a shingle are one token.
@@ -354,16 +354,17 @@ def _open(rule: Similarity):
 
 
 def _meet(rule: Similarity):
-    """(a, b): pairs of members of a unit that are in different components and could link, from the least signature they share."""
+    """(a, b): pairs of members of a unit that are in different components and could link.
+
+    A pair leaves every group it shares, 16 bytes each; to name only its least signature, each row would have to hold all those of its node."""
 
     def found(unit: dict[str, np.ndarray]):
-        signature, node, all_of = int(unit["signature"][0]), unit["node"].tolist(), unit["all"]
+        node = unit["node"].tolist()
         for i, other in _partners(unit, rule):
             for j in other.tolist():
-                if np.intersect1d(all_of[i], all_of[j], assume_unique=True)[0] == signature:
-                    yield (node[i], node[j]) if node[i] < node[j] else (node[j], node[i])
+                yield (node[i], node[j]) if node[i] < node[j] else (node[j], node[i])
 
-    return _by_unit(("shared", "all"), found, ["a", "b"])
+    return _by_unit(("shared",), found, ["a", "b"])
 
 
 def _own_or_known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -443,11 +444,10 @@ def classes(documents: DataFrame, rule: Similarity = Similarity()) -> DataFrame:
     tokens = _tokens_of(paired.select("node").distinct(), texts, sets, rule)
     shared = stored(_shared_counts(tokens), "near-shared")
     discard(tokens)
-    every = paired.groupBy("node").agg(F.sort_array(F.collect_list("signature")).alias("all"))
-    nodes = shared.join(size, "node").join(component.withColumnRenamed("root", "found"), "node", "left").join(every, "node")
-    nodes = nodes.select("node", "n", "sketch", "shared", "all", F.coalesce("found", "node").alias("root"))
+    nodes = shared.join(size, "node").join(component.withColumnRenamed("root", "found"), "node", "left")
+    nodes = nodes.select("node", "n", "sketch", "shared", F.coalesce("found", "node").alias("root"))
     left = paired.join(paired.groupBy("signature").agg(F.count("*").alias("members")), "signature").join(nodes, "node")
-    met = stored(_dealt(left, "shared", "all").mapInArrow(_meet(rule), "a long, b long"), "near-met")
+    met = stored(_dealt(left, "shared").mapInArrow(_meet(rule), "a long, b long").distinct(), "near-met")
     rest = stored(met.join(tested, ["a", "b"], "left_anti").join(tested.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"), "near-rest")
     if rest.limit(1).count():
         more = stored(_verified(rest, texts, sets, rule), "near-rest-tested")

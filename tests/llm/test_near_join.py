@@ -88,3 +88,19 @@ def test_components_of_chain_star_and_loops(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 180)] + [(7, 7), (3, 2), (500, 499)]
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 180)}, 499: 499, 500: 499}
+
+
+def test_members_meet_without_lists_of_their_signatures(spark, monkeypatch):
+    """Such a list in every row of a node grew the disk with the square of its signatures."""
+    from setstride.llm import near_join
+
+    dealt = []
+    plain = near_join._dealt
+    monkeypatch.setattr(near_join, "_dealt", lambda members, *more: dealt.append((members.dtypes, more)) or plain(members, *more))
+    words = [f"w{i}" for i in range(120)]
+    texts = [(k, " ".join([*words[: 100 + k], *[f"x{k}y{j}" for j in range(25 * (k % 2))]])) for k in range(8)]
+    docs = spark.createDataFrame([*texts, (9, None)], "doc_id long, text string")
+    near_join.classes(docs, near_join.Similarity(words=5, per_hundred=80)).collect()
+    assert len(dealt) == 2
+    for types, more in dealt:
+        assert not any(t.startswith("array<bigint") for _, t in types) and "all" not in more
