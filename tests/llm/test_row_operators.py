@@ -312,3 +312,16 @@ def test_weights_by_hand(spark, awkward, labels):  # noqa: F811
     for r in resampling.scored(awkward, resampling.log_ratios(awkward, labels)).collect():
         mine = {sum(weight[c] for c in cells(t)) for i, t in texts if i == r["doc_id"]}
         assert any(r["log_weight"] == pytest.approx(m, rel=1e-4, abs=1e-3) for m in mine)
+
+
+def test_weights_of_the_ratio_stay_out_of_rows(spark):
+    """A scalar subquery beside a column of hashes is copied into every row, 4 MB each."""
+    import re
+
+    from setstride.llm import quality_rules
+
+    docs = spark.createDataFrame([(i, f"one two three four five six seven eight nine ten w{i % 7}") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    for rows in (quality_rules.verdicts(docs, labels), quality_rules.keep(docs, labels)):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert not re.search(r"scalar-subquery#\d+ \[\] AS ", plan)
