@@ -12,12 +12,16 @@ Two documents link when the Jaccard similarity of their distinct k-word shingles
   share a signature.
 * Equal sets are one node from the start. In every signature group each member is verified against one leader (the member with
   the fewest rare tokens, most like the others), a count linear in the group. Only members of groups that are still in different
-  components are then compared with each other, inside tasks, in blocks of bounded size, by sketches: counts of tokens in
-  `SKETCH` cells, whose sums of differences bound the overlap from above. What leaves these tasks first are the *members* that have a
-  partner, not the pairs. For those, and only those, the tokens that any other of them also has are counted exactly (`shared`): a
-  token that is nowhere else cannot be in an overlap, so two texts with edits of their own are told apart without a comparison, however
-  many of them a group holds. Pairs that sizes, sketches and shared tokens still allow leave their groups, are kept once,
-  and are verified on whole sets. No link is lost, and groups of copies never expand into pairs.
+  components are then compared with each other, inside tasks, in blocks of bounded size, by sketches: whether the tokens in each of
+  `SKETCH` cells are odd in number. Every cell in which two sketches differ holds a token that only one set has, which bounds the
+  overlap from above, closely up to some 2 * `SKETCH` tokens. What leaves these tasks first are the *members* that have a
+  partner, each with its closest one, not the pairs. The closest pairs, linear in the members, are verified first, so that components
+  grow together before pairs are made. For members with a partner, and only those, the tokens that any other of them also has are
+  counted exactly (`shared`): a token that is nowhere else cannot be in an overlap, so two texts with edits of their own are told apart
+  without a comparison, however many of them a group holds. Pairs of different components that sizes, sketches and shared tokens still
+  allow leave one of the groups they share, not all: that of the least signature among the `FIRST` least of both members, which every
+  row carries. Only pairs with none in common there leave each group. They are verified on whole sets. No link is lost, and groups of
+  copies never expand into pairs.
 
 Null, empty and blank texts have no tokens and link with nothing. Texts shorter than a shingle are one token.
 Repeated rows of one doc_id are one document in the classes; null ids are left out of the index. Sets are of 64-bit hashes, nodes 64-bit
@@ -43,10 +47,12 @@ from setstride.llm.textkit import shingle_sets
 
 CELL_BITS = 22
 RANGES = 64
-SKETCH = 64
+SKETCH = 1024
 BLOCK = 1024
+FIRST = 16
 _SETS = "doc_id long, node long, n int, sketch array<int>"
 _INDEX = "signature long, node long, rare int"
+_FIRSTS = [f"first{i}" for i in range(FIRST)]
 
 
 @dataclass(frozen=True)
@@ -64,7 +70,8 @@ class Similarity:
         """False only where sizes and sketches rule a link out: no overlap exceeds half of what the sketches have in common."""
         n = F.col(na) + F.col(nb)
         fits = (F.col(na) * 100 >= self.per_hundred * F.col(nb)) & (F.col(nb) * 100 >= self.per_hundred * F.col(na))
-        apart = F.aggregate(F.zip_with(sa, sb, lambda x, y: F.abs(x - y)), F.lit(0), lambda t, d: t + d)
+        differ = F.zip_with(sa, sb, lambda x, y: F.bit_count(x.bitwiseXOR(y).cast("long").bitwiseAND(F.lit(0xFFFFFFFF))))
+        apart = F.aggregate(differ, F.lit(0), lambda t, d: t + d)
         return fits & (100 * (n - apart) >= self.per_hundred * (n + apart))
 
     def holds(self, common: Column, left: Column, right: Column) -> Column:
@@ -76,13 +83,14 @@ def _digest(tokens: np.ndarray) -> int:
 
 
 def _sketch(tokens: np.ndarray) -> np.ndarray:
-    """How many tokens fall into each of `SKETCH` cells."""
-    return np.bincount(((tokens >> np.uint64(16)) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH).astype(np.int32)
+    """A bit for each of `SKETCH` cells: set if an odd number of tokens falls into it."""
+    counts = np.bincount(((tokens >> np.uint64(16)) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int32)
 
 
 def _sketches(rows: list[np.ndarray]) -> pa.Array:
     flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * SKETCH), pa.array(flat, pa.int32()))
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * (SKETCH // 32)), pa.array(flat, pa.int32()))
 
 
 def _read_sets(rule: Similarity):
@@ -285,8 +293,8 @@ def _dealt(members: DataFrame, *more: str) -> DataFrame:
     return units.repartition(n_partitions(members.sparkSession), *key).sortWithinPartitions(*key)
 
 
-def _partners(unit: dict[str, np.ndarray], rule: Similarity) -> Iterator[tuple[int, np.ndarray]]:
-    """Each member of a unit with the later ones, of other components, that sizes, sketches and shared tokens allow it to link with."""
+def _partners(unit: dict[str, np.ndarray], rule: Similarity) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Each member of a unit with the later ones, of other components, that sizes, sketches and shared tokens allow it to link with, and how far these are apart."""
     low, high = int(unit["low"][0]), int(unit["high"][0])
     block, root, n, sketch = unit["block"], unit["root"], unit["n"].astype(np.int64), unit["sketch"]
     if (root == root[0]).all():
@@ -298,11 +306,11 @@ def _partners(unit: dict[str, np.ndarray], rule: Similarity) -> Iterator[tuple[i
         bound = np.minimum(most, most[i])
         other = np.flatnonzero(other & (root != root[i]) & (100 * np.minimum(np.minimum(n, n[i]), bound) >= rule.per_hundred * (n + n[i] - bound)))
         if len(other):
-            apart = np.abs(sketch[other] - sketch[i]).sum(axis=1)
+            apart = np.bitwise_count(sketch[other] ^ sketch[i]).sum(axis=1, dtype=np.int64)
             total = n[other] + n[i]
-            other = other[100 * (total - apart) >= rule.per_hundred * (total + apart)]
-        if len(other):
-            yield i, other
+            near = 100 * (total - apart) >= rule.per_hundred * (total + apart)
+            if near.any():
+                yield i, other[near], apart[near]
 
 
 def _by_unit(names: tuple[str, ...], found, out: list[str]):
@@ -327,7 +335,7 @@ def _by_unit(names: tuple[str, ...], found, out: list[str]):
         table = pa.Table.from_batches(batches).combine_chunks()
         batch = table.to_batches()[0]
         column = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in ("signature", "low", "high", "block", "node", "root", "n", *names)}
-        column["sketch"] = batch.column("sketch").flatten().to_numpy(zero_copy_only=False).reshape(-1, SKETCH)
+        column["sketch"] = batch.column("sketch").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, SKETCH // 64)
         rows: list[tuple] = []
         at = 0
         for end in _ends(batch):
@@ -341,30 +349,47 @@ def _by_unit(names: tuple[str, ...], found, out: list[str]):
 
 
 def _open(rule: Similarity):
-    """(signature, node): the members of a unit that have a partner there."""
+    """(signature, node, closest): the members of a unit that have a partner there, each with the one least apart."""
 
     def found(unit: dict[str, np.ndarray]):
-        paired = np.zeros(len(unit["node"]), bool)
-        for i, other in _partners(unit, rule):
-            paired[i] = True
-            paired[other] = True
-        return [(int(unit["signature"][0]), v) for v in unit["node"][paired].tolist()]
+        size = len(unit["node"])
+        least, closest = np.full(size, np.iinfo(np.int64).max), np.full(size, -1)
+        for i, other, apart in _partners(unit, rule):
+            j = int(apart.argmin())
+            if apart[j] < least[i]:
+                least[i], closest[i] = apart[j], other[j]
+            nearer = apart < least[other]
+            least[other[nearer]], closest[other[nearer]] = apart[nearer], i
+        paired = np.flatnonzero(closest >= 0)
+        node = unit["node"]
+        return [(int(unit["signature"][0]), v, c) for v, c in zip(node[paired].tolist(), node[closest[paired]].tolist())]
 
-    return _by_unit((), found, ["signature", "node"])
+    return _by_unit((), found, ["signature", "node", "closest"])
 
 
 def _meet(rule: Similarity):
     """(a, b): pairs of members of a unit that are in different components and could link.
 
-    A pair leaves every group it shares, 16 bytes each; to name only its least signature, each row would have to hold all those of its node."""
+    A pair leaves only the group of the least signature that both have among their `FIRST` least ones, and every group it shares if there is none.
+    To name the least of all, each row would have to hold all signatures of its node."""
 
     def found(unit: dict[str, np.ndarray]):
-        node = unit["node"].tolist()
-        for i, other in _partners(unit, rule):
-            for j in other.tolist():
+        node, signature = unit["node"].tolist(), unit["signature"][0]
+        firsts = np.stack([unit[name] for name in _FIRSTS], axis=1)
+        none = np.iinfo(np.int64).max
+        for i, other, _ in _partners(unit, rule):
+            theirs = firsts[other]
+            least = np.where(np.isin(theirs, firsts[i]), theirs, none).min(axis=1)
+            for j in other[(least == signature) | (least == none)].tolist():
                 yield (node[i], node[j]) if node[i] < node[j] else (node[j], node[i])
 
-    return _by_unit(("shared",), found, ["a", "b"])
+    return _by_unit(("shared", *_FIRSTS), found, ["a", "b"])
+
+
+def _first_signatures(paired: DataFrame) -> DataFrame:
+    """(node, first0, first1, ...): the `FIRST` least signatures of each node of `paired`; a node with fewer has its last one repeatedly."""
+    lists = paired.groupBy("node").agg(F.slice(F.sort_array(F.collect_set("signature")), 1, FIRST).alias("first"))
+    return lists.select("node", *[F.coalesce(F.get("first", F.lit(i)), F.element_at("first", -1)).alias(name) for i, name in enumerate(_FIRSTS)])
 
 
 def _own_or_known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -414,6 +439,20 @@ def _ends(batch: pa.RecordBatch) -> list[int]:
     return [*(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
 
 
+def _joined(pairs: DataFrame, tested: DataFrame, links: DataFrame, component: DataFrame, texts: DataFrame, sets: DataFrame, rule: Similarity) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The tested pairs, links and components once the untested ones of `pairs` (a, b) are verified too."""
+    known = tested.select("a", "b").unionByName(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    rest = stored(pairs.join(known, ["a", "b"], "left_anti"), "near-rest")
+    if not rest.limit(1).count():
+        return tested, links, component
+    more = stored(_verified(rest, texts, sets, rule), "near-rest-tested")
+    tested, found = tested.unionByName(more), more.where("linked").select("a", "b")
+    if not found.limit(1).count():
+        return tested, links, component
+    links = links.unionByName(found)
+    return tested, links, components(links)
+
+
 def classes(documents: DataFrame, rule: Similarity = Similarity()) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id of its component, itself included): one row per row of `documents`."""
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -440,19 +479,18 @@ def classes(documents: DataFrame, rule: Similarity = Similarity()) -> DataFrame:
     mixed = member.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
     mixed = mixed.where("low != high").select("signature", "members")
     open_members = member.distinct().join(mixed, "signature").join(size, "node")
-    paired = stored(_dealt(open_members).mapInArrow(_open(rule), "signature long, node long").distinct(), "near-paired")
+    opened = _dealt(open_members).mapInArrow(_open(rule), "signature long, node long, closest long")
+    paired = stored(opened.groupBy("signature", "node").agg(F.min("closest").alias("closest")), "near-paired")
+    closest = paired.select(F.least("node", "closest").alias("a"), F.greatest("node", "closest").alias("b")).distinct()
+    tested, links, component = _joined(closest, tested, links, component, texts, sets, rule)
     tokens = _tokens_of(paired.select("node").distinct(), texts, sets, rule)
     shared = stored(_shared_counts(tokens), "near-shared")
     discard(tokens)
     nodes = shared.join(size, "node").join(component.withColumnRenamed("root", "found"), "node", "left")
     nodes = nodes.select("node", "n", "sketch", "shared", F.coalesce("found", "node").alias("root"))
-    left = paired.join(paired.groupBy("signature").agg(F.count("*").alias("members")), "signature").join(nodes, "node")
-    met = stored(_dealt(left, "shared").mapInArrow(_meet(rule), "a long, b long").distinct(), "near-met")
-    rest = stored(met.join(tested, ["a", "b"], "left_anti").join(tested.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"), "near-rest")
-    if rest.limit(1).count():
-        more = stored(_verified(rest, texts, sets, rule), "near-rest-tested")
-        links = links.unionByName(more.where("linked").select("a", "b"))
-        component = components(links)
+    left = paired.join(paired.groupBy("signature").agg(F.count("*").alias("members")), "signature").join(nodes, "node").join(_first_signatures(paired), "node")
+    met = stored(_dealt(left, "shared", *_FIRSTS).mapInArrow(_meet(rule), "a long, b long").distinct(), "near-met")
+    _, _, component = _joined(met, tested, links, component, texts, sets, rule)
 
     # least doc_id of each component, then back to all documents
     ids = sets.where(F.col("node").isNotNull() & F.col("doc_id").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("least"))

@@ -104,3 +104,62 @@ def test_members_meet_without_lists_of_their_signatures(spark, monkeypatch):
     assert len(dealt) == 2
     for types, more in dealt:
         assert not any(t.startswith("array<bigint") for _, t in types) and "all" not in more
+
+
+def edited(rng, words, edits):
+    words = list(words)
+    for at in rng.sample(range(len(words)), edits):
+        words[at] = f"x{rng.getrandbits(40)}"
+    return " ".join(words)
+
+
+def test_pairs_do_not_leave_every_group_they_share(spark, monkeypatch):
+    """Near copies that just miss the threshold share hundreds of signatures; each pair left that many times."""
+    dealt = []
+    plain = near_join._dealt
+    monkeypatch.setattr(near_join, "_dealt", lambda *args: dealt.append(plain(*args)) or dealt[-1])
+    rng, rule = random.Random(3), Similarity(5, 80)
+    words = [f"w{i}" for i in range(1504)]
+    rows = [(k, edited(rng, words, 25)) for k in range(10)]
+    found = near_join.classes(spark.createDataFrame(rows, "doc_id long, text string"), rule).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute(rows, rule)
+    met = dealt[1].mapInArrow(near_join._meet(rule), "a long, b long")
+    pairs = met.distinct().count()
+    assert pairs > 20 and met.count() <= 2 * pairs
+
+
+def test_links_that_no_leader_has_seen_are_found_by_the_closest(spark):
+    """Two families around a text that is like neither: its groups hold both, and each family's links are its own."""
+    rng, rule = random.Random(4), Similarity(3, 60)
+    words = [f"w{i}" for i in range(200)]
+    families = [edited(rng, words, 12).split(" ") for _ in range(3)]
+    rows = [(k, edited(rng, families[k % 3], k % 5)) for k in range(30)] + [(30, " ".join(words))]
+    found = near_join.classes(spark.createDataFrame(rows, "doc_id long, text string"), rule).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute(rows, rule)
+
+
+@pytest.mark.parametrize("together", [True, False])
+def test_pairs_without_a_common_first_signature_leave_each_group(together):
+    import pyarrow as pa
+
+    size, groups = 5, [3, 5, 9]
+    sketch = near_join._sketches([near_join._sketch(np.arange(100, dtype=np.uint64) << np.uint64(20))] * size * len(groups))
+    node = np.tile(np.arange(size), len(groups))
+    columns = {"signature": np.repeat(groups, size), "low": 0 * node, "high": 0 * node, "block": 0 * node, "node": node, "root": node, "n": 100 + 0 * node, "shared": 100 + 0 * node}
+    firsts = {name: 0 * node + min(5, 3 + 2 * i) if together else 100 + node for i, name in enumerate(near_join._FIRSTS)}
+    batch = pa.record_batch([*[pa.array(c) for c in columns.values()], sketch, *[pa.array(c) for c in firsts.values()]], [*columns, "sketch", *firsts])
+    met = [(a, b) for out in near_join._meet(Similarity())(iter([batch])) for a, b in zip(*(c.to_pylist() for c in out.columns))]
+    assert sorted(met) == sorted(list(itertools.combinations(range(size), 2)) * (1 if together else len(groups)))
+
+
+@pytest.mark.parametrize("share", [0.95, 0.9, 0.85])
+def test_sketches_tell_sets_below_the_threshold_apart(spark, share):
+    """Never a linked pair; sets of 150 tokens with a similarity of 0.74 could hold by the sums of 64 cells."""
+    rng, rule = np.random.default_rng(6), Similarity(5, 80)
+    sets = [[rng.integers(0, 2**63, 150, np.uint64) for _ in range(200)] for _ in range(2)]
+    for x, y in zip(*sets):
+        y[: round(150 * share)] = x[: round(150 * share)]
+    rows = [(150, 150, near_join._sketch(x).tolist(), near_join._sketch(y).tolist()) for x, y in zip(*sets)]
+    could = spark.createDataFrame(rows, "na int, nb int, sa array<int>, sb array<int>").where(rule.could_hold("na", "nb", "sa", "sb")).count()
+    linked = sum(rule.per_hundred * len(np.union1d(x, y)) <= 100 * len(np.intersect1d(x, y)) for x, y in zip(*sets))
+    assert linked <= could <= linked + 20
