@@ -98,6 +98,23 @@ def test_threshold_keeps_the_good():
     assert quality_rules._best_threshold([]) == -math.inf
 
 
+def test_every_labelled_document_counts(spark):
+    """Words of good documents count in the target, however many documents are labelled: here 24,000, those of the largest hashes with a word of their own."""
+    ids = spark.range(24_000).selectExpr("id doc_id", "row_number() over (order by xxhash64(id), id) at", "pmod(xxhash64(1, id), 2) = 1 held")
+    texts = ids.selectExpr("doc_id", "if(at > 20000 and not held, 'late late', 'early word') text")
+    ratio = quality_rules.fit(texts, ids.selectExpr("doc_id", "1 quality", "0 toxic"), orders=(1,))
+    late = spark.range(1).selectExpr(f"cast(pmod(xxhash64('late'), {quality_rules.CELLS}) as int) c").first()["c"]
+    n = 2 * texts.where("text = 'late late'").count()
+    target = 2 * ids.where("not held").count()
+    assert ratio.weights[late] == pytest.approx(math.log((n + 8) / (target / 48_000 * n + 8)), abs=6e-4)
+
+
+def test_threshold_follows_every_held_back_document(spark):
+    """The documents that set the threshold are all labelled ones held back; no kind is cut to a number."""
+    kinds = spark.range(50_000).selectExpr("id doc_id", "cast(id % 2 as int) quality", "0 toxic")
+    assert {r["good"]: r["n"] for r in quality_rules._sampled(kinds).groupBy("good").agg(quality_rules.F.count("*").alias("n")).collect()} == {True: 25_000, False: 25_000}
+
+
 def jump(key, shards):
     key &= (1 << 64) - 1
     b, j = -1, 0
