@@ -157,29 +157,29 @@ def _(spark, folder):
     return combinations.best_combinations(draws(spark, folder))
 
 
+# A fit every ten steps; counts as of a fit are running sums over the steps between fits. Fitness and the place of a combination are one number, so the largest names both.
 COMBINATION_FITS = """
-ft AS (SELECT f AS no, 200 + f * CAST(ceil((n - 200) / 3.0) AS BIGINT) AS fit FROM range(3) r(f), len WHERE 200 + f * CAST(ceil((n - 200) / 3.0) AS BIGINT) < n),
-fr AS MATERIALIZED (SELECT fit, nums.item, CAST(count(li.ord) AS DOUBLE) / (5 * fit) AS f FROM ft CROSS JOIN nums LEFT JOIN li ON li.item = nums.item AND li.ord < fit GROUP BY fit, nums.item),
-pc AS (SELECT fit, a.item AS a, b.item AS b, count(*) AS n FROM li a JOIN li b ON a.ord = b.ord AND a.item < b.item JOIN ft ON a.ord < fit GROUP BY ALL),
-ps AS MATERIALIZED (SELECT x.fit, x.item AS a, y.item AS b, coalesce(CAST(pc.n AS DOUBLE) / max(pc.n) OVER (PARTITION BY x.fit), 0) AS s
-       FROM fr x JOIN fr y ON x.fit = y.fit AND x.item < y.item LEFT JOIN pc ON pc.fit = x.fit AND pc.a = x.item AND pc.b = y.item),
-pm AS MATERIALIZED (SELECT x.fit, list(coalesce(ps.s, 0.0) ORDER BY x.item, y.item) AS m FROM fr x JOIN fr y ON x.fit = y.fit LEFT JOIN ps ON ps.fit = x.fit AND ps.a = x.item AND ps.b = y.item GROUP BY x.fit),
-fl AS MATERIALIZED (SELECT fit, list(f ORDER BY item) AS f FROM fr GROUP BY fit),
+ft AS MATERIALIZED (SELECT f AS no, 200 + 10 * f AS fit FROM len, range(CAST(ceil((n - 200) / 10.0) AS BIGINT)) r(f)),
+sl AS MATERIALIZED (SELECT ord, item, CASE WHEN ord < 200 THEN 0 ELSE (ord - 200) // 10 + 1 END AS no FROM li),
+pn AS (SELECT x.no, x.item AS a, y.item AS b, count(*) AS n FROM sl x JOIN sl y ON x.ord = y.ord AND x.item <= y.item GROUP BY ALL),
+pq AS MATERIALIZED (SELECT ft.fit, x.item AS a, y.item AS b, sum(coalesce(pn.n, 0)) OVER (PARTITION BY x.item, y.item ORDER BY ft.no) AS n
+       FROM ft CROSS JOIN nums x JOIN nums y ON x.item <= y.item LEFT JOIN pn ON pn.no = ft.no AND pn.a = x.item AND pn.b = y.item),
+ps AS (SELECT *, CASE WHEN a < b THEN CAST(n AS DOUBLE) / max(CASE WHEN a < b THEN n END) OVER (PARTITION BY fit) ELSE 0 END AS s FROM pq),
+pm AS MATERIALIZED (SELECT fit, list(s ORDER BY a, b) AS m, list(CAST(n AS DOUBLE) / (5 * fit) ORDER BY a) FILTER (a = b) AS f FROM ps GROUP BY fit),
 u2 AS (SELECT a, unnest(range(a + 1, 48)) AS b FROM (SELECT unnest(range(1, 48)) AS a)),
 u3 AS (SELECT *, unnest(range(b + 1, 48)) AS c FROM u2), u4 AS (SELECT *, unnest(range(c + 1, 48)) AS e FROM u3), u5 AS (SELECT *, unnest(range(e + 1, 48)) AS g FROM u4),
-sf AS (SELECT fit, a, b, c, e, g, round(0.6 * (f[a] + f[b] + f[c] + f[e] + f[g]) + 0.4 * (""" + " + ".join(f"m[({x} - 1) * 47 + {y}]" for x, y in itertools.combinations("abceg", 2)) + """), 12) AS fitness FROM u5 CROSS JOIN (SELECT * FROM pm JOIN fl USING (fit))),
-tp AS (SELECT fit, max(fitness) AS fitness FROM sf GROUP BY fit),
-cb AS MATERIALIZED (SELECT fit, min([a, b, c, e, g]) AS best FROM sf JOIN tp USING (fit, fitness) GROUP BY fit)
+un AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY a, b, c, e, g) AS id, """ + ", ".join(f"CAST(({x} - 1) * 47 - ({x} - 1) * ({x} - 2) // 2 + {y} - {x} + 1 AS INTEGER) AS {x}{y}" for x, y in itertools.combinations("abceg", 2)) + """ FROM u5),
+tp AS MATERIALIZED (SELECT fit, max(CAST(round(round(0.6 * (f[a] + f[b] + f[c] + f[e] + f[g]) + 0.4 * (""" + " + ".join(f"m[{x}{y}]" for x, y in itertools.combinations("abceg", 2)) + """), 12) * 1e12) AS UBIGINT) * 2097152 + (2097151 - id)) AS k FROM un CROSS JOIN pm GROUP BY fit),
+cb AS MATERIALIZED (SELECT fit, [a, b, c, e, g] AS best FROM tp JOIN un ON id = 2097151 - CAST(k % 2097152 AS BIGINT))
 """
 
 
 @query("combination_picks", with_(DRAWS, COMBINATION_FITS, select=f"""
-SELECT d.ord, fit AS fit_ord, {text('best')} AS picks, len(list_intersect(best, items)) AS hits FROM d JOIN cb ON fit = 200 + (d.ord - 200) // CAST(ceil(((SELECT n FROM len) - 200) / 3.0) AS BIGINT) * CAST(ceil(((SELECT n FROM len) - 200) / 3.0) AS BIGINT) WHERE d.ord >= 200"""))
+SELECT d.ord, fit AS fit_ord, {text('best')} AS picks, len(list_intersect(best, items)) AS hits FROM d JOIN cb ON fit = 200 + (d.ord - 200) // 10 * 10 WHERE d.ord >= 200"""))
 def _(spark, folder):
-    """Every step from 200 on by the fittest combination as of its fit, three fits in all."""
+    """Every step from 200 on by the fittest combination as of its fit, fitted anew on the schedule of `REFIT_EVERY`."""
     t = draws(spark, folder)
-    every = -(-(t.longest - 200) // 3)
-    scores = evaluate.prequential(t, ("genetic",), 200, every={"genetic": every})
+    scores = evaluate.prequential(t, ("genetic",), 200)
     return evaluate.outcomes(scores, t.domain).select("ord", "fit_ord", "picks", "hits")
 
 

@@ -6,7 +6,7 @@ import numpy as np
 from check import compare, connection
 
 from conftest import FOLDER, Step, make_steps
-from setstride.operators.combinations import combination_walk
+from setstride.operators.combinations import combination_walk, fittest
 from setstride.operators.evaluate import drift, outcomes, walk_outcomes
 from setstride.operators.kernels import half_up
 from setstride.operators.neighbours import _state_matrix, _step_blocks, state_vectors
@@ -107,6 +107,29 @@ def test_fits_meet_the_steps_as_one_row_each(spark):
     assert sorted(r["ord"] for r in walk.collect()) == list(range(200, 290))
 
 
+def test_many_fits_find_the_fittest_of_all_combinations(spark):
+    """Every fit of a dense schedule, across blocks, against scoring all combinations from the counts before it."""
+    steps = [Step(0, i, i, [1 + (i * i // 7 + 9 * j) % 47 for j in range(5)], 1 + i % 27) for i in range(330)]
+    t = make_steps(spark, steps, block=128)
+    fits = list(range(200, 330, 2))
+    found = {r["ord"]: sorted(r["picks"]) for r in combination_walk(t, fits, 330).select("ord", "picks").collect()}
+    assert sorted(found) == list(range(200, 330))
+    for fit in fits:
+        counts = np.zeros((47, 47))
+        for s in steps[:fit]:
+            for a in sorted(s.items):
+                for b in s.items:
+                    counts[a - 1, b - 1] += a <= b
+        best = [i + 1 for i in fittest(counts, 5)[0]]
+        assert found[fit] == found[fit + 1] == best
+
+
+def test_combinations_are_fitted_on_their_whole_schedule(spark):
+    rows = QUERIES["combination_picks"](spark, FOLDER).select("ord", "fit_ord").collect()
+    assert sorted({r["fit_ord"] for r in rows}) == list(range(200, 1500, 10))
+    assert all(0 <= r["ord"] - r["fit_ord"] < 10 for r in rows)
+
+
 def test_rolled_values_join_narrow_steps(spark):
     plan = logical_plan(spark, "feature_matrix")
     assert plan.index("MapInArrow") < plan.index("Join")
