@@ -6,9 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import Step, make_steps
-from setstride.operators import learners, trees
+from conftest import FOLDER, Step, make_steps
+from setstride.operators import evaluate, learners, scorers, trees
 from setstride.operators.evaluate import outcomes, prequential
+from setstride.plans import QUERIES
 
 
 def periodic(n=420, jump=None):
@@ -153,6 +154,42 @@ def test_whole_and_level_by_level_growing_agree(spark, planted, monkeypatch, wal
     assert np.allclose(whole, parts, atol=1e-6)
 
 
+def test_a_followed_tree_is_the_tree_grown_anew_at_every_fit(spark, monkeypatch):
+    """Steps without a pattern: splits lead by little and change often."""
+    rng = random.Random(3)
+    table = make_steps(spark, [Step(1, t, t, rng.sample(range(1, 48), 5), 1 + t % 27) for t in range(250)], block=128)
+    matrix, fits = learners.state_matrix(table), list(range(180, 250, 2))
+    followed = {r["ord"]: r["score"] for r in learners.tree_walk(table, fits, 250, matrix, least=8).collect()}
+    monkeypatch.setattr(trees, "FEW_FITS", 1000)
+    assert followed == {r["ord"]: r["score"] for r in learners.tree_walk(table, fits, 250, matrix, least=8).collect()}
+    monkeypatch.setattr(learners, "FITS_AT_ONCE", 15)
+    assert followed == {r["ord"]: r["score"] for r in learners.tree_walk(table, fits, 250, matrix, least=8).collect()}
+
+
+def test_a_run_of_networks_is_fitted_as_each_alone(planted, monkeypatch):
+    fits = [250, 262, 274, 286, 298]
+    monkeypatch.setattr(type(planted.spark.sparkContext), "defaultParallelism", property(lambda self: 0.5))  # runs of three fits
+    run = {r["ord"]: r["score"] for r in learners.network_walk(planted, fits, 310, epochs=2).collect()}
+    monkeypatch.undo()
+    alone = [r for f in fits for r in learners.network_walk(planted, [f], f + 12, epochs=2).collect()]
+    assert run == {r["ord"]: r["score"] for r in alone}
+
+
+def test_learned_walk_is_fitted_on_its_whole_schedule(spark, monkeypatch):
+    asked = {}
+
+    def stub(model):
+        def walk(table, fits, end):
+            asked[model] = fits
+            return scorers.count_scores(table, (fits[0], end), ("frequency",)).withColumn("model", F.lit(model))
+
+        return None if model == "knn" else walk
+
+    monkeypatch.setattr(evaluate, "refitted", stub)
+    QUERIES["learned_walk"](spark, FOLDER)
+    assert asked == {"decision_tree": list(range(200, 1500)), "mlp": list(range(200, 1500, 10)), "genetic": list(range(200, 1500, 10))}
+
+
 def test_importance_finds_the_gap(planted):
     rows = learners.tree_importance(planted).collect()
     assert len(rows) == 188 and sum(r["importance"] for r in rows) <= 1 + 1e-9
