@@ -177,7 +177,9 @@ def _best_at_many(table: StepTable, fits: list[int]) -> DataFrame:
         blobs = [ords[order].tobytes(), zlib.compress(hot[order].tobytes(), 1), (whole.T @ whole).astype("<i8").tobytes()]
         yield pa.record_batch([pa.array([key[0].as_py()], steps.schema.field(SERIES).type), pa.array([key[1].as_py()], pa.int64()), *[pa.array([b], pa.binary()) for b in blobs]], [SERIES, "block", "ords", "hot", "counts"])
 
-    known = table.df.where(F.col("special").isNotNull() & (F.col("ord") < fits[-1])).select(SERIES, "ord", "items", block_of(size).alias("block"))
+    known = table.df.where(F.col("special").isNotNull() & (F.col("ord") < fits[-1])).select(
+        SERIES, "ord", F.coalesce(F.filter("items", lambda v: v.isNotNull()), F.array().cast("array<int>")).alias("items"), block_of(size).alias("block")
+    )
     blocks = materialise(known.groupBy(SERIES, "block").applyInArrow(pack, f"{SERIES} {kind}, block long, ords binary, hot binary, counts binary"), "fits")
 
     def before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

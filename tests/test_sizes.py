@@ -4,6 +4,7 @@ from dataclasses import replace
 
 import numpy as np
 from check import compare, connection
+from pyspark.sql import functions as F
 
 from conftest import FOLDER, Step, make_steps
 from setstride.operators.combinations import combination_walk, fittest
@@ -124,6 +125,16 @@ def test_many_fits_find_the_fittest_of_all_combinations(spark):
         assert found[fit] == found[fit + 1] == best
 
 
+def test_many_fits_take_steps_without_items_as_few_do(spark):
+    """Null items and missing lists count for nothing."""
+    t = make_steps(spark, [Step(0, i, i, [1 + (i * i // 7 + 9 * j) % 47 for j in range(5)], 1 + i % 27) for i in range(280)], block=128)
+    odd = "case when ord % 50 = 7 then transform(items, v -> cast(null as int)) when ord % 50 = 9 then cast(null as array<int>) else items end"
+    t = replace(t, df=t.df.withColumn("items", F.expr(odd)))
+    many = {r["ord"]: r["picks"] for r in combination_walk(t, list(range(210, 280)), 280).select("ord", "picks").collect()}
+    few = {r["ord"]: r["picks"] for r in combination_walk(t, [230, 260], 280).select("ord", "picks").collect()}
+    assert many[230] == few[230] and many[260] == few[260] and len(many) == 70
+
+
 def test_combinations_are_fitted_on_their_whole_schedule(spark):
     rows = QUERIES["combination_picks"](spark, FOLDER).select("ord", "fit_ord").collect()
     assert sorted({r["fit_ord"] for r in rows}) == list(range(200, 1500, 10))
